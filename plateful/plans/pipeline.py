@@ -1,0 +1,47 @@
+"""The batch run: text or database to landed tables, landed tables to metric tables."""
+
+from pyspark.sql import DataFrame, SparkSession
+
+from plateful import schemas
+from plateful.operators.facts import order_summary
+from plateful.plans import customers, sales
+from plateful.plans.staging import staged
+from plateful.sinks.tables import land_tables
+from plateful.sources.jdbc import read_jdbc
+from plateful.sources.tables import read_raw
+from plateful.sources.text import LOADERS
+
+
+def land_text(spark: SparkSession, paths: dict[str, str], raw_base: str, **how) -> dict[str, str]:
+    """Clean the named text files and replace their landed tables."""
+    return land_tables({table: LOADERS[table](spark, path, **how) for table, path in paths.items()}, raw_base)
+
+
+def land_jdbc(spark: SparkSession, url: str, properties: dict, raw_base: str, *, partitions: int = 1,
+              tables=tuple(schemas.RAW_TABLES)) -> dict[str, str]:
+    """Copy raw tables from a database into landed tables."""
+    return land_tables({t: read_jdbc(spark, url, t, properties, partitions=partitions) for t in tables},
+                       raw_base)
+
+
+def metric_tables(items: DataFrame, options: DataFrame, *, exclude_anonymous=False,
+                  stage=staged) -> dict[str, DataFrame]:
+    """All six metric tables; the order summary is built once for both that need it."""
+    orders = stage(order_summary(items), "order_summary")
+    return {
+        "customer_lifetime_value": customers.customer_lifetime_value(
+            items, options, exclude_anonymous=exclude_anonymous, stage=stage),
+        "customer_segments": customers.customer_segments(
+            items, orders=orders, exclude_anonymous=exclude_anonymous, stage=stage),
+        "sales_trends": sales.sales_trends(items),
+        "loyalty_impact": sales.loyalty_impact(items),
+        "location_performance": sales.location_performance(items),
+        "discount_effectiveness": sales.discount_effectiveness(items, options, orders=orders),
+    }
+
+
+def run_metrics(spark: SparkSession, raw_base: str, metrics_base: str, **how) -> dict[str, str]:
+    """Read the landed tables and replace all metric tables."""
+    items = read_raw(spark, raw_base, "order_items_raw")
+    options = read_raw(spark, raw_base, "order_item_options_raw")
+    return land_tables(metric_tables(items, options, **how), metrics_base)
