@@ -1,0 +1,120 @@
+"""The scalable forms against Spark's built-in windows, on random data with NULLs, ties and hot keys."""
+
+import random
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+import golden
+import pytest
+from pyspark.sql import Window, functions as F
+
+from plateful.operators import facts, gaps, ranking
+from plateful.plans import customers, pipeline
+from plateful.plans.staging import lazy
+
+START = datetime(2024, 1, 1)
+
+
+def random_tables(spark, seed, n=600):
+    """A third of all lines belong to the blank user, many at the same instant."""
+    rnd = random.Random(seed)
+    items, options = [], []
+    for i in range(n):
+        hot = rnd.random() < 0.34
+        user = "" if hot else rnd.choice([None, "u1", "u2", *[f"c{k}" for k in range(60)]])
+        time = rnd.choice([None, START, START + timedelta(minutes=rnd.randrange(0, 90 * 24 * 60, 7))])
+        price = rnd.choice([None, "0.00", "1.10", "2.35", "19.99", "1500.00", "99999.99"])
+        items.append((user, f"o{rnd.randrange(n // 3)}", time, f"l{rnd.randrange(n)}", price, rnd.randrange(0, 4),
+                      rnd.choice([True, False]), rnd.choice(["Food", "Drink", None]), f"r{rnd.randrange(5)}"))
+        if rnd.random() < 0.7:
+            options.append((f"o{rnd.randrange(n // 3)}", f"l{rnd.randrange(int(n * 1.2))}",
+                            rnd.choice(["0.50", "-1.25", "3.00", None]), rnd.randrange(0, 3)))
+    return golden.items(spark, items), golden.options(spark, options)
+
+
+def values(spark, numbers, dtype):
+    rows = [(i, n) for i, n in enumerate(numbers)]
+    return spark.createDataFrame(rows, f"id int, v {dtype}")
+
+
+CASES = {
+    "one row": ([Decimal("5")], "decimal(33,2)"),
+    "only nulls": ([None, None, None], "decimal(33,2)"),
+    "one null": ([Decimal("1"), None], "decimal(38,2)"),
+    "all the same": ([3] * 10, "bigint"),
+    "hot value and nulls": ([None] * 3 + [0] * 40 + list(range(-5, 30)), "int"),
+    "many buckets": ([Decimal(k * 777) + Decimal(k % 7) / 100 for k in range(-300, 300)]
+                     + [Decimal(-999), Decimal("999.99"), Decimal("1000.00"), Decimal(10 ** 15), None],
+                     "decimal(33,2)"),
+    "large counts": ([k * 99_999 for k in range(200)] + [None] * 5, "bigint"),
+}
+
+
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize("case", CASES)
+def test_percent_rank_and_tiers_equal_the_global_window(spark, case, descending):
+    df = values(spark, *CASES[case])
+    order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
+    steps = ((0.2, 5), (0.4, 4), (0.6, 3), (0.8, 2))
+    chain = F.lit(1)
+    for limit, label in reversed(steps):
+        chain = F.when(F.col("p") <= limit, label).otherwise(chain)
+    want = df.withColumn("p", F.percent_rank().over(Window.orderBy(order))).select("id", "p", chain.alias("t"))
+    ranked = ranking.with_percent_rank(df, "v", descending, "p")
+    assert golden.rows_of(ranked.select("id", "p")) == golden.rows_of(want.select("id", "p"))
+    tiers = df.select("id", ranking.tier(df, "v", descending, steps, 1).alias("t"))
+    assert golden.rows_of(tiers) == golden.rows_of(want.select("id", "t"))
+
+
+def test_percent_rank_rejects_values_without_a_bucket_bound(spark):
+    with pytest.raises(TypeError):
+        ranking.value_ranks(values(spark, [1.5], "double"), "v", True)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_order_gaps_equal_the_lag_window(spark, seed):
+    orders = facts.order_summary(random_tables(spark, seed)[0]).cache()
+    by_user = Window.partitionBy("user_id").orderBy("creation_time_utc", "order_id")
+    prev = F.lag("creation_time_utc").over(by_user)
+    want = orders.select("*", prev.alias("p")).select("*", F.datediff("creation_time_utc", "p"))
+    assert golden.rows_of(gaps.order_gaps(orders)) == golden.rows_of(want)
+    assert gaps.order_gaps(orders).count() == orders.count()
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_average_gap_equals_the_mean_of_the_gaps(spark, seed):
+    orders = facts.order_summary(random_tables(spark, seed)[0]).cache()
+    mean = F.coalesce(F.round(F.avg("days_between_orders"), 1), F.lit(0.0))
+    want = gaps.order_gaps(orders).groupBy("user_id").agg(mean)
+    got = customers.customer_activity(orders).select("user_id", "avg_days_between_orders")
+    assert golden.rows_of(got) == golden.rows_of(want)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_customer_spend_equals_joined_sums(spark, seed):
+    """One pass over the lines gives what separate item and option sums, joined by user, give."""
+    items, options = random_tables(spark, seed)
+    item_spend = items.groupBy("user_id").agg(F.sum(F.col("item_price") * F.col("item_quantity")).alias("i"))
+    option_spend = (facts.options_with_user(items, options).groupBy("user_id")
+                    .agg(F.sum("option_line_revenue").alias("o")))
+    want = item_spend.join(option_spend, "user_id", "left").na.fill(0, ["o"])
+    assert golden.rows_of(facts.customer_spend(items, options)) == golden.rows_of(want)
+
+
+def test_totals_are_preserved(spark):
+    items, options = random_tables(spark, 6)
+    tables = pipeline.metric_tables(items, options, stage=lazy)
+    total = items.agg(F.sum(F.col("item_price") * F.col("item_quantity"))).first()[0]
+    assert tables["sales_trends"].agg(F.sum("total_revenue")).first()[0] == total
+    assert tables["location_performance"].agg(F.sum("total_revenue")).first()[0] == total
+    assert tables["discount_effectiveness"].agg(F.sum("total_revenue_generated")).first()[0] == total
+    spend = facts.customer_spend(items, options).filter("total_item_spend is not null").agg(
+        F.sum("total_item_spend") + F.sum("total_option_spend")).first()[0]
+    assert tables["customer_lifetime_value"].agg(F.sum("customer_lifetime_value")).first()[0] == spend
+
+
+def test_metrics_do_not_depend_on_input_partitions(spark):
+    items, options = random_tables(spark, 7, n=300)
+    once = {k: golden.rows_of(v) for k, v in pipeline.metric_tables(items, options, stage=lazy).items()}
+    moved = pipeline.metric_tables(items.repartition(13, "item_price"), options.repartition(5), stage=lazy)
+    assert {k: golden.rows_of(v) for k, v in moved.items()} == once
