@@ -1,15 +1,12 @@
 """Calendar parts of the order time."""
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
-def sales_calendar(time: str = "creation_time_utc") -> list[Column]:
-    """Date, calendar year and month, ISO week, and hour."""
-    t = F.col(time)
-    return [
-        F.to_date(t).alias("sales_date"),
-        F.year(t).alias("sales_year"),
-        F.month(t).alias("sales_month"),
-        F.weekofyear(t).alias("sales_week"),
-        F.hour(t).alias("sales_hour"),
-    ]
+def with_calendar(df: DataFrame, day: str = "sales_date") -> DataFrame:
+    """Add calendar year and month, and ISO week, of a date column."""
+    return df.withColumns({
+        "sales_year": F.year(day),
+        "sales_month": F.month(day),
+        "sales_week": F.weekofyear(day),
+    })

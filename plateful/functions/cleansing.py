@@ -30,14 +30,14 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def parse_decimal(text: Column, strict: bool = False) -> Column:
-    return _number(text, text.try_cast("decimal(10,2)"), strict)
+    return _number(text, text.try_cast("decimal(10,2)"), "decimal(10,2)", strict)
 
 
 def parse_integer(text: Column, strict: bool = False) -> Column:
     """Whole number; a fraction is rounded half up."""
-    return _number(text, text.try_cast("decimal(20,0)").try_cast("int"), strict)
+    return _number(text, text.try_cast("decimal(20,0)").try_cast("int"), "int", strict)
 
 
-def _number(text, parsed, strict):
+def _number(text, parsed, dtype, strict):
     # Lenient loads turn unreadable numbers into 0, strict ones into NULL.
-    return parsed if strict else F.when(text.isNotNull(), F.coalesce(parsed, F.lit(0).cast("int")))
+    return parsed if strict else F.when(text.isNotNull(), F.coalesce(parsed, F.lit(0).cast(dtype)))

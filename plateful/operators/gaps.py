@@ -2,6 +2,9 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+# A missing user is a customer of its own, so users are matched by text and by absence.
+USER = ["user_text", "no_user"]
+
 
 def average_gap(first_time, last_time, n_times):
     """Mean day gap from the ends of the series: consecutive day differences add up to the span."""
@@ -14,30 +17,25 @@ def order_gaps(orders: DataFrame) -> DataFrame:
     Orders of one user at the same instant follow each other by order id. A user may own a
     large part of all orders, so no window spans all rows of a user: instants are linked
     inside one hour (at most 3600 rows), and the first instant of an hour is linked to the
-    last one of the user's preceding active hour (one row per hour).
+    last one of the user's preceding active hour (one row per hour). ``orders`` is read
+    several times and is best a written table.
     """
-    dated = orders.filter(F.col("creation_time_utc").isNotNull())
-    instants = (dated.groupBy("user_id", "creation_time_utc")
+    keyed = orders.withColumns({"user_text": F.coalesce("user_id", F.lit("")),
+                                "no_user": F.isnull("user_id"), "instant": F.col("creation_time_utc")})
+    instants = (keyed.filter(F.col("instant").isNotNull()).groupBy(*USER, "instant")
                 .agg(F.min(F.struct("order_id")).alias("first_order"))
-                .withColumn("active_hour", F.struct(F.to_date("creation_time_utc").alias("day"),
-                                                     F.hour("creation_time_utc").alias("hour"))))
-
-    in_hour = Window.partitionBy("user_id", "active_hour").orderBy("creation_time_utc")
-    by_hour = Window.partitionBy("user_id").orderBy("active_hour")
-    hours = (instants.groupBy("user_id", "active_hour").agg(F.max("creation_time_utc").alias("last_in_hour"))
-             .select(F.col("user_id").alias("hour_user"), F.col("active_hour").alias("hour_key"),
-                     F.lag("last_in_hour").over(by_hour).alias("before_hour")))
-    linked = (instants.withColumn("in_hour_prev", F.lag("creation_time_utc").over(in_hour))
-              .join(hours, F.col("user_id").eqNullSafe(F.col("hour_user"))
-                    & (F.col("active_hour") == F.col("hour_key")))
-              .select(F.col("user_id").alias("instant_user"), F.col("creation_time_utc").alias("instant"),
-                      "first_order", F.coalesce("in_hour_prev", "before_hour").alias("prev_instant")))
+                .withColumn("active_hour", F.struct(F.to_date("instant").alias("day"),
+                                                    F.hour("instant").alias("hour"))))
+    in_hour = Window.partitionBy(*USER, "active_hour").orderBy("instant")
+    by_hour = Window.partitionBy(*USER).orderBy("active_hour")
+    hours = (instants.groupBy(*USER, "active_hour").agg(F.max("instant").alias("last_in_hour"))
+             .select(*USER, "active_hour", F.lag("last_in_hour").over(by_hour).alias("before_hour")))
+    linked = (instants.withColumn("before", F.lag("instant").over(in_hour))
+              .join(hours, [*USER, "active_hour"])
+              .select(*USER, "instant", "first_order", F.coalesce("before", "before_hour").alias("prev_instant")))
 
     is_first = F.struct("order_id").eqNullSafe(F.col("first_order"))
-    prev = F.when(F.col("instant").isNotNull(),
-                  F.when(is_first, F.col("prev_instant")).otherwise(F.col("creation_time_utc")))
-    return (orders.join(linked, F.col("user_id").eqNullSafe(F.col("instant_user"))
-                        & (F.col("creation_time_utc") == F.col("instant")), "left")
-            .withColumn("prev_order_time", prev)
+    return (keyed.join(linked, [*USER, "instant"], "left")
+            .withColumn("prev_order_time", F.when(is_first, F.col("prev_instant")).otherwise(F.col("instant")))
             .select(*orders.columns, "prev_order_time",
                     F.datediff("creation_time_utc", "prev_order_time").alias("days_between_orders")))

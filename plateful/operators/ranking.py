@@ -7,74 +7,102 @@ one task. That list is short: k buckets need values whose absolute sum is at lea
 ``width * k**2 / 4``, so total revenue of 10**14 allows fewer than a million buckets.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 BUCKET_VALUES = 100_000
 
 
-def value_ranks(df: DataFrame, column: str, descending: bool) -> DataFrame:
-    """One row per distinct value: value, n_rows, rows_ahead, percent_rank.
+class Tier(NamedTuple):
+    """A label by percent rank of ``column``: the first step ``(limit, label)`` that fits.
 
     NULL is ranked last when descending and first when ascending.
     """
-    per_value = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
-    per_value = per_value.withColumn(
-        "bucket", F.floor(F.col("value") / _bucket_width(df.schema[column].dataType)))
-
-    ahead = (Window.unboundedPreceding, -1)
-    in_bucket = Window.partitionBy("bucket").orderBy(_ranked("value", descending)).rowsBetween(*ahead)
-    all_buckets = Window.orderBy(_ranked("bucket", descending))
-    everything = all_buckets.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    buckets = (per_value.groupBy("bucket").agg(F.sum("n_rows").alias("bucket_rows"))
-               .select(F.col("bucket").alias("bucket_key"),
-                       F.sum("bucket_rows").over(all_buckets.rowsBetween(*ahead)).alias("rows_before"),
-                       F.sum("bucket_rows").over(everything).alias("total_rows")))
-
-    rows_ahead = (F.coalesce(F.sum("n_rows").over(in_bucket), F.lit(0))
-                  + F.coalesce("rows_before", F.lit(0)))
-    share = F.when(F.col("total_rows") > 1, F.col("rows_ahead") / (F.col("total_rows") - 1)).otherwise(0.0)
-    return (per_value.join(buckets, F.col("bucket").eqNullSafe(F.col("bucket_key")))
-            .withColumn("rows_ahead", rows_ahead)
-            .select("value", "n_rows", "rows_ahead", share.alias("percent_rank")))
+
+    column: str
+    descending: bool
+    steps: tuple = ()
+    otherwise: object = None
+
+
+def value_ranks(df: DataFrame, tiers: list[Tier]) -> DataFrame:
+    """One row per ranked column and distinct value: column_name, value, n_rows, percent_rank.
+
+    All columns are ranked in the same pass over ``df``. Values come back as decimals.
+    """
+    scale = max(_scale(df.schema[t.column].dataType) for t in tiers)
+    width = max(1, BUCKET_VALUES // 10 ** scale)
+    entries = ", ".join(
+        f"struct('{t.column}' AS column_name, CAST(`{t.column}` AS decimal(38,{scale})) AS value,"
+        f" `{t.column}` IS {'' if t.descending else 'NOT '}NULL AS place,"
+        f" {-1 if t.descending else 1} AS direction)" for t in tiers)
+    per_value = (df.selectExpr(f"inline(array({entries}))")
+                 .groupBy("column_name", "place", "direction", "value")
+                 .agg(F.expr("count(*) AS n_rows"))
+                 .selectExpr("*", f"floor(value / {width}) * direction AS bucket"))
+    keys = ["column_name", "place", "bucket"]
+    buckets = (per_value.groupBy(*keys).agg(F.expr("sum(n_rows) AS bucket_rows"))
+               .selectExpr(*keys, "sum(bucket_rows) OVER (PARTITION BY column_name) AS total_rows",
+                           """sum(bucket_rows) OVER (PARTITION BY column_name ORDER BY place, bucket
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS rows_before"""))
+    in_bucket = """sum(n_rows) OVER (PARTITION BY column_name, place, bucket ORDER BY value * direction
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS rows_in_bucket"""
+    same_bucket = F.expr("v.column_name = b.column_name AND v.place = b.place AND v.bucket <=> b.bucket")
+    rows_ahead = "(coalesce(rows_in_bucket, 0) + coalesce(rows_before, 0))"
+    return (per_value.selectExpr("*", in_bucket).alias("v").join(buckets.alias("b"), same_bucket)
+            .selectExpr("v.column_name", "v.value", "v.n_rows",
+                        f"if(total_rows > 1, {rows_ahead} / (total_rows - 1), 0D) AS percent_rank"))
 
 
 def with_percent_rank(df: DataFrame, column: str, descending: bool,
                       name: str = "percent_rank") -> DataFrame:
     """Add the percent rank of every row."""
-    ranks = value_ranks(df, column, descending).select("value", F.col("percent_rank").alias(name))
-    return df.join(ranks, F.col(column).eqNullSafe(F.col("value"))).drop("value")
+    ranks = value_ranks(df, [Tier(column, descending)]).select(
+        F.col("value").cast(df.schema[column].dataType).alias("_value"), F.col("percent_rank").alias(name))
+    return df.join(ranks, F.col(column).eqNullSafe(F.col("_value"))).drop("_value")
 
 
-def tier(df: DataFrame, column: str, descending: bool, steps, otherwise) -> Column:
-    """Column that labels rows of ``df`` by percent rank, first step ``(limit, label)`` that fits.
+def with_tiers(df: DataFrame, tiers: dict[str, Tier]) -> DataFrame:
+    """Add one label column per entry of ``tiers``.
 
     Percent rank moves in one direction with the value, so each limit is one cut-off value.
-    The cut-offs are a single-row subquery and the rows themselves are not shuffled.
+    All cut-offs are a single-row subquery and the rows themselves are not shuffled.
     """
-    ranks = value_ranks(df, column, descending)
-    worst = F.min if descending else F.max
-    cuts = [worst(F.when(F.col("percent_rank") <= limit, F.col("value"))).alias(f"cut{i}")
-            for i, (limit, _) in enumerate(steps)]
-    null_rank = F.max(F.when(F.col("value").isNull(), F.col("percent_rank"))).alias("null_rank")
-    bounds = ranks.agg(F.struct(*cuts, null_rank).alias("bounds")).scalar()
+    ranks = value_ranks(df, list(tiers.values()))
+    cuts = ", ".join(_cuts(name, t) for name, t in tiers.items())
+    bounds = ranks.agg(F.expr(f"struct({cuts})")).scalar()
+    labels = [f"{_label(name, t)} AS `{name}`" for name, t in tiers.items()]
+    return df.withColumn("_cuts", bounds).selectExpr("*", *labels).drop("_cuts")
+
+
+def _cuts(name, tier):
+    """The worst value inside each limit, and the rank that NULL has."""
+    own = f"column_name = '{tier.column}'"
+    worst = "min" if tier.descending else "max"
+    cuts = [f"{worst}(value) FILTER (WHERE {own} AND percent_rank <= {limit}D) AS `{name}_{i}`"
+            for i, (limit, _) in enumerate(tier.steps)]
+    return ", ".join([*cuts, f"max(percent_rank) FILTER (WHERE {own} AND value IS NULL) AS `{name}_null`"])
+
 
-    value = F.col(column)
-    known = F.lit(otherwise)
-    unknown = F.lit(otherwise)
-    for i, (limit, label) in reversed(list(enumerate(steps))):
-        cut = bounds.getField(f"cut{i}")
-        known = F.when(value >= cut if descending else value <= cut, label).otherwise(known)
-        unknown = F.when(bounds.getField("null_rank") <= limit, label).otherwise(unknown)
-    return F.when(value.isNull(), unknown).otherwise(known)
+def _label(name, tier):
+    better = ">=" if tier.descending else "<="
+    known = " ".join(f"WHEN `{tier.column}` {better} _cuts.`{name}_{i}` THEN {_literal(label)}"
+                     for i, (_, label) in enumerate(tier.steps))
+    unknown = " ".join(f"WHEN _cuts.`{name}_null` <= {limit}D THEN {_literal(label)}"
+                       for limit, label in tier.steps)
+    last = _literal(tier.otherwise)
+    return (f"CASE WHEN `{tier.column}` IS NULL THEN CASE {unknown} ELSE {last} END"
+            f" {known} ELSE {last} END")
 
 
-def _ranked(column, descending):
-    return F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_first()
+def _literal(label):
+    return f"'{label}'" if isinstance(label, str) else str(label)
 
 
-def _bucket_width(dtype):
+def _scale(dtype):
     if isinstance(dtype, T.DecimalType):
-        return F.lit(max(1, BUCKET_VALUES // 10 ** dtype.scale))
+        return dtype.scale
     if isinstance(dtype, T.IntegralType):
-        return F.lit(BUCKET_VALUES)
+        return 0
     raise TypeError(f"percent rank needs a whole or decimal number, not {dtype.simpleString()}")

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plateful import schemas
 from plateful.operators.facts import customer_spend, order_summary
 from plateful.operators.gaps import average_gap
-from plateful.operators.ranking import tier
+from plateful.operators.ranking import Tier, with_tiers
 from plateful.plans.staging import staged
 
 
@@ -22,8 +22,8 @@ def customer_values(items: DataFrame, options: DataFrame) -> DataFrame:
 
 
 def with_clv_segment(values: DataFrame) -> DataFrame:
-    return values.withColumn("clv_segment", tier(
-        values, "customer_lifetime_value", True, schemas.CLV_TIERS, schemas.CLV_LAST_TIER))
+    return with_tiers(values, {"clv_segment": Tier(
+        "customer_lifetime_value", True, schemas.CLV_TIERS, schemas.CLV_LAST_TIER)})
 
 
 def customer_lifetime_value(items: DataFrame, options: DataFrame, *, exclude_anonymous=False,
@@ -54,9 +54,10 @@ def with_recency(activity: DataFrame, as_of: Column | None = None) -> DataFrame:
 def with_rfm_scores(rfm: DataFrame) -> DataFrame:
     """Scores 5 (best fifth) to 1. A missing recency ranks first, missing money last."""
     steps, last = schemas.RFM_SCORES, schemas.RFM_LAST_SCORE
-    return (rfm.withColumn("r_score", tier(rfm, "recency_days", False, steps, last))
-            .withColumn("f_score", tier(rfm, "frequency_total", True, steps, last))
-            .withColumn("m_score", tier(rfm, "monetary_total", True, steps, last)))
+    return with_tiers(rfm, {
+        "r_score": Tier("recency_days", False, steps, last),
+        "f_score": Tier("frequency_total", True, steps, last),
+        "m_score": Tier("monetary_total", True, steps, last)})
 
 
 def rfm_segment() -> Column:

@@ -2,16 +2,23 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from plateful.functions.calendar import sales_calendar
+from plateful.functions.calendar import with_calendar
 from plateful.functions.money import item_revenue
 from plateful.operators.facts import order_summary, with_discount_flag
 
 
 def sales_trends(items: DataFrame) -> DataFrame:
-    """Revenue and orders per date, hour and category. Orders do not add up over categories."""
-    return (items.groupBy(*sales_calendar(), "item_category")
-            .agg(F.round(F.sum(item_revenue()), 2).alias("total_revenue"),
-                 F.countDistinct("order_id").alias("total_orders")))
+    """Revenue and orders per date, hour and category. Orders do not add up over categories.
+
+    Year, month and week follow from the date, so they are added to the aggregated rows.
+    """
+    time = F.col("creation_time_utc")
+    cells = (items.groupBy(F.to_date(time).alias("sales_date"), F.hour(time).alias("sales_hour"), "item_category")
+             .agg(F.round(F.sum(item_revenue()), 2).alias("total_revenue"),
+                  F.countDistinct("order_id").alias("total_orders")))
+    return with_calendar(cells).select(
+        "sales_date", "sales_year", "sales_month", "sales_week", "sales_hour", "item_category",
+        "total_revenue", "total_orders")
 
 
 def loyalty_impact(items: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from plateful.functions import cleansing
 from plateful.operators import audit, facts, gaps, keys, ranking
 from plateful.plans import customers, extensions, sales, views
+from plateful.plans.staging import staged
 from plateful.sources import testdata, text
 
 SPEND = ("user_id", "lineitem_id", "item_price", "item_quantity")
@@ -148,7 +149,7 @@ def recency_baseline(spark, sf):
 
 
 def order_gaps(spark, sf):
-    return gaps.order_gaps(order_summary(spark, sf))
+    return gaps.order_gaps(staged(order_summary(spark, sf), "order_summary"))
 
 
 def customer_rfm(spark, sf):
@@ -156,8 +157,7 @@ def customer_rfm(spark, sf):
 
 
 def clv_percent_rank(spark, sf):
-    values = customers.staged(customers.customer_values(items(spark, sf, *SPEND), options(spark, sf)),
-                              "customer_values")
+    values = staged(customers.customer_values(items(spark, sf, *SPEND), options(spark, sf)), "customer_values")
     return ranking.with_percent_rank(values, "customer_lifetime_value", descending=True)
 
 

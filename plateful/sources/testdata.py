@@ -6,39 +6,48 @@ Only the tables that the asked-for columns come from are joined.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plateful import schemas
-from plateful.schemas import PRICE
 
-LOYAL_SEGMENTS = ("BUILDING", "HOUSEHOLD")
-PROMO_DISCOUNT = 0.09
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def line_key(*columns):
-    return F.concat_ws("-", *columns)
+TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+                " l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_type string, p_retailprice double",
+}
 
 
-def _item_columns():
-    price = F.col("p_retailprice").cast(PRICE)
-    return {
-        "app_name": ("orders", F.col("o_orderpriority")),
-        "restaurant_id": ("lineitem", F.col("l_suppkey").cast("string")),
-        "creation_time_utc": ("orders", F.col("o_orderdate") + F.make_dt_interval(
-            hours=(F.col("o_orderkey") % 24).cast("int"))),
-        "order_id": ("lineitem", F.col("l_orderkey").cast("string")),
-        "user_id": ("orders", F.col("o_custkey").cast("string")),
-        "printed_card_number": ("lineitem", F.lit(None).cast("string")),
-        "is_loyalty": ("customer", F.col("c_mktsegment").isin(*LOYAL_SEGMENTS)),
-        "currency": ("lineitem", F.lit("USD")),
-        "lineitem_id": ("lineitem", line_key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")),
-        "item_category": ("part", F.col("p_type")),
-        "item_name": ("part", F.col("p_name")),
-        "item_price": ("part", price),
-        "item_quantity": ("lineitem", F.col("l_quantity").cast("int")),
-    }
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
+# Raw column: the table it needs and its expression.
+ITEM_COLUMNS = {
+    "app_name": ("orders", "o_orderpriority"),
+    "restaurant_id": ("lineitem", "CAST(l_suppkey AS string)"),
+    "creation_time_utc": ("orders", "o_orderdate + make_dt_interval(0, CAST(o_orderkey % 24 AS int))"),
+    "order_id": ("lineitem", "CAST(l_orderkey AS string)"),
+    "user_id": ("orders", "CAST(o_custkey AS string)"),
+    "printed_card_number": ("lineitem", "CAST(NULL AS string)"),
+    "is_loyalty": ("customer", "c_mktsegment IN ('BUILDING', 'HOUSEHOLD')"),
+    "currency": ("lineitem", "'USD'"),
+    "lineitem_id": ("lineitem", "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"),
+    "item_category": ("part", "p_type"),
+    "item_name": ("part", "p_name"),
+    "item_price": ("part", "CAST(p_retailprice AS decimal(10,2))"),
+    "item_quantity": ("lineitem", "CAST(l_quantity AS int)"),
+}
+
+# An add-on per taxed line, a promotion per line with at least 9 % discount.
+OPTION_ROWS = """inline(array_compact(array(
+    if(l_tax > 0, struct('addon' AS option_group_name, 'tax' AS option_name,
+        CAST(round(price * CAST(l_tax AS decimal(4,2)), 2) AS decimal(10,2)) AS option_price,
+        l_linenumber AS option_quantity), NULL),
+    if(l_discount >= 0.09D, struct('promo' AS option_group_name, 'discount' AS option_name,
+        CAST(-round(price * CAST(l_discount AS decimal(4,2)), 2) AS decimal(10,2)) AS option_price,
+        1 AS option_quantity), NULL))))"""
 
 
 def joined_lines(spark, sf_dir, tables) -> DataFrame:
@@ -58,28 +67,16 @@ def joined_lines(spark, sf_dir, tables) -> DataFrame:
 
 def order_items(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The raw order items, all columns or the named ones."""
-    known = _item_columns()
     columns = columns or schemas.ORDER_ITEMS.names
-    lines = joined_lines(spark, sf_dir, {known[c][0] for c in columns})
-    return lines.select(*[known[c][1].alias(c) for c in columns])
+    lines = joined_lines(spark, sf_dir, {ITEM_COLUMNS[c][0] for c in columns})
+    return lines.selectExpr(*[f"{ITEM_COLUMNS[c][1]} AS {c}" for c in columns])
 
 
 def order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Taxed lines as add-ons and well-discounted lines as promotions, without the id."""
-    price = F.col("p_retailprice").cast(PRICE)
-
-    def option(group, name, share, quantity, sign=1):
-        amount = F.round(price * F.col(share).cast("decimal(4,2)"), 2) * sign
-        return F.struct(F.lit(group).alias("option_group_name"), F.lit(name).alias("option_name"),
-                        amount.cast(PRICE).alias("option_price"), quantity.alias("option_quantity"))
-
-    addon = F.when(F.col("l_tax") > 0, option("addon", "tax", "l_tax", F.col("l_linenumber")))
-    promo = F.when(F.col("l_discount") >= PROMO_DISCOUNT,
-                   option("promo", "discount", "l_discount", F.lit(1), -1))
-    items = _item_columns()
-    return (joined_lines(spark, sf_dir, {"part"})
-            .select(items["order_id"][1].alias("order_id"), items["lineitem_id"][1].alias("lineitem_id"),
-                    F.inline(F.array_compact(F.array(addon, promo)))))
+    """The raw options without the generated id."""
+    keys = [f"{ITEM_COLUMNS[c][1]} AS {c}" for c in ("order_id", "lineitem_id")]
+    priced = joined_lines(spark, sf_dir, {"part"}).selectExpr("*", f"{ITEM_COLUMNS['item_price'][1]} AS price")
+    return priced.selectExpr(*keys, OPTION_ROWS)
 
 
 def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,20 +124,21 @@ def date_dim_text(spark, sf_dir) -> DataFrame:
 
 def order_items_text(spark, sf_dir, line_parts=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")):
     """Order items as text; ``line_parts`` form the line id, fewer parts make it repeat."""
-    key, part, known = F.col("l_orderkey"), F.col("l_partkey"), _item_columns()
+    key, part = F.col("l_orderkey"), F.col("l_partkey")
+    known = {name: F.expr(text) for name, (_, text) in ITEM_COLUMNS.items()}
     lines = joined_lines(spark, sf_dir, {"orders", "customer", "part"})
-    time = F.concat(F.replace(known["creation_time_utc"][1].cast("string"), F.lit(" "), F.lit("T")),
+    time = F.concat(F.replace(known["creation_time_utc"].cast("string"), F.lit(" "), F.lit("T")),
                     F.lit(".250Z"))
     plain = ["app_name", "restaurant_id", "order_id", "printed_card_number", "currency",
              "item_category", "item_name"]
     return lines.select(
-        *[known[c][1].alias(c) for c in plain],
+        *[known[c].alias(c) for c in plain],
         F.when(key % 89 == 0, "bad").otherwise(time).alias("creation_time_utc"),
-        F.when(F.col("o_custkey") % 20 == 0, None).otherwise(known["user_id"][1]).alias("user_id"),
-        flag_text(known["is_loyalty"][1], key).alias("is_loyalty"),
-        line_key(*line_parts).alias("lineitem_id"),
-        F.when(part % 53 == 0, "").otherwise(known["item_price"][1].cast("string")).alias("item_price"),
-        F.when(part % 59 == 0, "x").otherwise(known["item_quantity"][1].cast("string")).alias("item_quantity"),
+        F.when(F.col("o_custkey") % 20 == 0, None).otherwise(known["user_id"]).alias("user_id"),
+        flag_text(known["is_loyalty"], key).alias("is_loyalty"),
+        F.concat_ws("-", *line_parts).alias("lineitem_id"),
+        F.when(part % 53 == 0, "").otherwise(known["item_price"].cast("string")).alias("item_price"),
+        F.when(part % 59 == 0, "x").otherwise(known["item_quantity"].cast("string")).alias("item_quantity"),
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
 
 

@@ -1,5 +1,7 @@
 """Metrics on the golden fixture, value by value."""
 
+from datetime import datetime
+
 import golden
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -55,8 +57,8 @@ def test_sales_trends(tables):
 
 
 def test_week_is_iso_and_year_is_calendar(spark):
-    from plateful.functions.calendar import sales_calendar
-    row = spark.sql("SELECT timestamp_ntz'2024-12-30 23:59:59' AS creation_time_utc").select(*sales_calendar()).first()
+    late = golden.items(spark, [("u", "o", datetime(2024, 12, 30, 23, 59, 59), "l", "1.00", 1, True, "Food", "r")])
+    row = sales.sales_trends(late).first()
     assert (row.sales_year, row.sales_month, row.sales_week, row.sales_hour) == (2024, 12, 1, 23)
 
 

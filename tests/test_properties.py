@@ -62,13 +62,13 @@ def test_percent_rank_and_tiers_equal_the_global_window(spark, case, descending)
     want = df.withColumn("p", F.percent_rank().over(Window.orderBy(order))).select("id", "p", chain.alias("t"))
     ranked = ranking.with_percent_rank(df, "v", descending, "p")
     assert golden.rows_of(ranked.select("id", "p")) == golden.rows_of(want.select("id", "p"))
-    tiers = df.select("id", ranking.tier(df, "v", descending, steps, 1).alias("t"))
-    assert golden.rows_of(tiers) == golden.rows_of(want.select("id", "t"))
+    tiers = ranking.with_tiers(df, {"t": ranking.Tier("v", descending, steps, 1)})
+    assert golden.rows_of(tiers.select("id", "t")) == golden.rows_of(want.select("id", "t"))
 
 
 def test_percent_rank_rejects_values_without_a_bucket_bound(spark):
     with pytest.raises(TypeError):
-        ranking.value_ranks(values(spark, [1.5], "double"), "v", True)
+        ranking.value_ranks(values(spark, [1.5], "double"), [ranking.Tier("v", True)])
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
