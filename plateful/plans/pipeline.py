@@ -5,16 +5,16 @@ from pyspark.sql import DataFrame, SparkSession
 from plateful import schemas
 from plateful.operators.facts import order_summary
 from plateful.plans import customers, sales
-from plateful.plans.staging import staged
+from plateful.plans.staging import StagingArea, staged
 from plateful.sinks.tables import land_tables
 from plateful.sources.jdbc import read_jdbc
 from plateful.sources.tables import read_raw
-from plateful.sources.text import LOADERS
+from plateful.sources.text import load_text
 
 
 def land_text(spark: SparkSession, paths: dict[str, str], raw_base: str, **how) -> dict[str, str]:
     """Clean the named text files and replace their landed tables."""
-    return land_tables({table: LOADERS[table](spark, path, **how) for table, path in paths.items()}, raw_base)
+    return land_tables({table: load_text(spark, path, table, **how) for table, path in paths.items()}, raw_base)
 
 
 def land_jdbc(spark: SparkSession, url: str, properties: dict, raw_base: str, *, partitions: int = 1,
@@ -44,4 +44,5 @@ def run_metrics(spark: SparkSession, raw_base: str, metrics_base: str, **how) ->
     """Read the landed tables and replace all metric tables."""
     items = read_raw(spark, raw_base, "order_items_raw")
     options = read_raw(spark, raw_base, "order_item_options_raw")
-    return land_tables(metric_tables(items, options, **how), metrics_base)
+    with StagingArea(spark) as area:
+        return land_tables(metric_tables(items, options, stage=area.staged, **how), metrics_base)

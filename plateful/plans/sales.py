@@ -45,7 +45,14 @@ def discount_effectiveness(items: DataFrame, options: DataFrame, *,
     """Discounted against full-price orders, on item revenue before discounts."""
     if orders is None:
         orders = order_summary(items)
-    return with_discount_flag(orders, options).groupBy("is_discounted").agg(
-        F.count("order_id").alias("total_orders"),
-        F.round(F.sum("order_total_revenue"), 2).cast("decimal(38,2)").alias("total_revenue_generated"),
-        F.round(F.avg("order_total_revenue"), 2).alias("average_basket_value"))
+    # One row per order id before the join, so no order id is hot in it. Sums and counts of
+    # these rows give the average over the order summary.
+    per_order = orders.groupBy("order_id").agg(
+        F.count("order_id").alias("n_orders"),
+        F.sum("order_total_revenue").alias("revenue"),
+        F.count("order_total_revenue").alias("n_revenues"))
+    revenue = F.sum("revenue").cast("decimal(38,2)")
+    return with_discount_flag(per_order, options).groupBy("is_discounted").agg(
+        F.sum("n_orders").alias("total_orders"),
+        F.round(revenue, 2).cast("decimal(38,2)").alias("total_revenue_generated"),
+        F.round(F.try_divide(revenue, F.sum("n_revenues")), 2).cast("decimal(32,2)").alias("average_basket_value"))

@@ -24,13 +24,33 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` under the checkpoint folder and return the written table."""
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/plateful/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write ``df`` under the checkpoint folder and return the written table.
+
+    Like Spark's own checkpoints the table stays until the folder is cleaned.
+    """
+    return StagingArea(df.sparkSession).staged(df, label)
 
 
 def lazy(df: DataFrame, label: str) -> DataFrame:
     """Keep ``df`` as a plan; Spark recomputes it for each use it cannot share."""
     return df
+
+
+class StagingArea:
+    """Staged tables of one run, removed together when the ``with`` block ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = f"{checkpoint_root(spark)}/plateful/run-{uuid.uuid4().hex}"
+
+    def staged(self, df: DataFrame, label: str) -> DataFrame:
+        path = f"{self.path}/{label}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *failure):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

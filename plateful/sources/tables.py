@@ -7,7 +7,8 @@ from plateful import schemas
 
 def read_raw(spark: SparkSession, base: str, table: str) -> DataFrame:
     """A landed raw table with its declared schema; a missing folder raises."""
-    return spark.read.schema(schemas.RAW_TABLES[table]).parquet(f"{base.rstrip('/')}/{table}")
+    schema = schemas.RAW_TABLES[table]
+    return spark.read.schema(schema).parquet(f"{base.rstrip('/')}/{table}").select(*schema.names)
 
 
 def read_metric(spark: SparkSession, base: str, name: str) -> DataFrame:

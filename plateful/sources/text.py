@@ -11,21 +11,31 @@ from plateful.operators.keys import first_by_key, with_generated_id
 FILE_ORDER = ["_file", "_block", "_row"]
 
 
-def read_text(spark: SparkSession, path, table: str, *, escape: str = '"', multiline: bool = False) -> DataFrame:
+def text_reader(reader, table: str, escape: str = '"', multiline: bool = False):
+    """Configure a batch or stream reader for the text form of ``table``, all fields as text."""
+    return (reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in text_fields(table)]))
+            .option("header", True).option("sep", ",").option("quote", '"')
+            .option("escape", escape).option("multiLine", multiline))
+
+
+def text_fields(table: str) -> list[str]:
+    """Columns that a file holds, in file order; the option id is generated."""
+    return [name for name in schemas.RAW_TABLES[table].names if name != "id"]
+
+
+def with_file_place(raw: DataFrame) -> DataFrame:
+    return raw.select("*", F.col("_metadata.file_path").alias("_file"),
+                      F.col("_metadata.file_block_start").alias("_block"))
+
+
+def read_text(spark: SparkSession, path, table: str, **how) -> DataFrame:
     """All fields as text, by position, without the header row, plus the ``FILE_ORDER`` columns.
 
-    Quoted fields may hold commas. ``multiline`` also allows line breaks in them, at the
+    Quoted fields may hold commas. ``multiline=True`` also allows line breaks in them, at the
     price of one task per file.
     """
-    fields = [f.name for f in schemas.RAW_TABLES[table].fields if f.name != "id"]
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
-    raw = (spark.read.schema(schema)
-           .option("header", True).option("sep", ",").option("quote", '"')
-           .option("escape", escape).option("multiLine", multiline)
-           .csv(path))
-    return raw.select(*fields, F.col("_metadata.file_path").alias("_file"),
-                      F.col("_metadata.file_block_start").alias("_block"),
-                      F.monotonically_increasing_id().alias("_row"))
+    raw = with_file_place(text_reader(spark.read, table, **how).csv(path))
+    return raw.withColumn("_row", F.monotonically_increasing_id())
 
 
 def clean_date_dim(text: DataFrame, strict: bool = False) -> DataFrame:
@@ -63,23 +73,22 @@ def clean_order_item_options(text: DataFrame, strict: bool = False) -> DataFrame
     })
 
 
-def load_date_dim(spark, path, *, strict=False, **how) -> DataFrame:
-    clean = clean_date_dim(read_text(spark, path, "date_dim_raw", **how), strict)
-    return first_by_key(clean, "date_key", FILE_ORDER).select(*schemas.DATE_DIM.names)
-
-
-def load_order_items(spark, path, *, strict=False, **how) -> DataFrame:
-    clean = clean_order_items(read_text(spark, path, "order_items_raw", **how), strict)
-    return first_by_key(clean, "lineitem_id", FILE_ORDER).select(*schemas.ORDER_ITEMS.names)
+# Cleaning function and primary key per table; options get a generated key.
+RULES = {
+    "date_dim_raw": (clean_date_dim, "date_key"),
+    "order_items_raw": (clean_order_items, "lineitem_id"),
+    "order_item_options_raw": (clean_order_item_options, None),
+}
 
 
-def load_order_item_options(spark, path, *, strict=False, **how) -> DataFrame:
-    clean = clean_order_item_options(read_text(spark, path, "order_item_options_raw", **how), strict)
-    return with_generated_id(clean).select(*schemas.ORDER_ITEM_OPTIONS.names)
+def type_text(text: DataFrame, table: str, strict: bool = False) -> DataFrame:
+    """Typed rows of a text table with ``FILE_ORDER`` columns: the first row per key, or all with an id."""
+    clean, key = RULES[table]
+    typed = clean(text, strict)
+    typed = first_by_key(typed, key, FILE_ORDER) if key else with_generated_id(typed)
+    return typed.select(*schemas.RAW_TABLES[table].names)
 
 
-LOADERS = {
-    "date_dim_raw": load_date_dim,
-    "order_items_raw": load_order_items,
-    "order_item_options_raw": load_order_item_options,
-}
+def load_text(spark: SparkSession, path, table: str, *, strict: bool = False, **how) -> DataFrame:
+    """A raw table from its text files."""
+    return type_text(read_text(spark, path, table, **how), table, strict)

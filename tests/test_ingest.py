@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import golden
 import pytest
@@ -12,7 +13,7 @@ from plateful import schemas
 from plateful.functions import cleansing
 from plateful.operators import audit, keys
 from plateful.plans import pipeline
-from plateful.plans.staging import checkpoint_root, staged
+from plateful.plans.staging import StagingArea, checkpoint_root, staged
 from plateful.sinks import tables as sinks
 from plateful.sources import jdbc, tables as sources, text
 
@@ -36,7 +37,7 @@ def test_date_dim(spark, tmp_path):
                  "06-01-2024,,1,2,Dup,yes,no,Dup",
                  "07-01-2024,2024,,1,Sunday,1,x,",
                  "2024-01-08,2024,1,2,Monday,,,")
-    loaded = text.load_date_dim(spark, path)
+    loaded = text.load_text(spark, path, "date_dim_raw")
     assert loaded.schema.simpleString() == schemas.DATE_DIM.simpleString()
     assert golden.rows_of(loaded) == {
         (date(2024, 1, 1), 2024, 1, 1, "Monday", False, True, "New Year"),
@@ -50,7 +51,7 @@ def test_order_items(spark, tmp_path):
                  item_line(line="l2", time="bad", user="", loyal="x", price="", quantity="2.6"),
                  item_line(line="l1", name="again"),
                  item_line(line="l3", loyal="", price="abc", quantity=""))
-    loaded = text.load_order_items(spark, path)
+    loaded = text.load_text(spark, path, "order_items_raw")
     assert loaded.schema.simpleString() == schemas.ORDER_ITEMS.simpleString()
     rows = {r.lineitem_id: r for r in loaded.collect()}
     assert set(rows) == {"l1", "l2", "l3"}
@@ -62,7 +63,7 @@ def test_order_items(spark, tmp_path):
     assert (rows["l3"].item_price, rows["l3"].item_quantity, rows["l3"].is_loyalty) == (Decimal("0.00"), 0, False)
     assert rows["l1"].printed_card_number == ""
 
-    strict = {r.lineitem_id: r for r in text.load_order_items(spark, path, strict=True).collect()}
+    strict = {r.lineitem_id: r for r in text.load_text(spark, path, "order_items_raw", strict=True).collect()}
     assert strict["l2"].item_price is None and strict["l3"].item_quantity is None
 
     report = audit.audit_table("order_items_raw", text.read_text(spark, path, "order_items_raw"),
@@ -73,7 +74,7 @@ def test_order_items(spark, tmp_path):
 
 def test_options_follow_the_column_order_and_get_an_id(spark, tmp_path):
     path = write(tmp_path / "options.csv", "a,b,c,d,e,f", "o1,l1,Size,Large,1.50,1", "o1,l1,Promo,Ten off,-10.00,1")
-    rows = text.load_order_item_options(spark, path).orderBy("id").collect()
+    rows = text.load_text(spark, path, "order_item_options_raw").orderBy("id").collect()
     assert [(r.order_id, r.option_name, r.option_price) for r in rows] == [
         ("o1", "Large", Decimal("1.50")), ("o1", "Ten off", Decimal("-10.00"))]
     assert len({r.id for r in rows}) == 2
@@ -87,7 +88,7 @@ def test_first_row_wins_over_many_splits_and_files(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
     try:
-        rows = text.load_order_items(spark, str(tmp_path / "*.csv")).collect()
+        rows = text.load_text(spark, str(tmp_path / "*.csv"), "order_items_raw").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert {r.lineitem_id: r.item_name for r in rows} == {f"l{i}": f"a{i}" for i in range(50)}
@@ -95,7 +96,7 @@ def test_first_row_wins_over_many_splits_and_files(spark, tmp_path):
 
 def test_hot_key_is_trimmed_before_the_shuffle(spark, tmp_path):
     path = write(tmp_path / "items.csv", ITEM_HEADER, item_line())
-    plan = text.load_order_items(spark, path)._jdf.queryExecution().executedPlan().toString()
+    plan = text.load_text(spark, path, "order_items_raw")._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
 
 
@@ -191,10 +192,17 @@ def test_catalog_tables_reload_and_bucketed_joins_do_not_shuffle(spark):
 def test_staged_tables_live_in_the_session_checkpoint_folder(spark):
     kept = staged(spark.range(5), "five")
     assert kept.count() == 5
-    assert f"{checkpoint_root(spark)}/plateful/five-" in kept.inputFiles()[0]
+    assert f"{checkpoint_root(spark)}/plateful/" in kept.inputFiles()[0]
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_a_staging_area_removes_its_tables(spark):
+    with StagingArea(spark) as area:
+        assert area.staged(spark.range(5), "five").count() == 5
+        assert Path(area.path, "five").is_dir()
+    assert not Path(area.path).exists()
+
+
 def test_jdbc_reads_are_split():
     options = jdbc.jdbc_options("jdbc:x", "order_items_raw", {"user": "u"}, column="creation_time_utc",
                                 lower=datetime(2024, 1, 1), upper=datetime(2024, 2, 1), partitions=8)

@@ -39,6 +39,13 @@ def test_same_rows(spark, duck, name):
     differing = [(g, w) for g, w in zip(got, want) if g != w]
     assert not differing, differing[:5]
 
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "windowspecdefinition(specified"):
+        assert forbidden not in plan
+    # Nothing but one-row aggregates and per-task results of a limit may meet in one partition.
+    single = plan.count("Exchange SinglePartition")
+    assert single <= plan.count("HashAggregate(keys=[]") + plan.count("LocalLimit")
+
 
 def test_queries_without_sql_return_rows(spark):
     for name in sorted(set(QUERIES) - set(SQL)):
