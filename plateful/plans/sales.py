@@ -52,7 +52,8 @@ def discount_effectiveness(items: DataFrame, options: DataFrame, *,
         F.sum("order_total_revenue").alias("revenue"),
         F.count("order_total_revenue").alias("n_revenues"))
     revenue = F.sum("revenue").cast("decimal(38,2)")
+    average = F.try_divide(revenue, F.sum("n_revenues"))  # six digits, like a decimal avg
     return with_discount_flag(per_order, options).groupBy("is_discounted").agg(
         F.sum("n_orders").alias("total_orders"),
         F.round(revenue, 2).cast("decimal(38,2)").alias("total_revenue_generated"),
-        F.round(F.try_divide(revenue, F.sum("n_revenues")), 2).cast("decimal(32,2)").alias("average_basket_value"))
+        F.round(average, 2).cast("decimal(32,2)").alias("average_basket_value"))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from plateful.operators import facts, gaps, ranking
-from plateful.plans import customers, pipeline
+from plateful.plans import customers, pipeline, sales
 from plateful.plans.staging import lazy
 
 START = datetime(2024, 1, 1)
@@ -118,3 +118,25 @@ def test_metrics_do_not_depend_on_input_partitions(spark):
     once = {k: golden.rows_of(v) for k, v in pipeline.metric_tables(items, options, stage=lazy).items()}
     moved = pipeline.metric_tables(items.repartition(13, "item_price"), options.repartition(5), stage=lazy)
     assert {k: golden.rows_of(v) for k, v in moved.items()} == once
+
+
+@pytest.mark.parametrize("seed", [8, 9])
+def test_means_from_sums_and_counts_equal_the_built_in_average(spark, seed):
+    """Random prices give means that need rounding; results and types must be the average's."""
+    items, options = random_tables(spark, seed)
+    revenue = F.col("item_price") * F.col("item_quantity")
+    want = items.groupBy("is_loyalty").agg(
+        F.round(F.avg(revenue), 2).alias("a"), F.countDistinct("order_id").alias("o"),
+        F.countDistinct("user_id").alias("u"),
+        F.round(F.try_divide(F.sum(revenue), F.countDistinct("user_id")), 2).alias("s"))
+    got = sales.loyalty_impact(items)
+    assert golden.rows_of(got) == golden.rows_of(want)
+    assert [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+
+    flagged = facts.with_discount_flag(facts.order_summary(items), options)
+    want = flagged.groupBy("is_discounted").agg(
+        F.count("order_id"), F.round(F.sum("order_total_revenue"), 2).cast("decimal(38,2)"),
+        F.round(F.avg("order_total_revenue"), 2))
+    got = sales.discount_effectiveness(items, options)
+    assert golden.rows_of(got) == golden.rows_of(want)
+    assert [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
