@@ -7,6 +7,7 @@ one task. That list is short: k buckets need values whose absolute sum is at lea
 ``width * k**2 / 4``, so total revenue of 10**14 allows fewer than a million buckets.
 """
 
+from decimal import Decimal
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -32,7 +33,7 @@ def value_ranks(df: DataFrame, tiers: list[Tier]) -> DataFrame:
     All columns are ranked in the same pass over ``df``. Values come back as decimals.
     """
     scale = max(_scale(df.schema[t.column].dataType) for t in tiers)
-    width = max(1, BUCKET_VALUES // 10 ** scale)
+    width = format(Decimal(BUCKET_VALUES).scaleb(-scale), "f")
     entries = ", ".join(
         f"struct('{t.column}' AS column_name, CAST(`{t.column}` AS decimal(38,{scale})) AS value,"
         f" `{t.column}` IS {'' if t.descending else 'NOT '}NULL AS place,"

@@ -20,8 +20,13 @@ def land_text(spark: SparkSession, paths: dict[str, str], raw_base: str, **how)
 def land_jdbc(spark: SparkSession, url: str, properties: dict, raw_base: str, *, partitions: int = 1,
               tables=tuple(schemas.RAW_TABLES)) -> dict[str, str]:
     """Copy raw tables from a database into landed tables."""
-    return land_tables({t: read_jdbc(spark, url, t, properties, partitions=partitions) for t in tables},
-                       raw_base)
+    return land_tables({t: declared(read_jdbc(spark, url, t, properties, partitions=partitions), t)
+                        for t in tables}, raw_base)
+
+
+def declared(df: DataFrame, table: str) -> DataFrame:
+    """The declared columns of a raw table in their declared types."""
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schemas.RAW_TABLES[table].fields])
 
 
 def metric_tables(items: DataFrame, options: DataFrame, *, exclude_anonymous=False,

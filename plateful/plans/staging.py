@@ -5,6 +5,7 @@ read back. Later steps then scan only the columns they need, and a lost executor
 file read instead of the whole upstream job.
 """
 
+import functools
 import tempfile
 import uuid
 
@@ -18,9 +19,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.conf.get("spark.master").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="plateful-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder():
+    return tempfile.mkdtemp(prefix="plateful-")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -24,6 +24,14 @@ def land_tables(tables: dict[str, DataFrame], base: str) -> dict[str, str]:
     return {name: write_table(df, base, name) for name, df in tables.items()}
 
 
+def write_snapshot(df: DataFrame, base: str, name: str, day_column: str = "as_of_date") -> str:
+    """Add or replace the days in ``df`` and keep the other days of the table."""
+    path = f"{base.rstrip('/')}/{name}"
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(day_column).parquet(path))
+    return path
+
+
 def create_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
 

@@ -38,8 +38,9 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict, *, pa
     suits tables whose split column is uneven.
     """
     if predicates:
-        return spark.read.jdbc(url, table, predicates=predicates,
-                               properties={**properties, "preferTimestampNTZ": "true"})
+        options = jdbc_options(url, table, properties)
+        return spark.read.jdbc(options.pop("url"), options.pop("dbtable"), predicates=predicates,
+                               properties=options)
     column = column or SPLIT_COLUMNS.get(table)
     if partitions > 1 and column:
         lower, upper = split_bounds(spark, url, table, properties, column)

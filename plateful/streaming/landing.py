@@ -24,8 +24,9 @@ def land_new_files(spark: SparkSession, source: str, table: str, raw_base: str,
 
     def add(batch: DataFrame, batch_id: int) -> None:
         text = batch.withColumn("_row", F.monotonically_increasing_id())
-        rows = _unseen(type_text(text, table, strict), path, table, batch_id)
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows = type_text(text, table, strict).persist()
+        _unseen(rows, path, table, batch_id).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows.unpersist()
 
     stream = with_file_place(text_reader(spark.readStream, table, **how).csv(source))
     (stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
@@ -40,5 +41,8 @@ def _unseen(rows, path, table, batch_id):
         return rows
     landed = rows.sparkSession.read.schema(f"{key} {schemas.RAW_TABLES[table][key].dataType.simpleString()},"
                                            " batch_id bigint").parquet(path)
-    earlier = landed.filter(F.col("batch_id") < batch_id).select(key)
-    return rows.join(earlier, key, "left_anti").select(*rows.columns)
+    # The new keys are the small side: where Spark can broadcast them, the landed history is
+    # only scanned for its key and never shuffled.
+    seen = (landed.filter(F.col("batch_id") < batch_id).select(key)
+            .join(rows.select(key), key, "left_semi").distinct())
+    return rows.join(seen, key, "left_anti").select(*rows.columns)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from plateful import schemas
 from plateful.operators import facts, ranking
-from plateful.plans import customers, pipeline, sales, views
+from plateful.plans import batch, customers, sales, views
 from plateful.plans.staging import lazy, staged
 
 
@@ -108,14 +108,14 @@ def test_repeated_line_ids_count_their_options_once_per_user(spark):
 
 @pytest.mark.parametrize("name", sorted(schemas.METRICS))
 def test_output_contracts(tables, name):
-    table = pipeline.metric_tables(*tables, stage=lazy)[name]
+    table = batch.metric_tables(*tables, stage=lazy)[name]
     want = T._parse_datatype_string(schemas.METRICS[name])
     assert [(f.name, f.dataType) for f in table.schema] == [(f.name, f.dataType) for f in want]
 
 
 def test_empty_tables_give_empty_metrics_and_views(spark):
     items, options = golden.items(spark, []), golden.options(spark, [])
-    tables = pipeline.metric_tables(items, options)
+    tables = batch.metric_tables(items, options)
     assert all(t.count() == 0 for t in tables.values())
     shown = [views.segment_counts(tables["customer_segments"]), views.churn_counts(tables["customer_segments"]),
              views.customer_roster(tables["customer_segments"]),
@@ -128,7 +128,7 @@ def test_empty_tables_give_empty_metrics_and_views(spark):
 
 def test_views(tables):
     items, options = tables
-    metrics = pipeline.metric_tables(items, options)
+    metrics = batch.metric_tables(items, options)
     segments = metrics["customer_segments"]
     assert [tuple(r) for r in views.segment_counts(segments).collect()] == [("Regular Customer", 5), ("VIP", 1)]
     assert [tuple(r) for r in views.churn_counts(segments).collect()] == [("Active", 5), ("At Risk", 1)]

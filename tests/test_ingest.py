@@ -3,6 +3,7 @@
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
+from types import SimpleNamespace
 
 import golden
 import pytest
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 
 from plateful import schemas
 from plateful.functions import cleansing
-from plateful.operators import audit, keys
-from plateful.plans import pipeline
+from plateful.operators import audit, facts, keys
+from plateful.plans import batch, customers, extensions, sales
 from plateful.plans.staging import StagingArea, checkpoint_root, staged
 from plateful.sinks import tables as sinks
 from plateful.sources import jdbc, tables as sources, text
@@ -137,9 +138,9 @@ def test_text_to_metrics_end_to_end_twice(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "metrics")
     results = []
     for _ in range(2):
-        pipeline.land_text(spark, paths, raw)
+        batch.land_text(spark, paths, raw)
         assert sources.read_raw(spark, raw, "date_dim_raw").count() == 1
-        written = pipeline.run_metrics(spark, raw, out)
+        written = batch.run_metrics(spark, raw, out)
         assert set(written) == set(schemas.METRICS)
         results.append({name: golden.rows_of(sources.read_metric(spark, out, name)) for name in written})
     assert results[0] == results[1]
@@ -155,7 +156,7 @@ def test_text_to_metrics_end_to_end_twice(spark, tmp_path):
 def test_sales_trends_are_split_into_folders_that_filters_prune(spark, tmp_path):
     items = golden.items(spark)
     base = str(tmp_path)
-    sinks.land_tables({"sales_trends": pipeline.metric_tables(items, golden.options(spark))["sales_trends"]}, base)
+    sinks.land_tables({"sales_trends": batch.metric_tables(items, golden.options(spark))["sales_trends"]}, base)
     folders = sorted(str(p.relative_to(tmp_path)) for p in tmp_path.glob("sales_trends/*/*"))
     assert folders == ["sales_trends/sales_year=2023/sales_month=11", "sales_trends/sales_year=2024/sales_month=1"]
     november = sources.read_metric(spark, base, "sales_trends").filter("sales_month = 11")
@@ -163,6 +164,36 @@ def test_sales_trends_are_split_into_folders_that_filters_prune(spark, tmp_path)
     assert "PartitionFilters: [isnotnull(sales_month" in november._jdf.queryExecution().toString()
 
 
+def test_daily_values_replace_only_their_day(spark, tmp_path):
+    items, options = golden.items(spark), golden.options(spark)
+    for day in ("2023-11-18", "2024-01-02", "2024-01-02"):
+        path = sinks.write_snapshot(extensions.clv_as_of(items, options, day), str(tmp_path), "clv_by_day")
+    rows = {(str(r.as_of_date), r.user_id, r.customer_lifetime_value) for r in spark.read.parquet(path).collect()}
+    d = golden.d
+    assert rows == {("2023-11-18", "u2", d("25.00")), ("2023-11-18", "u3", d("7.00")),
+                    *{("2024-01-02", user, value) for user, value, _ in golden.CLV}}
+
+
+def test_scans_read_only_what_they_need(spark, tmp_path, capsys):
+    base = str(tmp_path)
+    sinks.land_tables({"order_item_options_raw": golden.options(spark), "order_items_raw": golden.items(spark)}, base)
+    options = sources.read_raw(spark, base, "order_item_options_raw")
+    items = sources.read_raw(spark, base, "order_items_raw")
+
+    def plan(df):
+        capsys.readouterr()
+        df.explain("formatted")
+        return capsys.readouterr().out
+
+    discounted = plan(facts.discounted_orders(options))
+    assert "LessThan(option_price,0.00)" in discounted
+    assert "ReadSchema: struct<order_id:string,option_price:decimal(10,2)>" in discounted
+    assert ("ReadSchema: struct<restaurant_id:string,order_id:string,item_price:decimal(10,2),item_quantity:int>"
+            in plan(sales.location_performance(items)))
+    as_of = plan(customers.customer_values(items.filter("creation_time_utc < timestamp_ntz'2024-01-02'"), options))
+    assert "LessThan(creation_time_utc,2024-01-02T00:00)" in as_of
+
+
 def test_missing_tables_raise(spark, tmp_path):
     with pytest.raises(KeyError):
         sources.read_metric(spark, str(tmp_path), "nothing")
@@ -178,15 +209,13 @@ def test_catalog_tables_reload_and_bucketed_joins_do_not_shuffle(spark):
             sinks.reload_raw_table(frame, "plateful_raw", name)
     items, options = spark.table("plateful_raw.order_items_raw"), spark.table("plateful_raw.order_item_options_raw")
     assert (items.count(), options.count()) == (8, 5)
-    from plateful.operators.facts import customer_spend
-    from plateful.plans.customers import customer_lifetime_value
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = customer_spend(items, options)._jdf.queryExecution().executedPlan().toString()
+        plan = facts.customer_spend(items, options)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 1  # only the final sum per user
-    assert golden.rows_of(customer_lifetime_value(items, options)) == golden.CLV
+    assert golden.rows_of(customers.customer_lifetime_value(items, options)) == golden.CLV
 
 
 def test_staged_tables_live_in_the_session_checkpoint_folder(spark):
@@ -203,6 +232,13 @@ def test_a_staging_area_removes_its_tables(spark):
     assert not Path(area.path).exists()
 
 
+def test_copied_tables_get_the_declared_types(spark):
+    narrow = golden.options(spark).withColumn("id", F.col("id").cast("int")).select(
+        *reversed(schemas.ORDER_ITEM_OPTIONS.names))
+    assert batch.declared(narrow, "order_item_options_raw").schema.simpleString() == \
+        schemas.ORDER_ITEM_OPTIONS.simpleString()
+
+
 def test_jdbc_reads_are_split():
     options = jdbc.jdbc_options("jdbc:x", "order_items_raw", {"user": "u"}, column="creation_time_utc",
                                 lower=datetime(2024, 1, 1), upper=datetime(2024, 2, 1), partitions=8)
@@ -211,3 +247,16 @@ def test_jdbc_reads_are_split():
     assert "partitionColumn" not in jdbc.jdbc_options("jdbc:x", "date_dim_raw", {})
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:x", "t", {}, column="id", lower=1, upper=2)
+
+
+@pytest.mark.parametrize("master, root", [("local[2]", None), ("spark://host:1", "hdfs://x/c/"), ("yarn", None)])
+def test_only_a_local_session_may_use_its_own_folder(master, root):
+    settings = {"spark.master": master, "spark.checkpoint.dir": root}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key) or default))
+    if root:
+        assert checkpoint_root(session) == "hdfs://x/c"
+    elif master == "yarn":
+        with pytest.raises(ValueError):
+            checkpoint_root(session)
+    else:
+        assert Path(checkpoint_root(session)).is_dir()

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from plateful.operators import facts, gaps, ranking
-from plateful.plans import customers, pipeline, sales
+from plateful.plans import batch, customers, sales
 from plateful.plans.staging import lazy
 
 START = datetime(2024, 1, 1)
@@ -46,6 +46,7 @@ CASES = {
     "many buckets": ([Decimal(k * 777) + Decimal(k % 7) / 100 for k in range(-300, 300)]
                      + [Decimal(-999), Decimal("999.99"), Decimal("1000.00"), Decimal(10 ** 15), None],
                      "decimal(33,2)"),
+    "six digits": ([Decimal(k) / 8 - 20 for k in range(400)], "decimal(12,6)"),
     "large counts": ([k * 99_999 for k in range(200)] + [None] * 5, "bigint"),
 }
 
@@ -103,7 +104,7 @@ def test_customer_spend_equals_joined_sums(spark, seed):
 
 def test_totals_are_preserved(spark):
     items, options = random_tables(spark, 6)
-    tables = pipeline.metric_tables(items, options, stage=lazy)
+    tables = batch.metric_tables(items, options, stage=lazy)
     total = items.agg(F.sum(F.col("item_price") * F.col("item_quantity"))).first()[0]
     assert tables["sales_trends"].agg(F.sum("total_revenue")).first()[0] == total
     assert tables["location_performance"].agg(F.sum("total_revenue")).first()[0] == total
@@ -115,8 +116,8 @@ def test_totals_are_preserved(spark):
 
 def test_metrics_do_not_depend_on_input_partitions(spark):
     items, options = random_tables(spark, 7, n=300)
-    once = {k: golden.rows_of(v) for k, v in pipeline.metric_tables(items, options, stage=lazy).items()}
-    moved = pipeline.metric_tables(items.repartition(13, "item_price"), options.repartition(5), stage=lazy)
+    once = {k: golden.rows_of(v) for k, v in batch.metric_tables(items, options, stage=lazy).items()}
+    moved = batch.metric_tables(items.repartition(13, "item_price"), options.repartition(5), stage=lazy)
     assert {k: golden.rows_of(v) for k, v in moved.items()} == once
 
 
