@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plateful.llm import mixing, sharding, simhash
+from plateful.llm import mixing, packing, sharding, simhash
 from plateful.llm.shared import table
 
 
@@ -18,7 +18,11 @@ def op5_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op2_simhash_near_duplicates, op4_mix_sources, op5_shard_documents]
+def op7_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = [op2_simhash_near_duplicates, op4_mix_sources, op5_shard_documents, op7_pack_documents]
 
 # Same arithmetic as the operator: one division and exact whole numbers, so targets agree to the last bit.
 _MIX = """
