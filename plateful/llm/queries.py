@@ -2,10 +2,14 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plateful.llm import mixing, packing, sharding, simhash
+from plateful.llm import mixing, packing, quality, sharding, simhash
 from plateful.llm.shared import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,7 +26,7 @@ def op7_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op2_simhash_near_duplicates, op4_mix_sources, op5_shard_documents, op7_pack_documents]
+QUERIES = [op1_quality_rules, op2_simhash_near_duplicates, op4_mix_sources, op5_shard_documents, op7_pack_documents]
 
 # Same arithmetic as the operator: one division and exact whole numbers, so targets agree to the last bit.
 _MIX = """
