@@ -35,18 +35,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return StagingArea(df.sparkSession).staged(df, label)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for written intermediate tables: ``spark.checkpoint.dir``.
+
+    Where that is unset, a folder in the warehouse is used, which all executors share too.
+    """
+    return (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the checkpoint folder, with its lineage cut.
+    """``df`` computed once and written to the shared folder, with its lineage cut.
 
-    The folder is ``spark.checkpoint.dir``. Where that is unset, a folder in the warehouse
-    is used, which all executors share too. Spark removes the files itself when the table is
-    no longer referenced, if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
+    Spark removes the files itself when the table is no longer referenced, if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None)
-                                 or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
