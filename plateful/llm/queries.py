@@ -2,10 +2,15 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plateful.llm import mixing, packing, quality, sharding, simhash
+from plateful.llm import mixing, packing, pseudonyms, quality, sharding, simhash
 from plateful.llm.shared import table
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    """The secret key of the session, or one for tests: without the key pseudonyms cannot be undone or linked."""
+    return spark.conf.get("spark.plateful.pseudonymKey", "test key")
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
@@ -14,6 +19,10 @@ def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonym_report(table(spark, sf_dir, "documents"), pseudonym_key(spark))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -26,7 +35,7 @@ def op7_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op1_quality_rules, op2_simhash_near_duplicates, op4_mix_sources, op5_shard_documents, op7_pack_documents]
+QUERIES = [op1_quality_rules, op2_simhash_near_duplicates, op3_pseudonyms, op4_mix_sources, op5_shard_documents, op7_pack_documents]
 
 # Same arithmetic as the operator: one division and exact whole numbers, so targets agree to the last bit.
 _MIX = """
