@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plateful.llm import mixing, packing, pseudonyms, quality, sharding, simhash, toxicity
+from plateful.llm import mixing, packing, pseudonyms, quality, secrets, sharding, simhash, toxicity
 from plateful.llm.shared import table
 
 
@@ -35,11 +35,16 @@ def op7_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = [op1_quality_rules, op2_simhash_near_duplicates, op3_pseudonyms, op4_mix_sources, op5_shard_documents, op7_pack_documents, op10_toxicity]
+QUERIES = [op1_quality_rules, op2_simhash_near_duplicates, op3_pseudonyms, op4_mix_sources, op5_shard_documents, op7_pack_documents, op8_secret_scan,
+           op10_toxicity]
 
 # Same arithmetic as the operator: one division and exact whole numbers, so targets agree to the last bit.
 _MIX = """
