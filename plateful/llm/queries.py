@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plateful.llm import mixing, packing, pseudonyms, quality, secrets, sharding, simhash, toxicity
+from plateful.llm import mixing, packing, pseudonyms, quality, secrets, sharding, simhash, topk, toxicity
 from plateful.llm.shared import table
 
 
@@ -31,6 +31,10 @@ def op5_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op7_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -43,8 +47,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = [op1_quality_rules, op2_simhash_near_duplicates, op3_pseudonyms, op4_mix_sources, op5_shard_documents, op7_pack_documents, op8_secret_scan,
-           op10_toxicity]
+QUERIES = [op1_quality_rules, op2_simhash_near_duplicates, op3_pseudonyms, op4_mix_sources, op5_shard_documents, op6_top_k, op7_pack_documents,
+           op8_secret_scan, op10_toxicity]
 
 # Same arithmetic as the operator: one division and exact whole numbers, so targets agree to the last bit.
 _MIX = """
@@ -96,4 +100,18 @@ FROM drawn d JOIN plan p ON p.source IS NOT DISTINCT FROM d.source
 LEFT JOIN last_lot l ON l.source IS NOT DISTINCT FROM d.source
 LEFT JOIN last_sublot s ON s.source IS NOT DISTINCT FROM d.source"""
 
-ORACLE_SQL = {"op4_mix_sources": _MIX}
+_TOP_K = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+found AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM found)
+WHERE rank <= 10"""
+
+ORACLE_SQL = {"op6_top_k": _TOP_K, "op4_mix_sources": _MIX}
