@@ -49,47 +49,54 @@ class UnitTokenizer:
     """Token ids of whole texts, each distinct unit (letters, a digit, signs) encoded once.
 
     The vocabulary's merges never cross units, so the ids of a text are those of its units in
-    turn. Texts with characters beyond the ones whose units are known here, or with what may be
-    a special token, are encoded as a whole. The cache is emptied when it is full.
+    turn. A text with a unit that has other characters than those whose units are known here,
+    or that may be part of a special token, is encoded as a whole. The cache is emptied when it is full.
     """
 
-    PLAIN = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ‐-‧]|<\\|")
     # The vocabulary's own units after lower-casing.
-    UNIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
+    UNIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
+    OTHER = re.compile("[^!-~ß-öø-ÿ‐-‧]|<\\|")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.units: dict[str, bytes] = {}
+        # The same merges without the steps that units have behind them: lower-casing and splitting.
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.units: dict[str, bytes | bool] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, without the end token."""
         if len(self.units) > CACHED_UNITS:
             self.units.clear()
-        get, found, late = self.units.get, [], []
-        for i, text in enumerate(texts):
-            if self.PLAIN.search(text):
-                found.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-                continue
-            units = self.UNIT.findall(text.lower())
+        get, unit, found, new = self.units.get, self.UNIT.findall, [], []
+        for text in texts:
+            units = unit(text.lower())
             ids = [*map(get, units)]
             if None in ids:
-                late.append((i, units))
-                found.append(None)
-            else:
-                found.append(b"".join(ids))
-        self._learn({u for _, units in late for u in units}.difference(self.units))
-        for i, units in late:
-            found[i] = b"".join(map(self.units.__getitem__, units))
-        return found
+                gaps = [(i, u) for i, (u, known) in enumerate(zip(units, ids)) if known is None]
+                new.append((ids, gaps))
+            found.append(ids)
+        self._learn({u for _, gaps in new for _, u in gaps})
+        for ids, gaps in new:
+            for i, u in gaps:
+                ids[i] = self.units[u]
+        return [self._whole(text) if False in ids else b"".join(ids) for text, ids in zip(texts, found)]
+
+    def _whole(self, text):
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, new):
-        new = sorted(new)
+        other = [*filter(self.OTHER.search, new)]
+        self.units.update(dict.fromkeys(other, False))
+        new = list(new.difference(other))
         for start in range(0, len(new), 2000):
             some = new[start:start + 2000]
-            encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ends = np.searchsorted(encoded.word_ids, np.arange(len(some) + 1)) * 4
+            encoded = self.merges.encode(" ".join(some), add_special_tokens=False)
+            ends = (np.searchsorted(encoded.word_ids, np.arange(len(some) + 1)) * 4).tolist()
             raw = np.array(encoded.ids, "<u4").tobytes()
             self.units.update(zip(some, [raw[a:b] for a, b in zip(ends, ends[1:])]))
 
@@ -110,7 +117,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
             for offset in range(0, batch.num_rows, 256):
                 part = batch.slice(offset, 256)
                 rows, at = [], []
-                for i, ids in enumerate(tokenizer.encode([t.as_py() or "" for t in part.column("text")])):
+                for i, ids in enumerate(tokenizer.encode([t or "" for t in part.column("text").to_pylist()])):
                     ids += end
                     for n, start in enumerate(range(0, len(ids), 4 * capacity)):
                         cut = ids[start:start + 4 * capacity]

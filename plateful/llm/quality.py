@@ -86,7 +86,7 @@ def with_measures(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            found = np.array([measure(t.as_py()) for t in batch.column("text")], np.int64).reshape(-1, len(MEASURES))
+            found = np.array([measure(t) for t in batch.column("text").to_pylist()], np.int64).reshape(-1, len(MEASURES))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *map(pa.array, found.T.copy())],
                                              names=[*kept, *MEASURES])
 

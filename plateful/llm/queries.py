@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plateful.llm import mixing, packing, pseudonyms, quality, secrets, sharding, simhash, topk, toxicity
+from plateful.llm import language, mixing, packing, pseudonyms, quality, secrets, sharding, simhash, topk, toxicity
 from plateful.llm.shared import table
 
 
@@ -43,12 +43,16 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = [op1_quality_rules, op2_simhash_near_duplicates, op3_pseudonyms, op4_mix_sources, op5_shard_documents, op6_top_k, op7_pack_documents,
-           op8_secret_scan, op10_toxicity]
+           op8_secret_scan, op9_language, op10_toxicity]
 
 # Same arithmetic as the operator: one division and exact whole numbers, so targets agree to the last bit.
 _MIX = """

@@ -68,7 +68,7 @@ def with_fingerprint(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            prints = np.array([fingerprint(t.as_py(), n) for t in batch.column("text")], dtype=np.uint64)
+            prints = np.array([fingerprint(t, n) for t in batch.column("text").to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(prints.view(np.int64))],
                                              names=[*kept, "fingerprint"])
 

@@ -286,7 +286,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             for offset in range(0, batch.num_rows, 128):
                 part = batch.slice(offset, 128)
-                texts = [t.as_py() or "" for t in part.column("text")]
+                texts = [t or "" for t in part.column("text").to_pylist()]
                 if tagger is None:
                     scores, found = [0.0] * len(texts), [[]] * len(texts)
                 else:
