@@ -22,11 +22,13 @@ are left out.
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from plateful.operators.keys import with_positions
@@ -37,6 +39,7 @@ BINS = 128
 END = 1
 VOCABULARY = "word_bpe_49k.json"
 CACHED_UNITS = 1_000_000
+BATCH = 4096
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -45,60 +48,70 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_signs() -> dict[int, str]:
+    """For each character known here the signs by which a byte-level vocabulary writes its UTF-8 bytes."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    sign = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    known = [*range(33, 256), *range(0x2010, 0x2028)]
+    return {c: "".join(sign[b] for b in chr(c).encode()) for c in known}
+
+
+BYTE_SIGNS = _byte_signs()
+
+
 class UnitTokenizer:
-    """Token ids of whole texts, each distinct unit (letters, a digit, signs) encoded once.
+    """Token ids of many texts at once, each distinct unit (letters, a digit, signs) encoded once.
 
     The vocabulary's merges never cross units, so the ids of a text are those of its units in
-    turn. A text with a unit that has other characters than those whose units are known here,
-    or that may be part of a special token, is encoded as a whole. The cache is emptied when it is full.
+    turn. A text with other characters than those whose units are known here, or with what may be a
+    special token, is encoded as a whole. The cache is emptied when it is full.
     """
 
-    # The vocabulary's own units after lower-casing.
-    UNIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
-    OTHER = re.compile("[^!-~ß-öø-ÿ‐-‧]|<\\|")
+    # The vocabulary's own units, but for runs of letters.
+    SIGNS = "('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\t-\r a-z0-9À-ÖØ-öø-ÿ]+)"
+    OTHER = re.compile("[^!-~À-ÖØ-öø-ÿ‐-‧]|<\\|")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # The same merges without the steps that units have behind them: lower-casing and splitting.
-        self.merges = Tokenizer.from_file(path)
-        self.merges.normalizer = normalizers.Sequence([])
-        self.merges.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.merges = self.tokenizer.model.tokenize
         self.units: dict[str, bytes | bool] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, without the end token."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in turn, and where those of each text begin and end; NULL is empty."""
+        texts = pc.fill_null(texts, "")
+        spaced = pc.replace_substring_regex(pc.ascii_lower(texts), self.SIGNS, r" \1 ")
+        split = pc.ascii_split_whitespace(spaced)
+        coded = split.flatten().dictionary_encode()
+        ids = self._ids(coded.dictionary.to_pylist())
+        used, offsets = coded.indices.to_numpy(), split.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        whole = np.array([x is False for x in ids], dtype=bool)
+        if whole.any():
+            texts_whole = np.unique(np.searchsorted(offsets, np.flatnonzero(whole[used]), side="right") - 1)
+        flat = np.frombuffer(b"".join(x or b"" for x in ids), "<u4")
+        sizes = np.array([len(x or b"") for x in ids], dtype=np.int64) // 4
+        ends = np.concatenate(([0], np.cumsum(sizes[used])))
+        shift = (np.cumsum(sizes) - sizes)[used] - ends[:-1]
+        found, bounds = flat[np.repeat(shift, sizes[used]) + np.arange(ends[-1])], ends[offsets]
+        if whole.any():
+            parts = np.split(found, bounds[1:-1])
+            for i in texts_whole.tolist():
+                parts[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4")
+            found, bounds = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+        return found, bounds
+
+    def _ids(self, units):
         if len(self.units) > CACHED_UNITS:
             self.units.clear()
-        get, unit, found, new = self.units.get, self.UNIT.findall, [], []
-        for text in texts:
-            units = unit(text.lower())
-            ids = [*map(get, units)]
-            if None in ids:
-                gaps = [(i, u) for i, (u, known) in enumerate(zip(units, ids)) if known is None]
-                new.append((ids, gaps))
-            found.append(ids)
-        self._learn({u for _, gaps in new for _, u in gaps})
-        for ids, gaps in new:
-            for i, u in gaps:
-                ids[i] = self.units[u]
-        return [self._whole(text) if False in ids else b"".join(ids) for text, ids in zip(texts, found)]
-
-    def _whole(self, text):
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, new):
-        other = [*filter(self.OTHER.search, new)]
-        self.units.update(dict.fromkeys(other, False))
-        new = list(new.difference(other))
-        for start in range(0, len(new), 2000):
-            some = new[start:start + 2000]
-            encoded = self.merges.encode(" ".join(some), add_special_tokens=False)
-            ends = (np.searchsorted(encoded.word_ids, np.arange(len(some) + 1)) * 4).tolist()
-            raw = np.array(encoded.ids, "<u4").tobytes()
-            self.units.update(zip(some, [raw[a:b] for a, b in zip(ends, ends[1:])]))
+        ids = [*map(self.units.get, units)]
+        new = [(i, u) for i, (u, known) in enumerate(zip(units, ids)) if known is None]
+        for i, u in new:
+            known = not self.OTHER.search(u) and array("I", [t.id for t in self.merges(u.lower().translate(BYTE_SIGNS))]).tobytes()
+            ids[i] = self.units[u] = known
+        return ids
 
 
 _TOKENIZERS: dict[str, UnitTokenizer] = {}
@@ -114,18 +127,24 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     def run(batches):
         tokenizer = _TOKENIZERS.get(path) or _TOKENIZERS.setdefault(path, UnitTokenizer(path))
         for batch in batches:
-            for offset in range(0, batch.num_rows, 256):
-                part = batch.slice(offset, 256)
-                rows, at = [], []
-                for i, ids in enumerate(tokenizer.encode([t or "" for t in part.column("text").to_pylist()])):
-                    ids += end
-                    for n, start in enumerate(range(0, len(ids), 4 * capacity)):
-                        cut = ids[start:start + 4 * capacity]
-                        at.append(i)
-                        rows.append((n, start // 4, len(cut) // 4, zlib.crc32(cut), cut)[:4 + with_ids])
-                types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(at, pa.int32())),
-                                                  *[pa.array(c, t) for c, t in zip(zip(*rows), types)]], names=names)
+            for offset in range(0, batch.num_rows, BATCH):
+                part = batch.slice(offset, BATCH)
+                ids, bounds = tokenizer.encode(part.column("text"))
+                raw = memoryview(ids).cast("B")
+                sizes = np.diff(bounds) + 1
+                n = -(-sizes // capacity)
+                row = np.repeat(np.arange(len(n)), n)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                start = piece * capacity
+                length = np.minimum(sizes[row] - start, capacity)
+                last = piece == n[row] - 1
+                cuts = [(raw[a:b], end if e else b"") for a, b, e in zip(
+                    (4 * (bounds[row] + start)).tolist(), (4 * (bounds[row] + start + length - last)).tolist(), last.tolist())]
+                columns = [pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
+                           pa.array([zlib.crc32(e, zlib.crc32(ids)) for ids, e in cuts], pa.int64())]
+                if with_ids:
+                    columns.append(pa.array([bytes(ids) + e for ids, e in cuts], pa.binary()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(row)), *columns], names=names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
