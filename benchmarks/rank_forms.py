@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from plateful import schemas  # noqa: E402
 from plateful.plans.customers import with_clv_segment  # noqa: E402
-from plateful.plans.staging import StagingArea  # noqa: E402
+from plateful.plans.staging import checkpointed  # noqa: E402
 
 
 def spread(spark, n):
@@ -46,12 +46,11 @@ def main():
     spark = (SparkSession.builder.master(f"local[{cpus}]").config("spark.ui.enabled", "false")
              .config("spark.driver.memory", "8g").config("spark.sql.shuffle.partitions", cpus).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    with StagingArea(spark) as area:
-        for n in map(int, sys.argv[1:] or ["100000", "1000000"]):
-            values = area.staged(spread(spark, n), f"values-{n}")
-            seconds(with_clv_segment(values))
-            print(json.dumps({"customers": n, "bucketed": seconds(with_clv_segment(values)),
-                              "global_window": seconds(global_window(values))}), flush=True)
+    for n in map(int, sys.argv[1:] or ["100000", "1000000"]):
+        values = checkpointed(spread(spark, n))
+        seconds(with_clv_segment(values))
+        print(json.dumps({"customers": n, "bucketed": seconds(with_clv_segment(values)),
+                          "global_window": seconds(global_window(values))}), flush=True)
 
 
 if __name__ == "__main__":

@@ -5,33 +5,51 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from plateful import schemas
-from plateful.sources.text import clean_date_dim, clean_order_item_options, clean_order_items
+from plateful.sources.text import RULES
 
 
-def preview(table: DataFrame, rows: int = schemas.PREVIEW_ROWS) -> DataFrame:
-    """A few rows in no particular order."""
-    return table.limit(rows)
+def preview(table: DataFrame, rows: int = schemas.PREVIEW_ROWS, order_by: list[str] | None = None) -> DataFrame:
+    """A few rows: the first by ``order_by``, or any."""
+    return (table.orderBy(*order_by) if order_by else table).limit(rows)
 
 
-def audit_table(name: str, text: DataFrame, clean, key: str, parsed: list[str]) -> DataFrame:
-    """One row: rows, distinct keys, rows without a key, fields in ``parsed`` that are unreadable.
+# Per table: its key, fields that must be readable, and fields that may be blank but not unreadable.
+CHECKS = {
+    "date_dim_raw": ("date_key", ["date_key", "month"], ["year", "week"]),
+    "order_items_raw": ("lineitem_id", ["creation_time_utc", "item_price", "item_quantity"], []),
+    "order_item_options_raw": ("lineitem_id", ["option_price", "option_quantity"], []),
+}
 
-    ``text`` is the table before typing and ``clean`` the function that types it.
+
+def audit_text(table: str, text: DataFrame) -> DataFrame:
+    """One row: rows, distinct keys, rows without a key, and fields that typing cannot read.
+
+    ``text`` is the table before typing.
     """
-    typed = clean(text, strict=True)
-    bad = reduce(lambda a, b: a + b, [F.sum(F.col(c).isNull().cast("bigint")) for c in parsed])
+    key, parsed, blank_allowed = CHECKS[table]
+    kept = {c: f"_text_{c}" for c in blank_allowed}
+    typed = RULES[table][0](text.withColumns({new: F.col(c) for c, new in kept.items()}), strict=True)
+    bad = [F.col(c).isNull() for c in parsed]
+    bad += [F.col(c).isNull() & (F.trim(F.coalesce(new, F.lit(""))) != "") for c, new in kept.items()]
+    return _counted(table, typed, key, bad)
+
+
+def audit_landed(table: str, rows: DataFrame) -> DataFrame:
+    """The same row for a landed table that came typed, so nothing was left unread."""
+    return _counted(table, rows, CHECKS[table][0], [])
+
+
+def _counted(table, rows, key, bad):
     no_key = F.col(key).isNull() | (F.col(key).cast("string") == "")
-    return typed.agg(F.count(F.lit(1)).alias("row_count"),
-                     F.countDistinct(key).alias("distinct_keys"),
-                     F.coalesce(F.sum(no_key.cast("bigint")), F.lit(0)).alias("null_keys"),
-                     F.coalesce(bad, F.lit(0)).alias("parse_failures")
-                     ).select(F.lit(name).alias("table_name"), "*")
+    failures = reduce(lambda a, b: a + b, [F.sum(b.cast("bigint")) for b in bad], F.lit(0).cast("bigint"))
+    return rows.agg(F.count(F.lit(1)).alias("row_count"),
+                    F.countDistinct(key).alias("distinct_keys"),
+                    F.coalesce(F.sum(no_key.cast("bigint")), F.lit(0)).alias("null_keys"),
+                    F.coalesce(failures, F.lit(0)).alias("parse_failures")
+                    ).select(F.lit(table).alias("table_name"), "*")
 
 
 def load_audit(date_dim: DataFrame, items: DataFrame, options: DataFrame) -> DataFrame:
     """One row per raw table, from the text tables."""
-    return (audit_table("date_dim_raw", date_dim, clean_date_dim, "date_key", ["date_key", "month"])
-            .unionByName(audit_table("order_items_raw", items, clean_order_items, "lineitem_id",
-                                     ["creation_time_utc", "item_price", "item_quantity"]))
-            .unionByName(audit_table("order_item_options_raw", options, clean_order_item_options,
-                                     "lineitem_id", ["option_price", "option_quantity"])))
+    texts = {"date_dim_raw": date_dim, "order_items_raw": items, "order_item_options_raw": options}
+    return reduce(DataFrame.unionByName, [audit_text(table, text) for table, text in texts.items()])

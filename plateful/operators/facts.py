@@ -1,13 +1,32 @@
 """Line, order and customer level facts built from the raw tables."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plateful.functions.money import is_discount_line, item_revenue, option_revenue
 
 ORDER_KEYS = ("user_id", "order_id", "creation_time_utc")
+FACT_KEYS = (*ORDER_KEYS, "is_loyalty", "restaurant_id", "item_category")
 SPEND_TYPE = "decimal(31,2)"
 
 
+def item_facts(items: DataFrame) -> DataFrame:
+    """Item lines summed to what the metrics but lifetime value need: revenue and priced lines.
+
+    Functions that take ``lines`` accept the items or these facts and give the same rows.
+    """
+    return items.groupBy(*FACT_KEYS).agg(F.sum(item_revenue()).alias("item_revenue"),
+                                         F.count(item_revenue()).alias("priced_lines"))
+
+
+def revenue_sum(lines: DataFrame) -> Column:
+    return F.sum("item_revenue" if "item_revenue" in lines.columns else item_revenue()).cast(SPEND_TYPE)
+
+
+def priced_lines(lines: DataFrame) -> Column:
+    """Lines with a revenue, over which line averages go."""
+    return F.sum("priced_lines") if "priced_lines" in lines.columns else F.count(item_revenue())
+
+
 def with_item_revenue(items: DataFrame) -> DataFrame:
     return items.withColumn("item_line_revenue", item_revenue())
 
@@ -21,8 +40,13 @@ def item_user_map(items: DataFrame) -> DataFrame:
 
 
 def options_with_user(items: DataFrame, options: DataFrame) -> DataFrame:
-    """Each option line with the user of its item line; options without an item line drop out."""
-    return with_option_revenue(options).join(item_user_map(items), "lineitem_id")
+    """Each option line with the user of its item line; options without an item line drop out.
+
+    The items are hashed by line once, which serves both the distinct and the join. A line id
+    is a primary key, so no line is hot.
+    """
+    owners = item_user_map(items.select("lineitem_id", "user_id").repartition("lineitem_id"))
+    return with_option_revenue(options).join(owners, "lineitem_id")
 
 
 def customer_item_spend(items: DataFrame) -> DataFrame:
@@ -31,31 +55,32 @@ def customer_item_spend(items: DataFrame) -> DataFrame:
 
 def customer_option_spend(items: DataFrame, options: DataFrame) -> DataFrame:
     """Option spend per user. Options are summed per line before the join."""
-    per_line = _option_spend_per_line(options)
-    return (item_user_map(items).join(per_line, "lineitem_id")
-            .groupBy("user_id")
-            .agg(F.sum("option_spend").cast(SPEND_TYPE).alias("total_option_spend")))
+    lines = (items.select("lineitem_id", "user_id").join(_option_spend_per_line(options), "lineitem_id")
+             .groupBy("lineitem_id", "user_id").agg(F.max("option_spend").alias("option_spend")))
+    return lines.groupBy("user_id").agg(F.sum("option_spend").cast(SPEND_TYPE).alias("total_option_spend"))
 
 
 def customer_spend(items: DataFrame, options: DataFrame) -> DataFrame:
     """Item and option spend per user in one pass over the items.
 
-    Both sides are reduced to one row per line (and user) before they meet, so a hot
-    line or user never reaches a task unaggregated. Option spend without a known user
-    is not credited to anyone.
+    Items meet the options, summed per line, by line; the sum per line and user that follows
+    needs no further shuffle, and counts the options of a repeated line once per user. What is
+    shuffled by user is one row per user and task. Option spend without a known user is not
+    credited to anyone.
     """
-    lines = items.groupBy("lineitem_id", "user_id").agg(F.sum(item_revenue()).alias("item_spend"))
+    lines = (items.select("lineitem_id", "user_id", item_revenue().alias("revenue"))
+             .join(_option_spend_per_line(options), "lineitem_id", "left")
+             .groupBy("lineitem_id", "user_id")
+             .agg(F.sum("revenue").alias("item_spend"), F.max("option_spend").alias("option_spend")))
     credited = F.when(F.col("user_id").isNotNull(), F.col("option_spend"))
-    return (lines.join(_option_spend_per_line(options), "lineitem_id", "left")
-            .groupBy("user_id")
-            .agg(F.sum("item_spend").cast(SPEND_TYPE).alias("total_item_spend"),
-                 F.coalesce(F.sum(credited).cast(SPEND_TYPE), F.lit(0).cast(SPEND_TYPE))
-                 .alias("total_option_spend")))
+    return lines.groupBy("user_id").agg(
+        F.sum("item_spend").cast(SPEND_TYPE).alias("total_item_spend"),
+        F.coalesce(F.sum(credited).cast(SPEND_TYPE), F.lit(0).cast(SPEND_TYPE)).alias("total_option_spend"))
 
 
-def order_summary(items: DataFrame) -> DataFrame:
+def order_summary(lines: DataFrame) -> DataFrame:
     """One row per user, order and time with its item revenue."""
-    return items.groupBy(*ORDER_KEYS).agg(F.sum(item_revenue()).alias("order_total_revenue"))
+    return lines.groupBy(*ORDER_KEYS).agg(revenue_sum(lines).alias("order_total_revenue"))
 
 
 def discount_lines(options: DataFrame) -> DataFrame:

@@ -128,9 +128,9 @@ _DATE_TEXT = f"""
 date_text AS (
   SELECT CASE WHEN o_orderkey % 97 = 0 THEN strftime(o_orderdate, '%Y/%m/%d')
       ELSE strftime(o_orderdate, '%d-%m-%Y') END AS date_key,
-    CAST(year(o_orderdate) AS VARCHAR) AS year,
+    CASE WHEN o_orderkey % 101 = 0 THEN '20x4' ELSE CAST(year(o_orderdate) AS VARCHAR) END AS year,
     CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE CAST(month(o_orderdate) AS VARCHAR) END AS month,
-    CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE CAST(week(o_orderdate) AS VARCHAR) END AS week,
+    CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 103 = 0 THEN 'wk' ELSE CAST(week(o_orderdate) AS VARCHAR) END AS week,
     dayname(o_orderdate) AS day_of_week,
     {_flag_text("dayname(o_orderdate) IN ('Saturday', 'Sunday')", 'o_orderkey')} AS is_weekend,
     {_flag_text("o_orderpriority = '1-URGENT'", 'o_orderkey')} AS is_holiday,
@@ -175,14 +175,8 @@ _OPTION_COLUMNS = """order_id, lineitem_id, option_group_name, option_name,
   CAST(option_price AS DOUBLE) AS option_price, CAST(option_quantity AS BIGINT) AS option_quantity"""
 
 
-def _pivot(categories):
-    return ", ".join(
-        f"CAST(coalesce(sum(CASE WHEN item_category = '{c}' THEN total_revenue END), 0) AS DOUBLE) AS \"{c}\""
-        for c in categories)
-
-
-def statements(categories) -> dict[str, str]:
-    """Query name to SQL. ``categories`` are the columns of the revenue timeline."""
+def statements() -> dict[str, str]:
+    """Query name to SQL."""
     select = {
         "scan_order_items": (_ITEMS, """SELECT app_name, restaurant_id,
             CAST(creation_time_utc AS VARCHAR) AS creation_time_utc, order_id, user_id, printed_card_number,
@@ -190,9 +184,9 @@ def statements(categories) -> dict[str, str]:
             CAST(item_price AS DOUBLE) AS item_price, CAST(item_quantity AS BIGINT) AS item_quantity FROM items"""),
         "scan_order_item_options": (_OPTIONS, f"SELECT {_OPTION_COLUMNS} FROM options"),
         "ingest_date_dim": (_DATE_TEXT, f"""SELECT CAST({_PARSED_DATE} AS VARCHAR) AS date_key,
-            CAST(nullif(year, '') AS BIGINT) AS year,
+            CASE WHEN year = '' THEN NULL ELSE coalesce(TRY_CAST(year AS BIGINT), 0) END AS year,
             CASE WHEN month = '' THEN 0 ELSE CAST(month AS BIGINT) END AS month,
-            CAST(nullif(week, '') AS BIGINT) AS week, day_of_week,
+            CASE WHEN week = '' THEN NULL ELSE coalesce(TRY_CAST(week AS BIGINT), 0) END AS week, day_of_week,
             {_BOOL.format('is_weekend')} AS is_weekend, {_BOOL.format('is_holiday')} AS is_holiday,
             nullif(trim(holiday_name), '') AS holiday_name
           FROM date_text WHERE {_PARSED_DATE} IS NOT NULL
@@ -217,7 +211,9 @@ def statements(categories) -> dict[str, str]:
         "load_audit": (_DATE_TEXT + "," + _ITEM_TEXT + "," + _OPTION_TEXT, f"""
           SELECT 'date_dim_raw' AS table_name, count(*) AS row_count,
             count(DISTINCT {_PARSED_DATE}) AS distinct_keys, count(*) - count({_PARSED_DATE}) AS null_keys,
-            CAST(2 * count(*) - count({_PARSED_DATE}) - count(nullif(month, '')) AS BIGINT) AS parse_failures
+            CAST(2 * count(*) - count({_PARSED_DATE}) - count(nullif(month, ''))
+              + count(*) FILTER (trim(year) <> '' AND TRY_CAST(year AS BIGINT) IS NULL)
+              + count(*) FILTER (trim(week) <> '' AND TRY_CAST(week AS BIGINT) IS NULL) AS BIGINT) AS parse_failures
           FROM date_text
           UNION ALL SELECT 'order_items_raw', count(*), count(DISTINCT lineitem_id),
             count(*) - count(nullif(lineitem_id, '')),
@@ -283,8 +279,10 @@ def statements(categories) -> dict[str, str]:
           FROM segments GROUP BY 1 ORDER BY 2 DESC, 1"""),
         "view_customer_roster": (_RFM, """SELECT * FROM segments
           ORDER BY recency_days DESC NULLS LAST, user_id LIMIT 100"""),
-        "view_revenue_timeline": (_TRENDS, f"""SELECT sales_date, {_pivot(categories)} FROM trends
-          GROUP BY sales_date ORDER BY sales_date"""),
+        "view_revenue_timeline": (_TRENDS, """SELECT sales_date, coalesce(COLUMNS(* EXCLUDE sales_date), 0)
+          FROM (PIVOT (SELECT sales_date, item_category, CAST(total_revenue AS DOUBLE) AS revenue FROM trends
+                       WHERE sales_date IS NOT NULL AND item_category IS NOT NULL)
+                ON item_category USING sum(revenue) GROUP BY sales_date) ORDER BY sales_date"""),
         "view_hourly_demand": (_TRENDS, """SELECT sales_hour, CAST(sum(total_orders) AS BIGINT) AS total_orders
           FROM trends GROUP BY sales_hour ORDER BY sales_hour"""),
         "view_loyalty": (_LOYALTY, """SELECT * REPLACE (
@@ -302,12 +300,13 @@ def statements(categories) -> dict[str, str]:
         "seasonal_sales": (_ITEMS + "," + _DATE_DIM, f""",
           daily AS (SELECT CAST(creation_time_utc AS DATE) AS date_key, sum(rev) AS revenue
             FROM items GROUP BY 1),
-          tagged AS (SELECT d.*, dd.* EXCLUDE (date_key) FROM daily d JOIN date_dim dd USING (date_key)),
+          tagged AS (SELECT d.*, dd.* EXCLUDE (date_key) FROM daily d LEFT JOIN date_dim dd USING (date_key)),
           stacked AS (
-            SELECT 'weekend' AS season_kind, CAST(is_weekend AS VARCHAR) AS season_value, revenue FROM tagged
-            UNION ALL SELECT 'holiday', CAST(is_holiday AS VARCHAR), revenue FROM tagged
-            UNION ALL SELECT 'month', CAST(month AS VARCHAR), revenue FROM tagged
-            UNION ALL SELECT 'weekday', day_of_week, revenue FROM tagged)
+            SELECT 'weekend' AS season_kind, coalesce(CAST(is_weekend AS VARCHAR), 'unknown') AS season_value,
+              revenue FROM tagged
+            UNION ALL SELECT 'holiday', coalesce(CAST(is_holiday AS VARCHAR), 'unknown'), revenue FROM tagged
+            UNION ALL SELECT 'month', coalesce(CAST(month AS VARCHAR), 'unknown'), revenue FROM tagged
+            UNION ALL SELECT 'weekday', coalesce(day_of_week, 'unknown'), revenue FROM tagged)
           SELECT season_kind, season_value, count(*) AS sales_days, CAST(sum(revenue) AS DOUBLE) AS total_revenue,
             {_mean('sum(revenue)', 'count(*)')} AS avg_daily_revenue
           FROM stacked GROUP BY 1, 2"""),
@@ -331,9 +330,13 @@ def statements(categories) -> dict[str, str]:
             SELECT 'week' AS period_kind, date_trunc('week', creation_time_utc) AS start, sum(rev) AS revenue
             FROM items GROUP BY 1, 2
             UNION ALL SELECT 'month', date_trunc('month', creation_time_utc), sum(rev) FROM items GROUP BY 1, 2),
-          steps AS (SELECT *, lag(revenue) OVER (PARTITION BY period_kind ORDER BY start) AS before FROM periods)
+          steps AS (SELECT *, lag(revenue) OVER (PARTITION BY period_kind, start IS NULL ORDER BY start) AS before FROM periods)
           SELECT period_kind, CAST(CAST(start AS DATE) AS VARCHAR) AS period_start,
             CAST(revenue AS DOUBLE) AS total_revenue, CAST(before AS DOUBLE) AS previous_revenue,
             CAST(revenue - before AS DOUBLE) AS revenue_change FROM steps"""),
     }
+    select["clv_daily_merge"] = select["clv_as_of"]
+    select["preview"] = (select["scan_order_items"][0], select["scan_order_items"][1] + " ORDER BY lineitem_id LIMIT 5")
+    select["option_surrogate_id"] = (_OPTIONS, """SELECT count(*) AS n_rows, count(*) AS n_ids, count(*) AS n_not_null,
+        CAST(1 AS BIGINT) AS first_id, count(*) AS last_id FROM options""")
     return {name: f"WITH {tables.strip()} {query}" for name, (tables, query) in select.items()}

@@ -1,27 +1,49 @@
-"""The batch run: text or database to landed tables, landed tables to metric tables."""
+"""The batch run: text or database to landed tables, landed tables to metric tables and views."""
+
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
 from plateful import schemas
-from plateful.operators.facts import order_summary
-from plateful.plans import customers, sales
-from plateful.plans.staging import StagingArea, staged
-from plateful.sinks.tables import land_tables
+from plateful.operators.audit import audit_landed, audit_text
+from plateful.operators.facts import item_facts, order_summary
+from plateful.plans import customers, sales, views
+from plateful.plans.staging import checkpointed, lazy
+from plateful.sinks.tables import land_tables, write_table
 from plateful.sources.jdbc import read_jdbc
-from plateful.sources.tables import read_raw
-from plateful.sources.text import load_text
+from plateful.sources.tables import read_metric, read_raw
+from plateful.sources.text import load_text, read_text
+
+
+class Landed(NamedTuple):
+    """Where a table was landed and what arrived; ``parse_failures`` are fields that could not be read."""
+
+    path: str
+    row_count: int
+    distinct_keys: int
+    null_keys: int
+    parse_failures: int
+
 
+def land_text(spark: SparkSession, paths: dict[str, str], raw_base: str, *, strict: bool = False,
+              **how) -> dict[str, Landed]:
+    """Clean the named text files, replace their landed tables and report on each."""
+    written = land_tables({table: load_text(spark, path, table, strict=strict, **how) for table, path in paths.items()},
+                          raw_base)
+    return {table: Landed(path, *audit_text(table, read_text(spark, paths[table], table, **how)).first()[1:])
+            for table, path in written.items()}
 
-def land_text(spark: SparkSession, paths: dict[str, str], raw_base: str, **how) -> dict[str, str]:
-    """Clean the named text files and replace their landed tables."""
-    return land_tables({table: load_text(spark, path, table, **how) for table, path in paths.items()}, raw_base)
 
+def land_jdbc(spark: SparkSession, url: str, properties: dict, raw_base: str, *, partitions: int,
+              tables=tuple(schemas.RAW_TABLES), predicates: dict[str, list[str]] | None = None) -> dict[str, Landed]:
+    """Copy raw tables from a database into landed tables and report on each.
 
-def land_jdbc(spark: SparkSession, url: str, properties: dict, raw_base: str, *, partitions: int = 1,
-              tables=tuple(schemas.RAW_TABLES)) -> dict[str, str]:
-    """Copy raw tables from a database into landed tables."""
-    return land_tables({t: declared(read_jdbc(spark, url, t, properties, partitions=partitions), t)
-                        for t in tables}, raw_base)
+    Each is read in ``partitions`` ranges of its split column, or by its own ``predicates``.
+    """
+    read = {t: declared(read_jdbc(spark, url, t, properties, partitions=partitions,
+                                  predicates=(predicates or {}).get(t)), t) for t in tables}
+    return {table: Landed(path, *audit_landed(table, read_raw(spark, raw_base, table)).first()[1:])
+            for table, path in land_tables(read, raw_base).items()}
 
 
 def declared(df: DataFrame, table: str) -> DataFrame:
@@ -30,24 +52,46 @@ def declared(df: DataFrame, table: str) -> DataFrame:
 
 
 def metric_tables(items: DataFrame, options: DataFrame, *, exclude_anonymous=False,
-                  stage=staged) -> dict[str, DataFrame]:
-    """All six metric tables; the order summary is built once for both that need it."""
-    orders = stage(order_summary(items), "order_summary")
+                  stage=lazy) -> dict[str, DataFrame]:
+    """All six metric tables. The items are read twice: for lifetime value and for the facts of the rest.
+
+    ``exclude_anonymous`` leaves blank and missing users out of the two customer tables; the
+    other four count all sales.
+    """
+    lines = stage(item_facts(items))
+    orders = stage(order_summary(lines))
     return {
         "customer_lifetime_value": customers.customer_lifetime_value(
             items, options, exclude_anonymous=exclude_anonymous, stage=stage),
         "customer_segments": customers.customer_segments(
-            items, orders=orders, exclude_anonymous=exclude_anonymous, stage=stage),
-        "sales_trends": sales.sales_trends(items),
-        "loyalty_impact": sales.loyalty_impact(items),
-        "location_performance": sales.location_performance(items),
-        "discount_effectiveness": sales.discount_effectiveness(items, options, orders=orders),
+            lines, orders=orders, exclude_anonymous=exclude_anonymous, stage=stage),
+        "sales_trends": sales.sales_trends(lines),
+        "loyalty_impact": sales.loyalty_impact(lines),
+        "location_performance": sales.location_performance(lines),
+        "discount_effectiveness": sales.discount_effectiveness(lines, options, orders=orders),
     }
 
 
 def run_metrics(spark: SparkSession, raw_base: str, metrics_base: str, **how) -> dict[str, str]:
-    """Read the landed tables and replace all metric tables."""
+    """Read the landed tables and replace all metric tables. Facts that several share are written once."""
     items = read_raw(spark, raw_base, "order_items_raw")
     options = read_raw(spark, raw_base, "order_item_options_raw")
-    with StagingArea(spark) as area:
-        return land_tables(metric_tables(items, options, stage=area.staged, **how), metrics_base)
+    return land_tables(metric_tables(items, options, stage=checkpointed, **how), metrics_base)
+
+
+VIEWS = {
+    "segment_counts": (views.segment_counts, "customer_segments"),
+    "churn_counts": (views.churn_counts, "customer_segments"),
+    "customer_roster": (views.customer_roster, "customer_segments"),
+    "revenue_timeline": (views.revenue_timeline, "sales_trends"),
+    "hourly_demand": (views.hourly_demand, "sales_trends"),
+    "loyalty_comparison": (views.loyalty_comparison, "loyalty_impact"),
+    "location_league": (views.location_league, "location_performance"),
+    "discount_comparison": (views.discount_comparison, "discount_effectiveness"),
+}
+
+
+def run_views(spark: SparkSession, metrics_base: str, views_base: str) -> dict[str, str]:
+    """Replace the eight views from the stored metric tables; no metric is computed again."""
+    return {name: write_table(view(read_metric(spark, metrics_base, metric)), views_base, name)
+            for name, (view, metric) in VIEWS.items()}

@@ -6,7 +6,7 @@ from plateful import schemas
 from plateful.operators.facts import customer_spend, order_summary
 from plateful.operators.gaps import average_gap
 from plateful.operators.ranking import Tier, with_tiers
-from plateful.plans.staging import staged
+from plateful.plans.staging import lazy
 
 
 def drop_anonymous(table: DataFrame) -> DataFrame:
@@ -16,9 +16,13 @@ def drop_anonymous(table: DataFrame) -> DataFrame:
 
 def customer_values(items: DataFrame, options: DataFrame) -> DataFrame:
     """Lifetime value per user: item spend plus option spend, so discounts reduce it."""
+    return values_of(customer_spend(items, options))
+
+
+def values_of(spend: DataFrame) -> DataFrame:
+    """Lifetime value per user from item and option spend per user."""
     value = F.round(F.col("total_item_spend") + F.col("total_option_spend"), 2)
-    return (customer_spend(items, options)
-            .select("user_id", value.cast("decimal(33,2)").alias("customer_lifetime_value")))
+    return (spend.select("user_id", value.cast("decimal(33,2)").alias("customer_lifetime_value")))
 
 
 def with_clv_segment(values: DataFrame) -> DataFrame:
@@ -27,10 +31,10 @@ def with_clv_segment(values: DataFrame) -> DataFrame:
 
 
 def customer_lifetime_value(items: DataFrame, options: DataFrame, *, exclude_anonymous=False,
-                            stage=staged) -> DataFrame:
+                            stage=lazy) -> DataFrame:
     if exclude_anonymous:
         items = drop_anonymous(items)
-    return with_clv_segment(stage(customer_values(items, options), "customer_values"))
+    return with_clv_segment(stage(customer_values(items, options)))
 
 
 def customer_activity(orders: DataFrame) -> DataFrame:
@@ -74,13 +78,13 @@ def churn_indicator() -> Column:
 
 
 def rfm_scores(items: DataFrame, *, orders: DataFrame | None = None, as_of: Column | None = None,
-               exclude_anonymous=False, stage=staged) -> DataFrame:
+               exclude_anonymous=False, stage=lazy) -> DataFrame:
     """Scored customers. ``orders`` is an order summary that already exists, if there is one."""
     if orders is None:
         orders = order_summary(items)
     if exclude_anonymous:
         orders = drop_anonymous(orders)
-    activity = stage(customer_activity(orders), "customer_activity")
+    activity = stage(customer_activity(orders))
     return with_rfm_scores(with_recency(activity, as_of))
 
 

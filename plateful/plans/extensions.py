@@ -3,26 +3,62 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 from plateful.functions.money import is_discount_line, item_revenue, option_revenue
-from plateful.plans.customers import customer_lifetime_value
-from plateful.plans.staging import staged
+from plateful.operators.facts import SPEND_TYPE, customer_option_spend
+from plateful.plans.customers import customer_lifetime_value, values_of, with_clv_segment
+from plateful.plans.staging import lazy
 
+UNKNOWN = "unknown"
 
-def clv_as_of(items: DataFrame, options: DataFrame, day: str, *, stage=staged) -> DataFrame:
+
+def clv_as_of(items: DataFrame, options: DataFrame, day: str, *, stage=lazy) -> DataFrame:
     """Lifetime value as it stood at the end of ``day``. The date filter reaches the scan."""
     until = items.filter(F.col("creation_time_utc") < F.date_add(F.lit(day).cast("date"), 1).cast("timestamp_ntz"))
     return (customer_lifetime_value(until, options, stage=stage)
             .withColumn("as_of_date", F.lit(day).cast("date")))
 
 
+def update_spend(previous: DataFrame, new_items: DataFrame, new_options: DataFrame, owners: DataFrame) -> DataFrame:
+    """``customer_spend`` after a day, from that of the day before and only what arrived since.
+
+    Options are credited to the owner of their line in ``owners`` (lineitem_id, user_id of all
+    landed lines), also when the line is older. Options whose line has not landed are not
+    credited; ``unowned_options`` gives them, to be passed again the next day. Only one row
+    per user and source is shuffled.
+    """
+    none = F.lit(None).cast(SPEND_TYPE)
+    bought = (new_items.groupBy("user_id").agg(F.sum(item_revenue()).cast(SPEND_TYPE).alias("total_item_spend"))
+              .withColumn("total_option_spend", none))
+    added = (customer_option_spend(owners, new_options).filter(F.col("user_id").isNotNull())
+             .select("user_id", none.alias("total_item_spend"), "total_option_spend"))
+    return (previous.unionByName(bought).unionByName(added).groupBy("user_id")
+            .agg(F.sum("total_item_spend").cast(SPEND_TYPE).alias("total_item_spend"),
+                 F.coalesce(F.sum("total_option_spend").cast(SPEND_TYPE), F.lit(0).cast(SPEND_TYPE))
+                 .alias("total_option_spend")))
+
+
+def unowned_options(options: DataFrame, owners: DataFrame) -> DataFrame:
+    """Options whose line has not landed yet."""
+    return options.join(owners.select("lineitem_id"), "lineitem_id", "left_anti").select(*options.columns)
+
+
+def clv_of_spend(spend: DataFrame, day: str) -> DataFrame:
+    """The daily table of lifetime values from the spend kept by ``update_spend``."""
+    return with_clv_segment(values_of(spend)).withColumn("as_of_date", F.lit(day).cast("date"))
+
+
 def seasonal_sales(items: DataFrame, date_dim: DataFrame) -> DataFrame:
-    """Daily revenue by weekend, holiday, month and weekday. Days without a sale do not count."""
+    """Daily revenue by weekend, holiday, month and weekday. Days without a sale do not count.
+
+    Sales of a day that the date dimension lacks, and sales without a time (as one more day),
+    are under the season "unknown", so each kind adds up to all revenue.
+    """
     daily = (items.groupBy(F.to_date("creation_time_utc").alias("date_key"))
              .agg(F.sum(item_revenue()).alias("revenue")))
     parts = {"weekend": "is_weekend", "holiday": "is_holiday", "month": "month", "weekday": "day_of_week"}
     seasons = F.array(*[F.struct(F.lit(kind).alias("season_kind"),
-                                 F.col(column).cast("string").alias("season_value"))
+                                 F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN)).alias("season_value"))
                         for kind, column in parts.items()])
-    return (daily.join(date_dim, "date_key").select("revenue", F.inline(seasons))
+    return (daily.join(date_dim, "date_key", "left").select("revenue", F.inline(seasons))
             .groupBy("season_kind", "season_value")
             .agg(F.count(F.lit(1)).alias("sales_days"),
                  F.sum("revenue").alias("total_revenue"),
@@ -64,14 +100,16 @@ def discount_net_revenue(items: DataFrame, options: DataFrame) -> DataFrame:
 def period_change(items: DataFrame) -> DataFrame:
     """Revenue per week and month with the change from the period before that had sales.
 
-    One row per calendar period remains when the window runs.
+    Sales without a time are one more row of each kind, without a start and a change, so each
+    kind adds up to all revenue. One row per calendar period remains when the window runs.
     """
     t = F.col("creation_time_utc")
     day = F.to_date(t)
-    daily = items.filter(t.isNotNull()).groupBy(day.alias("day")).agg(F.sum(item_revenue()).alias("revenue"))
+    daily = items.groupBy(day.alias("day")).agg(F.sum(item_revenue()).alias("revenue"))
     starts = F.array(*[F.struct(F.lit(kind).alias("period_kind"),
                                 F.trunc("day", kind).alias("period_start")) for kind in ("week", "month")])
-    previous = F.lag("total_revenue").over(Window.partitionBy("period_kind").orderBy("period_start"))
+    timed = F.col("period_start").isNotNull()
+    previous = F.lag("total_revenue").over(Window.partitionBy("period_kind", timed).orderBy("period_start"))
     return (daily.select("revenue", F.inline(starts).alias("period_kind", "period_start"))
             .groupBy("period_kind", "period_start").agg(F.sum("revenue").alias("total_revenue"))
             .withColumn("previous_revenue", previous)

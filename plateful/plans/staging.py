@@ -1,40 +1,13 @@
 """Written intermediate tables.
 
-A table that several later steps read is written once to the shared checkpoint folder and
-read back. Later steps then scan only the columns they need, and a lost executor costs a
-file read instead of the whole upstream job.
+A table that several later steps read can be computed once and written to the shared
+checkpoint folder. Later steps then start from the written rows, and a lost executor costs
+a file read instead of the whole upstream job.
 """
 
-import functools
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a local session without one gets a scratch folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_folder()
-
-
-@functools.cache
-def _local_folder():
-    return tempfile.mkdtemp(prefix="plateful-")
-
-
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` under the checkpoint folder and return the written table.
-
-    Like Spark's own checkpoints the table stays until the folder is cleaned.
-    """
-    return StagingArea(df.sparkSession).staged(df, label)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder for written intermediate tables: ``spark.checkpoint.dir``.
 
@@ -56,26 +29,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def lazy(df: DataFrame, label: str) -> DataFrame:
+def lazy(df: DataFrame) -> DataFrame:
     """Keep ``df`` as a plan; Spark recomputes it for each use it cannot share."""
     return df
-
-
-class StagingArea:
-    """Staged tables of one run, removed together when the ``with`` block ends."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.path = f"{checkpoint_root(spark)}/plateful/run-{uuid.uuid4().hex}"
-
-    def staged(self, df: DataFrame, label: str) -> DataFrame:
-        path = f"{self.path}/{label}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def __enter__(self):
-        return self
-
-    def __exit__(self, *failure):
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from plateful import schemas
 
+OTHER_CATEGORIES = "other categories"
+
 
 def segment_counts(segments: DataFrame) -> DataFrame:
     return _frequencies(segments, "rfm_segment", "Segment", "Total Customers")
@@ -21,10 +23,15 @@ def customer_roster(segments: DataFrame, rows: int = schemas.ROSTER_ROWS) -> Dat
 def revenue_timeline(trends: DataFrame, categories: list | None = None) -> DataFrame:
     """One row per date, one column per category, 0 where a category sold nothing.
 
-    Pass ``categories`` to fix the columns; otherwise Spark looks them up first, which its
-    ``spark.sql.pivotMaxValues`` setting bounds.
+    Spark looks the categories up first; their number is bounded by ``spark.sql.pivotMaxValues``,
+    beyond which it raises. Pass ``categories`` to fix the columns: what falls outside them
+    goes to one more column, ``OTHER_CATEGORIES``.
     """
     known = trends.filter(F.col("sales_date").isNotNull() & F.col("item_category").isNotNull())
+    if categories is not None:
+        listed = F.col("item_category").isin(categories)
+        known = known.withColumn("item_category", F.when(listed, F.col("item_category")).otherwise(OTHER_CATEGORIES))
+        categories = [*categories, OTHER_CATEGORIES]
     wide = known.groupBy("sales_date").pivot("item_category", categories).agg(F.sum("total_revenue"))
     cells = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(c) for c in wide.columns[1:]]
     return wide.orderBy("sales_date").select(F.col("sales_date").cast("string").alias("sales_date"), *cells)

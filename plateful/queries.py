@@ -5,7 +5,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from plateful.functions import cleansing
 from plateful.operators import audit, facts, gaps, keys, ranking
 from plateful.plans import customers, extensions, sales, views
-from plateful.plans.staging import staged
 from plateful.sources import testdata, text
 
 SPEND = ("user_id", "lineitem_id", "item_price", "item_quantity")
@@ -68,11 +67,13 @@ def load_audit(spark, sf):
 
 
 def preview(spark, sf):
-    return audit.preview(items(spark, sf))
+    return audit.preview(items(spark, sf), order_by=["lineitem_id"])
 
 
 def option_surrogate_id(spark, sf):
-    return keys.with_generated_id(options(spark, sf))
+    ids = keys.with_dense_id(options(spark, sf))
+    return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.count("id").alias("n_not_null"),
+                   F.min("id").alias("first_id"), F.max("id").alias("last_id"))
 
 
 def parse_boolean(spark, sf):
@@ -149,7 +150,7 @@ def recency_baseline(spark, sf):
 
 
 def order_gaps(spark, sf):
-    return gaps.order_gaps(staged(order_summary(spark, sf), "order_summary"))
+    return gaps.order_gaps(order_summary(spark, sf))
 
 
 def customer_rfm(spark, sf):
@@ -157,7 +158,7 @@ def customer_rfm(spark, sf):
 
 
 def clv_percent_rank(spark, sf):
-    values = staged(customers.customer_values(items(spark, sf, *SPEND), options(spark, sf)), "customer_values")
+    values = customers.customer_values(items(spark, sf, *SPEND), options(spark, sf))
     return ranking.with_percent_rank(values, "customer_lifetime_value", descending=True)
 
 
@@ -206,7 +207,7 @@ def view_customer_roster(spark, sf):
 
 
 def view_revenue_timeline(spark, sf):
-    return views.revenue_timeline(sales_trends(spark, sf), list(testdata.CATEGORIES))
+    return views.revenue_timeline(sales_trends(spark, sf))
 
 
 def view_hourly_demand(spark, sf):
@@ -232,6 +233,24 @@ def clv_as_of(spark, sf):
                                 "1998-06-30")
 
 
+def clv_daily_merge(spark, sf):
+    """The same day as ``clv_as_of``, from the spend kept the day before and what arrived since.
+
+    Discounts on older lines arrive late, with the day's own lines and their options.
+    """
+    lines = items(spark, sf, *SPEND, "creation_time_utc")
+    until = lines.filter(F.col("creation_time_utc") < F.lit("1998-07-01").cast("timestamp_ntz"))
+    start = F.lit("1998-06-30").cast("timestamp_ntz")
+    old, new = until.filter(F.col("creation_time_utc") < start), until.filter(F.col("creation_time_utc") >= start)
+    own = options(spark, sf)
+    late = F.col("option_group_name") == "promo"
+    before = facts.customer_spend(old, own.filter(~late))
+    arrived = (own.filter(late).join(old.select("lineitem_id"), "lineitem_id", "left_semi")
+               .unionByName(own.join(new.select("lineitem_id"), "lineitem_id", "left_semi")))
+    spend = extensions.update_spend(before, new, arrived, until.select("lineitem_id", "user_id"))
+    return extensions.clv_of_spend(spend, "1998-06-30")
+
+
 def seasonal_sales(spark, sf):
     return extensions.seasonal_sales(
         items(spark, sf, "creation_time_utc", "item_price", "item_quantity"), testdata.date_dim(spark, sf))
@@ -260,5 +279,5 @@ QUERIES = [
     customer_lifetime_value, customer_segments, sales_trends, loyalty_impact, location_performance,
     discount_effectiveness, view_segment_counts, view_churn_counts, view_customer_roster,
     view_revenue_timeline, view_hourly_demand, view_loyalty, view_location_league, view_discount,
-    clv_as_of, seasonal_sales, location_extremes, discount_net_revenue, period_change,
+    clv_as_of, clv_daily_merge, seasonal_sales, location_extremes, discount_net_revenue, period_change,
 ]

@@ -4,6 +4,8 @@ from pyspark.sql import types as T
 
 PRICE = T.DecimalType(10, 2)
 
+# Names, order and types of the raw tables.
+
 DATE_DIM = T.StructType([
     T.StructField("date_key", T.DateType()),
     T.StructField("year", T.IntegerType()),
@@ -48,6 +50,10 @@ RAW_TABLES = {
     "order_item_options_raw": ORDER_ITEM_OPTIONS,
 }
 
+# Raw tables landed in one folder per day: the folder column and the time it is the day of.
+DAY_FOLDERS = {"order_items_raw": ("creation_day", "creation_time_utc")}
+
+# Names, order and types of the metric tables.
 METRICS = {
     "customer_lifetime_value":
         "user_id string, customer_lifetime_value decimal(33,2), clv_segment string",

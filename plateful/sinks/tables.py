@@ -1,6 +1,6 @@
 """Full-refresh writes and catalog tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plateful import schemas
 
@@ -12,6 +12,9 @@ def write_table(df: DataFrame, base: str, name: str) -> str:
     """Replace the folder ``base/name`` with ``df``; running it again gives the same table."""
     path = f"{base.rstrip('/')}/{name}"
     folders = FOLDERS.get(name, [])
+    if name in schemas.DAY_FOLDERS:
+        day, time = schemas.DAY_FOLDERS[name]
+        df, folders = df.withColumn(day, F.to_date(time)), [day]
     if folders:
         # One task per folder, uneven folders split, instead of every task writing to each one.
         df = df.hint("rebalance", *folders)

@@ -1,18 +1,25 @@
 """Columnar tables by name."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from plateful import schemas
 
 
-def read_raw(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """A landed raw table with its declared schema; a missing folder raises."""
+def read_raw(spark: SparkSession, base: str, table: str, day: str | None = None) -> DataFrame:
+    """A landed raw table with its declared schema; a missing folder raises.
+
+    ``day`` reads only that day of a table landed in day folders.
+    """
     schema = schemas.RAW_TABLES[table]
-    return spark.read.schema(schema).parquet(f"{base.rstrip('/')}/{table}").select(*schema.names)
+    rows = spark.read.schema(schema).parquet(f"{base.rstrip('/')}/{table}")
+    if day is not None:
+        rows = rows.filter(F.col(schemas.DAY_FOLDERS[table][0]) == F.lit(day).cast("date"))
+    return rows.select(*schema.names)
 
 
 def read_metric(spark: SparkSession, base: str, name: str) -> DataFrame:
     """A metric table with its contract schema; unknown or missing tables raise."""
     if name not in schemas.METRICS:
         raise KeyError(f"unknown metric table {name!r}, expected one of {sorted(schemas.METRICS)}")
-    return spark.read.schema(schemas.METRICS[name]).parquet(f"{base.rstrip('/')}/{name}")
+    rows = spark.read.schema(schemas.METRICS[name]).parquet(f"{base.rstrip('/')}/{name}")
+    return rows.select(*T.StructType.fromDDL(schemas.METRICS[name]).names)

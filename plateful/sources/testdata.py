@@ -7,9 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plateful import schemas
 
-CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-
-
 TABLES = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
                 " l_extendedprice double, l_discount double, l_tax double, l_shipdate timestamp_ntz",
@@ -112,9 +109,9 @@ def date_dim_text(spark, sf_dir) -> DataFrame:
     return orders.select(
         F.when(key % 97 == 0, F.date_format(day, "yyyy/MM/dd")).otherwise(
             F.date_format(day, "dd-MM-yyyy")).alias("date_key"),
-        F.year(day).cast("string").alias("year"),
+        F.when(key % 101 == 0, "20x4").otherwise(F.year(day).cast("string")).alias("year"),
         F.when(key % 11 == 0, "").otherwise(F.month(day).cast("string")).alias("month"),
-        F.when(key % 7 == 0, "").otherwise(F.weekofyear(day).cast("string")).alias("week"),
+        F.when(key % 7 == 0, "").when(key % 103 == 0, "wk").otherwise(F.weekofyear(day).cast("string")).alias("week"),
         weekday.alias("day_of_week"),
         flag_text(weekday.isin("Saturday", "Sunday"), key).alias("is_weekend"),
         flag_text(F.col("o_orderpriority") == "1-URGENT", key).alias("is_holiday"),

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from plateful import schemas
 from plateful.functions.cleansing import (blank_to_null, parse_boolean, parse_date, parse_decimal,
                                           parse_integer, parse_timestamp, plain_text)
-from plateful.operators.keys import first_by_key, with_generated_id
+from plateful.operators.keys import first_by_key, with_dense_id
 
 # Where a row stands in its input: file, split of the file, row of the split.
 FILE_ORDER = ["_file", "_block", "_row"]
@@ -81,11 +81,11 @@ RULES = {
 }
 
 
-def type_text(text: DataFrame, table: str, strict: bool = False) -> DataFrame:
+def type_text(text: DataFrame, table: str, strict: bool = False, first_id: int = 1) -> DataFrame:
     """Typed rows of a text table with ``FILE_ORDER`` columns: the first row per key, or all with an id."""
     clean, key = RULES[table]
     typed = clean(text, strict)
-    typed = first_by_key(typed, key, FILE_ORDER) if key else with_generated_id(typed)
+    typed = first_by_key(typed, key, FILE_ORDER) if key else with_dense_id(typed, "id", first_id)
     return typed.select(*schemas.RAW_TABLES[table].names)
 
 

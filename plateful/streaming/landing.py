@@ -1,48 +1,79 @@
 """Incremental landing: each run adds the text files that arrived since the last one.
 
 The files are a Structured Streaming source, so its checkpoint remembers which were read.
-Every micro-batch is one folder of the landed table, replaced as a whole if a batch is
-replayed after a failure.
+Every micro-batch is one folder of the landed table, named by the stream's own id and the
+batch, and replaced as a whole if the batch is replayed after a failure.
 """
 
+from threading import Event
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plateful import schemas
 from plateful.sources.text import RULES, text_reader, type_text, with_file_place
 
-# Room for the generated ids of one batch: up to 2**16 tasks of 2**33 rows.
-IDS_PER_BATCH = 2 ** 49
-
 
 def land_new_files(spark: SparkSession, source: str, table: str, raw_base: str, checkpoint: str, *,
                    strict: bool = False, **how) -> None:
     """Clean the new files in the folder ``source`` and add them to the landed table, then stop.
 
-    A row whose key was landed before is skipped: the first row wins, as in a full load.
+    A row whose key was landed before is skipped: the first row wins, as in a full load. Tables
+    without a key get dense ids that go on after the largest landed one. A new checkpoint would
+    read files again that were landed under the old one, so it is refused where the table exists.
     """
     path = f"{raw_base.rstrip('/')}/{table}"
+    if _exists(spark, path) and not _exists(spark, f"{checkpoint.rstrip('/')}/metadata"):
+        raise ValueError(f"{path} was landed with another checkpoint than {checkpoint}")
+    started, stream_id = Event(), []
 
     def add(batch: DataFrame, batch_id: int) -> None:
+        started.wait()
         text = batch.withColumn("_row", F.monotonically_increasing_id())
-        rows = type_text(text, table, strict).persist()
-        _unseen(rows, path, table, batch_id).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        others = _landed(batch.sparkSession, path, table, stream_id[0], batch_id)
+        rows = _new_rows(text, table, strict, others)
+        rows.write.mode("overwrite").parquet(f"{path}/stream_id={stream_id[0]}/batch_id={batch_id}")
         rows.unpersist()
 
     stream = with_file_place(text_reader(spark.readStream, table, **how).csv(source))
-    (stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+    query = (stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    stream_id.append(str(query.id))
+    started.set()
+    query.awaitTermination()
+
+
+def _exists(spark, path):
+    try:
+        spark.read.text(path)
+        return True
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def _landed(spark, path, table, stream_id, batch_id):
+    """The key (or id) of all rows landed by other batches; None before the first."""
+    key = RULES[table][1] or "id"
+    if not _exists(spark, path):
+        return None
+    kind = schemas.RAW_TABLES[table][key].dataType.simpleString()
+    rows = spark.read.schema(f"{key} {kind}, stream_id string, batch_id bigint").parquet(path)
+    own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
+    return rows.filter(~own).select(key)
 
 
-def _unseen(rows, path, table, batch_id):
+def _new_rows(text, table, strict, landed):
     key = RULES[table][1]
     if key is None:
-        return rows.withColumn("id", F.col("id") + F.lit(batch_id * IDS_PER_BATCH).cast("bigint"))
-    if batch_id == 0:
+        last = landed and landed.agg(F.max("id")).first()[0]
+        return type_text(text, table, strict, first_id=(last or 0) + 1)
+    rows = type_text(text, table, strict)
+    if landed is None:
         return rows
-    landed = rows.sparkSession.read.schema(f"{key} {schemas.RAW_TABLES[table][key].dataType.simpleString()},"
-                                           " batch_id bigint").parquet(path)
-    # The new keys are the small side: where Spark can broadcast them, the landed history is
-    # only scanned for its key and never shuffled.
-    seen = (landed.filter(F.col("batch_id") < batch_id).select(key)
-            .join(rows.select(key), key, "left_semi").distinct())
+    # The new rows serve twice. Their keys are the small side: where Spark can broadcast them,
+    # the landed history is only scanned for its key and never shuffled.
+    rows = rows.persist()
+    seen = landed.join(rows.select(key), key, "left_semi").distinct()
     return rows.join(seen, key, "left_anti").select(*rows.columns)

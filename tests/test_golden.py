@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 from plateful import schemas
 from plateful.operators import facts, ranking
 from plateful.plans import batch, customers, sales, views
-from plateful.plans.staging import lazy, staged
+from plateful.plans.staging import checkpointed, lazy
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +17,7 @@ def tables(spark):
     return golden.items(spark).cache(), golden.options(spark).cache()
 
 
-@pytest.mark.parametrize("stage", [lazy, staged])
+@pytest.mark.parametrize("stage", [lazy, checkpointed])
 def test_customer_lifetime_value(tables, stage):
     assert golden.rows_of(customers.customer_lifetime_value(*tables, stage=stage)) == golden.CLV
 
@@ -27,7 +27,7 @@ def test_clv_percent_rank(tables):
     assert {r.user_id: r.percent_rank for r in ranked.collect()} == golden.CLV_RANKS
 
 
-@pytest.mark.parametrize("stage", [lazy, staged])
+@pytest.mark.parametrize("stage", [lazy, checkpointed])
 def test_customer_segments(tables, stage):
     assert golden.rows_of(customers.customer_segments(tables[0], stage=stage)) == golden.SEGMENTS
 
@@ -137,6 +137,12 @@ def test_views(tables):
     assert timeline.columns == ["sales_date", "Drink", "Food"]
     assert [tuple(r) for r in timeline.collect()] == [
         ("2023-11-17", 0.0, 7.0), ("2023-11-18", 0.0, 30.0), ("2024-01-01", 7.0, 20.0), ("2024-01-02", 0.0, 11.0)]
+    cells = timeline.select(F.col("Drink") + F.col("Food")).groupBy().sum().first()[0]
+    known = metrics["sales_trends"].filter("item_category IS NOT NULL").agg(F.sum("total_revenue")).first()[0]
+    assert cells == float(known)
+    listed = views.revenue_timeline(metrics["sales_trends"], ["Food", "Soup"])
+    assert listed.columns == ["sales_date", "Food", "Soup", views.OTHER_CATEGORIES]
+    assert [tuple(r)[1:] for r in listed.collect()][2] == (20.0, 0.0, 7.0)
     assert [tuple(r) for r in views.hourly_demand(metrics["sales_trends"]).collect()] == [
         (0, 1), (8, 1), (9, 1), (10, 1), (12, 2), (23, 2)]
     assert {r.is_loyalty for r in views.loyalty_comparison(metrics["loyalty_impact"]).collect()} == \

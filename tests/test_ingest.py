@@ -2,19 +2,17 @@
 
 from datetime import date, datetime
 from decimal import Decimal
-from pathlib import Path
-from types import SimpleNamespace
 
 import golden
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from plateful import schemas
 from plateful.functions import cleansing
 from plateful.operators import audit, facts, keys
 from plateful.plans import batch, customers, extensions, sales
-from plateful.plans.staging import StagingArea, checkpoint_root, staged
+from plateful.plans.staging import checkpointed, shared_folder
 from plateful.sinks import tables as sinks
 from plateful.sources import jdbc, tables as sources, text
 
@@ -67,9 +65,7 @@ def test_order_items(spark, tmp_path):
     strict = {r.lineitem_id: r for r in text.load_text(spark, path, "order_items_raw", strict=True).collect()}
     assert strict["l2"].item_price is None and strict["l3"].item_quantity is None
 
-    report = audit.audit_table("order_items_raw", text.read_text(spark, path, "order_items_raw"),
-                               text.clean_order_items, "lineitem_id",
-                               ["creation_time_utc", "item_price", "item_quantity"]).first()
+    report = audit.audit_text("order_items_raw", text.read_text(spark, path, "order_items_raw")).first()
     assert tuple(report) == ("order_items_raw", 4, 3, 0, 4)
 
 
@@ -78,7 +74,7 @@ def test_options_follow_the_column_order_and_get_an_id(spark, tmp_path):
     rows = text.load_text(spark, path, "order_item_options_raw").orderBy("id").collect()
     assert [(r.order_id, r.option_name, r.option_price) for r in rows] == [
         ("o1", "Large", Decimal("1.50")), ("o1", "Ten off", Decimal("-10.00"))]
-    assert len({r.id for r in rows}) == 2
+    assert [r.id for r in rows] == [1, 2]
 
 
 def test_first_row_wins_over_many_splits_and_files(spark, tmp_path):
@@ -120,9 +116,28 @@ def test_parse_timestamp_does_not_depend_on_the_session_zone(spark, given, want)
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
-def test_generated_ids_are_unique(spark):
-    rows = keys.with_generated_id(spark.range(1000).repartition(7).drop("id").withColumn("x", F.lit(1)))
-    assert rows.select("id").distinct().count() == 1000
+def test_ids_are_dense_in_row_order(spark):
+    rows = keys.with_dense_id(spark.range(1000).withColumnRenamed("id", "x").repartition(7), "id", 51)
+    assert sorted(r.id for r in rows.collect()) == list(range(51, 1051))
+
+
+def test_positions_in_groups_are_dense_and_ordered(spark):
+    rows = spark.range(2000).select(F.when(F.col("id") % 7 < 4, 0).when(F.col("id") % 7 < 6, F.col("id") % 5).alias("g"),
+                                    (F.col("id") % 97).alias("v")).repartition(5)
+    groups = {}
+    for r in keys.with_positions(rows, ["g"], ["v"]).collect():
+        groups.setdefault(r.g, []).append((r.position, r.v))
+    for group in groups.values():
+        group.sort()
+        assert [p for p, _ in group] == list(range(len(group)))
+        assert [v for _, v in group] == sorted(v for _, v in group)
+
+
+def test_numbering_holds_for_very_many_tasks(spark):
+    """The place of a row has its task above bit 33; task 70,000 of one batch must not meet another batch."""
+    places = [(task << 33) + row for task in (0, 1, 65_535, 65_536, 70_000, 800_000) for row in range(3)]
+    rows = keys.numbered(spark.createDataFrame([(p,) for p in places], "_id long").repartition(3), [], "n")
+    assert {r["_id"]: r["n"] for r in rows.collect()} == {p: i for i, p in enumerate(places)}
 
 
 def test_text_to_metrics_end_to_end_twice(spark, tmp_path):
@@ -138,12 +153,21 @@ def test_text_to_metrics_end_to_end_twice(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "metrics")
     results = []
     for _ in range(2):
-        batch.land_text(spark, paths, raw)
+        landed = batch.land_text(spark, paths, raw)
+        assert {t: x[1:] for t, x in landed.items()} == {
+            "order_items_raw": (8, 8, 0, 1), "order_item_options_raw": (5, 5, 0, 0), "date_dim_raw": (1, 1, 0, 0)}
         assert sources.read_raw(spark, raw, "date_dim_raw").count() == 1
         written = batch.run_metrics(spark, raw, out)
         assert set(written) == set(schemas.METRICS)
         results.append({name: golden.rows_of(sources.read_metric(spark, out, name)) for name in written})
+        for name in written:
+            want = T._parse_datatype_string(schemas.METRICS[name])
+            assert [(f.name, f.dataType) for f in sources.read_metric(spark, out, name).schema] == \
+                [(f.name, f.dataType) for f in want]
     assert results[0] == results[1]
+    shown = batch.run_views(spark, out, str(tmp_path / "views"))
+    assert set(shown) == set(batch.VIEWS)
+    assert golden.rows_of(spark.read.parquet(shown["segment_counts"])) == {("Regular Customer", 4), ("VIP", 1)}
     d = golden.d
     # Blank and missing users are both blank in text, a blank price is 0. Five customers
     # rank at 0, 1/4, 2/4, 3/4 and 1, so the second is beyond the top fifth.
@@ -194,6 +218,23 @@ def test_scans_read_only_what_they_need(spark, tmp_path, capsys):
     assert "LessThan(creation_time_utc,2024-01-02T00:00)" in as_of
 
 
+def test_items_land_in_day_folders_that_a_day_prunes(spark, tmp_path):
+    base = str(tmp_path)
+    sinks.land_tables({"order_items_raw": golden.items(spark)}, base)
+    day = sources.read_raw(spark, base, "order_items_raw", day="2024-01-01")
+    assert {r.lineitem_id for r in day.collect()} == {"l1", "l2", "l7", "l8"}
+    assert "PartitionFilters: [isnotnull(creation_day" in day._jdf.queryExecution().toString()
+    assert sources.read_raw(spark, base, "order_items_raw").columns == schemas.ORDER_ITEMS.names
+
+
+def test_audit_counts_unreadable_but_not_blank_years_and_weeks(spark, tmp_path):
+    header = ",".join(schemas.DATE_DIM.names)
+    path = write(tmp_path / "dates.csv", header, "01-01-2024,20x4,1,wk,Monday,False,True,",
+                 "02-01-2024,,1,,Tuesday,False,False,", "03-01-2024,2024,x,1,Wednesday,False,False,", "bad,2024,1,1,,,,")
+    row = audit.audit_text("date_dim_raw", text.read_text(spark, path, "date_dim_raw")).first()
+    assert tuple(row) == ("date_dim_raw", 4, 3, 1, 4)
+
+
 def test_missing_tables_raise(spark, tmp_path):
     with pytest.raises(KeyError):
         sources.read_metric(spark, str(tmp_path), "nothing")
@@ -218,18 +259,10 @@ def test_catalog_tables_reload_and_bucketed_joins_do_not_shuffle(spark):
     assert golden.rows_of(customers.customer_lifetime_value(items, options)) == golden.CLV
 
 
-def test_staged_tables_live_in_the_session_checkpoint_folder(spark):
-    kept = staged(spark.range(5), "five")
-    assert kept.count() == 5
-    assert f"{checkpoint_root(spark)}/plateful/" in kept.inputFiles()[0]
-    assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
-
-
-def test_a_staging_area_removes_its_tables(spark):
-    with StagingArea(spark) as area:
-        assert area.staged(spark.range(5), "five").count() == 5
-        assert Path(area.path, "five").is_dir()
-    assert not Path(area.path).exists()
+def test_written_tables_live_in_the_session_checkpoint_folder(spark):
+    kept = checkpointed(spark.range(5))
+    assert kept.count() == 5 and shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) in spark.sparkContext.getCheckpointDir()
 
 
 def test_copied_tables_get_the_declared_types(spark):
@@ -240,6 +273,8 @@ def test_copied_tables_get_the_declared_types(spark):
 
 
 def test_jdbc_reads_are_split():
+    assert jdbc.jdbc_options("jdbc:mysql://h/d", "t", {})["useCursorFetch"] == "true"
+    assert "useCursorFetch" not in jdbc.jdbc_options("jdbc:postgresql://h/d", "t", {})
     options = jdbc.jdbc_options("jdbc:x", "order_items_raw", {"user": "u"}, column="creation_time_utc",
                                 lower=datetime(2024, 1, 1), upper=datetime(2024, 2, 1), partitions=8)
     assert options["partitionColumn"] == "creation_time_utc" and options["numPartitions"] == "8"
@@ -249,14 +284,19 @@ def test_jdbc_reads_are_split():
         jdbc.jdbc_options("jdbc:x", "t", {}, column="id", lower=1, upper=2)
 
 
-@pytest.mark.parametrize("master, root", [("local[2]", None), ("spark://host:1", "hdfs://x/c/"), ("yarn", None)])
-def test_only_a_local_session_may_use_its_own_folder(master, root):
-    settings = {"spark.master": master, "spark.checkpoint.dir": root}
-    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key) or default))
-    if root:
-        assert checkpoint_root(session) == "hdfs://x/c"
-    elif master == "yarn":
-        with pytest.raises(ValueError):
-            checkpoint_root(session)
-    else:
-        assert Path(checkpoint_root(session)).is_dir()
+def test_jdbc_reads_take_predicates_or_ranges(spark, monkeypatch):
+    seen = {}
+
+    def read(session, url, table, properties, *, partitions, predicates):
+        seen[table] = (partitions, predicates)
+        return {"order_items_raw": golden.items, "order_item_options_raw": golden.options}[table](session)
+
+    monkeypatch.setattr(batch, "read_jdbc", read)
+    monkeypatch.setattr(batch, "land_tables", lambda tables, base: dict.fromkeys(tables, base))
+    monkeypatch.setattr(batch, "read_raw", lambda session, base, table: read(session, "", table, {}, partitions=8, predicates=seen[table][1]))
+    tables = ("order_items_raw", "order_item_options_raw")
+    landed = batch.land_jdbc(spark, "jdbc:x", {}, "raw", partitions=8, tables=tables, predicates={"order_items_raw": ["a", "b"]})
+    assert seen == {"order_items_raw": (8, ["a", "b"]), "order_item_options_raw": (8, None)}
+    assert landed["order_items_raw"] == ("raw", 8, 8, 0, 0)
+    with pytest.raises(TypeError):
+        batch.land_jdbc(spark, "jdbc:x", {}, "raw")

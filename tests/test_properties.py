@@ -2,14 +2,14 @@
 
 import random
 from datetime import datetime, timedelta
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import golden
 import pytest
 from pyspark.sql import Window, functions as F
 
 from plateful.operators import facts, gaps, ranking
-from plateful.plans import batch, customers, sales
+from plateful.plans import batch, customers, extensions, sales
 from plateful.plans.staging import lazy
 
 START = datetime(2024, 1, 1)
@@ -125,14 +125,25 @@ def test_metrics_do_not_depend_on_input_partitions(spark):
 def test_means_from_sums_and_counts_equal_the_built_in_average(spark, seed):
     """Random prices give means that need rounding; results and types must be the average's."""
     items, options = random_tables(spark, seed)
-    revenue = F.col("item_price") * F.col("item_quantity")
-    want = items.groupBy("is_loyalty").agg(
-        F.round(F.avg(revenue), 2).alias("a"), F.countDistinct("order_id").alias("o"),
-        F.countDistinct("user_id").alias("u"),
-        F.round(F.try_divide(F.sum(revenue), F.countDistinct("user_id")), 2).alias("s"))
-    got = sales.loyalty_impact(items)
-    assert golden.rows_of(got) == golden.rows_of(want)
-    assert [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    rows = items.collect()
+
+    def mean(total, n):
+        """Half-up by way of six digits."""
+        return (total / n).quantize(Decimal("1e-6"), ROUND_HALF_UP).quantize(Decimal("0.01"), ROUND_HALF_UP)
+
+    want, places = set(), set()
+    for flag in {r.is_loyalty for r in rows}:
+        group = [r for r in rows if r.is_loyalty == flag]
+        spent = [r.item_price * r.item_quantity for r in group if r.item_price is not None]
+        users = {r.user_id for r in group if r.user_id is not None}
+        want.add((flag, mean(sum(spent), len(spent)), len({r.order_id for r in group}), len(users), mean(sum(spent), len(users))))
+    for place in {r.restaurant_id for r in rows}:
+        group = [r for r in rows if r.restaurant_id == place]
+        spent = [r.item_price * r.item_quantity for r in group if r.item_price is not None]
+        places.add((place, sum(spent), len({r.order_id for r in group}), mean(sum(spent), len(spent))))
+    for lines in (items, facts.item_facts(items)):
+        assert golden.rows_of(sales.loyalty_impact(lines)) == want
+        assert golden.rows_of(sales.location_performance(lines)) == places
 
     flagged = facts.with_discount_flag(facts.order_summary(items), options)
     want = flagged.groupBy("is_discounted").agg(
@@ -141,3 +152,60 @@ def test_means_from_sums_and_counts_equal_the_built_in_average(spark, seed):
     got = sales.discount_effectiveness(items, options)
     assert golden.rows_of(got) == golden.rows_of(want)
     assert [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+
+
+@pytest.mark.parametrize("seed", [10, 11])
+def test_metrics_from_shared_facts_equal_those_from_the_items(spark, seed):
+    items, options = random_tables(spark, seed)
+    lines = facts.item_facts(items)
+    for metric in (sales.sales_trends, sales.loyalty_impact, sales.location_performance):
+        assert golden.rows_of(metric(lines)) == golden.rows_of(metric(items))
+        assert metric(lines).schema.simpleString() == metric(items).schema.simpleString()
+    assert golden.rows_of(sales.discount_effectiveness(lines, options)) == golden.rows_of(sales.discount_effectiveness(items, options))
+    assert golden.rows_of(customers.customer_segments(lines)) == golden.rows_of(customers.customer_segments(items))
+
+
+@pytest.mark.parametrize("seed", [12, 13])
+def test_daily_merge_with_late_options_equals_a_full_run(spark, seed):
+    items, options = random_tables(spark, seed)
+    # Line ids are a primary key here; a line lands on the day of its number, a third of the options a day later.
+    items = items.dropDuplicates(["lineitem_id"]).withColumn("day", F.pmod(F.xxhash64("lineitem_id"), F.lit(3))).cache()
+    options = (options.join(items.select("lineitem_id", "day"), "lineitem_id", "left").cache()
+               .withColumn("arrives", F.coalesce("day", F.lit(0)) + F.when(F.col("option_quantity") == 1, 1).otherwise(0)).cache())
+    own = items.select("lineitem_id", "user_id", "day")
+    spend = facts.customer_spend(items.filter("day = 0"), options.filter("arrives = 0"))
+    for day in (1, 2, 3):
+        landed = own.filter(F.col("day") <= day)
+        spend = extensions.update_spend(spend, items.filter(F.col("day") == day), options.filter(F.col("arrives") == day), landed)
+    assert golden.rows_of(spend) == golden.rows_of(facts.customer_spend(items, options))
+    orphans = extensions.unowned_options(options, own)
+    assert orphans.count() == options.filter("day is null").count() > 0
+
+
+def test_no_revenue_is_lost_to_missing_days_or_times(spark):
+    items, _ = random_tables(spark, 14)
+    total = items.agg(F.sum(F.col("item_price") * F.col("item_quantity"))).first()[0]
+    dates = spark.createDataFrame([("2024-01-01", 1, "Monday", False, True)],
+                                  "date_key string, month int, day_of_week string, is_weekend boolean, is_holiday boolean")
+    seasons = extensions.seasonal_sales(items, dates.withColumn("date_key", F.to_date("date_key"))).collect()
+    for kind in ("weekend", "holiday", "month", "weekday"):
+        assert sum(r.total_revenue for r in seasons if r.season_kind == kind) == total
+        assert extensions.UNKNOWN in {r.season_value for r in seasons if r.season_kind == kind}
+    periods = extensions.period_change(items).collect()
+    for kind in ("week", "month"):
+        own = sorted((r for r in periods if r.period_kind == kind), key=lambda r: (r.period_start is not None, r.period_start or START.date()))
+        assert sum(r.total_revenue for r in own) == total
+        assert own[0].period_start is None and own[0].previous_revenue is None and own[1].previous_revenue is None
+
+
+def test_items_are_shuffled_once_by_line(spark, capsys):
+    items, options = random_tables(spark, 15)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (facts.customer_spend(items, options), facts.customer_option_spend(items, options),
+                   facts.options_with_user(items, options), customers.customer_values(items, options)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert sum("hashpartitioning(lineitem_id" in line for line in plan.splitlines()) == 2  # items and options
+            assert sum("hashpartitioning(user_id" in line for line in plan.splitlines()) <= 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
