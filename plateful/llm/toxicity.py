@@ -36,9 +36,9 @@ _OUT = -30.0
 class Sample(NamedTuple):
     """Bounds of the labelled sample: documents per label, and the longest text in it."""
 
-    toxic: int = 3000
-    clean: int = 6000
-    max_chars: int = 30_000
+    toxic: int = 1500
+    clean: int = 3000
+    max_chars: int = 10_000
 
 
 def features(word: str) -> list[str]:
@@ -56,13 +56,12 @@ def toxic_marks(texts: list[list[str]], toxic: np.ndarray) -> set[str]:
     """Marks that tell toxic texts from clean ones."""
     n_toxic, n_clean = int(toxic.sum()), int((~toxic).sum())
     where, clean = defaultdict(set), Counter()
-    for i, words in enumerate(texts):
-        found = {m for w in set(words) for m in marks(w)}
-        if toxic[i]:
-            for m in found:
-                where[m].add(i)
-        else:
-            clean.update(found)
+    for i in np.flatnonzero(toxic).tolist():
+        for m in {m for w in set(texts[i]) for m in marks(w)}:
+            where[m].add(i)
+    where = {m: rows for m, rows in where.items() if len(rows) > 2}
+    for i in np.flatnonzero(~toxic).tolist():
+        clean.update({m for w in set(texts[i]) for m in marks(w)} & where.keys())
 
     def gain(k, c, of):
         """Log-likelihood gain of a mark in k of ``of`` toxic and c clean texts over one that ignores the label."""
@@ -73,7 +72,7 @@ def toxic_marks(texts: list[list[str]], toxic: np.ndarray) -> set[str]:
     # A chance mark must not pass: the gain needed grows with the number of marks to choose from.
     least = np.log(max(len(where), 2)) + 2
     pure = {m: rows for m, rows in where.items()
-            if len(rows) > 2 and clean[m] <= 0.02 * len(rows) * max(1.0, n_clean / n_toxic)}
+            if clean[m] <= 0.02 * len(rows) * max(1.0, n_clean / n_toxic)}
     # A word that near copies share stands between the same words in all of them.
     places = defaultdict(set)
     for i in np.flatnonzero(toxic).tolist():
@@ -105,7 +104,7 @@ class Model(NamedTuple):
 
 
 def forward_backward(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of state 1 (chains, words), and the expected moves 0 to 1, 1 to 0 and 1 to 1 per chain."""
+    """Marginals of state 1 (chains, words), and the expected moves (0 to 1, 1 to 0 and 1 to 1; chains)."""
     node = np.exp(np.clip(scores, _OUT, -_OUT))
     enter, leave, stay = np.exp(moves)
     n, size = node.shape
@@ -233,7 +232,8 @@ def train(texts: list[str], toxic: list[int]) -> Model | None:
     label = np.array(toxic, dtype=bool)
     if not label.any() or label.all():
         return None
-    words = [_WORDS.findall(t) for t in texts]
+    known = {}
+    words = [[known.setdefault(w, w) for w in _WORDS.findall(t)] for t in texts]
     # Near copies share their longest line; one of them is enough to find marks.
     first = {}
     for i, t in enumerate(texts):
