@@ -1,0 +1,103 @@
+import pytest
+
+from plateful.llm import language
+from tests.llm.cases import clashing, frame
+
+SAMPLES = {
+    "en": "the house of the old man is near the river and the garden with the trees that grow there in the summer rain",
+    "de": "das haus des alten mannes steht nicht weit vom fluss und der garten mit den bäumen wächst dort im sommerregen auch",
+    "fr": "la maison du vieil homme est près de la rivière et le jardin avec les arbres qui poussent sous la pluie",
+}
+PAGES = "page_id long, url string, html string"
+
+
+def documents(spark):
+    return frame(spark, [(i, SAMPLES[lang], lang, "s", 0) for i, lang in enumerate([*SAMPLES] * 20)] + [(90, None, "en", None, None), (91, "x", None, None, None)])
+
+
+def page(text, lang=None, ad=""):
+    return f"<html{f' lang={chr(34)}{lang}{chr(34)}' if lang else ''}><nav>{ad}</nav><script>var the = 1;</script><article>{text}</article></html>"
+
+
+def identified(spark, rows):
+    pages = spark.createDataFrame(rows, PAGES).repartition(3)
+    return {r["page_id"]: r for r in language.identify(pages, documents(spark)).collect()}
+
+
+def corpus():
+    rows, hosts = [], {"en": "a.example.com", "de": "b.beispiel.de", "fr": "c.exemple.fr"}
+    for i in range(90):
+        lang = [*SAMPLES][i % 3]
+        words = SAMPLES[lang].split()
+        text = " ".join(words[i % 7:] + words[:i % 7])
+        rows.append((i, f"https://{hosts[lang]}/{i}", page(text, lang, SAMPLES["en"])))
+    return rows
+
+
+def test_text_decides_against_wrong_claims(spark):
+    rows = corpus() + [(500, "https://b.beispiel.de/x", page(SAMPLES["fr"], "de"))]
+    found = identified(spark, rows)
+    assert all(found[i]["language"] == [*SAMPLES][i % 3] for i in range(90))
+    assert found[500]["language"] == "fr" and found[500]["declared"] == "de"
+
+
+def test_claim_and_host_decide_where_text_is_short(spark):
+    rows = corpus() + [(501, "https://b.beispiel.de/x", page("", None)), (502, "https://new.org/", page("", "fr")),
+                       (503, "https://x.exemple.fr/", page("", None)), (504, None, None)]
+    found = identified(spark, rows)
+    assert [found[i]["language"] for i in (501, 502, 503)] == ["de", "fr", "fr"]
+    assert found[501]["probability"] < 1 and found[504]["host"] is None
+
+
+def test_own_text_is_not_its_own_prior(spark):
+    rows = corpus() + [(505, "https://alone.example/", page("haus", None))]
+    found = identified(spark, rows)
+    assert found[505]["suffix"] == "example" and 0 < found[505]["probability"] <= 1
+
+
+def test_posterior_matches_plain_formula(spark):
+    rows = corpus() + [(506, "https://b.beispiel.de/y", page("die maison", "fr"))]
+    pages = spark.createDataFrame(rows, PAGES)
+    model = language.fit([(lang, text) for lang, text in SAMPLES.items() for _ in range(20)])
+    seen = language.evidence(pages, model).collect()
+    whole = [sum(r["text"][k] for r in seen) for k in range(3)]
+    corpus_share = [(w + 1 / 3) / (sum(whole) + 1) for w in whole]
+    own = next(r for r in seen if r["page_id"] == 506)
+
+    def others(key, value):
+        return [sum(r["text"][k] for r in seen if r[key] == value and r["page_id"] != 506) for k in range(3)]
+
+    def smooth(own_sums, above, weight):
+        return [(x + weight * a) / (sum(own_sums) + weight) for x, a in zip(own_sums, above)]
+
+    prior = smooth(others("host", own["host"]), smooth(others("domain", own["domain"]), corpus_share, 20.0), 5.0)
+    claim = [(x + c) / (w + 5) for x, c, w in zip(others("declared", "fr"), corpus_share, whole)]
+    suffix = [(x + c) / (w + 4) for x, c, w in zip(others("suffix", "de"), corpus_share, whole)]
+    joint = [t * p * c * s for t, p, c, s in zip(own["text"], prior, claim, suffix)]
+    found = language.fuse(language.evidence(pages, model), model.languages).filter("page_id = 506").first()
+    assert found["posterior"] == pytest.approx([j / sum(joint) for j in joint], rel=1e-6)
+
+
+@pytest.mark.parametrize("url, expected", [
+    ("https://user:pw@Www.Example.COM:8080/a?b#c", ("www.example.com", "example.com", "com")),
+    ("http://localhost", ("localhost", "localhost", "localhost")), ("//x.de/", (None,) * 3), ("", (None,) * 3), (None, (None,) * 3),
+    ("ftp://a.b.c.", ("a.b.c", "b.c", "c")), ("http://...", (None,) * 3)])
+def test_addresses(spark, url, expected):
+    model = language.fit([*SAMPLES.items()])
+    r = language.evidence(spark.createDataFrame([(1, url, None)], PAGES), model).first()
+    assert (r["host"], r["domain"], r["suffix"]) == expected
+
+
+def test_page_text_is_the_article():
+    assert language.page_text("<p>a</p><article><p>b &amp; c</p><!-- d --><style>e</style></article>f").split() == ["b", "&", "c"]
+    assert language.page_text("<nav>a</nav>b<br>c").split() == ["b", "c"] and language.page_text("") == ""
+
+
+def test_repeats_clashing_columns_and_empty_tables(spark):
+    rows = corpus()[:30] + [corpus()[0]] * 3
+    pages = clashing(spark.createDataFrame(rows, PAGES), "host", "text", "language", "claim", "posterior")
+    found = language.identify(pages, documents(spark)).collect()
+    assert len(found) == 33 and len({tuple(r)[1:3] for r in found if r["page_id"] == 0}) == 1
+    assert language.identify(pages.limit(0), documents(spark)).count() == 0
+    none = language.identify(pages, documents(spark).limit(0))
+    assert none.count() == 33 and none.select("language").distinct().collect()[0][0] is None

@@ -1,0 +1,77 @@
+import pytest
+
+from plateful.llm import mixing
+from tests.llm.cases import SCHEMA, WORDS, clashing, documents, frame, rows
+
+
+def plain_water_fill(sources, total, most):
+    """Clamp and share again until no share is above its limit."""
+    full = set()
+    while True:
+        left = total - sum(most * sources[s][0] for s in full)
+        weight = sum(w for s, (_, w) in sources.items() if s not in full)
+        over = {s for s, (size, w) in sources.items() if s not in full and w * left / weight >= most * size} if weight else set()
+        if not over:
+            return {s: most * size if s in full else w * left / weight for s, (size, w) in sources.items()}
+        full |= over
+
+
+@pytest.mark.parametrize("share", [0.1, 1.0, 1.5, 1.9, 2.0, 5.0])
+def test_water_fill_matches_plain_loop(spark, share):
+    sources = {"a": (10, 3), "b": (1000, 1), "c": (300, 2), "d": (7, 3), "e": (5000, 1), "f": (0, 2)}
+    total = share * sum(size for size, _ in sources.values())
+    df = spark.createDataFrame([(s, size, w) for s, (size, w) in sources.items()], "source string, source_size long, weight int")
+    found = {r["source"]: r["target"] for r in mixing.water_fill(df, total, 2.0).collect()}
+    expected = plain_water_fill(sources, total, 2.0)
+    assert found == pytest.approx(expected)
+    assert all(found[s] <= 2 * size for s, (size, _) in sources.items())
+
+
+def test_weights_go_round_by_code_point_with_null_last(spark):
+    names = ["B", "a", "é", "10", "9", "", None]
+    df = spark.createDataFrame([(n,) for n in names], "source string").repartition(4)
+    found = {r["source"]: r["weight"] for r in mixing.cyclic_weights(df, (3, 1, 2)).collect()}
+    order = sorted(n for n in names if n is not None) + [None]
+    assert found == {n: (3, 1, 2)[i % 3] for i, n in enumerate(order)}
+
+
+def test_report_meets_targets_and_repeats(spark):
+    report = mixing.mix_report(frame(spark)).collect()
+    assert len(report) == len(documents())
+    sizes = {d[0]: len(WORDS.findall(d[1] or "")) for d in documents() if d[0] is not None}
+    by_source = {}
+    for r in report:
+        assert r["doc_id"] is None or r["size"] == sizes[r["doc_id"]]
+        assert r["taken"] <= 2 * r["size"] and r["taken"] == r["size"] * r["takes"]
+        by_source.setdefault(r["source"], []).append(r)
+    total = sum(r["size"] for r in report)
+    assert sum(g[0]["target"] for g in by_source.values()) == pytest.approx(1.5 * total)
+    for group in by_source.values():
+        assert group[0]["source_size"] == sum(r["size"] for r in group)
+        largest = max(r["size"] for r in group)
+        assert abs(sum(r["taken"] for r in group) - group[0]["target"]) <= 3 * largest
+    assert rows(mixing.mix_report(frame(spark).repartition(7))) == rows(mixing.mix_report(frame(spark)))
+
+
+def test_hot_source_meets_its_target_closely(spark):
+    hot = [(i, "w " * (1 + i % 40), "en", "hot" if i % 2 else f"s{i % 5}", 0) for i in range(4000)]
+    report = mixing.mix_report(frame(spark, hot)).toPandas().groupby("source").agg(target=("target", "first"), taken=("taken", "sum"))
+    assert ((report.taken - report.target).abs() <= 41).all()
+
+
+def test_mix_repeats_rows_as_reported(spark):
+    docs = clashing(frame(spark), "size", "takes", "lot", "_row", "target")
+    taken = {}
+    for r in mixing.mix(docs).collect():
+        taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + 1
+    assert mixing.mix(docs).columns == docs.columns
+    expected = {}
+    for r in mixing.mix_report(frame(spark)).collect():
+        expected[r["doc_id"]] = expected.get(r["doc_id"], 0) + r["takes"]
+    assert taken == {k: v for k, v in expected.items() if v}
+    assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mix_report(frame(spark, [], SCHEMA)).count() == 0
+
+
+def test_texts_without_words(spark):
+    docs = frame(spark, [(1, None, None, "a", None), (2, "", None, None, None)])
+    assert {(r["doc_id"], r["size"], r["taken"], r["target"]) for r in mixing.mix_report(docs).collect()} == {(1, 0, 0, 0.0), (2, 0, 0, 0.0)}
