@@ -279,8 +279,8 @@ def statements() -> dict[str, str]:
           FROM segments GROUP BY 1 ORDER BY 2 DESC, 1"""),
         "view_customer_roster": (_RFM, """SELECT * FROM segments
           ORDER BY recency_days DESC NULLS LAST, user_id LIMIT 100"""),
-        "view_revenue_timeline": (_TRENDS, """SELECT sales_date, coalesce(COLUMNS(* EXCLUDE sales_date), 0)
-          FROM (PIVOT (SELECT sales_date, item_category, CAST(total_revenue AS DOUBLE) AS revenue FROM trends
+        "view_revenue_timeline": (_TRENDS, """SELECT sales_date, CAST(coalesce(COLUMNS(* EXCLUDE sales_date), 0) AS DOUBLE)
+          FROM (PIVOT (SELECT sales_date, item_category, total_revenue AS revenue FROM trends
                        WHERE sales_date IS NOT NULL AND item_category IS NOT NULL)
                 ON item_category USING sum(revenue) GROUP BY sales_date) ORDER BY sales_date"""),
         "view_hourly_demand": (_TRENDS, """SELECT sales_hour, CAST(sum(total_orders) AS BIGINT) AS total_orders
