@@ -16,7 +16,8 @@ def order_gaps(orders: DataFrame) -> DataFrame:
 
     Orders of one user at the same instant follow each other by order id. A user may own a
     large part of all orders, so no window spans all rows of a user: instants are linked
-    inside one hour (at most 3600 rows), and the first instant of an hour is linked to the
+    inside one hour (at most 3600 rows, as raw times are whole seconds; finer times are linked
+    rightly too, but then nothing splits an hour with very many of them), and the first instant of an hour is linked to the
     last one of the user's preceding active hour (one row per hour). ``orders`` is read
     several times and is best a written table.
     """

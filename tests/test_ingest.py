@@ -218,6 +218,15 @@ def test_scans_read_only_what_they_need(spark, tmp_path, capsys):
     assert "LessThan(creation_time_utc,2024-01-02T00:00)" in as_of
 
 
+def test_a_metrics_run_reads_the_items_twice(spark, tmp_path):
+    base = str(tmp_path)
+    sinks.land_tables({"order_item_options_raw": golden.options(spark), "order_items_raw": golden.items(spark)}, base)
+    tables = batch.metric_tables(sources.read_raw(spark, base, "order_items_raw"),
+                                 sources.read_raw(spark, base, "order_item_options_raw"), stage=checkpointed)
+    for name, table in tables.items():      # lifetime value and the facts were computed when they were written
+        assert "order_items_raw" not in table._jdf.queryExecution().executedPlan().toString(), name
+
+
 def test_items_land_in_day_folders_that_a_day_prunes(spark, tmp_path):
     base = str(tmp_path)
     sinks.land_tables({"order_items_raw": golden.items(spark)}, base)
