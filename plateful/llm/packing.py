@@ -38,8 +38,8 @@ CAPACITY = 4096
 BINS = 128
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_UNITS = 1_000_000
-BATCH = 4096
+CACHED_UNITS = 400_000
+BATCH = 1024
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
