@@ -2,7 +2,7 @@
 
 Each stage is one operator of ``plateful.llm`` over all rows that its predecessor kept. Its rows
 are written as Parquet to the shared checkpoint folder and read back, so a lost executor
-costs no earlier stage. The last stage returns one row per piece of a sequence.
+costs no earlier stage; the folder is cleaned as Spark's own checkpoints are. The last stage returns one row per piece of a sequence.
 """
 
 import uuid
