@@ -20,6 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plateful.llm.shared import WORD
@@ -29,6 +30,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_QUALITY = 0.5
 ROUNDS = 200
+BATCH = 1024
 # Pseudo-counts before any text is seen: good texts are more frequent, and a rule's votes
 # (abstain, bad, good) are right more often than wrong.
 GOOD, BAD = 8.0, 2.0
@@ -78,17 +80,20 @@ def _repeated(words, index):
     return int(covered.sum())
 
 
-def with_measures(rows: DataFrame) -> DataFrame:
-    """``rows`` (..., text) with ``MEASURES`` in place of the text."""
+def with_measures(rows: DataFrame, inside: str | None = None) -> DataFrame:
+    """``rows`` (..., text) with ``MEASURES`` in place of the text; or beside the struct ``inside`` that holds it."""
     kept = [c for c in rows.columns if c != "text"]
     schema = ", ".join([*[f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept],
                         *[f"{m} long" for m in MEASURES]])
 
     def run(batches):
-        for batch in batches:
-            found = np.array([measure(t) for t in batch.column("text").to_pylist()], np.int64).reshape(-1, len(MEASURES))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *map(pa.array, found.T.copy())],
-                                             names=[*kept, *MEASURES])
+        for whole in batches:
+            for start in range(0, whole.num_rows, BATCH):
+                batch = whole.slice(start, BATCH)
+                texts = pc.struct_field(batch.column(inside), "text") if inside else batch.column("text")
+                found = np.array([*map(measure, texts.to_pylist())], np.int64).reshape(-1, len(MEASURES))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *map(pa.array, found.T.copy())],
+                                                 names=[*kept, *MEASURES])
 
     return rows.mapInArrow(run, schema)
 
@@ -199,5 +204,5 @@ def quality_report(docs: DataFrame) -> DataFrame:
 def good_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns. Texts are measured twice rather than stored."""
     found = qualities(with_measures(docs.select("text")))
-    rows = docs.select(F.struct("*").alias("_row"), "text")
-    return judged(with_measures(rows), found).filter("kept").select("_row.*")
+    rows = docs.select(F.struct("*").alias("_row"))
+    return judged(with_measures(rows, inside="_row"), found).filter("kept").select("_row.*")
