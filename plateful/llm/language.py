@@ -184,9 +184,9 @@ def fuse(rows: DataFrame, languages: list[str]) -> DataFrame:
     per_language = [x or 0.0 for x in whole[:n]]
     pages = F.array(*[F.lit(float(x)) for x in per_language])
     corpus = F.array(*[F.lit((x + FLAT_WEIGHT / n) / (sum(per_language) + FLAT_WEIGHT)) for x in per_language])
-    for key in ("claim", "suffix", "domain", "host"):
-        table = broadcast_below(_sums(rows, key, n))
-        rows = rows.join(table, F.col(key).eqNullSafe(F.col(f"of_{key}"))).drop(f"of_{key}")
+    tables = {key: checkpointed(_sums(rows, key, n)) for key in ("claim", "suffix", "domain", "host")}
+    for key, table in tables.items():
+        rows = rows.join(broadcast_below(table), F.col(key).eqNullSafe(F.col(f"of_{key}"))).drop(f"of_{key}")
 
     def others(column):
         return F.zip_with(F.col(column), F.col("text"), lambda x, own: F.greatest(x - own, F.lit(0.0)))

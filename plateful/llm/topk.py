@@ -32,6 +32,8 @@ from plateful.plans.staging import checkpointed
 
 SAMPLE, PIVOTS, PAGE, QUERY_BLOCK = 2048, 32, 16384, 8192
 FANOUT, LEAF = 16, 256
+# Rows of visits that a task holds before it sends them on.
+VISITS = 20_000
 _FOUND = "query_id long, vec_id long, score long"
 
 
@@ -207,25 +209,31 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
 
     def visits(batches, first: bool):
         """The nearest pivot's first page; or all other pages that may hold something near enough."""
-        for batch in batches:
-            q, rows = _matrix(batch.column("q")), []
-            at = space.ask(q)
-            far = np.array([distances(at, pivots[p]) - root[p]["radius"] for p in root]).T
-            if first:
-                rows = [(i, [*root][j], 0, None) for i, j in enumerate(far.argmin(axis=1))]
-            else:
-                homes, known = far.argmin(axis=1), batch.column("known").to_pylist()
-                for i, bounds in enumerate(far):
-                    limit = np.inf if known[i] is None else space.distance(known[i], at[i]) + space.slack
-                    rows += [(i, p, page, known[i]) for j, p in enumerate(root) if bounds[j] <= limit
-                             for page in range(pages[p]) if (j, page) != (homes[i], 0)]
+        def filled(batch, rows):
             i, pivot, page, known = zip(*rows) if rows else ((), (), (), ())
             at = pa.array(i, pa.int32())
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [batch.column("query_id").take(at), batch.column("q").take(at), batch.column("block").take(at),
                  pa.array(pivot, pa.int32()), pa.array(page, pa.int32()), pa.array(known, pa.int64())],
                 names=["query_id", "q", "block", "pivot", "page", "known"])
 
+        for batch in batches:
+            at, rows = space.ask(_matrix(batch.column("q"))), []
+            far = np.array([distances(at, pivots[p]) - root[p]["radius"] for p in root]).T
+            scores = [None] * len(far) if first else batch.column("known").to_pylist()
+            for i, (bounds, known) in enumerate(zip(far, scores)):
+                home = [*root][int(bounds.argmin())]
+                if first:
+                    rows.append((i, home, 0, None))
+                else:
+                    limit = np.inf if known is None else space.distance(known, at[i]) + space.slack
+                    rows += [(i, p, page, known) for p, bound in zip(root, bounds) if bound <= limit
+                             for page in range(pages[p]) if (p, page) != (home, 0)]
+                if len(rows) >= VISITS:
+                    yield filled(batch, rows)
+                    rows = []
+            yield filled(batch, rows)
+
     visit = "query_id long, q array<long>, block int, pivot int, page int, known long"
 
     def searched(queries):
