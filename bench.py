@@ -29,6 +29,7 @@ def main():
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("plateful-bench")
              .config("spark.ui.enabled", "false")
              .config("spark.driver.memory", "8g")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .config("spark.sql.shuffle.partitions", cpus)
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -15,13 +15,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from plateful import queries, schemas  # noqa: E402
 from plateful.plans import customers  # noqa: E402
+from plateful.plans.staging import checkpointed, lazy  # noqa: E402
 
-REVENUE = F.col("item_price") * F.col("item_quantity")
+REVENUE = "item_price * item_quantity"
 
 
 def plain_value(items, options):
     owners = items.select("lineitem_id", "user_id").distinct()
-    spend = items.groupBy("user_id").agg(F.sum(REVENUE).alias("item_spend"))
+    spend = items.groupBy("user_id").agg(F.sum(F.expr(REVENUE)).alias("item_spend"))
     extra = (options.join(owners, "lineitem_id").groupBy("user_id")
              .agg(F.sum(F.col("option_price") * F.col("option_quantity")).alias("option_spend")))
     value = (F.col("item_spend") + F.coalesce("option_spend", F.lit(0))).alias("customer_lifetime_value")
@@ -33,7 +34,7 @@ def plain_value(items, options):
 
 
 def plain_segments(items):
-    orders = items.groupBy("user_id", "order_id", "creation_time_utc").agg(F.sum(REVENUE).alias("revenue"))
+    orders = items.groupBy("user_id", "order_id", "creation_time_utc").agg(F.sum(F.expr(REVENUE)).alias("revenue"))
     before = F.lag("creation_time_utc").over(Window.partitionBy("user_id").orderBy("creation_time_utc"))
     per_user = (orders.withColumn("gap", F.datediff("creation_time_utc", before)).groupBy("user_id").agg(
         F.max("creation_time_utc").alias("last"), F.countDistinct("order_id").alias("frequency"),
@@ -45,9 +46,9 @@ def plain_segments(items):
     return ranked
 
 
-def seconds(df):
+def seconds(query):
     start = time.perf_counter()
-    df.write.format("noop").mode("overwrite").save()
+    query().write.format("noop").mode("overwrite").save()
     return round(time.perf_counter() - start, 2)
 
 
@@ -64,14 +65,15 @@ def main():
         return queries.items(spark, sf, *queries.ORDER)
 
     forms = {
-        "customer_lifetime_value": (lambda: plain_value(*value()), lambda: customers.customer_lifetime_value(*value())),
-        "customer_segments": (lambda: plain_segments(order()), lambda: customers.customer_segments(order())),
+        "customer_lifetime_value": (lambda: plain_value(*value()), lambda stage: customers.customer_lifetime_value(*value(), stage=stage)),
+        "customer_segments": (lambda: plain_segments(order()), lambda stage: customers.customer_segments(order(), stage=stage)),
     }
     for name, (plain, ours) in forms.items():
-        took = {"plain": [], "ours": []}
+        took = {"plain": [], "lazy": [], "checkpointed": []}
         for _ in range(4):
-            took["plain"].append(seconds(plain()))
-            took["ours"].append(seconds(ours()))
+            took["plain"].append(seconds(plain))
+            for stage in (lazy, checkpointed):
+                took[stage.__name__].append(seconds(lambda: ours(stage)))
         print(json.dumps({"metric": name, **{form: min(t[1:]) for form, t in took.items()}}), flush=True)
 
 

@@ -6,7 +6,7 @@ from plateful import schemas
 from plateful.operators.facts import customer_spend, order_summary
 from plateful.operators.gaps import average_gap
 from plateful.operators.ranking import Tier, with_tiers
-from plateful.plans.staging import lazy
+from plateful.plans.staging import checkpointed, lazy
 
 
 def drop_anonymous(table: DataFrame) -> DataFrame:
@@ -78,8 +78,12 @@ def churn_indicator() -> Column:
 
 
 def rfm_scores(items: DataFrame, *, orders: DataFrame | None = None, as_of: Column | None = None,
-               exclude_anonymous=False, stage=lazy) -> DataFrame:
-    """Scored customers. ``orders`` is an order summary that already exists, if there is one."""
+               exclude_anonymous=False, stage=checkpointed) -> DataFrame:
+    """Scored customers. ``orders`` is an order summary that already exists, if there is one.
+
+    The rows per user serve three times, with different columns, so they are written once;
+    ``stage=lazy`` computes them for each use instead and writes nothing.
+    """
     if orders is None:
         orders = order_summary(items)
     if exclude_anonymous:

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from plateful.functions import cleansing
 from plateful.operators import audit, facts, gaps, keys, ranking
 from plateful.plans import customers, extensions, sales, views
+from plateful.plans.staging import checkpointed
 from plateful.sources import testdata, text
 
 SPEND = ("user_id", "lineitem_id", "item_price", "item_quantity")
@@ -158,7 +159,7 @@ def customer_rfm(spark, sf):
 
 
 def clv_percent_rank(spark, sf):
-    values = customers.customer_values(items(spark, sf, *SPEND), options(spark, sf))
+    values = checkpointed(customers.customer_values(items(spark, sf, *SPEND), options(spark, sf)))
     return ranking.with_percent_rank(values, "customer_lifetime_value", descending=True)
 
 

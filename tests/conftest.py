@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
                .config("spark.ui.enabled", "false")
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.checkpoint.dir", str(home / "checkpoint"))
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.sql.warehouse.dir", str(home / "warehouse"))
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")

@@ -1,7 +1,10 @@
 """Text files into typed tables, landed tables and catalog tables."""
 
+import gc
+import time
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import golden
 import pytest
@@ -274,6 +277,21 @@ def test_written_tables_live_in_the_session_checkpoint_folder(spark):
     assert shared_folder(spark) in spark.sparkContext.getCheckpointDir()
 
 
+def test_written_tables_go_when_they_are_no_longer_referenced(spark):
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = {p.name for p in folder.iterdir()}
+    segments = customers.customer_segments(golden.items(spark))
+    assert segments.count() > 0 and {p.name for p in folder.iterdir()} - before
+    del segments
+    for _ in range(40):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.25)
+        if not {p.name for p in folder.iterdir()} - before:
+            return
+    raise AssertionError("the checkpoint folder still has the table")
+
+
 def test_copied_tables_get_the_declared_types(spark):
     narrow = golden.options(spark).withColumn("id", F.col("id").cast("int")).select(
         *reversed(schemas.ORDER_ITEM_OPTIONS.names))

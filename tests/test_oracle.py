@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as contract
 from plateful import queries as registered
+from plateful.plans import customers
+from plateful.plans.staging import lazy
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 OWN = {q.__name__ for q in registered.QUERIES}
@@ -59,6 +61,18 @@ def test_same_order(spark, duck, name):
     assert [tuple(r) for r in df.select(*[f"`{n}`" for n in names]).collect()] == expected.fetchall()
 
 
+def test_whole_plans_of_the_customer_tables(spark):
+    """Nothing written in between, so the plan reaches from the scans to the result."""
+    lines = registered.items(spark, SF_DIR)
+    options = registered.options(spark, SF_DIR)
+    values = customers.customer_lifetime_value(lines, options, stage=lazy)
+    for df in (values, customers.customer_segments(lines, stage=lazy)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan or "Scan parquet" in plan
+        for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "windowspecdefinition(specified"):
+            assert forbidden not in plan
+
+
 def test_every_query_has_a_statement():
     assert set(SQL) == set(QUERIES)
 
