@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from plateful.llm.shared import released
 from plateful.operators.keys import with_positions
 from plateful.plans.staging import checkpointed
 
@@ -38,8 +39,8 @@ CAPACITY = 4096
 BINS = 128
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_UNITS = 400_000
-BATCH = 1024
+CACHED_UNITS = 300_000
+BATCH = 512
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -126,7 +127,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
 
     def run(batches):
         tokenizer = _TOKENIZERS.get(path) or _TOKENIZERS.setdefault(path, UnitTokenizer(path))
-        for batch in batches:
+        for batch in released(batches):
             for offset in range(0, batch.num_rows, BATCH):
                 part = batch.slice(offset, BATCH)
                 ids, bounds = tokenizer.encode(part.column("text"))

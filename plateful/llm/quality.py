@@ -23,14 +23,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plateful.llm.shared import WORD
+from plateful.llm.shared import WORD, released
 from plateful.plans.staging import checkpointed
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_QUALITY = 0.5
 ROUNDS = 200
-BATCH = 1024
+BATCH = 512
 # Pseudo-counts before any text is seen: good texts are more frequent, and a rule's votes
 # (abstain, bad, good) are right more often than wrong.
 GOOD, BAD = 8.0, 2.0
@@ -87,7 +87,7 @@ def with_measures(rows: DataFrame, inside: str | None = None) -> DataFrame:
                         *[f"{m} long" for m in MEASURES]])
 
     def run(batches):
-        for whole in batches:
+        for whole in released(batches):
             for start in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(start, BATCH)
                 texts = pc.struct_field(batch.column(inside), "text") if inside else batch.column("text")

@@ -1,5 +1,6 @@
 """What several operators of this folder share."""
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A word is a run without a space, tab, line feed, vertical tab, form feed or carriage return.
@@ -18,3 +19,11 @@ def n_words(text: Column) -> Column:
 def broadcast_below(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """``df`` (narrow rows, cheap to count) marked for broadcast if it has at most ``rows`` rows."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def released(batches):
+    """The batches in turn; after each, Arrow memory that is no longer used goes back to the system."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()

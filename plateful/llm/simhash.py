@@ -28,13 +28,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from plateful.llm.shared import WORD
+from plateful.llm.shared import WORD, released
 from plateful.plans.staging import checkpointed
 
 SEED = 42
 SHINGLE = 3
 MAX_BITS = 2
-BATCH = 1024
+BATCH = 512
 
 # Generator polynomials of the binary Golay code of 23 bits and the Hamming code of 15 bits.
 GOLAY = (23, 0b101011100011, 3)
@@ -68,7 +68,7 @@ def with_fingerprint(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     schema = ", ".join([*[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept], "fingerprint long"])
 
     def run(batches):
-        for whole in batches:
+        for whole in released(batches):
             for start in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(start, BATCH)
                 prints = np.array([fingerprint(t, n) for t in batch.column("text").to_pylist()], dtype=np.uint64)
