@@ -1,7 +1,7 @@
 """Secret scanning: three fixed kinds of secrets, and strings that a battery of tests takes for random.
 
-Fixed kinds are found by pattern. Other candidates are long runs of letters and digits that no
-fixed span touches. For each the encoding is inferred from its characters, and three tests ask
+Fixed kinds are found by pattern. Other candidates are runs of 20 or more letters, digits and signs of
+base 64, with a letter among them, that no fixed span touches, also directly after an equals sign. For each the encoding is inferred from its characters, and three tests ask
 whether it may be random in that alphabet: chi-squared uniformity, runs above and below the
 middle, and serial correlation. Their smallest p-value, corrected for three tests, is uniform for
 random strings and near 0 for names, paths and words.
@@ -24,11 +24,15 @@ ASSIGN = (r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ["assign", "access", "hex", "random"]
-CANDIDATE = (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+={0,2}")
+# A run may stand directly after '=', as in KEY=value: padding belongs to the run before it.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+={0,2}"
 
 _DIGITS, _SMALL, _CAPITAL = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# Alphabets in the order they are tried; each string has the first that holds all its characters.
+# Alphabets in the order they are tried; each string has the first that holds all its characters. Strings without
+# a digit, mostly names and paths, have their own: random ones are uniform in them too, and are judged among their like.
 ALPHABETS = {
+    **{name + signs: letters + signs for signs in ("", "-_", "+/", "+/-_")
+       for name, letters in (("small", _SMALL), ("CAPITAL", _CAPITAL), ("letters", _CAPITAL + _SMALL))},
     "hex": _DIGITS + "abcdef", "HEX": _DIGITS + "ABCDEF", "base32": _CAPITAL + "234567",
     "base36": _DIGITS + _SMALL, "BASE36": _DIGITS + _CAPITAL, "base62": _DIGITS + _CAPITAL + _SMALL,
     "base64": _CAPITAL + _SMALL + _DIGITS + "+/", "base64url": _CAPITAL + _SMALL + _DIGITS + "-_",

@@ -64,6 +64,27 @@ def test_random_strings_are_found_and_names_are_not(spark):
     assert not any(found[i] for i in range(60, 120))
 
 
+@pytest.mark.parametrize("form", ["AWS_ACCESS_VALUE={}", "client_key={}", "url?sig={}&x=1", "a=={}", "long_name_of_a_setting_number_1={}"])
+def test_random_strings_after_an_equals_sign_are_found(spark, form):
+    draw = random.Random(9)
+    hidden = ["".join(draw.choices(secrets.ALPHABETS["base64"], k=48)) for _ in range(40)]
+    docs = frame(spark, [(i, form.format(h), None, None, None) for i, h in enumerate(hidden)])
+    found = {r["doc_id"]: r["spans"].split(",") for r in secrets.secret_report(docs).collect()}
+    start = form.index("{")
+    assert sum(f"random:{start}:{start + 48}" in found[i] for i in range(40)) >= 32
+
+
+def test_random_strings_without_a_digit_are_found_and_names_are_not(spark):
+    draw = random.Random(10)
+    hidden = ["".join(draw.choices(secrets.ALPHABETS["letters+/"], k=40)) for _ in range(40)]
+    names = ["AWS_SECRET_ACCESS_KEY", "some_setting_with_a_long_name", "some/long/path/to/some/other/place", "zzzzzzzzzzzzzzzzzzzzzzzz"]
+    texts = [f"see {t} end" for t in hidden + names]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    found = {r["doc_id"]: r["spans"] for r in secrets.secret_report(docs).collect()}
+    assert sum(found[i] == "random:4:44" for i in range(40)) >= 32
+    assert not any(found[i] for i in range(40, 44))
+
+
 def test_battery_is_uniform_for_random_strings(spark):
     draw = random.Random(7)
     rows = [("".join(draw.choices(secrets.ALPHABETS["base62"], k=40)),) for _ in range(600)]
