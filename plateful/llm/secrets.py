@@ -3,19 +3,19 @@
 Fixed kinds are found by pattern. Other candidates are runs of 20 or more letters, digits and signs of
 base 64, with a letter among them, that no fixed span touches, also directly after an equals sign. For each the encoding is inferred from its characters, and three tests ask
 whether it may be random in that alphabet: chi-squared uniformity, runs above and below the
-middle, and serial correlation. Their smallest p-value, corrected for three tests, is uniform for
+middle, and serial correlation. Their smallest p-value, corrected for three independent tests, is uniform for
 random strings and near 0 for names, paths and words.
 
 Which candidates count is decided over the whole corpus, by encoding and length: in each such
-class the p-values above one half tell how many candidates are random, and the cut is the
-lowest at which the share of others among those kept stays under ``MAX_FALSE``. Short strings,
+class the p-values above one half tell how many different candidates are random (copies count once), and the cut
+is the lowest at which the share of others among those kept stays under ``MAX_FALSE``. Short strings,
 where the tests tell less, so need higher p-values than long ones.
 
 Defined results: a NULL or empty text has no spans; rows that repeat have the same spans; an
 empty table gives an empty result; other columns are not read. Offsets are code points, ends exclusive.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plateful.plans.staging import checkpointed
 
@@ -123,7 +123,7 @@ def randomness(core: Column, name: Column) -> Column:
     around = total(values, lambda v: (v - mean) * (v - mean))
     together = total(pairs, lambda p: (p["a"] - mean) * (p["b"] - mean))
     serial = F.when(around > 0, 2 * tail(F.abs(together / around) * F.sqrt(n))).otherwise(0.0)
-    return F.least(3 * F.least(tail(uneven), runs, serial), F.lit(1.0))
+    return 1 - F.pow(1 - F.least(tail(uneven), runs, serial, F.lit(1.0)), F.lit(3.0))
 
 
 def candidates(text: Column, base: Column) -> Column:
@@ -140,29 +140,31 @@ def candidates(text: Column, base: Column) -> Column:
 
 
 def tested(candidate_spans: Column) -> Column:
-    """Candidates with the class they are judged in and the bin of their p-value."""
+    """Candidates with the class they are judged in, the bin of their p-value and a hash that copies share."""
     def judged(c):
         p = randomness(c["core"], c["encoding"])
         return F.struct(c["start"].alias("start"), c["place"].alias("place"), c["end"].alias("end"), c["kind"].alias("kind"),
                         F.concat_ws(" ", c["encoding"], F.floor(F.log2(F.length(c["core"]))).cast("string")).alias("class"),
-                        F.least(F.floor(p * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
+                        F.least(F.floor(p * BINS), F.lit(BINS - 1)).cast("int").alias("bin"), F.xxhash64(c["core"]).alias("core"))
 
     return F.transform(candidate_spans, judged)
 
 
 def cuts(scanned: DataFrame, max_false: float = MAX_FALSE) -> DataFrame:
     """One row with a map from class to the lowest bin that counts. Classes are few: encodings by doublings of length."""
-    counts = (scanned.select(F.explode("tested").alias("c")).groupBy("c.class", "c.bin").agg(F.count(F.lit(1)).alias("n")))
-    own = Window.partitionBy("class")
-    upward = own.orderBy(F.desc("bin"))
-    upper_half = F.sum(F.when(F.col("bin") >= BINS // 2, F.col("n")).otherwise(0)).over(own)
-    kept = counts.select("class", "bin", F.sum("n").over(upward).alias("kept"), upper_half.alias("half"))
-    # So many random ones may well be in a bin; in a class of few candidates that leaves the cut to LEAST_BIN.
-    likely = (F.col("half") + 1.64 * F.sqrt("half") + 1) / (BINS - BINS // 2)
-    kept = kept.withColumn("random", likely)
-    false = 1 - F.least(F.col("random") * (BINS - F.col("bin")), F.col("kept")) / F.col("kept")
-    lowest = (kept.filter(false <= max_false).groupBy("class")
-              .agg(F.greatest(F.min("bin"), F.lit(LEAST_BIN)).alias("bin")))
+    # A hot class is cut to its different strings in each task before the shuffle.
+    different = scanned.select(F.explode("tested").alias("c")).select("c.class", "c.core", "c.bin").distinct()
+    counts = different.groupBy("class").agg(F.array(*[F.count_if(F.col("bin") == i) for i in range(BINS)]).alias("n"))
+
+    def above(least):
+        return F.aggregate(F.slice("n", F.lit(least + 1), F.lit(BINS - least)), F.lit(0).cast("long"), lambda a, x: a + x)
+
+    # So many random ones may well be in the upper half: the score limit of a count, which holds for small ones too.
+    half = above(BINS // 2)
+    counts = counts.withColumn("random", (half + 1.35 + 1.64 * F.sqrt(half + 0.67)) / (BINS - BINS // 2))
+    # Bins without candidates too: fewer of the random ones are expected above a higher bin.
+    passing = [F.when(above(i) - F.col("random") * (BINS - i) <= max_false * above(i), i) for i in range(LEAST_BIN, BINS)]
+    lowest = counts.select("class", F.coalesce(*passing).alias("bin")).filter(F.col("bin").isNotNull())
     return lowest.agg(F.map_from_entries(F.collect_list(F.struct("class", "bin"))).alias("cuts"))
 
 

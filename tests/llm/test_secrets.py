@@ -85,6 +85,40 @@ def test_random_strings_without_a_digit_are_found_and_names_are_not(spark):
     assert not any(found[i] for i in range(40, 44))
 
 
+def found_share(spark, judged):
+    """Share of candidates (core, bin) of one class that its cut keeps."""
+    rows = [(0, [("c", core, b)]) for core, b in judged]
+    scanned = spark.createDataFrame(rows, "doc_id long, tested array<struct<class:string,core:long,bin:int>>")
+    cut = (secrets.cuts(scanned).first()["cuts"] or {}).get("c", secrets.BINS)
+    return sum(b >= cut for _, b in judged) / len(judged)
+
+
+@pytest.mark.parametrize("copied", [3, 5, 8, 9, 15])
+def test_copies_of_one_string_do_not_move_the_cut(spark, copied):
+    many = [(i, i % secrets.BINS) for i in range(200)]
+    assert found_share(spark, many + [(999, copied)] * 3000) > 0.99
+    assert found_share(spark, many) == 0.95
+
+
+@pytest.mark.parametrize("bins", [[1], [7], [7, 9], [3, 8, 9], [2, 4, 12], [1, 5, 9, 13, 17]])
+def test_small_classes_are_kept(spark, bins):
+    assert found_share(spark, [*enumerate(bins)]) == 1.0
+
+
+def test_an_excess_of_low_values_still_raises_the_cut(spark):
+    judged = [(i, i % 3) for i in range(300)] + [(1000 + i, i % secrets.BINS) for i in range(40)]
+    assert found_share(spark, judged) < 0.2
+
+
+def test_copied_documents_keep_their_secrets(spark):
+    draw = random.Random(12)
+    hidden = ["".join(draw.choices(secrets.ALPHABETS["base62"], k=48)) for _ in range(60)]
+    texts = [f"see {h} end" for h in hidden]
+    alone, copied = [{r["doc_id"]: r["spans"] for r in secrets.secret_report(frame(
+        spark, [(i, texts[i % 60], None, None, None) for i in ids])).collect()} for ids in (range(60), [*range(60), *range(60, 6000, 60)])]
+    assert {i: copied[i] for i in alone} == alone and copied[0] == copied[60]
+
+
 def test_battery_is_uniform_for_random_strings(spark):
     draw = random.Random(7)
     rows = [("".join(draw.choices(secrets.ALPHABETS["base62"], k=40)),) for _ in range(600)]
