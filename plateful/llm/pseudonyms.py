@@ -5,7 +5,8 @@ that pass it too: a card number keeps its length, its separators and a right che
 stays a date in the same notation. The replacement is a permutation of all values of the format
 under a key, so equal values stay equal in all documents, different ones stay different,
 and nothing is collected or joined. What fails its check (a 16-digit number without a right
-check digit, 31 February) is not personal data of that kind and stays as it is.
+check digit, 31 February) is not personal data of that kind and stays as it is; what else stands in
+a match for an account number is looked for again.
 
 A value is an array of numbers, each below its own radix. Ten rounds shift the numbers of one
 half, modulo their radix, by a keyed hash of the other half.
@@ -20,15 +21,43 @@ ROUNDS = 10
 KINDS = ["email", "iban", "card", "phone", "ssn", "ip", "date"]
 
 _CARD = r"\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}"
-_PHONE = r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}"
+# National digits where a country has one number of them; elsewhere a number is as long as it goes on, up to 15 digits.
+_PHONE_DIGITS = {8: "45|47|65", 9: "27|31|33|34|41|48|61|351|353|420|421|971|972", 10: "1|7|20|30|44|52|57|90|91|92", 11: "86"}
+_PHONE = "|".join([
+    r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}",
+    *[rf"\+(?:{codes})(?:[ .-]?\(0\))?(?:[ .-]?\(?\d\)?){{{n}}}" for n, codes in _PHONE_DIGITS.items()],
+    r"\+\d(?:[ .-]?\(?\d\)?){8,14}"])
 _SSN = r"\d{3}-\d{2}-\d{4}"
 _IP = r"\d{1,3}(?:\.\d{1,3}){3}"
 _DATE = r"\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}"
-_IBAN = r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)"
+# Countries by the length of their account numbers. Others are matched as far as they go and cut where the check holds.
+_IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban_of(size: int, countries: str) -> str:
+    groups, rest = divmod(size - 4, 4)
+    spaced = rf"(?: [A-Z0-9]{{4}}){{{groups}}}" + (rf" [A-Z0-9]{{{rest}}}" if rest else "")
+    return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?:[A-Z0-9]{{{size - 4}}}|{spaced})"
+
+
+_IBAN = (r"(?=[A-Z]{2}\d{2}[A-Z0-9 ])(?:" + "|".join(_iban_of(*c) for c in _IBAN_COUNTRIES.items())
+         + r"|[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?))")
 _EMAIL = r"[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
-PERSONAL = (rf"(?<![\p{{L}}\p{{N}}._%+-]){_EMAIL}|(?<![\p{{L}}\p{{N}}+.-])(?:{_IBAN}|{_DATE}|{_SSN}|{_PHONE}|{_CARD}|{_IP})"
+
+
+def _personal(*kinds: str) -> str:
+    return (rf"(?<![\p{{L}}\p{{N}}._%+-]){_EMAIL}|(?<![\p{{L}}\p{{N}}+.-])(?:{'|'.join(kinds)})"
             r"(?![\p{L}\p{N}]|[.-]\d)")
 
+
+PERSONAL = _personal(_IBAN, _DATE, _SSN, _PHONE, _CARD, _IP)
+# What may stand in a match for an account number that is none.
+NO_IBAN = _personal(_DATE, _SSN, _PHONE, _CARD, _IP)
+
 # A 400-year cycle of the calendar has 189 * 773 days, so dates permute without a gap.
 _FIRST_DAY, _DATE_RADICES = "1800-01-01", (189, 773)
 
@@ -96,13 +125,13 @@ def _permuted_text(text: Column, tweak: str, key: str) -> Column:
     return F.array_join(F.zip_with(chars, moved, lambda c, m: F.coalesce(m, c)), "")
 
 
-def _into(template: Column, digits: Column) -> Column:
-    """``template`` with its digits replaced in turn by ``digits``, of the same number."""
+def _into(template: Column, signs: Column, pattern: str = "[0-9]") -> Column:
+    """``template`` with its signs of ``pattern``, digits if not said, replaced in turn by ``signs``, of the same number."""
     chars = _chars(template)
 
     def place(c, i):
-        nth = F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x.between("0", "9")))
-        return F.when(c.between("0", "9"), F.substr(digits, nth, F.lit(1))).otherwise(c)
+        nth = F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x.rlike(pattern)))
+        return F.when(c.rlike(pattern), F.substr(signs, nth, F.lit(1))).otherwise(c)
 
     return F.array_join(F.transform(chars, place), "")
 
@@ -170,14 +199,32 @@ def _date(m: Column, key: str) -> Column:
             .otherwise(F.coalesce(shown("dd/MM/yyyy"), shown("MM/dd/yyyy"))))
 
 
+def _iban_holds(m: Column) -> Column:
+    plain = F.replace(m, F.lit(" "), F.lit(""))
+    return _mod97(F.concat(F.substr(plain, F.lit(5), F.length(plain)), F.substr(plain, F.lit(1), F.lit(4)))) == 1
+
+
 def _iban(m: Column, key: str) -> Column:
+    """The account is permuted without its spaces, so both forms of a number get the same one."""
     plain = F.replace(m, F.lit(" "), F.lit(""))
-    country, account = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5), F.length(plain))
-    spaced = _permuted_text(F.substr(m, F.lit(5), F.length(m)), "iban", key)
-    moved = F.replace(spaced, F.lit(" "), F.lit(""))
+    country = F.substr(plain, F.lit(1), F.lit(2))
+    moved = _permuted_text(F.substr(plain, F.lit(5), F.length(plain)), "iban", key)
     check = F.lpad((98 - _mod97(F.concat(moved, country, F.lit("00")))).cast("string"), 2, "0")
-    valid = _mod97(F.concat(account, F.substr(plain, F.lit(1), F.lit(4)))) == 1
-    return F.when(valid, F.concat(country, check, spaced))
+    return F.when(_iban_holds(m), F.concat(country, check, _into(F.substr(m, F.lit(5), F.length(m)), moved, "[^ ]")))
+
+
+def _iban_size(m: Column) -> Column:
+    """How much of a match for an account number is one; 0 if nothing. Groups after a number of unknown length are cut off."""
+    groups = F.split(m, " ")
+
+    def first(n):
+        return F.array_join(F.slice(groups, F.lit(1), n), " ")
+
+    known = m.rlike("^(?:" + "|".join(_IBAN_COUNTRIES.values()).replace(" ", "|") + ")")
+    ends = F.filter(F.sequence(F.size(groups), F.lit(1)), lambda n: (F.length(F.replace(first(n), F.lit(" "), F.lit(""))) > 14)
+                    & _iban_holds(first(n)))
+    return (F.when(_iban_holds(m), F.length(m))
+            .when(~known & (F.size(ends) > 0), F.length(first(F.get(ends, F.lit(0))))).otherwise(0))
 
 
 def _email(m: Column, key: str) -> Column:
@@ -206,12 +253,23 @@ def pseudonym(m: Column, key: str) -> Column:
 
 
 def replacements(text: Column, key: str) -> Column:
-    """Array of (before, kind, match, value): the text cut at its matches; the last has no match."""
-    def part(before, m):
-        return F.struct(before.alias("before"), kind_of(m).alias("kind"), m.alias("match"),
+    """Array of (before, kind, match, value): the text cut at its matches; those without a match hold text only."""
+    def cut(own, pattern):
+        return F.zip_with(F.split(own, pattern, -1), F.regexp_extract_all(own, F.lit(pattern), F.lit(0)),
+                          lambda before, m: F.struct(before.alias("before"), m.alias("match")))
+
+    def without_false_ibans(p):
+        m, size = p["match"], _iban_size(p["match"])
+        own = F.struct(p["before"].alias("before"), F.when(size > 0, F.substr(m, F.lit(1), size)).alias("match"))
+        split = F.concat(F.array(own), cut(F.substr(m, size + 1, F.length(m)), NO_IBAN))
+        return F.when(m.isNotNull() & (kind_of(m) == "iban") & (size < F.length(m)), split).otherwise(F.array(p))
+
+    def part(p):
+        m = p["match"]
+        return F.struct(p["before"].alias("before"), kind_of(m).alias("kind"), m.alias("match"),
                         F.when(m.isNotNull(), pseudonym(m, key)).alias("value"))
 
-    return F.zip_with(F.split(text, PERSONAL, -1), F.regexp_extract_all(text, F.lit(PERSONAL), F.lit(0)), part)
+    return F.transform(F.flatten(F.transform(cut(text, PERSONAL), without_false_ibans)), part)
 
 
 def with_pseudonyms(rows: DataFrame, key: str, counts: bool = False) -> DataFrame:

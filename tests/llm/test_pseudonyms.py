@@ -62,6 +62,39 @@ def test_formats_stay(spark, text, form):
     assert re.fullmatch(form, found) and found != text
 
 
+@pytest.mark.parametrize("text, form", [
+    ("ES91 2100 0418 4502 0005 1332 BIC", r"ES\d\d( \d{4}){5} BIC"),
+    ("NO93 8601 1117 947 AB 12", r"NO\d\d \d{4} \d{4} \d{3} AB 12"),
+    ("DE89 3704 0044 0532 0130 00 X1 and", r"DE\d\d( \d{4}){4} \d\d X1 and"),
+    ("+44 20 7946 0958", r"\+44 \d\d \d{4} \d{4}"),
+    ("+33 6 12 34 56 78 2024", r"\+33 \d( \d\d){4} 2024"),
+    ("+44 (0)20 7946 0958.", r"\+44 \(\d\)\d\d \d{4} \d{4}\."),
+    ("+49 151 23456789, x", r"\+49 \d{3} \d{8}, x"),
+    ("+358 9 1234 5678", r"\+358 \d \d{4} \d{4}"),
+])
+def test_any_grouping_and_what_follows(spark, text, form):
+    found, = report(spark, text)
+    assert re.fullmatch(form, found) and found != text
+
+
+def test_what_a_false_account_number_holds_is_found(spark):
+    found, date_kept = report(spark, "ref AB12 4111 1111 1111 1111 x", "GB00 NWBK 6016 1331 9268 19")
+    assert re.fullmatch(r"ref AB12( \d{4}){4} x", found) and found != "ref AB12 4111 1111 1111 1111 x"
+    assert luhn(re.sub(r"\D", "", found[9:])) == 0 and date_kept == "GB00 NWBK 6016 1331 9268 19"
+
+
+def test_unknown_country_ends_where_the_check_holds(spark):
+    number = next(f"ZZ{c:02d} 2100 0418 4502 0005" for c in range(2, 99) if int("".join(
+        str(int(x, 36)) for x in f"2100041845020005ZZ{c:02d}")) % 97 == 1)
+    alone, followed = report(spark, number, f"{number} BIC")
+    assert alone != number and followed == f"{alone} BIC"
+
+
+def test_spaces_do_not_change_the_pseudonym(spark):
+    a, b = report(spark, "ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332")
+    assert a.replace(" ", "") == b and int("".join(str(int(c, 36)) for c in b[4:] + b[:4])) % 97 == 1
+
+
 def test_iban_check_digits_are_right(spark):
     found, = report(spark, "DE89370400440532013000")
     moved = found[4:] + found[:4]
