@@ -43,9 +43,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 class Sample(NamedTuple):
-    """Bounds of the labelled sample: languages, documents per language, longest text."""
+    """Bounds of the labelled sample: documents per language, longest text. Every language is in it."""
 
-    languages: int = 64
     documents: int = 300
     max_chars: int = 20_000
 
@@ -59,13 +58,20 @@ class Model(NamedTuple):
 
 
 def labelled_sample(docs: DataFrame, bounds: Sample = Sample()) -> DataFrame:
-    """(lang, text): about ``bounds.documents`` documents of each language, chosen by a hash of doc_id."""
-    known = docs.filter(F.col("lang").isNotNull() & (F.length("text") <= bounds.max_chars))
-    counts = (known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
-              .limit(bounds.languages).collect())
+    """(lang, text): about ``bounds.documents`` documents of each language, chosen by a hash of doc_id.
+
+    A language without a text of at most ``bounds.max_chars`` characters has the beginnings of its longer ones.
+    """
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    short = F.length("text") <= bounds.max_chars
+    counts = [(r["lang"], r["short"] or r["n"], r["short"] > 0) for r in known.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(short).alias("short")).collect()]
     if not counts:
         return docs.sparkSession.createDataFrame([], "lang string, text string")
-    rate = F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], bounds.documents / r["n"])]),
+    only_long = [lang for lang, _, has_short in counts if not has_short]
+    known = (known.filter(short | F.col("lang").isin(only_long))
+             .withColumn("text", F.substr("text", F.lit(1), F.lit(bounds.max_chars))))
+    rate = F.element_at(F.create_map(*[F.lit(x) for lang, n, _ in counts for x in (lang, bounds.documents / n)]),
                         F.col("lang"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(2 ** 31)) / F.lit(float(2 ** 31))
     return (known.filter(draw < rate).select("lang", "text", draw.alias("draw")).orderBy("draw", "lang", "text")

@@ -15,6 +15,15 @@ def documents(spark):
     return frame(spark, [(i, SAMPLES[lang], lang, "s", 0) for i, lang in enumerate([*SAMPLES] * 20)] + [(90, None, "en", None, None), (91, "x", None, None, None)])
 
 
+def test_every_language_is_in_the_sample(spark):
+    rows = [(i, f"text {i}", f"l{i % 80}", "s", 0) for i in range(160)] + [(200 + i, "long " * 5000, "only long", "s", 0) for i in range(3)]
+    found = [tuple(r) for r in language.labelled_sample(frame(spark, rows)).collect()]
+    assert {lang for lang, _ in found} == {f"l{i}" for i in range(80)} | {"only long"}
+    assert max(len(text) for _, text in found) == 20_000
+    short = language.labelled_sample(frame(spark, rows + [(300, "x" * 20_001, "l1", "s", 0)])).collect()
+    assert sorted(map(tuple, short)) == sorted(found)
+
+
 def page(text, lang=None, ad=""):
     return f"<html{f' lang={chr(34)}{lang}{chr(34)}' if lang else ''}><nav>{ad}</nav><script>var the = 1;</script><article>{text}</article></html>"
 
