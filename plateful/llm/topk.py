@@ -4,7 +4,7 @@ Vectors are turned into whole numbers, and every candidate gets one more coordin
 all lengths equal. In that space the largest inner products are the smallest distances, so
 the triangle inequality bounds them. The tree has a fixed root, whose entries are pivots
 from a bounded sample. Each vector belongs to its nearest pivot; a pivot's vectors are dealt
-to pages of about ``PAGE`` rows, however many share a pivot or are equal. A page is one subtree of
+to pages of about ``PAGE`` rows, however many share a pivot or an id or are equal. A page is one subtree of
 metric nodes with covering radius and distance to the parent node.
 
 A query visits nodes nearest bound first. Its first page gives a k-th distance; it then goes
@@ -179,6 +179,12 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
+def page_of(pages: dict[int, int]) -> Column:
+    """The page, of so many of its pivot, that a row is dealt to by its number ``row``."""
+    n_pages = F.element_at(F.create_map(*[F.lit(x) for pair in pages.items() for x in pair]), F.col("pivot"))
+    return F.pmod(F.xxhash64("row"), n_pages).cast("int")
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of ``vectors`` (vec_id, v) where ``is_query`` holds."""
     space = Space(int(vectors.agg(F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x))).first()[0] or 0))
@@ -195,16 +201,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
                                               pa.array(far.argmin(axis=0).astype(np.int32)), pa.array(far.min(axis=0))],
                                              names=["vec_id", "v", "pivot", "to_pivot"])
 
-    dealt = checkpointed(vectors.mapInArrow(nearest, "vec_id long, v array<long>, pivot int, to_pivot double"))
+    dealt = checkpointed(vectors.mapInArrow(nearest, "vec_id long, v array<long>, pivot int, to_pivot double")
+                         .withColumn("row", F.monotonically_increasing_id()))
     root = {r["pivot"]: r for r in dealt.groupBy("pivot").agg(
         F.count(F.lit(1)).alias("n"), F.max("to_pivot").alias("radius")).collect()}
     pages = {p: -(-r["n"] // PAGE) for p, r in root.items()}
-    n_pages = F.element_at(F.create_map(*[F.lit(x) for pair in pages.items() for x in pair]), F.col("pivot"))
     asked = (vectors.filter(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q")))
     asked = checkpointed(asked)
     blocks = -(-asked.count() // QUERY_BLOCK)
     block = F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(max(blocks, 1))).cast("int")
-    paged = dealt.select("vec_id", "v", "pivot", F.pmod(F.xxhash64("vec_id"), n_pages).cast("int").alias("page"),
+    paged = dealt.select("vec_id", "v", "pivot", page_of(pages).alias("page"),
                          F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1))).alias("block"))
 
     def visits(batches, first: bool):

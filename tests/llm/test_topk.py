@@ -50,6 +50,13 @@ def test_many_equal_vectors(spark, small_pages):
     assert found(spark, rows) == plain(rows)
 
 
+def test_rows_of_one_id_spread_over_pages(spark, small_pages):
+    dealt = spark.range(2000).selectExpr("7L AS vec_id", "0 AS pivot", "id AS row").withColumn("page", topk.page_of({0: 10}))
+    assert max(r["count"] for r in dealt.groupBy("page").count().collect()) < 300
+    rows = vectors(300) + [(7, v, 0) for _, v, _ in vectors(300, seed=2)]
+    assert found(spark, rows) == plain(rows)
+
+
 def test_ties_zeros_and_different_lengths(spark):
     rows = [(0, [0.0, 0.0], 0), (100, [1.0, 1.0, 1.0], 0), (200, [], 0), (300, [-3.0], 0)]
     rows += [(i, [0.5, 0.5] if i % 2 else [0.25, 0.75], 0) for i in range(1, 40)]
