@@ -18,6 +18,9 @@ COLUMNS = {
     "op8_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op9_language": ["page_id", "language", "probability"],
     "op10_toxicity": ["doc_id", "held_out", "score", "predicted"],
+    "op11_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op12_filter_audit": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
+    "op13_fill_windows": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
 }
 
 
@@ -47,7 +50,7 @@ def test_result_columns(spark, tables, name):
 def test_rows_match_sql(spark, tables, name):
     found = entry.queries()[name](spark, tables)
     engine = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels"):
         engine.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tables}/{t}.parquet/*.parquet'")
     expected = engine.sql(f"SELECT {', '.join(found.columns)} FROM ({queries.ORACLE_SQL[name]})").fetchall()
     assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
