@@ -37,6 +37,24 @@ def revenue_timeline(trends: DataFrame, categories: list | None = None) -> DataF
     return wide.orderBy("sales_date").select(F.col("sales_date").cast("string").alias("sales_date"), *cells)
 
 
+def revenue_cells(trends: DataFrame) -> DataFrame:
+    """Long form of the timeline: one row per date and category, 0 where a category sold nothing.
+
+    The cells of a date are one map, and every date is asked for every category, so the columns are
+    fixed and nothing is looked up while the plan is built. The names of all categories meet in one
+    task, once each; the sums per date and category are computed once for both uses.
+    """
+    known = trends.filter(F.col("sales_date").isNotNull() & F.col("item_category").isNotNull())
+    cells = known.groupBy("sales_date", "item_category").agg(F.sum("total_revenue").alias("revenue"))
+    dates = cells.groupBy("sales_date").agg(
+        F.map_from_entries(F.collect_list(F.struct("item_category", "revenue"))).alias("cells"))
+    names = dates.select(F.explode(F.map_keys("cells")).alias("name")).agg(F.array_sort(F.collect_set("name"))).scalar()
+    return (dates.select("sales_date", "cells", F.explode(names).alias("item_category"))
+            .select(F.col("sales_date").cast("string").alias("sales_date"), "item_category",
+                    F.coalesce(F.col("cells")[F.col("item_category")].cast("double"), F.lit(0.0)).alias("total_revenue"))
+            .orderBy("sales_date", "item_category"))
+
+
 def hourly_demand(trends: DataFrame) -> DataFrame:
     """Orders per hour of day; an order with two categories counts once for each."""
     return (trends.filter(F.col("sales_hour").isNotNull())
