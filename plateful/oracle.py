@@ -279,10 +279,12 @@ def statements() -> dict[str, str]:
           FROM segments GROUP BY 1 ORDER BY 2 DESC, 1"""),
         "view_customer_roster": (_RFM, """SELECT * FROM segments
           ORDER BY recency_days DESC NULLS LAST, user_id LIMIT 100"""),
-        "view_revenue_timeline": (_TRENDS, """SELECT sales_date, CAST(coalesce(COLUMNS(* EXCLUDE sales_date), 0) AS DOUBLE)
-          FROM (PIVOT (SELECT sales_date, item_category, total_revenue AS revenue FROM trends
-                       WHERE sales_date IS NOT NULL AND item_category IS NOT NULL)
-                ON item_category USING sum(revenue) GROUP BY sales_date) ORDER BY sales_date"""),
+        "view_revenue_timeline": (_TRENDS, """,
+          cells AS (SELECT sales_date, item_category, sum(total_revenue) AS revenue FROM trends
+            WHERE sales_date IS NOT NULL AND item_category IS NOT NULL GROUP BY ALL),
+          grid AS (SELECT * FROM (SELECT DISTINCT sales_date FROM cells), (SELECT DISTINCT item_category FROM cells))
+          SELECT sales_date, item_category, CAST(coalesce(revenue, 0) AS DOUBLE) AS total_revenue
+          FROM grid LEFT JOIN cells USING (sales_date, item_category) ORDER BY sales_date, item_category"""),
         "view_hourly_demand": (_TRENDS, """SELECT sales_hour, CAST(sum(total_orders) AS BIGINT) AS total_orders
           FROM trends GROUP BY sales_hour ORDER BY sales_hour"""),
         "view_loyalty": (_LOYALTY, """SELECT * REPLACE (
@@ -335,7 +337,9 @@ def statements() -> dict[str, str]:
             CAST(revenue AS DOUBLE) AS total_revenue, CAST(before AS DOUBLE) AS previous_revenue,
             CAST(revenue - before AS DOUBLE) AS revenue_change FROM steps"""),
     }
-    select["clv_daily_merge"] = select["clv_as_of"]
+    select["clv_daily_merge"] = (tables, query) = select["clv_as_of"]
+    first = "TIMESTAMP '1998-07-01' QUALIFY row_number() OVER (PARTITION BY lineitem_id ORDER BY l.l_quantity) = 1"
+    select["clv_merged_batches"] = (tables.replace("TIMESTAMP '1998-07-01'", first), query)
     select["preview"] = (select["scan_order_items"][0], select["scan_order_items"][1] + " ORDER BY lineitem_id LIMIT 5")
     select["option_surrogate_id"] = (_OPTIONS, """SELECT count(*) AS n_rows, count(*) AS n_ids, count(*) AS n_not_null,
         CAST(1 AS BIGINT) AS first_id, count(*) AS last_id FROM options""")

@@ -11,10 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder for written intermediate tables: ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder in the warehouse is used, which all executors share too.
+    Where that is unset and all executors are on this machine, a folder in the warehouse is used. On a cluster
+    the warehouse may be a folder of the driver alone, so the setting is needed there.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    return folder.rstrip("/")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -29,6 +34,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def folders(spark: SparkSession, path: str, files: bool = False) -> list[str]:
+    """Names of the folders (or of the files) in a folder of any file system that Spark reads; empty if it is missing."""
+    files_of, where = _file_system(spark, path)
+    if not files_of.exists(where):
+        return []
+    return sorted(s.getPath().getName() for s in files_of.listStatus(where) if s.isDirectory() != files)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, if it is there."""
+    files_of, where = _file_system(spark, path)
+    files_of.delete(where, True)
+
+
+def _file_system(spark, path):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def lazy(df: DataFrame) -> DataFrame:
     """Keep ``df`` as a plan; Spark recomputes it for each use it cannot share."""
     return df

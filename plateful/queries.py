@@ -1,12 +1,17 @@
 """Every operator and metric as a query over the test tables."""
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from plateful import schemas
 from plateful.functions import cleansing
 from plateful.operators import audit, facts, gaps, keys, ranking
 from plateful.plans import customers, extensions, sales, views
-from plateful.plans.staging import checkpointed
+from plateful.plans.staging import checkpointed, remove_folder, shared_folder
 from plateful.sources import testdata, text
+from plateful.streaming import spend
+from plateful.streaming.keytable import KeyTable
 
 SPEND = ("user_id", "lineitem_id", "item_price", "item_quantity")
 ORDER = ("user_id", "order_id", "creation_time_utc", "item_price", "item_quantity")
@@ -208,7 +213,7 @@ def view_customer_roster(spark, sf):
 
 
 def view_revenue_timeline(spark, sf):
-    return views.revenue_timeline(sales_trends(spark, sf))
+    return views.revenue_cells(sales_trends(spark, sf))
 
 
 def view_hourly_demand(spark, sf):
@@ -252,6 +257,41 @@ def clv_daily_merge(spark, sf):
     return extensions.clv_of_spend(spend, "1998-06-30")
 
 
+def clv_merged_batches(spark, sf):
+    """The same day as ``clv_as_of``, merged from text in three batches with options before and after their lines."""
+    lines = items(spark, sf, *SPEND, "creation_time_utc").filter("creation_time_utc < timestamp_ntz'1998-07-01'")
+    batch = F.when(F.col("creation_time_utc") < F.lit("1995-01-01").cast("timestamp_ntz"), 0).when(
+        F.col("creation_time_utc") < F.lit("1998-01-01").cast("timestamp_ntz"), 1).otherwise(2)
+    lines = checkpointed(as_text(lines.withColumn("_batch", batch), schemas.ORDER_ITEMS))
+    # Promotions come first or two batches after most lines, add-ons in the middle one.
+    when = F.when(F.col("option_group_name") == "addon", 1).when(F.col("lineitem_id").endswith("1"), 0).otherwise(2)
+    extras = checkpointed(as_text(options(spark, sf).withColumn("_batch", when), schemas.ORDER_ITEM_OPTIONS))
+    base = f"{shared_folder(spark)}/spend-{uuid4().hex}"
+    owners = KeyTable("plateful_keys", f"owners_{uuid4().hex}", f"{base}/owners", "lineitem_id", "lineitem_id string, user_id string", 8)
+    owners.create(spark)
+    for n in range(3):
+        spend.merge_batch(lines.filter(F.col("_batch") == n), extras.filter(F.col("_batch") == n), base, owners, n)
+    merged = checkpointed(spend.read_spend(spark, base))
+    spark.sql(f"DROP TABLE {owners.table}")
+    remove_folder(spark, base)
+    return extensions.clv_of_spend(merged, "1998-06-30")
+
+
+def as_text(rows, schema):
+    """Typed rows as a delimited file would hold them: all columns of the raw table, as text, and their place.
+
+    Of lines that repeat the one with the smallest quantity is the first.
+    """
+    def field(f):
+        value = F.col(f.name) if f.name in rows.columns else F.lit(None)
+        text_ = value.cast("string")
+        return F.replace(text_, F.lit(" "), F.lit("T")) if isinstance(f.dataType, T.TimestampNTZType) else text_
+
+    first = F.lpad(F.col("item_quantity").cast("string"), 10, "0") if "item_quantity" in rows.columns else F.lit("file")
+    return rows.select("_batch", first.alias("_file"), F.lit(0).cast("long").alias("_block"),
+                       *[field(f).alias(f.name) for f in schema.fields if f.name != "id"])
+
+
 def seasonal_sales(spark, sf):
     return extensions.seasonal_sales(
         items(spark, sf, "creation_time_utc", "item_price", "item_quantity"), testdata.date_dim(spark, sf))
@@ -280,5 +320,5 @@ QUERIES = [
     customer_lifetime_value, customer_segments, sales_trends, loyalty_impact, location_performance,
     discount_effectiveness, view_segment_counts, view_churn_counts, view_customer_roster,
     view_revenue_timeline, view_hourly_demand, view_loyalty, view_location_league, view_discount,
-    clv_as_of, clv_daily_merge, seasonal_sales, location_extremes, discount_net_revenue, period_change,
+    clv_as_of, clv_daily_merge, clv_merged_batches, seasonal_sales, location_extremes, discount_net_revenue, period_change,
 ]

@@ -4,7 +4,11 @@ import golden
 import pytest
 from test_ingest import ITEM_HEADER, item_line, write
 
+from plateful.plans import extensions
+from plateful.plans.staging import folders, remove_folder
 from plateful.sources import tables, text
+from plateful.streaming import spend
+from plateful.streaming.keytable import KeyTable
 from plateful.streaming.landing import land_new_files
 
 
@@ -51,3 +55,104 @@ def test_a_new_checkpoint_over_landed_rows_is_refused(spark, tmp_path):
     assert {r.lineitem_id for r in tables.read_raw(spark, raw, "order_items_raw").collect()} == {"l1", "l2"}
     land_new_files(spark, str(inbox), "order_items_raw", raw, str(tmp_path / "marks"))
     assert sorted(r.lineitem_id for r in tables.read_raw(spark, raw, "order_items_raw").collect()) == ["l1", "l2", "l3"]
+
+
+def test_landed_keys_are_not_shuffled(spark, tmp_path):
+    """A batch looks its keys up bucket by bucket; only the batch itself is exchanged."""
+    keys = KeyTable("plateful_test_keys", "plan", str(tmp_path / "keys"), "lineitem_id", "lineitem_id string", 4)
+    keys.create(spark)
+    for batch in range(3):
+        keys.add(spark.range(500).selectExpr("concat('l', id) AS lineitem_id"), batch)
+    wanted = spark.range(300).selectExpr("concat('l', id * 3) AS lineitem_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = keys.known(wanted, 2)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan and "Bucketed: true" in plan
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") > plan.index("FileScan parquet")
+    assert keys.known(wanted, 2).count() == len({i * 3 for i in range(300)} & {*range(500)})
+    assert keys.known(wanted, 0).count() == 0
+
+
+def test_missing_key_table_is_made_from_landed_rows(spark, tmp_path):
+    inbox, raw, marks = tmp_path / "inbox", str(tmp_path / "raw"), str(tmp_path / "marks")
+    inbox.mkdir()
+    write(inbox / "a.csv", ITEM_HEADER, item_line("l1"))
+    land_new_files(spark, str(inbox), "order_items_raw", raw, marks, key_database="plateful_one")
+    remove_folder(spark, f"{raw}/order_items_raw_keys")
+    write(inbox / "b.csv", ITEM_HEADER, item_line("l1", name="later"), item_line("l2"))
+    land_new_files(spark, str(inbox), "order_items_raw", raw, marks, key_database="plateful_two")
+    rows = tables.read_raw(spark, raw, "order_items_raw").collect()
+    assert sorted((r.lineitem_id, r.item_name) for r in rows) == [("l1", "Soup"), ("l2", "Soup")]
+
+
+# Three days of files: (lines, options). Options may come days before or after their line.
+DAYS = [
+    ([("l1", "u1", "10.00", 2), ("l2", "u2", "5.00", 1), ("l3", "", "4.00", 1), ("l1", "u9", "99.00", 9)],
+     [("l1", "1.50", 2), ("l4", "-2.00", 1), ("l9", "7.00", 1)]),
+    ([("l4", "u1", "8.00", 1), ("l2", "u3", "77.00", 1), ("l5", "u4", "", 1)],
+     [("l2", "-1.00", 1), ("l3", "0.50", 3), ("l5", "2.00", 1)]),
+    ([("l6", "u2", "1.00", 10)],
+     [("l4", "3.00", 1), ("l1", "-4.00", 1), ("l6", "0.25", 4)]),
+]
+
+
+def drop_day(inbox, n):
+    lines, options = DAYS[n]
+    write(inbox / "items" / f"{n}.csv", ITEM_HEADER, *[
+        item_line(line, time=f"2024-03-0{n + 1}T10:00:00", user=user, price=price, quantity=str(q)) for line, user, price, q in lines])
+    write(inbox / "options" / f"{n}.csv", "a,b,c,d,e,f", *[f"o,{line},g,n,{price},{q}" for line, price, q in options])
+
+
+def expected_values(spark, inbox, n):
+    items = text.load_text(spark, str(inbox / "items"), "order_items_raw")
+    options = text.load_text(spark, str(inbox / "options"), "order_item_options_raw")
+    return golden.rows_of(extensions.clv_as_of(items, options, f"2024-03-0{n + 1}"))
+
+
+def test_daily_merge_equals_the_value_as_of_each_day(spark, tmp_path):
+    inbox, state, marks = tmp_path / "inbox", str(tmp_path / "state"), tmp_path / "marks"
+    (inbox / "items").mkdir(parents=True)
+    (inbox / "options").mkdir()
+
+    def merge(day):
+        spend.merge_new_files(spark, str(inbox / "items"), str(inbox / "options"), state, str(marks), buckets=4)
+        return golden.rows_of(extensions.clv_of_spend(spend.read_spend(spark, state), f"2024-03-0{day + 1}"))
+
+    for day in range(3):
+        drop_day(inbox, day)
+        wanted = expected_values(spark, inbox, day)
+        assert merge(day) == wanted
+        assert merge(day) == wanted                                             # no new files, no change
+        for mark in (marks / "commits").glob(f"*{day}*"):                       # as if the batch had failed at its end
+            mark.unlink()
+        assert merge(day) == wanted, "a replayed batch adds nothing"
+    assert folders(spark, f"{state}/spend") == ["version=1", "version=2"]
+    pending = spark.read.parquet(f"{state}/pending/version=2").collect()
+    assert [(r.lineitem_id, r.option_price) for r in pending] == [("l9", golden.d("7.00"))]
+
+
+def test_merge_that_fails_midway_is_made_up_for(spark, tmp_path, monkeypatch):
+    inbox, state, marks = tmp_path / "inbox", str(tmp_path / "state"), tmp_path / "marks"
+    (inbox / "items").mkdir(parents=True)
+    (inbox / "options").mkdir()
+
+    def merge():
+        spend.merge_new_files(spark, str(inbox / "items"), str(inbox / "options"), state, str(marks), buckets=4)
+
+    drop_day(inbox, 0)
+    merge()
+    before = golden.rows_of(spend.read_spend(spark, state))
+    drop_day(inbox, 1)
+    with monkeypatch.context() as broken:
+        broken.setattr(spend, "unowned_options", lambda *a: 1 / 0)              # after the spend was written
+        with pytest.raises(Exception):
+            merge()
+    merge()
+    assert golden.rows_of(extensions.clv_of_spend(spend.read_spend(spark, state), "2024-03-02")) == expected_values(spark, inbox, 1)
+    assert golden.rows_of(spend.read_spend(spark, state)) != before
+    with pytest.raises(ValueError):
+        spend.merge_new_files(spark, str(inbox / "items"), str(inbox / "options"), state, str(tmp_path / "other"))
+    with pytest.raises(ValueError):
+        spend.read_spend(spark, str(tmp_path / "nothing"))
