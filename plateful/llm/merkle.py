@@ -6,7 +6,9 @@ zero emit the parents. Going down again, every node joins its parent and puts it
 parent's, so a leaf ends up with the digests that prove it: 32 bytes a sibling, bottom to top.
 
 Nodes are joined on (part, place), which is unique, so no task holds a part. Each level is written
-once and has a ``width``-th of the rows below; the driver only knows the number of levels.
+once, as Parquet, and has a ``width``-th of the rows below; the driver only knows the number of levels.
+(Checkpoints would carry on Spark's size estimate of a join, the product of both sides, which over
+some fifteen levels becomes a number too long to multiply.)
 Digests are 64 hex characters where they are hashed and 32 bytes where they are moved.
 
 Defined results: a NULL is hashed as ``-`` and an empty text as ``0:``; a very long text is hashed whole;
@@ -15,14 +17,18 @@ leaf, and rows that repeat are leaves of their own; a NULL doc_id comes first an
 tampered with; an empty table gives an empty manifest; other columns are left out, whatever their names.
 """
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plateful.operators.keys import with_positions
-from plateful.plans.staging import checkpointed
+from plateful.plans.staging import checkpointed, remove_folder, shared_folder
 
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 TAMPERED = 7
 DIGEST = 32
+# Levels that one job of the way down joins.
+LEVELS_A_JOB = 6
 
 
 def framed(column: Column) -> Column:
@@ -76,15 +82,20 @@ def is_root() -> Column:
     return (F.col("place") == 0) & (F.length("siblings") == 0)
 
 
-def climb(leaves: DataFrame, width: int = 2) -> list[DataFrame]:
-    """The written levels of all parts' trees, from the leaves to the roots, which stand alone in the last level.
+def written(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def climb(leaves: DataFrame, folder: str, width: int = 2) -> list[DataFrame]:
+    """All parts' trees by level, from the leaves to the roots, which stand alone in the last level, written to ``folder``.
 
     ``leaves`` has part, place (from 0 without a gap in each part) and digest; more columns stay on the first level.
     """
     top = leaves.agg(F.max("place")).first()[0]
     levels = []
     while top is not None:
-        level = checkpointed(linked(leaves if not levels else nodes, width))
+        level = written(linked(nodes if levels else leaves, width), f"{folder}/{len(levels)}")
         levels.append(level)
         if top == 0:
             break
@@ -95,7 +106,7 @@ def climb(leaves: DataFrame, width: int = 2) -> list[DataFrame]:
     return levels
 
 
-def descend(levels: list[DataFrame], above: DataFrame, width: int = 2) -> DataFrame:
+def descend(levels: list[DataFrame], above: DataFrame, folder: str, width: int = 2) -> DataFrame:
     """The first level with ``path`` and ``steps``: the siblings and slots from each leaf up.
 
     ``above`` has for every part what follows its root: path, steps, and columns that all its leaves get.
@@ -116,6 +127,8 @@ def descend(levels: list[DataFrame], above: DataFrame, width: int = 2) -> DataFr
         upper = (level.withColumn("_up", parent)
                  .join(upper, (F.col("part") == F.col("_part")) & (F.col("_up") == F.col("_place")))
                  .select(*kept, F.concat("siblings", "_path").alias("path"), F.concat(step, "_steps").alias("steps"), *given))
+        if i and i % LEVELS_A_JOB == 0:
+            upper = written(upper, f"{folder}/{i}-down")
     return upper
 
 
@@ -132,17 +145,21 @@ def folded(leaf: Column, path: Column, steps: Column, width: int = 2) -> Column:
     return F.aggregate(steps, start, climbed, lambda state: state["digest"])
 
 
-def proofs(docs: DataFrame, width: int = 2) -> DataFrame:
-    """Per document: part, place, doc_id, digest, changed, path, steps, subroot and root (32 bytes each)."""
-    levels = climb(document_leaves(docs), width)
+def proofs(docs: DataFrame, folder: str, width: int = 2) -> DataFrame:
+    """Per document: part, place, doc_id, digest, changed, path, steps, subroot and root (32 bytes each).
+
+    ``folder``, one that all executors share, gets the levels; the result reads them, so it goes first.
+    """
+    levels = climb(document_leaves(docs), f"{folder}/lower", width)
     if not levels:
         return _no_proofs(docs)
     subroots = with_positions(levels[-1].select(F.col("part").alias("_of"), "digest"), [], ["_of"], "place")
-    upper = climb(subroots.withColumn("part", F.lit("")), width)
+    upper = climb(subroots.withColumn("part", F.lit("")), f"{folder}/upper", width)
     root = upper[-1].first()["digest"]
     end = upper[-1].select("part", nothing().alias("path"), F.array().cast("array<int>").alias("steps"))
-    above = descend(upper, end, width).select(F.col("_of").alias("part"), "path", "steps", F.col("digest").alias("subroot"))
-    return descend(levels, above, width).withColumn("root", F.lit(root))
+    above = descend(upper, end, f"{folder}/upper", width).select(
+        F.col("_of").alias("part"), "path", "steps", F.col("digest").alias("subroot"))
+    return descend(levels, above, f"{folder}/lower", width).withColumn("root", F.lit(root))
 
 
 def _no_proofs(docs):
@@ -155,9 +172,14 @@ def manifest_report(docs: DataFrame, width: int = 2) -> DataFrame:
     """Per document: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified.
 
     ``folded_root`` folds the leaf as tampered with, if it is, with the siblings of the untampered tree.
+    The levels are removed once the report is written.
     """
+    folder = f"{shared_folder(docs.sparkSession)}/merkle-{uuid4().hex}"
     own = text_of(F.coalesce("changed", "digest"))
-    found = proofs(docs, width).select(
-        "doc_id", text_of("digest").alias("leaf"), text_of("subroot").alias("subroot"), text_of("root").alias("root"),
-        F.sha2(text_of("path"), 256).alias("proof_sha256"), folded(own, F.col("path"), F.col("steps"), width).alias("folded_root"))
-    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+    found = checkpointed(proofs(docs, folder, width).select(
+        "doc_id", "digest", "subroot", "root", F.unhex(F.sha2(text_of("path"), 256)).alias("proof"),
+        F.unhex(folded(own, F.col("path"), F.col("steps"), width)).alias("folded")))
+    remove_folder(docs.sparkSession, folder)
+    names = {"digest": "leaf", "subroot": "subroot", "root": "root", "proof": "proof_sha256", "folded": "folded_root"}
+    return found.select("doc_id", *[text_of(c).alias(name) for c, name in names.items()],
+                        (F.col("folded") == F.col("root")).alias("verified"))

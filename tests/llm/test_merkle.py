@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plateful.llm import merkle
+from plateful.plans.staging import folders, shared_folder
 from tests.llm.cases import SCHEMA, clashing, documents, frame, prose, rows
 
 
@@ -78,9 +79,9 @@ def test_any_number_of_leaves(spark, n):
     assert rows(merkle.manifest_report(frame(spark, docs))) == manifest(docs)
 
 
-def test_any_change_is_found(spark):
+def test_any_change_is_found(spark, tmp_path):
     """Every field of a leaf counts: whatever is changed, no proof of the old tree leads to the root."""
-    found = merkle.proofs(frame(spark)).filter("doc_id = 7").first()
+    found = merkle.proofs(frame(spark), str(tmp_path)).filter("doc_id = 7").first()
     assert found["root"].hex() == manifest(documents())[0][3]
     old = next(d for d in documents() if d[0] == 7)
     for i, value in enumerate([8, old[1] + " ", "de", None, 1]):
@@ -102,6 +103,13 @@ def test_very_long_text_largest_count_and_one_hot_language(spark):
     assert rows(merkle.manifest_report(frame(spark, docs))) == manifest(docs)
 
 
+def test_levels_are_removed(spark):
+    def left():
+        return [f for f in folders(spark, shared_folder(spark)) if f.startswith("merkle-")]
+
+    assert merkle.manifest_report(frame(spark)).count() == len(documents()) and not left()
+
+
 def test_empty_table(spark):
     found = merkle.manifest_report(frame(spark, [], SCHEMA))
     assert found.count() == 0 and found.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
