@@ -340,6 +340,8 @@ def statements() -> dict[str, str]:
     select["clv_daily_merge"] = (tables, query) = select["clv_as_of"]
     first = "TIMESTAMP '1998-07-01' QUALIFY row_number() OVER (PARTITION BY lineitem_id ORDER BY l.l_quantity) = 1"
     select["clv_merged_batches"] = (tables.replace("TIMESTAMP '1998-07-01'", first), query)
+    for name in ("clv_percent_rank", "loyalty_impact", "location_performance"):
+        select[f"{name}_merged"] = select[name]
     select["preview"] = (select["scan_order_items"][0], select["scan_order_items"][1] + " ORDER BY lineitem_id LIMIT 5")
     select["option_surrogate_id"] = (_OPTIONS, """SELECT count(*) AS n_rows, count(*) AS n_ids, count(*) AS n_not_null,
         CAST(1 AS BIGINT) AS first_id, count(*) AS last_id FROM options""")

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from plateful import schemas
 from plateful.functions import cleansing
-from plateful.operators import audit, facts, gaps, keys, ranking
-from plateful.plans import customers, extensions, sales, views
+from plateful.operators import audit, distinct, facts, gaps, keys, rank_store, ranking
+from plateful.plans import customers, extensions, increments, sales, views
 from plateful.plans.staging import checkpointed, remove_folder, shared_folder
 from plateful.sources import testdata, text
 from plateful.streaming import spend
@@ -292,6 +292,47 @@ def as_text(rows, schema):
                        *[field(f).alias(f.name) for f in schema.fields if f.name != "id"])
 
 
+def clv_percent_rank_merged(spark, sf):
+    """The ranks of ``clv_percent_rank`` after a change of the stored ranks of an earlier day."""
+    lines, extras = items(spark, sf, *SPEND, "creation_time_utc"), options(spark, sf)
+    earlier = lines.filter("creation_time_utc < timestamp_ntz'1997-01-01'")
+    before, after = (checkpointed(customers.customer_values(x, extras)) for x in (earlier, lines))
+    value = "customer_lifetime_value"
+    store = rank_store.RankStore(f"{shared_folder(spark)}/ranks-{uuid4().hex}", after.schema[value].dataType.scale, True)
+    nobody = before.limit(0)
+    rank_store.apply_changes(spark, store, rank_store.changes(nobody, before, "user_id", value), 0)
+    rank_store.apply_changes(spark, store, rank_store.changes(before, after, "user_id", value), 1)
+    ranks = checkpointed(rank_store.value_ranks(spark, store, 1))
+    remove_folder(spark, store.base)
+    same = F.col(value).eqNullSafe(F.col("value").cast(after.schema[value].dataType))
+    return after.join(ranks, same).select("user_id", value, "percent_rank")
+
+
+def _halves(spark, sf, *columns):
+    """The lines of two spans of days."""
+    lines, cut = items(spark, sf, "creation_time_utc", *columns), F.lit("1995-01-01").cast("timestamp_ntz")
+    early = F.col("creation_time_utc") < cut
+    return [lines.filter(early), lines.filter(~early)]
+
+
+def _merged_state(halves, group, users=False):
+    ids = {"order_id": None, **({"user_id": None} if users else {})}
+    states = []
+    for lines in halves:
+        ids = {key: checkpointed(distinct.extended_ids(lines, key, known, [group])) for key, known in ids.items()}
+        states.append(increments.group_state(lines, group, ids["order_id"], ids.get("user_id")))
+    return increments.merged(states)
+
+
+def loyalty_impact_merged(spark, sf):
+    """``loyalty_impact`` from the states of two spans of days, whose orders and customers overlap."""
+    return increments.loyalty_impact_of(_merged_state(_halves(spark, sf, *LOYALTY), "is_loyalty", users=True))
+
+
+def location_performance_merged(spark, sf):
+    return increments.location_performance_of(_merged_state(_halves(spark, sf, *LOCATION), "restaurant_id"))
+
+
 def seasonal_sales(spark, sf):
     return extensions.seasonal_sales(
         items(spark, sf, "creation_time_utc", "item_price", "item_quantity"), testdata.date_dim(spark, sf))
@@ -320,5 +361,6 @@ QUERIES = [
     customer_lifetime_value, customer_segments, sales_trends, loyalty_impact, location_performance,
     discount_effectiveness, view_segment_counts, view_churn_counts, view_customer_roster,
     view_revenue_timeline, view_hourly_demand, view_loyalty, view_location_league, view_discount,
-    clv_as_of, clv_daily_merge, clv_merged_batches, seasonal_sales, location_extremes, discount_net_revenue, period_change,
+    clv_as_of, clv_daily_merge, clv_merged_batches, clv_percent_rank_merged, loyalty_impact_merged, location_performance_merged,
+    seasonal_sales, location_extremes, discount_net_revenue, period_change,
 ]
