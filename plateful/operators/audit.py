@@ -27,11 +27,30 @@ def audit_text(table: str, text: DataFrame) -> DataFrame:
     ``text`` is the table before typing.
     """
     key, parsed, blank_allowed = CHECKS[table]
+    typed, bad = _strictly_typed(table, text)
+    return _counted(table, typed, key, bad)
+
+
+def with_checks(table: str, text: DataFrame) -> DataFrame:
+    """``text`` with ``_unread``, the number of its fields that typing cannot read, and ``_no_key``."""
+    key = CHECKS[table][0]
+    kept = {c: F.col(c) for c in text.columns}
+    typed, bad = _strictly_typed(table, text.withColumns({f"_raw_{c}": value for c, value in kept.items()}))
+    checked = typed.withColumns({"_unread": reduce(lambda a, b: a + b, [b.cast("bigint") for b in bad]), "_no_key": _no_key(key)})
+    return checked.select(*[F.col(f"_raw_{c}").alias(c) for c in text.columns], "_unread", "_no_key")
+
+
+def _strictly_typed(table, text):
+    """The typed table, and per checked field whether it could not be read."""
+    key, parsed, blank_allowed = CHECKS[table]
     kept = {c: f"_text_{c}" for c in blank_allowed}
     typed = RULES[table][0](text.withColumns({new: F.col(c) for c, new in kept.items()}), strict=True)
     bad = [F.col(c).isNull() for c in parsed]
-    bad += [F.col(c).isNull() & (F.trim(F.coalesce(new, F.lit(""))) != "") for c, new in kept.items()]
-    return _counted(table, typed, key, bad)
+    return typed, bad + [F.col(c).isNull() & (F.trim(F.coalesce(new, F.lit(""))) != "") for c, new in kept.items()]
+
+
+def _no_key(key):
+    return F.col(key).isNull() | (F.col(key).cast("string") == "")
 
 
 def audit_landed(table: str, rows: DataFrame) -> DataFrame:
@@ -40,11 +59,10 @@ def audit_landed(table: str, rows: DataFrame) -> DataFrame:
 
 
 def _counted(table, rows, key, bad):
-    no_key = F.col(key).isNull() | (F.col(key).cast("string") == "")
     failures = reduce(lambda a, b: a + b, [F.sum(b.cast("bigint")) for b in bad], F.lit(0).cast("bigint"))
     return rows.agg(F.count(F.lit(1)).alias("row_count"),
                     F.countDistinct(key).alias("distinct_keys"),
-                    F.coalesce(F.sum(no_key.cast("bigint")), F.lit(0)).alias("null_keys"),
+                    F.coalesce(F.sum(_no_key(key).cast("bigint")), F.lit(0)).alias("null_keys"),
                     F.coalesce(failures, F.lit(0)).alias("parse_failures")
                     ).select(F.lit(table).alias("table_name"), "*")
 

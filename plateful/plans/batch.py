@@ -2,36 +2,100 @@
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from plateful import schemas
-from plateful.operators.audit import audit_landed, audit_text
+from plateful.operators.audit import CHECKS, audit_landed, with_checks
 from plateful.operators.facts import item_facts, order_summary
+from plateful.operators.keys import with_dense_id
 from plateful.plans import customers, sales, views
-from plateful.plans.staging import checkpointed, lazy
-from plateful.sinks.tables import land_tables, write_table
+from plateful.plans.staging import checkpointed, exists, lazy, remove_folder
+from plateful.sinks.tables import land_tables, publish_folder, write_staged, write_table
 from plateful.sources.jdbc import read_jdbc
 from plateful.sources.tables import read_metric, read_raw
-from plateful.sources.text import load_text, read_text
+from plateful.sources.text import FILE_ORDER, MALFORMED, RULES, read_text
+
+STATUS, LANDED, REJECTED = "load_status", "landed", "rejected"
 
 
 class Landed(NamedTuple):
-    """Where a table was landed and what arrived; ``parse_failures`` are fields that could not be read."""
+    """Where a table was landed and what arrived.
+
+    ``parse_failures`` are fields that could not be read, ``malformed_rows`` lines with too few or too many fields.
+    """
 
     path: str
     row_count: int
     distinct_keys: int
     null_keys: int
     parse_failures: int
+    malformed_rows: int = 0
 
 
 def land_text(spark: SparkSession, paths: dict[str, str], raw_base: str, *, strict: bool = False,
               **how) -> dict[str, Landed]:
-    """Clean the named text files, replace their landed tables and report on each."""
-    written = land_tables({table: load_text(spark, path, table, strict=strict, **how) for table, path in paths.items()},
-                          raw_base)
-    return {table: Landed(path, *audit_text(table, read_text(spark, paths[table], table, **how)).first()[1:])
-            for table, path in written.items()}
+    """Clean the named text files, replace their landed tables and report on each.
+
+    The text is read once: the counts of the report are observed while the rows are written. Lines with too
+    few or too many fields are landed all the same, padded or cut, and kept as they came in
+    ``<table>_rejects`` (:func:`read_rejects`). Spark may count rows twice that a lost executor
+    made it read again; ``load_audit`` counts anew.
+    """
+    return {table: land_text_table(spark, path, table, raw_base, strict=strict, **how) for table, path in paths.items()}
+
+
+def land_text_table(spark: SparkSession, path, table: str, raw_base: str, *, strict: bool = False, **how) -> Landed:
+    seen, kept = Observation(), Observation()
+    text = with_checks(table, read_text(spark, path, table, malformed=True, **how))
+    is_bad = F.col(MALFORMED).isNotNull()
+    text = text.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+        F.coalesce(F.sum(c.cast("bigint")), F.lit(0)).alias(name)
+        for name, c in (("no_key", F.col("_no_key")), ("unread", F.col("_unread")), ("malformed", is_bad))])
+    rows = with_rejects(text, table, strict)
+    rows = rows.observe(kept, F.count_if(F.col(STATUS) == LANDED).alias("rows"))
+    staged = write_staged(rows, raw_base, table, [STATUS])
+    landed = f"{staged}/{STATUS}={LANDED}"
+    if not exists(spark, landed):           # not a single row
+        declared_rows = spark.createDataFrame([], schemas.RAW_TABLES[table])
+        declared_rows.write.parquet(landed)
+    place = publish_folder(spark, landed, raw_base, table)
+    rejects = f"{staged}/{STATUS}={REJECTED}"
+    if exists(spark, rejects):
+        publish_folder(spark, rejects, raw_base, f"{table}_rejects")
+    else:
+        remove_folder(spark, f"{raw_base.rstrip('/')}/{table}_rejects")
+    remove_folder(spark, staged)
+    counts = seen.get
+    keys = kept.get["rows"] if RULES[table][1] else read_raw(spark, raw_base, table).agg(F.countDistinct(CHECKS[table][0])).first()[0]
+    return Landed(place, counts["rows"], keys, counts["no_key"], counts["unread"], counts["malformed"])
+
+
+def with_rejects(text: DataFrame, table: str, strict: bool) -> DataFrame:
+    """The rows to land and, beside them, a copy of every malformed line, told apart by ``STATUS``.
+
+    The copies are put in before the first row of each key is taken, each as a key of its own, so one
+    read and one exchange serve both.
+    """
+    clean, key = RULES[table]
+    columns = [*schemas.RAW_TABLES[table].names, MALFORMED, "_file", STATUS]
+    both = F.when(F.col(MALFORMED).isNull(), F.array(F.lit(LANDED))).otherwise(F.array(F.lit(LANDED), F.lit(REJECTED)))
+    if key is None:
+        return with_dense_id(clean(text, strict)).withColumn(STATUS, F.explode(both)).select(*columns)
+    typed = clean(text, strict).withColumn(STATUS, F.explode(both))
+    rejected = F.col(STATUS) == REJECTED
+    alone = F.when(rejected, F.concat_ws("/", *FILE_ORDER))
+    first = Window.partitionBy(key, STATUS, alone).orderBy(*FILE_ORDER)
+    return (typed.filter(F.col(key).isNotNull() | rejected).withColumn("_nth", F.row_number().over(first))
+            .filter("_nth = 1").select(*columns))
+
+
+def read_rejects(spark: SparkSession, raw_base: str, table: str) -> DataFrame:
+    """The lines of the last load with too few or too many fields: file and line."""
+    path = f"{raw_base.rstrip('/')}/{table}_rejects"
+    if not exists(spark, path):
+        return spark.createDataFrame([], "file string, line string")
+    rows = spark.read.schema(f"_file string, {MALFORMED} string").parquet(path)
+    return rows.select(F.col("_file").alias("file"), F.col(MALFORMED).alias("line"))
 
 
 def land_jdbc(spark: SparkSession, url: str, properties: dict, raw_base: str, *, partitions: int,

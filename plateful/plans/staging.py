@@ -48,6 +48,20 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files_of.delete(where, True)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder to a place that is free."""
+    files_of, where = _file_system(spark, path)
+    target = _file_system(spark, to)[1]
+    files_of.mkdirs(target.getParent())
+    if files_of.exists(target) or not files_of.rename(where, target):
+        raise OSError(f"could not move {path} to {to}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files_of, where = _file_system(spark, path)
+    return files_of.exists(where)
+
+
 def _file_system(spark, path):
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where

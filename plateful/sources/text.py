@@ -7,14 +7,21 @@ from plateful.functions.cleansing import (blank_to_null, parse_boolean, parse_da
                                           parse_integer, parse_timestamp, plain_text)
 from plateful.operators.keys import first_by_key, with_dense_id
 
+# The whole text line of a row with too few or too many fields; NULL in all others.
+MALFORMED = "_malformed"
+
 # Where a row stands in its input: file, split of the file, row of the split.
 FILE_ORDER = ["_file", "_block", "_row"]
 
 
-def text_reader(reader, table: str, escape: str = '"', multiline: bool = False):
-    """Configure a batch or stream reader for the text form of ``table``, all fields as text."""
-    return (reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in text_fields(table)]))
-            .option("header", True).option("sep", ",").option("quote", '"')
+def text_reader(reader, table: str, escape: str = '"', multiline: bool = False, malformed: bool = False):
+    """Configure a batch or stream reader for the text form of ``table``, all fields as text.
+
+    Missing fields are NULL and surplus ones are cut off; with ``malformed`` such lines are marked.
+    """
+    names = [*text_fields(table), *([MALFORMED] if malformed else [])]
+    return (reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in names]))
+            .option("columnNameOfCorruptRecord", MALFORMED).option("header", True).option("sep", ",").option("quote", '"')
             .option("escape", escape).option("multiLine", multiline))
 
 

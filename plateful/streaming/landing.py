@@ -7,11 +7,10 @@ batch, and replaced as a whole if the batch is replayed after a failure.
 
 from threading import Event
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plateful import schemas
-from plateful.plans.staging import checkpointed
+from plateful.plans.staging import checkpointed, exists
 from plateful.sources.text import RULES, text_reader, type_text, with_file_place
 from plateful.streaming.keytable import KeyTable
 
@@ -59,16 +58,6 @@ def refuse_new_checkpoint(spark: SparkSession, path: str, checkpoint: str) -> No
         raise ValueError(f"{path} was landed with another checkpoint than {checkpoint}")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-        return True
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-
-
 def landed_keys(spark: SparkSession, raw_base: str, table: str, database: str, buckets: int) -> KeyTable | None:
     """The key table of a landed table, filled from its rows if it is missing; None without a key."""
     key = RULES[table][1]

@@ -158,7 +158,7 @@ def test_text_to_metrics_end_to_end_twice(spark, tmp_path):
     for _ in range(2):
         landed = batch.land_text(spark, paths, raw)
         assert {t: x[1:] for t, x in landed.items()} == {
-            "order_items_raw": (8, 8, 0, 1), "order_item_options_raw": (5, 5, 0, 0), "date_dim_raw": (1, 1, 0, 0)}
+            "order_items_raw": (8, 8, 0, 1, 0), "order_item_options_raw": (5, 5, 0, 0, 0), "date_dim_raw": (1, 1, 0, 0, 0)}
         assert sources.read_raw(spark, raw, "date_dim_raw").count() == 1
         written = batch.run_metrics(spark, raw, out)
         assert set(written) == set(schemas.METRICS)
@@ -324,6 +324,93 @@ def test_jdbc_reads_take_predicates_or_ranges(spark, monkeypatch):
     tables = ("order_items_raw", "order_item_options_raw")
     landed = batch.land_jdbc(spark, "jdbc:x", {}, "raw", partitions=8, tables=tables, predicates={"order_items_raw": ["a", "b"]})
     assert seen == {"order_items_raw": (8, ["a", "b"]), "order_item_options_raw": (8, None)}
-    assert landed["order_items_raw"] == ("raw", 8, 8, 0, 0)
+    assert landed["order_items_raw"] == ("raw", 8, 8, 0, 0, 0)
     with pytest.raises(TypeError):
         batch.land_jdbc(spark, "jdbc:x", {}, "raw")
+
+
+BAD_LINES = ["app,r1,2024-03-01T12:00:00,o1,u1", item_line("l7") + ",more,fields", item_line("l1", name="again") + ",x"]
+
+
+def test_malformed_lines_are_counted_and_kept(spark, tmp_path):
+    """Landed as before, padded or cut, and kept as they came; also those that a first row or a missing key hides."""
+    path = write(tmp_path / "items.csv", ITEM_HEADER, item_line("l1"), *BAD_LINES, item_line("l2", price="x"))
+    dates = write(tmp_path / "dates.csv", ",".join(schemas.DATE_DIM.names), "bad", "01-01-2024,2024,1,1,Monday,False,True,x,y")
+    options = write(tmp_path / "options.csv", "a,b,c,d,e,f", "o1,l1", "o1,l1,Size,Large,1.50,1")
+    raw = str(tmp_path / "raw")
+    paths = {"order_items_raw": path, "date_dim_raw": dates, "order_item_options_raw": options}
+    for _ in range(2):
+        landed = batch.land_text(spark, paths, raw)
+        for table, (place, *counts) in landed.items():
+            text_rows = text.read_text(spark, paths[table], table)
+            assert tuple(counts[:-1]) == tuple(audit.audit_text(table, text_rows).first()[1:])
+            assert golden.rows_of(sources.read_raw(spark, raw, table)) == golden.rows_of(text.load_text(spark, paths[table], table))
+        assert {t: x.malformed_rows for t, x in landed.items()} == {"order_items_raw": 3, "date_dim_raw": 2, "order_item_options_raw": 1}
+        assert sorted(r.line for r in batch.read_rejects(spark, raw, "order_items_raw").collect()) == sorted(BAD_LINES)
+        assert batch.read_rejects(spark, raw, "date_dim_raw").count() == 2
+        assert [r.line for r in batch.read_rejects(spark, raw, "order_item_options_raw").collect()] == ["o1,l1"]
+    write(tmp_path / "items.csv", ITEM_HEADER, item_line("l1"))
+    assert batch.land_text(spark, {"order_items_raw": path}, raw)["order_items_raw"].malformed_rows == 0
+    assert batch.read_rejects(spark, raw, "order_items_raw").count() == 0
+    assert not [p for p in (tmp_path / "raw").rglob("_staged/*")] + [p for p in (tmp_path / "raw").rglob("_replaced/*")]
+
+
+def test_a_load_reads_the_text_once(spark, tmp_path):
+    path = write(tmp_path / "items.csv", ITEM_HEADER, item_line("l1"), BAD_LINES[0])
+    rows = batch.with_rejects(audit.with_checks("order_items_raw", text.read_text(spark, path, "order_items_raw", malformed=True)),
+                              "order_items_raw", False)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in plan
+
+
+def test_an_empty_file_gives_an_empty_table(spark, tmp_path):
+    path, raw = write(tmp_path / "items.csv", ITEM_HEADER), str(tmp_path / "raw")
+    assert batch.land_text(spark, {"order_items_raw": path}, raw)["order_items_raw"][1:] == (0, 0, 0, 0, 0)
+    assert sources.read_raw(spark, raw, "order_items_raw").count() == 0
+
+
+def failing(df):
+    """``df`` with a row that cannot be computed."""
+    broken = F.udf(lambda x: 1 // 0, "string")
+    return df.withColumn(df.columns[0], F.when(F.rand() >= 0, broken(F.lit(1))).cast(df.schema[0].dataType))
+
+
+def test_a_write_that_fails_leaves_the_old_rows(spark, tmp_path):
+    base, items = str(tmp_path), golden.items(spark)
+    sinks.write_table(items, base, "order_items_raw")
+    with pytest.raises(Exception):
+        sinks.write_table(failing(items), base, "order_items_raw")
+    assert golden.rows_of(sources.read_raw(spark, base, "order_items_raw")) == golden.rows_of(items)
+    assert not list((tmp_path / "_staged").iterdir())
+    half = sources.read_raw(spark, base, "order_items_raw").filter("item_quantity = 1")
+    sinks.write_table(half, base, "order_items_raw")                 # reads what it replaces
+    assert sources.read_raw(spark, base, "order_items_raw").count() == len([r for r in golden.ITEMS if r[5] == 1])
+
+
+def test_a_failed_move_puts_the_old_folder_back(spark, tmp_path):
+    base = str(tmp_path)
+    sinks.write_table(spark.range(3), base, "t")
+    with pytest.raises(Exception):
+        sinks.publish_folder(spark, f"{base}/nowhere", base, "t")
+    assert spark.read.parquet(f"{base}/t").count() == 3
+
+
+@pytest.mark.parametrize("bucket_by", [None, "lineitem_id"])
+def test_a_reload_that_fails_leaves_the_catalog_table(spark, bucket_by):
+    database, name = f"plateful_reload_{bucket_by}".lower(), "order_items_raw"
+    sinks.create_database(spark, database)
+    sinks.create_raw_table(spark, database, name, bucket_by=bucket_by, buckets=4)
+    items, table = golden.items(spark), f"{database}.{name}"
+    places = [sinks.table_place(spark, database, name)]
+    for rows in (items, items.filter("item_quantity = 1"), items):
+        sinks.reload_raw_table(rows, database, name)
+        places.append(sinks.table_place(spark, database, name))
+        assert golden.rows_of(spark.table(table)) == golden.rows_of(rows)
+    with pytest.raises(Exception):
+        sinks.reload_raw_table(failing(items), database, name)
+    assert golden.rows_of(spark.table(table)) == golden.rows_of(items)
+    assert [t.tableName for t in spark.sql(f"SHOW TABLES IN {database}").collect()] == [name]
+    exists = [Path(p.removeprefix("file:")).exists() for p in places]
+    assert len(set(places)) == 4 and exists == [False, False, True, True]
+    if bucket_by:
+        assert "Bucketed: true" in spark.table(table).groupBy("lineitem_id").count()._jdf.queryExecution().executedPlan().toString()
