@@ -3,9 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 
 # Columns whose ranges split a table into parallel reads; the date dimension is one small read.
-# The time of an item has no index in the source, so each of its ranges is a full scan there.
-# Where that costs too much, pass predicates on ranges of the key ``lineitem_id`` instead.
-SPLIT_COLUMNS = {"order_items_raw": "creation_time_utc", "order_item_options_raw": "id"}
+SPLIT_COLUMNS = {"order_items_raw": "lineitem_id", "order_item_options_raw": "id"}
+
+# Split columns that are text. Only they have an index there, so that a range is not a scan of the
+# whole table; their values have no even distance, so the database cuts them into equal counts.
+TEXT_KEYS = {"order_items_raw"}
 
 
 def jdbc_options(url: str, table: str, properties: dict, *, column: str | None = None, lower=None,
@@ -35,6 +37,37 @@ def split_bounds(spark: SparkSession, url: str, table: str, properties: dict, co
     return row["lo"], row["hi"]
 
 
+def cut_query(table: str, column: str, partitions: int) -> str:
+    """The first value of each of ``partitions`` ranges with equally many rows, as one query of the database."""
+    tiles = f"select {column} as k, ntile({partitions}) over (order by {column}) as tile from {table} where {column} is not null"
+    return f"(select tile, min(k) as cut from ({tiles}) tiles group by tile) cuts"
+
+
+def key_predicates(column: str, cuts: list[str], backslash_escapes: bool = False) -> list[str]:
+    """One condition per range between the ``cuts``. Every row meets exactly one; the first also takes NULL.
+
+    Equal cuts, as a value with very many rows makes them, are one. The database compares in its own
+    order throughout, so ``cuts`` must be in that order.
+    """
+    def quoted(value):
+        text = value.replace("\\", "\\\\") if backslash_escapes else value
+        return "'" + text.replace("'", "''") + "'"
+
+    inner = [quoted(c) for c in [*dict.fromkeys(cuts)][1:]]
+    if not inner:
+        return ["1 = 1"]
+    between = [f"{column} >= {a} and {column} < {b}" for a, b in zip(inner, inner[1:])]
+    return [f"{column} < {inner[0]} or {column} is null", *between, f"{column} >= {inner[-1]}"]
+
+
+def key_ranges(spark: SparkSession, url: str, table: str, properties: dict, column: str, partitions: int) -> list[str]:
+    """Predicates that split a table by a text key into ranges of equally many rows."""
+    query = cut_query(table, column, partitions)
+    rows = spark.read.format("jdbc").options(**jdbc_options(url, query, properties)).load().collect()
+    cuts = [r["cut"] for r in sorted(rows, key=lambda r: r["tile"])]
+    return key_predicates(column, cuts, url.startswith("jdbc:mysql:"))
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict, *, partitions: int,
               predicates: list[str] | None = None, column: str | None = None) -> DataFrame:
     """A table as a DataFrame; filters and columns are pushed to the database.
@@ -43,6 +76,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict, *, pa
     ``predicates`` gives one WHERE clause per task and must cover every row exactly once. It
     suits tables whose split column is uneven.
     """
+    if not predicates and column is None and partitions > 1 and table in TEXT_KEYS:
+        predicates = key_ranges(spark, url, table, properties, SPLIT_COLUMNS[table], partitions)
     if predicates:
         options = jdbc_options(url, table, properties)
         return spark.read.jdbc(options.pop("url"), options.pop("dbtable"), predicates=predicates,

@@ -6,6 +6,7 @@ from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
 
+import duckdb
 import golden
 import pytest
 from pyspark.errors import AnalysisException
@@ -311,6 +312,42 @@ def test_jdbc_reads_are_split():
         jdbc.jdbc_options("jdbc:x", "t", {}, column="id", lower=1, upper=2)
 
 
+@pytest.mark.parametrize("partitions", [1, 2, 5, 40])
+def test_text_keys_are_split_evenly(partitions):
+    """Every row in exactly one range: quotes, backslashes, NULL, and a value with very many rows."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (lineitem_id VARCHAR)")
+    values = [f"l{i:03}" for i in range(60)] + ["it's", "a\\b", "", "Ä"] + ["hot"] * 40 + [None] * 5
+    con.executemany("INSERT INTO t VALUES (?)", [(v,) for v in values])
+    rows = con.execute(f"SELECT tile, cut FROM {jdbc.cut_query('t', 'lineitem_id', partitions)} ORDER BY tile").fetchall()
+    predicates = jdbc.key_predicates("lineitem_id", [c for _, c in rows])
+    counts = [con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in predicates]
+    assert sum(counts) == len(values) and len(predicates) <= partitions
+    together = " + ".join(f"CASE WHEN {p} THEN 1 ELSE 0 END" for p in predicates)
+    assert con.execute(f"SELECT DISTINCT {together} FROM t").fetchall() == [(1,)]
+    assert max(counts) <= -(-104 // partitions) + 40 + 5
+
+
+def test_text_keys_that_escape_and_tables_without_keys():
+    assert jdbc.key_predicates("k", []) == jdbc.key_predicates("k", ["a"]) == jdbc.key_predicates("k", ["a", "a"]) == ["1 = 1"]
+    assert jdbc.key_predicates("k", ["a", "b\\'c"], True) == ["k < 'b\\\\''c' or k is null", "k >= 'b\\\\''c'"]
+
+
+def test_items_are_read_by_key_ranges(spark, monkeypatch):
+    asked = {}
+    monkeypatch.setattr(jdbc, "key_ranges", lambda session, url, table, properties, column, n: asked.setdefault((table, column, n), ["1 = 1"]))
+
+    class Reader:
+        def jdbc(self, url, table, **how):
+            return (url, table, how["predicates"])
+
+    class Session:
+        read = Reader()
+
+    found = jdbc.read_jdbc(Session(), "jdbc:x", "order_items_raw", {}, partitions=8)
+    assert found == ("jdbc:x", "order_items_raw", ["1 = 1"]) and [*asked] == [("order_items_raw", "lineitem_id", 8)]
+
+
 def test_jdbc_reads_take_predicates_or_ranges(spark, monkeypatch):
     seen = {}
 
