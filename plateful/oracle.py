@@ -327,6 +327,47 @@ def statements() -> dict[str, str]:
           SELECT is_discounted, n AS total_orders, CAST(g AS DOUBLE) AS gross_revenue,
             CAST(a AS DOUBLE) AS addon_revenue, CAST(d AS DOUBLE) AS discount_amount,
             CAST(g + a + d AS DOUBLE) AS net_revenue FROM totals"""),
+        "discount_depth": (_ITEMS + "," + _OPTIONS, """,
+          cuts AS (SELECT lineitem_id, -sum(option_price * option_quantity) AS discount FROM options
+            WHERE option_price < 0 GROUP BY 1),
+          depths AS (SELECT restaurant_id, CASE WHEN rev > 0 THEN
+              (20000 * CAST(discount * 100 AS HUGEINT) + CAST(rev * 100 AS HUGEINT)) // (2 * CAST(rev * 100 AS HUGEINT)) END AS depth
+            FROM items JOIN cuts USING (lineitem_id)),
+          placed AS (SELECT *, row_number() OVER (PARTITION BY restaurant_id, depth IS NULL ORDER BY depth) AS place,
+              count(depth) OVER (PARTITION BY restaurant_id) AS n FROM depths)
+          SELECT restaurant_id, count(*) AS discounted_lines,
+            CAST(min(depth) FILTER (depth IS NOT NULL AND place * 2 >= n) AS DOUBLE) / 100 AS median_depth,
+            CAST(min(depth) FILTER (depth IS NOT NULL AND place * 10 >= n * 9) AS DOUBLE) / 100 AS depth_90
+          FROM placed GROUP BY 1"""),
+        "period_calendar": (_ITEMS, """,
+          daily AS (SELECT CAST(creation_time_utc AS DATE) AS day, rev FROM items WHERE creation_time_utc IS NOT NULL),
+          span AS (SELECT min(day) AS lo, max(day) AS hi FROM daily),
+          starts AS (
+            SELECT 'week' AS period_kind, CAST(unnest(generate_series(date_trunc('week', lo), hi, INTERVAL 7 DAY)) AS DATE) AS period_start FROM span
+            UNION ALL
+            SELECT 'month', CAST(unnest(generate_series(date_trunc('month', lo), hi, INTERVAL 1 MONTH)) AS DATE) FROM span),
+          sums AS (SELECT period_kind, period_start, coalesce(sum(rev), 0) AS revenue
+            FROM starts LEFT JOIN daily ON date_trunc(period_kind, day) = period_start GROUP BY ALL),
+          steps AS (SELECT *, lag(revenue) OVER (PARTITION BY period_kind ORDER BY period_start) AS before FROM sums)
+          SELECT period_kind, CAST(period_start AS VARCHAR) AS period_start, CAST(revenue AS DOUBLE) AS total_revenue,
+            CAST(before AS DOUBLE) AS previous_revenue, CAST(revenue - before AS DOUBLE) AS revenue_change FROM steps"""),
+        "seasonal_index": (_ITEMS, """,
+          span AS (SELECT CAST(min(creation_time_utc) AS DATE) AS lo, CAST(max(creation_time_utc) AS DATE) AS hi FROM items),
+          days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM span),
+          daily AS (SELECT day, coalesce(sum(rev), 0) AS revenue FROM days LEFT JOIN items ON CAST(creation_time_utc AS DATE) = day GROUP BY 1),
+          monthly AS (SELECT date_trunc('month', day) AS day, sum(revenue) AS revenue FROM daily GROUP BY 1),
+          seasons AS (
+            SELECT 'weekday' AS season_kind, dayname(day) AS season_value, revenue, 7 AS periods,
+              sum(revenue) OVER (ORDER BY day ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS around,
+              count(*) OVER (ORDER BY day ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) = 7 AS whole FROM daily
+            UNION ALL
+            SELECT 'month', CAST(month(day) AS VARCHAR), revenue, 24,
+              sum(revenue) OVER (ORDER BY day ROWS BETWEEN 6 PRECEDING AND 5 FOLLOWING)
+                + sum(revenue) OVER (ORDER BY day ROWS BETWEEN 5 PRECEDING AND 6 FOLLOWING),
+              count(*) OVER (ORDER BY day ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) = 13 FROM monthly)
+          SELECT season_kind, season_value, count(*) AS n_periods, CAST(sum(revenue) AS DOUBLE) AS total_revenue,
+            CAST(sum(revenue) * any_value(periods) AS DOUBLE) / CAST(sum(around) AS DOUBLE) AS season_index
+          FROM seasons WHERE whole GROUP BY 1, 2"""),
         "period_change": (_ITEMS, """,
           periods AS (
             SELECT 'week' AS period_kind, date_trunc('week', creation_time_utc) AS start, sum(rev) AS revenue

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from plateful.functions.money import is_discount_line, item_revenue, option_revenue
 from plateful.operators.facts import SPEND_TYPE, customer_option_spend
 from plateful.plans.customers import customer_lifetime_value, values_of, with_clv_segment
-from plateful.plans.staging import lazy
+from plateful.plans.staging import checkpointed, lazy
 
 UNKNOWN = "unknown"
 
@@ -114,3 +114,85 @@ def period_change(items: DataFrame) -> DataFrame:
             .groupBy("period_kind", "period_start").agg(F.sum("revenue").alias("total_revenue"))
             .withColumn("previous_revenue", previous)
             .withColumn("revenue_change", F.col("total_revenue") - F.col("previous_revenue")))
+
+
+# Shares of the discounted lines, as whole fractions, whose depth is reported.
+DEPTHS = {"median_depth": (1, 2), "depth_90": (9, 10)}
+
+
+def discount_depth(items: DataFrame, options: DataFrame) -> DataFrame:
+    """Per restaurant: how many lines were discounted, and by how many percent of their revenue.
+
+    A quantile is the smallest depth that its share of the lines does not exceed, exact to 0.01 percent. It
+    follows from the number of lines per depth, so a restaurant with a third of all lines is
+    some thousand rows by then. Lines without a positive revenue are counted, but have no depth.
+    """
+    discounts = (options.filter(is_discount_line()).groupBy("lineitem_id")
+                 .agg((-F.sum(option_revenue())).alias("discount")))
+    lines = (items.select("lineitem_id", "restaurant_id", item_revenue().alias("revenue")).join(discounts, "lineitem_id")
+             .selectExpr("restaurant_id", "CAST(discount * 100 AS decimal(30,0)) AS d", "CAST(revenue * 100 AS decimal(30,0)) AS r"))
+    # Whole numbers all through: percent times 100, halves up.
+    depth = F.when(F.col("r") > 0, F.expr("(20000 * d + r) div (2 * r)"))
+    counts = lines.groupBy("restaurant_id", depth.alias("depth")).agg(F.count(F.lit(1)).alias("n"))
+    known = F.when(F.col("depth").isNotNull(), F.col("n")).otherwise(0)
+    restaurant = Window.partitionBy("restaurant_id")
+    counts = (counts.withColumn("upto", F.sum(known).over(restaurant.orderBy(F.col("depth").asc_nulls_first())))
+              .withColumn("of", F.sum(known).over(restaurant)))
+    return counts.groupBy("restaurant_id").agg(F.sum("n").alias("discounted_lines"), *[
+        (F.min(F.when(F.col("upto") * below >= F.col("of") * part, F.col("depth"))) / 100).cast("decimal(20,2)").alias(name)
+        for name, (part, below) in DEPTHS.items()])
+
+
+def daily_calendar(items: DataFrame) -> DataFrame:
+    """day and revenue of every day from the first to the last with a sale; 0 on days without one."""
+    daily = items.groupBy(F.to_date("creation_time_utc").alias("day")).agg(F.sum(item_revenue()).alias("revenue"))
+    daily = daily.filter(F.col("day").isNotNull())
+    return _every("day", daily, F.expr("INTERVAL 1 DAY"))
+
+
+def period_calendar(items: DataFrame) -> DataFrame:
+    """``period_change`` over all weeks and months between the first and the last sale.
+
+    A period without sales counts as 0 and is the one before the next, so a change is always that from
+    the calendar period before. Sales without a time have no place in a calendar and are left out.
+    """
+    found = None
+    for kind, step in (("week", "INTERVAL 7 DAYS"), ("month", "INTERVAL 1 MONTH")):
+        each = (items.groupBy(F.to_date(F.date_trunc(kind, "creation_time_utc")).alias("period_start"))
+                .agg(F.sum(item_revenue()).alias("revenue")).filter(F.col("period_start").isNotNull()))
+        each = _every("period_start", each, F.expr(step)).withColumn("period_kind", F.lit(kind))
+        found = each if found is None else found.unionByName(each)
+    previous = F.lag("revenue").over(Window.partitionBy("period_kind").orderBy("period_start"))
+    return found.select("period_kind", "period_start", F.col("revenue").alias("total_revenue"), previous.alias("previous_revenue"),
+                        (F.col("revenue") - previous).alias("revenue_change"))
+
+
+def seasonal_index(items: DataFrame, *, stage=checkpointed) -> DataFrame:
+    """How much more or less sells on a weekday or in a month than around it.
+
+    The revenue of the season's days over their share of the seven days around each; for months over that of
+    the twelve months around (half of the two ends). 1 is as much as usual. Only days and months whose
+    surroundings lie in the calendar count, days without sales as 0. The revenue per day serves both, so it is
+    written once.
+    """
+    days = stage(daily_calendar(items)).withColumn("season_kind", F.lit("weekday"))
+    by_day = Window.partitionBy("season_kind").orderBy("day")
+    around, wide = F.sum("revenue").over(by_day.rowsBetween(-3, 3)), F.count(F.lit(1)).over(by_day.rowsBetween(-3, 3))
+    weekdays = days.select("season_kind", F.date_format("day", "EEEE").alias("season_value"), "revenue",
+                           around.alias("around"), (wide == 7).alias("whole"), F.lit(7).alias("periods"))
+    months = days.groupBy(F.to_date(F.date_trunc("month", "day")).alias("day")).agg(F.sum("revenue").alias("revenue"))
+    months = months.withColumn("season_kind", F.lit("month"))
+    twice = F.sum("revenue").over(by_day.rowsBetween(-6, 5)) + F.sum("revenue").over(by_day.rowsBetween(-5, 6))
+    months = months.select("season_kind", F.month("day").cast("string").alias("season_value"), "revenue", twice.alias("around"),
+                           (F.count(F.lit(1)).over(by_day.rowsBetween(-6, 6)) == 13).alias("whole"), F.lit(24).alias("periods"))
+    sums = (weekdays.unionByName(months).filter("whole").groupBy("season_kind", "season_value", "periods")
+            .agg(F.count(F.lit(1)).alias("n_periods"), F.sum("revenue").alias("revenue"), F.sum("around").alias("around")))
+    index = F.try_divide((F.col("revenue") * F.col("periods")).cast("double"), F.col("around").cast("double"))
+    return sums.select("season_kind", "season_value", "n_periods", F.col("revenue").alias("total_revenue"), index.alias("season_index"))
+
+
+def _every(column, each, step):
+    """``each`` (date and revenue) with a row of revenue 0 for every date that is missing between its first and last."""
+    span = each.agg(F.min(column).alias("first"), F.max(column).alias("last")).filter(F.col("first").isNotNull())
+    dates = span.select(F.explode(F.sequence("first", "last", step)).alias(column))
+    return dates.join(each, column, "left").select(column, F.coalesce("revenue", F.lit(0).cast("decimal(31,2)")).alias("revenue"))

@@ -346,6 +346,18 @@ def discount_net_revenue(spark, sf):
     return extensions.discount_net_revenue(items(spark, sf, *ORDER), options(spark, sf))
 
 
+def discount_depth(spark, sf):
+    return extensions.discount_depth(items(spark, sf, "lineitem_id", "restaurant_id", "item_price", "item_quantity"), options(spark, sf))
+
+
+def period_calendar(spark, sf):
+    return extensions.period_calendar(items(spark, sf, "creation_time_utc", "item_price", "item_quantity"))
+
+
+def seasonal_index(spark, sf):
+    return extensions.seasonal_index(items(spark, sf, "creation_time_utc", "item_price", "item_quantity"))
+
+
 def period_change(spark, sf):
     return extensions.period_change(
         items(spark, sf, "creation_time_utc", "item_price", "item_quantity"))
@@ -362,5 +374,6 @@ QUERIES = [
     discount_effectiveness, view_segment_counts, view_churn_counts, view_customer_roster,
     view_revenue_timeline, view_hourly_demand, view_loyalty, view_location_league, view_discount,
     clv_as_of, clv_daily_merge, clv_merged_batches, clv_percent_rank_merged, loyalty_impact_merged, location_performance_merged,
-    seasonal_sales, location_extremes, discount_net_revenue, period_change,
+    seasonal_sales, location_extremes, discount_net_revenue, period_change, discount_depth,
+    period_calendar, seasonal_index,
 ]
