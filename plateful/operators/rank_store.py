@@ -19,6 +19,8 @@ from plateful.operators.ranking import BUCKET_VALUES
 from plateful.plans.staging import checkpointed, folders, remove_folder
 
 MISSING = "missing"
+# Values a bucket can hold: one task sorts that many at most, and each bucket is a folder.
+STORED_VALUES = 10 * BUCKET_VALUES
 
 
 class RankStore(NamedTuple):
@@ -27,7 +29,7 @@ class RankStore(NamedTuple):
     base: str
     scale: int
     descending: bool
-    bucket_values: int = BUCKET_VALUES
+    bucket_values: int = STORED_VALUES
 
     @property
     def value_type(self) -> str:

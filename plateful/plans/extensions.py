@@ -175,17 +175,22 @@ def seasonal_index(items: DataFrame, *, stage=checkpointed) -> DataFrame:
     surroundings lie in the calendar count, days without sales as 0. The revenue per day serves both, so it is
     written once.
     """
-    days = stage(daily_calendar(items)).withColumn("season_kind", F.lit("weekday"))
-    by_day = Window.partitionBy("season_kind").orderBy("day")
-    around, wide = F.sum("revenue").over(by_day.rowsBetween(-3, 3)), F.count(F.lit(1)).over(by_day.rowsBetween(-3, 3))
-    weekdays = days.select("season_kind", F.date_format("day", "EEEE").alias("season_value"), "revenue",
-                           around.alias("around"), (wide == 7).alias("whole"), F.lit(7).alias("periods"))
+    days = stage(daily_calendar(items))
     months = days.groupBy(F.to_date(F.date_trunc("month", "day")).alias("day")).agg(F.sum("revenue").alias("revenue"))
-    months = months.withColumn("season_kind", F.lit("month"))
-    twice = F.sum("revenue").over(by_day.rowsBetween(-6, 5)) + F.sum("revenue").over(by_day.rowsBetween(-5, 6))
-    months = months.select("season_kind", F.month("day").cast("string").alias("season_value"), "revenue", twice.alias("around"),
-                           (F.count(F.lit(1)).over(by_day.rowsBetween(-6, 6)) == 13).alias("whole"), F.lit(24).alias("periods"))
-    sums = (weekdays.unionByName(months).filter("whole").groupBy("season_kind", "season_value", "periods")
+    periods = days.withColumn("season_kind", F.lit("weekday")).unionByName(months.withColumn("season_kind", F.lit("month")))
+    by_day, weekday = Window.partitionBy("season_kind").orderBy("day"), F.col("season_kind") == "weekday"
+
+    def over(value, first, last):
+        return value.over(by_day.rowsBetween(first, last))
+
+    revenue, rows = F.sum("revenue"), F.count(F.lit(1))
+    periods = periods.select(
+        "season_kind", "revenue",
+        F.when(weekday, F.date_format("day", "EEEE")).otherwise(F.month("day").cast("string")).alias("season_value"),
+        F.when(weekday, over(revenue, -3, 3)).otherwise(over(revenue, -6, 5) + over(revenue, -5, 6)).alias("around"),
+        F.when(weekday, over(rows, -3, 3) == 7).otherwise(over(rows, -6, 6) == 13).alias("whole"),
+        F.when(weekday, 7).otherwise(24).alias("periods"))
+    sums = (periods.filter("whole").groupBy("season_kind", "season_value", "periods")
             .agg(F.count(F.lit(1)).alias("n_periods"), F.sum("revenue").alias("revenue"), F.sum("around").alias("around")))
     index = F.try_divide((F.col("revenue") * F.col("periods")).cast("double"), F.col("around").cast("double"))
     return sums.select("season_kind", "season_value", "n_periods", F.col("revenue").alias("total_revenue"), index.alias("season_index"))

@@ -1,13 +1,17 @@
-"""Loyalty and location metrics from states that are merged day by day instead of from all sales."""
+"""Metrics brought up to date by the days that arrived: loyalty and locations from merged states, trends by day."""
 
+from datetime import date
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plateful.operators.distinct import distinct_counts, distinct_state, merged_states
 from plateful.operators.facts import priced_lines, revenue_sum
-from plateful.plans.sales import average
+from plateful.plans.sales import average, sales_trends
+from plateful.plans.staging import checkpointed
+from plateful.sinks.tables import FOLDERS
+from plateful.sources.tables import read_metric, read_raw
 
 LOYALTY, LOCATION = "is_loyalty", "restaurant_id"
 
@@ -54,6 +58,21 @@ def location_performance_of(state: GroupState) -> DataFrame:
         average(F.col("revenue"), F.col("priced")).cast("decimal(22,2)").alias("average_order_value"))
 
 
+def refresh_trends(spark: SparkSession, raw_base: str, metrics_base: str, days: list[str]) -> None:
+    """Bring the stored ``sales_trends`` up to date for ``days`` on which sales arrived, also late ones.
+
+    Every row belongs to one day, so only the items landed for these days are read again, and only the
+    month folders they lie in are replaced.
+    """
+    days = sorted({date.fromisoformat(str(d)) for d in days})
+    items = read_raw(spark, raw_base, "order_items_raw", days=[str(d) for d in days])
+    months = F.make_date("sales_year", "sales_month", F.lit(1)).isin([d.replace(day=1) for d in days])
+    kept = read_metric(spark, metrics_base, "sales_trends").filter(months & ~F.col("sales_date").isin(days))
+    rows = checkpointed(kept.unionByName(sales_trends(items)))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*FOLDERS["sales_trends"])
+     .parquet(f"{metrics_base.rstrip('/')}/sales_trends"))
+
+
 def _counted(state):
     """One row per group; groups without an order or a user count 0. All inputs have one row per group."""
     found = state.sums.withColumnRenamed(state.group, "_group")

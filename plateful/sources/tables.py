@@ -5,15 +5,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from plateful import schemas
 
 
-def read_raw(spark: SparkSession, base: str, table: str, day: str | None = None) -> DataFrame:
+def read_raw(spark: SparkSession, base: str, table: str, day: str | None = None, days: list[str] | None = None) -> DataFrame:
     """A landed raw table with its declared schema; a missing folder raises.
 
-    ``day`` reads only that day of a table landed in day folders.
+    ``day``, or each of ``days``, reads only these days of a table landed in day folders.
     """
     schema = schemas.RAW_TABLES[table]
     rows = spark.read.schema(schema).parquet(f"{base.rstrip('/')}/{table}")
-    if day is not None:
-        rows = rows.filter(F.col(schemas.DAY_FOLDERS[table][0]) == F.lit(day).cast("date"))
+    if day is not None or days is not None:
+        wanted = [F.lit(d).cast("date") for d in (days if day is None else [day])]
+        rows = rows.filter(F.col(schemas.DAY_FOLDERS[table][0]).isin(wanted))
     return rows.select(*schema.names)
 
 

@@ -1,6 +1,7 @@
 """States that are merged day by day, against the same figures from all rows."""
 
 import random
+from datetime import datetime
 from decimal import Decimal
 
 import golden
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from plateful.operators import distinct, rank_store, ranking
 from plateful.plans import increments, sales
 from plateful.plans.staging import folders
+from plateful.sinks.tables import land_tables
+from plateful.sources.tables import read_metric, read_raw
 
 
 def sale(draw, day):
@@ -99,3 +102,20 @@ def test_a_change_reads_and_writes_only_the_buckets_it_touches(spark, tmp_path):
     everyone = many.join(old, "user_id", "left_anti").unionByName(new)
     assert (golden.rows_of(rank_store.with_percent_rank(everyone, store, 1, "value"))
             == golden.rows_of(ranking.with_percent_rank(everyone, "value", True)))
+
+
+def test_trends_are_refreshed_by_day(spark, tmp_path):
+    """A late line and a new day change their days only; the other folders are not written again."""
+    raw, metrics = str(tmp_path / "raw"), str(tmp_path / "metrics")
+    more = golden.ITEMS + [("u2", "o8", datetime(2024, 1, 1, 5, 0), "l20", "3.00", 2, False, "Food", "r1"),
+                           ("u2", "o9", datetime(2024, 2, 1, 5, 0), "l21", "1.00", 1, False, "Soup", "r1")]
+    land_tables({"order_items_raw": golden.items(spark)}, raw)
+    land_tables({"sales_trends": sales.sales_trends(golden.items(spark))}, metrics)
+    old = {p: p.stat().st_mtime_ns for p in (tmp_path / "metrics").rglob("sales_month=11/*.parquet")}
+    land_tables({"order_items_raw": golden.items(spark, more)}, raw)
+    for _ in range(2):
+        increments.refresh_trends(spark, raw, metrics, ["2024-01-01", "2024-02-01", "2024-01-01"])
+        assert golden.rows_of(read_metric(spark, metrics, "sales_trends")) == golden.rows_of(sales.sales_trends(golden.items(spark, more)))
+    assert old and all(p.stat().st_mtime_ns == t for p, t in old.items())
+    plan = read_raw(spark, raw, "order_items_raw", days=["2024-01-01"])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(creation_day" in plan
