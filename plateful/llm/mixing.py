@@ -6,8 +6,9 @@ above its limit. Rows are then taken whole: each row of a source as often as the
 of target / size says, and a seeded part of the rows once more to fill the rest.
 
 Defined results: a NULL text has size 0; a NULL source is a source of its own, placed last;
-rows that repeat in every used column draw the same lot; an empty table gives an empty
-result; other columns are kept whatever their names.
+rows that repeat in doc_id and text draw the same lot, and where the cut falls among them as many of
+them are taken as come nearest to the target; a very long text is one row that is taken or not; an empty table
+gives an empty result; other columns are kept whatever their names.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -51,10 +52,11 @@ def water_fill(sources: DataFrame, total: float, max_epochs: float) -> DataFrame
 
 
 def lots(key: Column, seed: int) -> dict[str, Column]:
-    """Two seeded draws from 0 to ``LOTS`` - 1, the same on each run for the same text of ``key``."""
+    """A seeded draw, the same on each run for the same text of ``key``, and two numbers from 0 to ``LOTS`` - 1 of it."""
     drawn = F.md5(F.concat(F.lit(f"{seed}|"), key))
-    return {name: F.conv(F.substr(drawn, F.lit(start), F.lit(3)), 16, 10).cast("int")
-            for name, start in (("lot", 1), ("sublot", 4))}
+    numbers = {name: F.conv(F.substr(drawn, F.lit(start), F.lit(3)), 16, 10).cast("int")
+               for name, start in (("lot", 1), ("sublot", 4))}
+    return {"draw": drawn, **numbers}
 
 
 def cuts(rows: DataFrame, sources: DataFrame, max_epochs: float) -> DataFrame:
@@ -62,8 +64,7 @@ def cuts(rows: DataFrame, sources: DataFrame, max_epochs: float) -> DataFrame:
 
     ``rows`` has source, size, lot and sublot. Sizes are summed per lot and, in the lot where
     the rest of the target ends, per sublot. Running sums go over at most ``LOTS`` rows, so
-    no task orders the rows of a source, and a target is met to about one row until a source
-    has more than ``LOTS`` squared rows.
+    no task orders the rows of a source. ``rest`` is what is left for the last sublot.
     """
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     plan = (sources.withColumn("whole", F.least(whole, F.lit(int(max_epochs))).cast("long"))
@@ -76,39 +77,58 @@ def cuts(rows: DataFrame, sources: DataFrame, max_epochs: float) -> DataFrame:
             open_rows = rows.join(ends, F.col("source").eqNullSafe(F.col("_of")) & (F.col("lot") == F.col("last_lot")))
         sums = open_rows.groupBy("source", level).agg(F.sum("size").alias("_size"))
         below = (F.sum("_size").over(Window.partitionBy("source").orderBy(level)) - F.col("_size"))
-        # A lot is entered if the rest reaches into it; a sublot is taken if that comes nearer to the rest.
-        reached = (F.col("_below") + (F.col("_size") / 2 if level == "sublot" else 0)) <= F.col("rest")
         ended = (sums.withColumn("_below", below)
                  .join(broadcast_below(plan.select(F.col("source").alias("_of"), "rest")),
                        F.col("source").eqNullSafe(F.col("_of")))
-                 .filter(reached & (F.col("rest") > 0)).groupBy("_of")
+                 .filter((F.col("_below") <= F.col("rest")) & (F.col("rest") > 0)).groupBy("_of")
                  .agg(F.max(level).alias(name), F.max("_below").alias("_used")))
         plan = (plan.join(ended, F.col("source").eqNullSafe(F.col("_of")), "left")
                 .withColumn("rest", F.col("rest") - F.coalesce("_used", F.lit(0))).drop("_of", "_used"))
     return plan.withColumns({"last_lot": F.coalesce("last_lot", F.lit(-1)),
-                             "last_sublot": F.coalesce("last_sublot", F.lit(-1))}).drop("rest")
+                             "last_sublot": F.coalesce("last_sublot", F.lit(-1))})
 
 
-def takes() -> Column:
-    """How often a row with source, lot and sublot of its own and the columns of ``cuts`` is taken."""
-    more = (F.col("lot") < F.col("last_lot")) | ((F.col("lot") == F.col("last_lot"))
-                                                 & (F.col("sublot") <= F.col("last_sublot")))
-    return F.col("whole") + more.cast("long")
+def quotas(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Per source and draw in its last sublot: how many of the rows with this draw are taken once more.
 
-
-def plan_mix(sized: DataFrame, share: float, max_epochs: float, weights: tuple[int, ...]) -> DataFrame:
-    """Targets and cuts per source for ``sized`` (source, size, lot, sublot), a table that is cheap to read again."""
+    Rows with one draw are equal in doc_id and text. A sublot has few draws, some hundred where a source
+    has ten billion rows, whatever number of rows each has; the nearest number of copies is taken.
+    """
+    ends = broadcast_below(plan.select(F.col("source").alias("_of"), "last_lot", "last_sublot", "rest"))
+    here = F.col("source").eqNullSafe(F.col("_of")) & (F.col("lot") == F.col("last_lot")) & (F.col("sublot") == F.col("last_sublot"))
+    draws = (rows.join(ends, here).groupBy("source", "draw", "rest")
+             .agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"), F.sum("size").alias("_sum")))
+    below = F.sum("_sum").over(Window.partitionBy("source").orderBy("draw")) - F.col("_sum")
+    nearest = F.floor(F.try_divide(F.col("rest") - below, F.col("size")) + F.lit(0.5))
+    quota = F.greatest(F.lit(0), F.least(F.coalesce(nearest, F.lit(0)), F.col("n"))).cast("long")
+    return draws.select(F.col("source").alias("_of"), F.col("draw").alias("_draw"), quota.alias("quota"))
+
+
+def plan_mix(sized: DataFrame, share: float, max_epochs: float, weights: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
+    """Targets and cuts per source, and quotas, for ``sized`` (source, size, draw, lot, sublot), which is cheap to read again."""
     sources = cyclic_weights(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights)
     sources = checkpointed(sources)
     total = share * (sources.agg(F.sum("source_size")).first()[0] or 0)
-    return checkpointed(cuts(sized, water_fill(sources, total, max_epochs), max_epochs))
+    plan = checkpointed(cuts(sized, water_fill(sources, total, max_epochs), max_epochs))
+    return plan, checkpointed(quotas(sized, plan))
 
 
-def with_takes(rows: DataFrame, planned: DataFrame) -> DataFrame:
-    """``rows`` (source, lot, sublot, ...) with source_size, target and takes."""
-    planned = broadcast_below(planned.withColumnRenamed("source", "_of"))
-    return (rows.join(planned, F.col("source").eqNullSafe(F.col("_of")))
-            .withColumn("takes", takes()).drop("_of", "whole", "last_lot", "last_sublot", "weight"))
+def with_takes(rows: DataFrame, planned: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """``rows`` (source, draw, lot, sublot, ...) with source_size, target and takes.
+
+    Only the rows of the last sublots are numbered among those with their draw; the others take no part in that.
+    """
+    plan, quota = planned
+    plan = broadcast_below(plan.withColumnRenamed("source", "_of").drop("weight", "rest"))
+    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
+    last = (F.col("lot") == F.col("last_lot")) & (F.col("sublot") == F.col("last_sublot"))
+    more = (F.col("lot") < F.col("last_lot")) | ((F.col("lot") == F.col("last_lot")) & (F.col("sublot") < F.col("last_sublot")))
+    clear = rows.filter(~last).withColumn("takes", F.col("whole") + more.cast("long"))
+    near = with_positions(rows.filter(last), ["draw"], [], "_nth")
+    own = F.col("source").eqNullSafe(F.col("_of")) & (F.col("draw") == F.col("_draw"))
+    near = (near.join(broadcast_below(quota), own, "left").drop("_of", "_draw")
+            .withColumn("takes", F.col("whole") + (F.col("_nth") < F.col("quota")).cast("long")).drop("_nth", "quota"))
+    return clear.unionByName(near).drop("whole", "last_lot", "last_sublot")
 
 
 def draw_key() -> Column:
@@ -116,7 +136,7 @@ def draw_key() -> Column:
 
 
 def sized_documents(docs: DataFrame, seed: int) -> DataFrame:
-    """doc_id, source, size in words, lot, sublot: all that the mix needs to know of a text."""
+    """doc_id, source, size in words, draw, lot, sublot: all that the mix needs to know of a text."""
     return docs.select("doc_id", "source", n_words(F.col("text")).alias("size"),
                        *[c.alias(n) for n, c in lots(draw_key(), seed).items()])
 

@@ -104,18 +104,25 @@ by_sublot AS (
     sum(sum(d.size)) OVER (PARTITION BY d.source ORDER BY d.sublot) - sum(d.size) AS below
   FROM drawn d JOIN last_lot l ON d.source IS NOT DISTINCT FROM l.source AND d.lot = l.last_lot GROUP BY d.source, d.sublot),
 last_sublot AS (
-  SELECT l.source, max(b.sublot) AS last_sublot
+  SELECT l.source, max(b.sublot) AS last_sublot, any_value(p.rest - l.used) - max(b.below) AS rest
   FROM last_lot l JOIN plan p ON p.source IS NOT DISTINCT FROM l.source
   JOIN by_sublot b ON b.source IS NOT DISTINCT FROM l.source
-  WHERE b.below + b.size / 2 <= p.rest - l.used AND p.rest - l.used > 0 GROUP BY l.source)
-SELECT d.doc_id, CAST(d.size AS BIGINT) AS size, CAST(p.source_size AS BIGINT) AS source_size, p.target,
-  CAST(d.size * (p.whole + CASE WHEN d.lot < l.last_lot OR (d.lot = l.last_lot AND d.sublot <= s.last_sublot)
-                           THEN 1 ELSE 0 END) AS BIGINT) AS taken,
-  d.source, CAST(p.whole + CASE WHEN d.lot < l.last_lot OR (d.lot = l.last_lot AND d.sublot <= s.last_sublot)
-                           THEN 1 ELSE 0 END AS BIGINT) AS takes
-FROM drawn d JOIN plan p ON p.source IS NOT DISTINCT FROM d.source
-LEFT JOIN last_lot l ON l.source IS NOT DISTINCT FROM d.source
-LEFT JOIN last_sublot s ON s.source IS NOT DISTINCT FROM d.source"""
+  WHERE b.below <= p.rest - l.used AND p.rest - l.used > 0 GROUP BY l.source),
+quotas AS (
+  SELECT d.source, d.drawn, greatest(0, least(count(*), coalesce(floor(
+      (any_value(s.rest) - (sum(sum(d.size)) OVER (PARTITION BY d.source ORDER BY d.drawn) - sum(d.size))) / nullif(max(d.size), 0) + 0.5), 0))) AS quota
+  FROM drawn d JOIN last_lot l ON d.source IS NOT DISTINCT FROM l.source AND d.lot = l.last_lot
+  JOIN last_sublot s ON d.source IS NOT DISTINCT FROM s.source AND d.sublot = s.last_sublot GROUP BY d.source, d.drawn),
+taken AS (
+  SELECT d.doc_id, d.size, p.source_size, p.target, d.source, p.whole + CASE
+      WHEN d.lot < l.last_lot OR (d.lot = l.last_lot AND d.sublot < s.last_sublot) THEN 1
+      WHEN row_number() OVER (PARTITION BY d.source, d.drawn) <= q.quota THEN 1 ELSE 0 END AS takes
+  FROM drawn d JOIN plan p ON p.source IS NOT DISTINCT FROM d.source
+  LEFT JOIN last_lot l ON l.source IS NOT DISTINCT FROM d.source
+  LEFT JOIN last_sublot s ON s.source IS NOT DISTINCT FROM d.source
+  LEFT JOIN quotas q ON q.source IS NOT DISTINCT FROM d.source AND q.drawn = d.drawn)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+  CAST(size * takes AS BIGINT) AS taken, source, CAST(takes AS BIGINT) AS takes FROM taken"""
 
 _TOP_K = """
 WITH whole AS (

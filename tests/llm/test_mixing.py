@@ -59,6 +59,16 @@ def test_hot_source_meets_its_target_closely(spark):
     assert ((report.taken - report.target).abs() <= 41).all()
 
 
+@pytest.mark.parametrize("seed", range(10))
+def test_repeated_rows_meet_the_target(spark, seed):
+    """Half of a source is one row a thousand times, without a doc_id: as many of them are taken as the target asks for."""
+    docs = [(None, "w " * 20, "en", "hot", 0)] * 1000 + [(i, "w " * 20, "en", "hot", 0) for i in range(1000)]
+    docs += [(5000 + i, "v " * (5 + i % 30), "en", f"s{i % 3}", 0) for i in range(1500)]
+    report = mixing.mix_report(frame(spark, docs), seed=seed).toPandas()
+    sums = report.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"), largest=("size", "max"))
+    assert ((sums.taken - sums.target).abs() <= sums.largest).all(), sums
+
+
 def test_mix_repeats_rows_as_reported(spark):
     docs = clashing(frame(spark), "size", "takes", "lot", "_row", "target")
     taken = {}
