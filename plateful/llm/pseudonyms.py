@@ -11,11 +11,16 @@ a match for an account number is looked for again.
 A value is an array of numbers, each below its own radix. Ten rounds shift the numbers of one
 half, modulo their radix, by a keyed hash of the other half.
 
-Defined results: a NULL or empty text stays as it is; rows that repeat are treated alike; an
-empty table gives an empty result; other columns are kept whatever their names.
+The key comes as the result of a one-row query and is not part of any plan's text. Of a telephone number
+only the national digits are permuted: the country code and a bracketed trunk zero stay, so all ways to write
+a number get the same national digits.
+
+Defined results: a NULL or empty text stays as it is; a very long text is searched whole; rows that repeat are
+treated alike; an empty table gives an empty result; other columns are kept whatever their names.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROUNDS = 10
 KINDS = ["email", "iban", "card", "phone", "ssn", "ip", "date"]
@@ -23,6 +28,9 @@ KINDS = ["email", "iban", "card", "phone", "ssn", "ip", "date"]
 _CARD = r"\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}"
 # National digits where a country has one number of them; elsewhere a number is as long as it goes on, up to 15 digits.
 _PHONE_DIGITS = {8: "45|47|65", 9: "27|31|33|34|41|48|61|351|353|420|421|971|972", 10: "1|7|20|30|44|52|57|90|91|92", 11: "86"}
+# International codes, none of which begins another: one digit, these of two digits, and all else three.
+_COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+_TRUNK = "(0)"
 _PHONE = "|".join([
     r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}",
     *[rf"\+(?:{codes})(?:[ .-]?\(0\))?(?:[ .-]?\(?\d\)?){{{n}}}" for n, codes in _PHONE_DIGITS.items()],
@@ -74,13 +82,18 @@ def _numbers(digits: Column) -> Column:
     return F.transform(_chars(digits), lambda c: c.cast("long"))
 
 
-def feistel(values: Column, radices: Column, half: Column, tweak: str, key: str) -> Column:
+def secret(spark: SparkSession, key: str) -> Column:
+    """``key`` as a scalar query over local data, whose plan does not show it."""
+    return spark.createDataFrame(pa.table({"secret": [key]})).scalar()
+
+
+def feistel(values: Column, radices: Column, half: Column, tweak: str, key: Column) -> Column:
     """``values`` (array of bigint, each below its radix) under the keyed permutation."""
     def shifted(own, own_radices, other, turn):
         said = F.array_join(other.cast("array<string>"), ",")
 
         def shift(value, i):
-            drawn = F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), turn.cast("string"), i.cast("string"), said), 256)
+            drawn = F.sha2(F.concat_ws("|", key, F.lit(tweak), turn.cast("string"), i.cast("string"), said), 256)
             return (value + F.conv(F.substr(drawn, F.lit(1), F.lit(15)), 16, 10).cast("long")) % F.get(own_radices, i)
 
         return F.transform(own, shift)
@@ -107,13 +120,13 @@ def _longs(*numbers: int) -> Column:
     return F.array(*[F.lit(n).cast("long") for n in numbers])
 
 
-def _permuted_digits(digits: Column, tweak: str, key: str) -> Column:
+def _permuted_digits(digits: Column, tweak: str, key: Column) -> Column:
     values = _numbers(digits)
     ten = F.transform(values, lambda _: F.lit(10).cast("long"))
     return F.array_join(feistel(values, ten, _half(values), tweak, key).cast("array<string>"), "")
 
 
-def _permuted_text(text: Column, tweak: str, key: str) -> Column:
+def _permuted_text(text: Column, tweak: str, key: Column) -> Column:
     """Digits become digits, small letters small and capitals capital; anything else stays."""
     chars = _chars(text)
     kinds = F.transform(chars, lambda c: F.when(c.between("0", "9"), 48).when(c.between("a", "z"), 97)
@@ -153,21 +166,26 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(_chars(text), F.lit(0).cast("long"), add)
 
 
-def _card(m: Column, key: str) -> Column:
+def _card(m: Column, key: Column) -> Column:
     digits = _digits(m)
     payload = _permuted_digits(F.substr(digits, F.lit(1), F.length(digits) - 1), "card", key)
     check = (10 - _luhn_sum(F.concat(payload, F.lit("0"))) % 10) % 10
     return F.when(_luhn_sum(digits) % 10 == 0, _into(m, F.concat(payload, check.cast("string"))))
 
 
-def _phone(m: Column, key: str) -> Column:
-    country = F.regexp_extract(m, r"^\+(\d{1,3})[ .(-]", 1)
-    digits = _digits(m)
+def _phone(m: Column, key: Column) -> Column:
+    trunk = F.lit(_TRUNK)
+    international = m.startswith("+")
+    # The trunk zero of an international number is not part of it; a sign that is no digit keeps its place.
+    form = F.when(international, F.replace(m, trunk, F.lit("()"))).otherwise(m)
+    digits = _digits(form)
+    country = F.when(international, F.regexp_extract(digits, _COUNTRY, 0)).otherwise("")
     national = F.substr(digits, F.length(country) + 1, F.length(digits))
-    return F.when(F.length(digits).between(9, 15), _into(m, F.concat(country, _permuted_digits(national, "phone", key))))
+    shown = _into(form, F.concat(country, _permuted_digits(national, "phone", key)))
+    return F.when(F.length(digits).between(9, 15), F.when(international, F.replace(shown, F.lit("()"), trunk)).otherwise(shown))
 
 
-def _ssn(m: Column, key: str) -> Column:
+def _ssn(m: Column, key: Column) -> Column:
     area, group, serial = [F.split(m, "-")[i].cast("long") for i in range(3)]
     # Areas 001 to 899 without 666.
     values = F.array(area - F.when(area > 666, 2).otherwise(1), group - 1, serial - 1)
@@ -179,13 +197,13 @@ def _ssn(m: Column, key: str) -> Column:
     return F.when(valid, F.array_join(shown, "-"))
 
 
-def _ip(m: Column, key: str) -> Column:
+def _ip(m: Column, key: Column) -> Column:
     values = F.split(m, r"\.").cast("array<bigint>")
     moved = feistel(values, _longs(256, 256, 256, 256), F.lit(2), "ip", key)
     return F.when(F.forall(values, lambda v: v < 256), F.array_join(moved.cast("array<string>"), "."))
 
 
-def _date(m: Column, key: str) -> Column:
+def _date(m: Column, key: Column) -> Column:
     def shown(notation):
         day = F.try_to_timestamp(m, F.lit(notation)).cast("date")
         number = F.datediff(day, F.lit(_FIRST_DAY).cast("date")).cast("long")
@@ -204,7 +222,7 @@ def _iban_holds(m: Column) -> Column:
     return _mod97(F.concat(F.substr(plain, F.lit(5), F.length(plain)), F.substr(plain, F.lit(1), F.lit(4)))) == 1
 
 
-def _iban(m: Column, key: str) -> Column:
+def _iban(m: Column, key: Column) -> Column:
     """The account is permuted without its spaces, so both forms of a number get the same one."""
     plain = F.replace(m, F.lit(" "), F.lit(""))
     country = F.substr(plain, F.lit(1), F.lit(2))
@@ -227,7 +245,7 @@ def _iban_size(m: Column) -> Column:
             .when(~known & (F.size(ends) > 0), F.length(first(F.get(ends, F.lit(0))))).otherwise(0))
 
 
-def _email(m: Column, key: str) -> Column:
+def _email(m: Column, key: Column) -> Column:
     """The name and the hosts before the last two labels are permuted; the domain stays."""
     domain = F.regexp_extract(m, r"[@.]([A-Za-z0-9-]+\.[A-Za-z]+)$", 1)
     own = F.substr(m, F.lit(1), F.length(m) - F.length(domain))
@@ -242,7 +260,7 @@ def kind_of(m: Column) -> Column:
             .when(whole(_PHONE), "phone").when(whole(_CARD), "card").when(whole(_IP), "ip").otherwise("iban"))
 
 
-def pseudonym(m: Column, key: str) -> Column:
+def pseudonym(m: Column, key: Column) -> Column:
     """The replacement of one match; NULL if it fails the check of its kind."""
     by_kind = {"email": _email, "iban": _iban, "card": _card, "phone": _phone, "ssn": _ssn, "ip": _ip, "date": _date}
     kind, found = kind_of(m), None
@@ -252,7 +270,7 @@ def pseudonym(m: Column, key: str) -> Column:
     return found
 
 
-def replacements(text: Column, key: str) -> Column:
+def replacements(text: Column, key: Column) -> Column:
     """Array of (before, kind, match, value): the text cut at its matches; those without a match hold text only."""
     def cut(own, pattern):
         return F.zip_with(F.split(own, pattern, -1), F.regexp_extract_all(own, F.lit(pattern), F.lit(0)),
@@ -274,7 +292,8 @@ def replacements(text: Column, key: str) -> Column:
 
 def with_pseudonyms(rows: DataFrame, key: str, counts: bool = False) -> DataFrame:
     """``rows`` (..., text) with personal data replaced, and with the number replaced per kind if wanted."""
-    parts = F.when(F.col("text").rlike(PERSONAL), replacements(F.col("text"), key))
+    rows = rows.withColumn("_secret", secret(rows.sparkSession, key))
+    parts = F.when(F.col("text").rlike(PERSONAL), replacements(F.col("text"), F.col("_secret")))
     replaced = F.array_join(F.transform("_parts", lambda p: F.concat(
         p["before"], F.coalesce(p["value"], p["match"], F.lit("")))), "")
     done = (rows.withColumn("_parts", parts)
@@ -282,7 +301,7 @@ def with_pseudonyms(rows: DataFrame, key: str, counts: bool = False) -> DataFram
     if counts:
         done = done.withColumns({f"n_{k}": F.coalesce(F.size(F.filter(
             "_parts", lambda p: (p["kind"] == k) & p["value"].isNotNull())), F.lit(0)).cast("long") for k in KINDS})
-    return done.drop("_parts")
+    return done.drop("_parts", "_secret")
 
 
 def pseudonym_report(docs: DataFrame, key: str) -> DataFrame:

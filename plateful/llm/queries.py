@@ -1,5 +1,7 @@
 """One query per operator over its whole table, with production parameters, and the SQL that checks it."""
 
+from secrets import token_hex
+
 from pyspark.sql import DataFrame, SparkSession
 
 from plateful.llm import (filter_audit, language, merkle, mixing, packing, pseudonyms, quality, secrets, sharding, simhash, topk,
@@ -7,9 +9,19 @@ from plateful.llm import (filter_audit, language, merkle, mixing, packing, pseud
 from plateful.llm.shared import table
 
 
+# Spark hides settings with such a name in its logs and pages.
+PSEUDONYM_SECRET = "spark.plateful.pseudonymSecret"
+
+
 def pseudonym_key(spark: SparkSession) -> str:
-    """The secret key of the session, or one for tests: without the key pseudonyms cannot be undone or linked."""
-    return spark.conf.get("spark.plateful.pseudonymKey", "test key")
+    """The secret of the session. Where none is set a new one is drawn, for this session only.
+
+    Pseudonyms of two sessions are linked only if both are given the same secret, and nobody can undo them
+    without it.
+    """
+    if not spark.conf.get(PSEUDONYM_SECRET, None):
+        spark.conf.set(PSEUDONYM_SECRET, token_hex(32))
+    return spark.conf.get(PSEUDONYM_SECRET)
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,9 @@ from datetime import date
 
 import pytest
 
-from plateful.llm import pseudonyms
+from pyspark.sql import functions as F
+
+from plateful.llm import pseudonyms, queries
 from tests.llm.cases import SCHEMA, clashing, frame, prose, rows
 
 KEY = "k1"
@@ -77,6 +79,55 @@ def test_any_grouping_and_what_follows(spark, text, form):
     assert re.fullmatch(form, found) and found != text
 
 
+@pytest.mark.parametrize("country, national, forms", [
+    ("1", "4155552671", ["+14155552671", "+1 415 555 2671", "+1-415-555-2671", "+1 (415) 555-2671", "+1.415.555.2671",
+                         "(415) 555-2671", "415-555-2671"]),
+    ("44", "2079460958", ["+442079460958", "+44 20 7946 0958", "+44 (0)20 7946 0958", "+44 (0) 20 7946 0958", "+44 207 946 0958"]),
+    ("33", "612345678", ["+33612345678", "+33 6 12 34 56 78", "+33 (0)6 12 34 56 78", "+33.6.12.34.56.78"]),
+    ("49", "15123456789", ["+4915123456789", "+49 151 23456789", "+49 (0)151 23456789"]),
+    ("358", "912345678", ["+358912345678", "+358 9 1234 5678", "+358 (0)9 1234 5678"]),
+])
+def test_all_forms_of_a_phone_number_stay_linked(spark, country, national, forms):
+    """The country code and the trunk zero stay, and so does the form; the national digits are the same in all."""
+    found = report(spark, *[f"call {f} now" for f in forms])
+    seen = set()
+    for form, text in zip(forms, found):
+        shown = text.removeprefix("call ").removesuffix(" now")
+        assert re.sub(r"\d", "0", shown) == re.sub(r"\d", "0", form) and shown != form
+        digits = re.sub(r"\D", "", shown.replace("(0)", "") if "+" in form else shown)
+        if "+" in form:
+            assert digits.startswith(country) and ("(0)" in shown) == ("(0)" in form)
+            digits = digits[len(country):]
+        seen.add(digits)
+    assert len(seen) == 1 and seen != {national} and len(*seen) == len(national)
+
+
+def test_the_key_is_in_no_plan(spark, capsys):
+    key = "a-key-that-nobody-should-see"
+    found = pseudonyms.pseudonym_report(frame(spark, [(1, "a@b.org +442079460958", "en", "s", 1)]), key)
+    execution = found._jdf.queryExecution()
+    found.explain("formatted")
+    found.explain("extended")
+    texts = [capsys.readouterr().out, *(str(p) for p in (execution.logical(), execution.analyzed(), execution.optimizedPlan(),
+                                                         execution.executedPlan(), execution))]
+    assert found.collect() and all(key not in t for t in texts)
+    assert key not in execution.executedPlan().toString()
+
+
+def test_without_a_secret_one_is_drawn_for_the_session(spark):
+    other = spark.newSession()
+    key = queries.pseudonym_key(other)
+    assert len(key) == 64 and queries.pseudonym_key(other) == key != queries.pseudonym_key(spark.newSession())
+    shown = other.sql("SET").filter(F.col("key") == queries.PSEUDONYM_SECRET).first()["value"]
+    assert key not in shown
+
+
+def test_very_long_text(spark):
+    text = prose(1, 150_000) + " +442079460958 " + prose(2, 1000) + " 4111111111111111"
+    found, short = report(spark, text, "+442079460958")
+    assert short in found and "+442079460958" not in found and "4111111111111111" not in found and found[:1000] == text[:1000]
+
+
 def test_what_a_false_account_number_holds_is_found(spark):
     found, date_kept = report(spark, "ref AB12 4111 1111 1111 1111 x", "GB00 NWBK 6016 1331 9268 19")
     assert re.fullmatch(r"ref AB12( \d{4}){4} x", found) and found != "ref AB12 4111 1111 1111 1111 x"
