@@ -8,8 +8,9 @@ labelled words. Over a text, forward-backward gives every word its marginal prob
 of likely words are the offending spans, and the two highest marginals give the document's
 score by a logistic curve fitted on the sample.
 
-The sample is bounded by ``Sample``; scoring covers whole texts of all documents in chains of
-``WINDOW`` words. Defined results: a NULL or empty text scores as one without an offending
+The sample is bounded by ``Sample``; scoring covers whole texts of all documents, and a text is one
+chain however long it is. The work is done in rows of ``WINDOW`` words: the moves over a row are one matrix, with
+which the forward message is carried on and the backward one back from row to row. Defined results: a NULL or empty text scores as one without an offending
 word; rows that repeat score alike, whatever their label; without labels of both kinds every
 score is 0; an empty table gives an empty result; other columns are not read.
 """
@@ -103,47 +104,106 @@ class Model(NamedTuple):
     curve: np.ndarray
 
 
-def forward_backward(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of state 1 (chains, words), and the expected moves (0 to 1, 1 to 0 and 1 to 1; chains)."""
+def forward_backward(scores: np.ndarray, moves: np.ndarray, start: np.ndarray | None = None, end: np.ndarray | None = None,
+                     real: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of state 1 (rows, words), and the expected moves (0 to 1, 1 to 0 and 1 to 1; rows).
+
+    ``start`` is the share of state 1 in the message that comes from the row before, NaN where a text begins,
+    ``end`` that in the message from the row after, and ``real`` is false for places after the end of a text.
+    Without them every row is a chain of its own. A move into a row counts for that row.
+    """
     node = np.exp(np.clip(scores, _OUT, -_OUT))
     enter, leave, stay = np.exp(moves)
     n, size = node.shape
+    first = np.ones(n, dtype=bool) if start is None else np.isnan(start)
+    before = np.zeros(n) if start is None else np.where(first, 0.0, start)
+    real = np.ones((n, size), dtype=bool) if real is None else real
     forward, backward = np.empty((n, size)), np.empty((n, size))
     # Shares of state 1 suffice: both messages are scaled to add up to 1.
-    f = node[:, 0] / (1 + node[:, 0])
+    one = ((1 - before) * enter + before * stay) * node[:, 0]
+    f = np.where(first, node[:, 0] / (1 + node[:, 0]), one / (one + (1 - before) + before * leave))
     forward[:, 0] = f
     for t in range(1, size):
         one = ((1 - f) * enter + f * stay) * node[:, t]
         f = one / (one + (1 - f) + f * leave)
         forward[:, t] = f
-    b = np.full(n, 0.5)
+    b = np.full(n, 0.5) if end is None else end
     backward[:, -1] = b
     for t in range(size - 2, -1, -1):
         ahead = b * node[:, t + 1]
         zero, one = (1 - b) + ahead * enter, (1 - b) * leave + ahead * stay
-        b = one / (zero + one)
+        b = np.where(real[:, t + 1], one / (zero + one), b)
         backward[:, t] = b
     on = forward * backward
     marginals = on / (on + (1 - forward) * (1 - backward))
-    f, b, x = forward[:, :-1], backward[:, 1:], node[:, 1:]
-    pairs = np.stack([(1 - f) * enter * x * b, f * leave * (1 - b), f * stay * x * b])
-    return marginals, (pairs / (pairs.sum(axis=0) + (1 - f) * (1 - b))).sum(axis=2)
 
+    def moved(f, b, x):
+        pairs = np.stack([(1 - f) * enter * x * b, f * leave * (1 - b), f * stay * x * b])
+        return pairs / (pairs.sum(axis=0) + (1 - f) * (1 - b))
+
+    inside = np.where(real[:, 1:], moved(forward[:, :-1], backward[:, 1:], node[:, 1:]), 0.0).sum(axis=2)
+    return marginals, inside + np.where(first, 0.0, moved(before, backward[:, 0], node[:, 0]))
+
+
+def carried(scores: np.ndarray, moves: np.ndarray, real: np.ndarray, nth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``start`` and ``end`` of each row for :func:`forward_backward`; ``nth`` is the number of a row in its text.
 
-def _windows(flat: np.ndarray, ends: np.ndarray, fill) -> tuple[np.ndarray, np.ndarray]:
-    """Consecutive texts cut into rows of ``WINDOW``, and for each entry of ``flat`` its place in them."""
+    A text's rows follow one another. All words of a row are one 2 x 2 matrix, and messages are passed on
+    through these, for the rows of all texts with the same number at once.
+    """
+    n, size = scores.shape
+    start, end = np.where(nth == 0, np.nan, 0.5), np.full(n, 0.5)
+    most = int(nth.max(initial=0))
+    if most == 0:
+        return start, end
+    node = np.exp(np.clip(scores, _OUT, -_OUT))
+    enter, leave, stay = np.exp(moves)
+    # Rows from[0], from[1] of the product; nothing moves into the first word of a text.
+    whole = np.zeros((4, n))
+    whole[0], whole[3] = 1.0, 1.0
+    for t in range(size):
+        a, b, c, d = whole
+        into = [a + b * leave, (a * enter + b * stay) * node[:, t], c + d * leave, (c * enter + d * stay) * node[:, t]]
+        if t == 0:
+            into = [np.where(nth == 0, x, y) for x, y in zip((a, b * node[:, 0], c, d * node[:, 0]), into)]
+        new = np.stack(into)
+        whole = np.where(real[:, t], new / new.sum(axis=0), whole)
+    by_number = np.argsort(nth, kind="stable")
+    cuts = np.searchsorted(nth[by_number], np.arange(most + 2))
+    message = np.full((2, n), 0.5)
+    for k in range(1, most + 1):
+        own = by_number[cuts[k]:cuts[k + 1]]
+        (a, b, c, d), (zero, one) = whole[:, own - 1], message[:, own - 1]
+        new = np.stack([zero * a + one * c, zero * b + one * d])
+        message[:, own] = new / new.sum(axis=0)
+        start[own] = message[1, own]
+    back = np.full((2, n), 0.5)
+    for k in range(most, 0, -1):
+        own = by_number[cuts[k]:cuts[k + 1]]
+        (a, b, c, d), (zero, one) = whole[:, own], back[:, own]
+        new = np.stack([a * zero + b * one, c * zero + d * one])
+        back[:, own - 1] = new / new.sum(axis=0)
+        end[own - 1] = back[1, own - 1]
+    return start, end
+
+
+def _windows(flat: np.ndarray, ends: np.ndarray, fill) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Consecutive texts cut into rows of ``WINDOW``, for each entry of ``flat`` its place in them, and each row's number in its text."""
     sizes = np.diff(ends, prepend=0)
     rows = -(-sizes // WINDOW)
     shift = (np.cumsum(rows) - rows) * WINDOW - (ends - sizes)
     place = np.arange(len(flat)) + np.repeat(shift, sizes)
     out = np.full(int(rows.sum()) * WINDOW, fill, dtype=flat.dtype)
     out[place] = flat
-    return out.reshape(-1, WINDOW), place
+    return out.reshape(-1, WINDOW), place, np.arange(int(rows.sum())) - np.repeat(np.cumsum(rows) - rows, rows)
 
 
 def train_chain(texts: list[list[str]], labels: list[np.ndarray], epochs: int = 6, rate: float = 0.5,
                 ridge: float = 1e-4, seed: int = 7) -> tuple[dict[str, float], float, np.ndarray]:
-    """Weights by adaptive gradient steps on batches of chains."""
+    """Weights by adaptive gradient steps on batches of rows.
+
+    The messages from the rows around are those of the weights at the beginning of an epoch.
+    """
     counts = Counter(f for words in texts for w in set(words) for f in features(w))
     index = {f: i for i, f in enumerate(sorted(f for f, n in counts.items() if n > 1))}
     none = len(index)
@@ -153,8 +213,9 @@ def train_chain(texts: list[list[str]], labels: list[np.ndarray], epochs: int =
         known[word] = ids + [none] * (4 - len(ids))
     ends = np.cumsum([len(t) for t in texts])
     flat = np.array([known[w] for words in texts for w in words], dtype=np.int32).reshape(-1, 4)
-    rows, place = _windows(np.arange(len(flat)), ends, -1)
+    rows, place, nth = _windows(np.arange(len(flat)), ends, -1)
     truth = np.concatenate(labels).astype(float)
+    before = np.where(nth > 0, truth[np.maximum(rows[:, 0] - 1, 0)], 0.0)
     rng = np.random.default_rng(seed)
     # All chains with a toxic word, and as many times three without.
     has = np.zeros(len(rows), dtype=bool)
@@ -164,14 +225,18 @@ def train_chain(texts: list[list[str]], labels: list[np.ndarray], epochs: int =
     weights, bias, moves = np.zeros(none + 1), np.array([-2.0]), np.zeros(3)
     seen = [np.full_like(x, 1e-6) for x in (weights, bias, moves)]
     for _ in range(epochs):
+        known_scores = weights[flat].sum(axis=1) + bias
+        start, end = carried(np.where(rows >= 0, known_scores[rows], _OUT), moves, rows >= 0, nth)
         for some in np.array_split(rng.permutation(used), max(1, len(used) // 256)):
             at = rows[some]
             real = at >= 0
             ids, y = flat[at], np.where(real, truth[at], 0.0)
             scores = np.where(real, weights[ids].sum(axis=2) + bias, _OUT)
-            p, expected = forward_backward(scores, moves)
+            p, expected = forward_backward(scores, moves, start[some], end[some], real)
             error = np.where(real, p - y, 0.0) / len(some)
-            observed = np.stack([(1 - y[:, :-1]) * y[:, 1:], y[:, :-1] * (1 - y[:, 1:]), y[:, :-1] * y[:, 1:]]).sum(axis=2)
+            last = np.column_stack([before[some], y[:, :-1]])
+            here = real & ((nth[some] > 0)[:, None] | (np.arange(WINDOW) > 0))
+            observed = np.where(here, np.stack([(1 - last) * y, last * (1 - y), last * y]), 0.0).sum(axis=2)
             slopes = (np.bincount(ids.ravel(), np.repeat(error.ravel(), 4), none + 1) + ridge * weights,
                       np.array([error.sum()]), (expected - observed).mean(axis=1) + ridge * moves)
             for x, total, slope in zip((weights, bias, moves), seen, slopes):
@@ -202,8 +267,12 @@ class Tagger:
         flat = np.array([known[w] for words in texts for w in words], dtype=float)
         if not len(flat):
             return [flat for _ in texts]
-        rows, place = _windows(flat, ends, _OUT)
-        found = forward_backward(rows, self.model.moves)[0].ravel()[place]
+        rows, place, nth = _windows(flat, ends, _OUT)
+        real = np.zeros(rows.size, dtype=bool)
+        real[place] = True
+        real = real.reshape(rows.shape)
+        start, end = carried(rows, self.model.moves, real, nth)
+        found = forward_backward(rows, self.model.moves, start, end, real)[0].ravel()[place]
         return np.split(found, ends[:-1])
 
 

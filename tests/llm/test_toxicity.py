@@ -39,6 +39,50 @@ def test_forward_backward_matches_all_paths():
         assert p == pytest.approx(on / total) and e == pytest.approx(moved / total)
 
 
+def one_long_chain(scores, moves):
+    """Marginals of one chain word by word, and its expected moves."""
+    m = np.array([[1, np.exp(moves[0])], [np.exp(moves[1]), np.exp(moves[2])]])
+    nodes = np.column_stack([np.ones(len(scores)), np.exp(scores)])
+    forward, backward = [nodes[0] / nodes[0].sum()], [np.array([0.5, 0.5])]
+    for x in nodes[1:]:
+        forward.append(forward[-1] @ m * x)
+        forward[-1] = forward[-1] / forward[-1].sum()
+    for x in nodes[:0:-1]:
+        backward.append(m @ (x * backward[-1]))
+        backward[-1] = backward[-1] / backward[-1].sum()
+    on = np.array(forward) * np.array(backward[::-1])
+    pairs = np.zeros(3)
+    for f, b, x in zip(forward, backward[-2::-1], nodes[1:]):
+        joint = f[:, None] * m * (x * b)[None, :]
+        joint /= joint.sum()
+        pairs += [joint[0, 1], joint[1, 0], joint[1, 1]]
+    return on[:, 1] / on.sum(axis=1), pairs
+
+
+@pytest.mark.parametrize("moves", [(-0.7, 0.4, 1.1), (-3.0, -1.0, 2.5), (0.0, 0.0, 0.0)])
+def test_a_text_is_one_chain_wherever_its_rows_are_cut(moves):
+    draw, moves = np.random.default_rng(4), np.array(moves)
+    passage = np.array([2.5, -0.5, 1.5, 3.0, -1.0, 2.0])
+    model = toxicity.Model({}, 0.0, moves, np.zeros(3))
+    lengths = [*range(0, 70), 127, 128, 129, 640, 1000]
+    scored = [np.concatenate([draw.normal(-1.5, 1, n), passage, draw.normal(-1.5, 1, 90)]) for n in lengths]
+    scored += [np.array([-2.0]), np.array([]), draw.normal(0, 3, 64)]
+    tagger = toxicity.Tagger(model)
+    texts = [[f"t{i}x{j}" for j in range(len(x))] for i, x in enumerate(scored)]
+    tagger.known = {w: v for words, x in zip(texts, scored) for w, v in zip(words, x)}
+    for found, x in zip(tagger.marginals(texts), scored):
+        if len(x):
+            assert np.abs(found - one_long_chain(x, moves)[0]).max() < 1e-9
+    ends = np.cumsum([len(x) for x in scored])
+    rows, place, nth = toxicity._windows(np.concatenate(scored), ends, toxicity._OUT)
+    real = np.zeros(rows.size, dtype=bool)
+    real[place] = True
+    real = real.reshape(rows.shape)
+    start, end = toxicity.carried(rows, moves, real, nth)
+    expected = toxicity.forward_backward(rows, moves, start, end, real)[1]
+    assert expected.sum(axis=1) == pytest.approx(sum(one_long_chain(x, moves)[1] for x in scored if len(x)))
+
+
 def test_held_out_documents(spark):
     rows, labels = labelled()
     report = toxicity.toxicity_report(frame(spark, rows), spark.createDataFrame(labels, LABELS)).collect()
