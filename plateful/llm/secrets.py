@@ -9,10 +9,11 @@ random strings and near 0 for names, paths and words.
 Which candidates count is decided over the whole corpus, by encoding and length: in each such
 class the p-values above one half tell how many different candidates are random (copies count once), and the cut
 is the lowest at which the share of others among those kept stays under ``MAX_FALSE``. Short strings,
-where the tests tell less, so need higher p-values than long ones.
+where the tests tell less, so need higher p-values than long ones. In a class of a few strings their number
+tells little, and the doubt is theirs: they are kept, so ``MAX_FALSE`` holds for large classes only.
 
-Defined results: a NULL or empty text has no spans; rows that repeat have the same spans; an
-empty table gives an empty result; other columns are not read. Offsets are code points, ends exclusive.
+Defined results: a NULL or empty text has no spans; a very long text, or one with very many matches, is scanned
+whole in time that grows with its length; rows that repeat have the same spans; an empty table gives an empty result; other columns are not read. Offsets are code points, ends exclusive.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -44,30 +45,89 @@ LEAST_BIN = 1
 MAX_FALSE = 0.05
 
 
+# Entries of an array that are added up one by one before blocks of them are.
+BLOCK = 64
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` needs it for every entry of another array."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, add) -> Column:
+    """Running results of ``add`` over an array of bigints from 0 on.
+
+    Appending to an array copies it, so entries are run through in blocks, and the blocks' results after that: the
+    work grows with the array, not with its square.
+    """
+    longs = F.array().cast("array<bigint>")
+
+    def one_by_one(own):
+        def step(state, x):
+            now = add(state["at"], x)
+            return F.struct(now.alias("at"), F.concat(state["all"], F.array(now)).alias("all"))
+
+        return F.aggregate(own, F.struct(F.lit(0).cast("bigint").alias("at"), longs.alias("all")), step, lambda s: s["all"])
+
+    def in_blocks(own):
+        starts = F.sequence(F.lit(1), F.size(own), F.lit(BLOCK))
+        return F.transform(starts, lambda i: one_by_one(F.slice(own, i, F.lit(BLOCK))))
+
+    def joined(blocks):
+        ends = F.concat(F.array(F.lit(0).cast("bigint")), one_by_one(F.transform(blocks, lambda b: F.element_at(b, -1))))
+        return let(ends, lambda before: F.flatten(F.transform(blocks, lambda b, i: F.transform(b, lambda x: add(F.get(before, i), x)))))
+
+    whole = let(values.cast("array<bigint>"), lambda own: let(in_blocks(own), joined))
+    return F.when(F.size(values) > 0, whole).otherwise(longs)
+
+
 def found(text: Column, pattern: str, kind: str, group: int = 0, least: int = 1) -> Column:
     """Array of (start, place, end, kind, match) of all matches, leftmost first and not overlapping.
 
     A match counts if its ``group`` has ``least`` characters; others still use up their text.
     """
+    kept = "array<struct<start:int,place:int,end:int,kind:string,match:string>>"
     each = F.zip_with(
         F.split(text, pattern, -1),
         F.zip_with(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)),
                    lambda whole, part: F.struct(whole.alias("whole"), F.length(part).alias("size"))),
         lambda before, m: F.struct(F.length(before).alias("gap"), m["whole"].alias("match"), m["size"].alias("size")))
-    place = KINDS.index(kind)
-    kept = ("array<struct<start:int,place:int,end:int,kind:string,match:string>>")
 
-    def add(state, m):
-        start = state["at"] + m["gap"]
-        end = start + F.coalesce(F.length(m["match"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(place).alias("place"), end.alias("end"), F.lit(kind).alias("kind"),
-                        m["match"].alias("match"))
-        spans = F.when(m["size"] >= least, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.cast(kept).alias("spans"))
+    def placed(parts):
+        ends = running(F.transform(parts, lambda m: (m["gap"] + F.coalesce(F.length(m["match"]), F.lit(0))).cast("bigint")),
+                       lambda a, x: a + x)
+        spans = F.zip_with(parts, ends, lambda m, end: F.struct(
+            (end - F.length(m["match"])).cast("int").alias("start"), F.lit(KINDS.index(kind)).alias("place"),
+            end.cast("int").alias("end"), F.lit(kind).alias("kind"), m["match"].alias("match"), m["size"].alias("size")))
+        bare = F.transform(F.filter(spans, lambda x: x["size"] >= least),
+                           lambda x: F.struct(x["start"], x["place"], x["end"], x["kind"], x["match"]))
+        return bare.cast(kept)
+
+    return F.when(text.rlike(pattern), let(each, placed)).otherwise(F.array().cast(kept))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kept).alias("spans"))
-    scanned = F.aggregate(each, start, add, lambda s: s["spans"])
-    return F.when(text.rlike(pattern), scanned).otherwise(F.array().cast(kept))
+
+def free_of(spans: Column, base: Column) -> Column:
+    """The ``spans`` that no span of ``base`` touches; both ascend by start.
+
+    Ends of spans and starts of base spans are put in one order; the farthest end of the base spans that begin
+    before a span ends tells whether one reaches into it.
+    """
+    def entries(own):
+        ends = F.transform(own, lambda c, i: F.struct(c["end"].alias("at"), F.lit(0).alias("later"), F.lit(0).cast("bigint").alias("reach"),
+                                                      i.alias("nth")))
+        starts = F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("later"), b["end"].cast("bigint").alias("reach"),
+                                                      F.lit(-1).alias("nth")))
+        return F.array_sort(F.concat(ends, starts))
+
+    def untouched(own, ordered):
+        reach = running(F.transform(ordered, lambda e: e["reach"]), F.greatest)
+        told = F.filter(F.zip_with(ordered, reach, lambda e, far: F.struct(e["nth"].alias("nth"), far.alias("far"))), lambda e: e["nth"] >= 0)
+        # Spans ascend by end too, so what is told of them is in their own order.
+        both = F.zip_with(own, told, lambda c, e: F.struct(c.alias("c"), (e["far"] <= c["start"]).alias("free")))
+        return F.transform(F.filter(both, lambda x: x["free"]), lambda x: x["c"])
+
+    return F.when((F.size(spans) > 0) & (F.size(base) > 0),
+                  let(spans, lambda own: let(entries(own), lambda ordered: untouched(own, ordered)))).otherwise(spans)
 
 
 def base_spans(text: Column) -> Column:
@@ -98,38 +158,49 @@ def encoding(core: Column) -> Column:
 def randomness(core: Column, name: Column) -> Column:
     """p-value of the battery for strings of 20 or more characters in alphabet ``name``."""
     alphabet = F.element_at(F.create_map(*[F.lit(x) for pair in ALPHABETS.items() for x in pair]), name)
-    k = F.length(alphabet).cast("double")
-    chars = F.regexp_extract_all(core, F.lit("(?s)."), F.lit(0))
-    values = F.transform(chars, lambda c: (F.instr(alphabet, c) - 1).cast("double"))
-    n = F.size(chars).cast("double")
 
     def total(array, of):
         return F.aggregate(array, F.lit(0.0), lambda a, x: a + of(x))
 
-    squares = total(F.array_distinct(chars), lambda c: F.pow(F.length(core) - F.length(F.replace(core, c, F.lit(""))), F.lit(2.0)))
-    spread = 2 / (9 * (k - 1))
-    uneven = (F.pow((k / n * squares - n) / (k - 1), F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread)
+    def numbered(o):
+        values = F.transform(o["chars"], lambda c: (F.instr(o["alphabet"], c) - 1).cast("double"))
+        squares = total(F.array_distinct(o["chars"]),
+                        lambda c: F.pow(F.length(core) - F.length(F.replace(core, c, F.lit(""))), F.lit(2.0)))
+        return let(F.struct(F.length(o["alphabet"]).cast("double").alias("k"), F.size(o["chars"]).cast("double").alias("n"),
+                            values.alias("values"), squares.alias("squares")), summed)
+
+    def summed(o):
+        high = total(o["values"], lambda v: (v >= o["k"] / 2).cast("double"))
+        return let(F.struct(*[o[c].alias(c) for c in ("k", "n", "values", "squares")], high.alias("high"),
+                            (total(o["values"], lambda v: v) / o["n"]).alias("mean")), tested_by)
+
+    def tested_by(o):
+        k, n, values, high, mean = (o[c] for c in ("k", "n", "values", "high", "mean"))
+        spread = 2 / (9 * (k - 1))
+        uneven = (F.pow((k / n * o["squares"] - n) / (k - 1), F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread)
+        pairs = F.zip_with(F.slice(values, F.lit(1), F.size(values) - 1), F.slice(values, F.lit(2), F.size(values) - 1),
+                           lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        turns = total(pairs, lambda p: ((p["a"] >= k / 2) != (p["b"] >= k / 2)).cast("double"))
+        both = 2 * high * (n - high)
+        expected, variance = both / n + 1, both * (both - n) / (n * n * (n - 1))
+        runs = F.when((high > 0) & (high < n) & (variance > 0), F.abs((turns + 1 - expected) / F.sqrt(variance)))
+        around = total(values, lambda v: (v - mean) * (v - mean))
+        together = total(pairs, lambda p: (p["a"] - mean) * (p["b"] - mean))
+        serial = F.when(around > 0, F.abs(together / around) * F.sqrt(n))
+        return let(F.struct(uneven.alias("uneven"), runs.alias("runs"), serial.alias("serial")), lowest)
+
+    def lowest(z):
+        # A test that cannot be made, as with one letter only, speaks against randomness.
+        two_sided = [F.when(z[t].isNotNull(), 2 * tail(z[t])).otherwise(0.0) for t in ("runs", "serial")]
+        return 1 - F.pow(1 - F.least(tail(z["uneven"]), *two_sided, F.lit(1.0)), F.lit(3.0))
 
-    following = F.slice(values, F.lit(2), F.size(values) - 1)
-    leading = F.slice(values, F.lit(1), F.size(values) - 1)
-    pairs = F.zip_with(leading, following, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    high = total(values, lambda v: (v >= k / 2).cast("double"))
-    turns = total(pairs, lambda p: ((p["a"] >= k / 2) != (p["b"] >= k / 2)).cast("double"))
-    both = 2 * high * (n - high)
-    expected, variance = both / n + 1, both * (both - n) / (n * n * (n - 1))
-    runs = F.when((high > 0) & (high < n) & (variance > 0), 2 * tail(F.abs((turns + 1 - expected) / F.sqrt(variance)))).otherwise(0.0)
-
-    mean = total(values, lambda v: v) / n
-    around = total(values, lambda v: (v - mean) * (v - mean))
-    together = total(pairs, lambda p: (p["a"] - mean) * (p["b"] - mean))
-    serial = F.when(around > 0, 2 * tail(F.abs(together / around) * F.sqrt(n))).otherwise(0.0)
-    return 1 - F.pow(1 - F.least(tail(uneven), runs, serial, F.lit(1.0)), F.lit(3.0))
+    chars = F.regexp_extract_all(core, F.lit("(?s)."), F.lit(0))
+    return let(F.struct(alphabet.alias("alphabet"), chars.alias("chars")), numbered)
 
 
 def candidates(text: Column, base: Column) -> Column:
     """Candidate spans that touch no base span, with their core (without padding) and encoding."""
-    free = F.filter(found(text, CANDIDATE, "random"), lambda c: ~F.exists(
-        base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    free = free_of(found(text, CANDIDATE, "random"), base)
 
     def described(c):
         core = F.rtrim(c["match"], F.lit("="))
