@@ -27,3 +27,19 @@ def released(batches):
         yield batch
         del batch
         pa.default_memory_pool().release_unused()
+
+
+def hot_limit(rows: int, least: int = 100, keys: int = 100_000) -> int:
+    """A key with more rows than this is hot; of ``rows`` rows there are at most ``keys`` such keys."""
+    return max(least, rows // keys)
+
+
+def split_join(rows: DataFrame, table: DataFrame, key: str, limit: int) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, which has one row per key and in ``n`` how many of ``rows`` have it.
+
+    The few hot keys are sent to the rows (:func:`hot_limit` bounds their number), so that no task gets all rows
+    of one; only the others are shuffled by key.
+    """
+    hot = F.broadcast(table.filter(F.col("n") > limit))
+    cold = rows.join(hot.select(key), key, "left_anti").join(table.filter(F.col("n") <= limit), key)
+    return rows.join(hot, key).unionByName(cold).drop("n")

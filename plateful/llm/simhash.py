@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from plateful.llm.shared import WORD, released
+from plateful.llm.shared import WORD, hot_limit, released, split_join
 from plateful.plans.staging import checkpointed
 
 SEED = 42
@@ -162,21 +162,22 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root): for every node of ``edges`` (a, b) the smallest node it is connected to.
 
     Alternating large-star and small-star rounds until nothing changes. Minima are aggregated before
-    they are shuffled, and the neighbours of a hub are joined to its minimum, which Spark splits
-    where a hub is uneven, rather than gathered in one task. Rounds grow with the logarithm
-    of the longest chain, and each ends in a checkpoint.
+    they are shuffled, and the minima of hubs are sent to their edges, so no task gets all
+    edges of one. Rounds grow with the logarithm of the longest chain, and each ends in a checkpoint.
     """
     edges, before = checkpointed(edges.select("a", "b")), None
     while True:
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = state
+        before, limit = state, hot_limit(2 * state[0])
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = (both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+                 .select("a", F.least("a", "m").alias("m"), "n"))
+        large = (split_join(both, least, "a", limit).filter("b > a")
+                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = (split_join(large, low, "a", limit).filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b"))).distinct())
         edges = checkpointed(small)
 
@@ -192,28 +193,37 @@ def classes(prints: DataFrame, blocks: int = 2) -> DataFrame:
 def near_duplicates(docs: DataFrame, n: int = SHINGLE, blocks: int = 2) -> DataFrame:
     """Per document (doc_id, text): doc_id, fingerprint (16 hex digits), component_id (smallest doc_id)."""
     prints = checkpointed(with_fingerprint(docs.select("doc_id", "text"), n))
-    first = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    first = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     member = checkpointed(classes(prints, blocks).join(first, "fingerprint"))
-    named = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = member.select("fingerprint", "root").join(named, "root").select("fingerprint", "component_id")
-    return (prints.join(ids, "fingerprint")
+    named = member.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    limit = hot_limit(prints.count())
+    ids = checkpointed(split_join(member.select("fingerprint", "root", F.col("n").alias("n_rows")), named, "root", limit)
+                       .select("fingerprint", "component_id", F.col("n_rows").alias("n")))
+    return (split_join(prints, ids, "fingerprint", limit)
             .select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"))
 
 
 def one_per_component(docs: DataFrame, n: int = SHINGLE, blocks: int = 2) -> DataFrame:
     """The row of ``docs`` with the smallest doc_id of each component, with all its columns.
 
-    Rows that repeat in doc_id and text are cut to one per task before they are shuffled.
-    Among rows with one doc_id the text with the smaller hash stays; a NULL doc_id is last.
+    Among rows with one doc_id the text with the smaller hash stays; a NULL doc_id is last. Whole rows are
+    shuffled once, by doc_id and hash, which serves the choice and the cut of rows that repeat; rows
+    that repeat very often are cut to one per task instead.
     """
-    key = {"_id": F.col("doc_id"), "_hash": F.xxhash64(F.coalesce("text", F.lit("")))}
-    prints = checkpointed(with_fingerprint(
-        docs.select(*[c.alias(k) for k, c in key.items()], "text"), n).distinct())
-    best = F.min(F.struct(F.isnull("_id").alias("none"), "_id", "_hash"))
+    pair = {"_id": F.col("doc_id"), "_hash": F.xxhash64(F.coalesce("text", F.lit("")))}
+    key = F.concat_ws("|", F.concat(F.lit("="), F.col("doc_id").cast("string")), pair["_hash"].cast("string"))
+    prints = with_fingerprint(docs.select(*[c.alias(k) for k, c in pair.items()], key.alias("_key"), "text"), n)
+    prints = checkpointed(prints.groupBy("_key").agg(
+        *[F.first(c).alias(c) for c in ("_id", "_hash", "fingerprint")], F.count(F.lit(1)).alias("n")))
+    best = F.min(F.struct(F.isnull("_id").alias("none"), "_id", "_hash", "_key", "n"))
     firsts = prints.groupBy("fingerprint").agg(best.alias("best"))
-    kept = (classes(prints, blocks).join(firsts, "fingerprint").groupBy("root").agg(F.min("best").alias("best"))
-            .select(F.col("best._id").alias("_kept"), F.col("best._hash").alias("_kept_hash")))
-    rows = (docs.select(F.struct("*").alias("_row"), *[c.alias(k) for k, c in key.items()])
-            .groupBy("_id", "_hash").agg(F.first("_row").alias("_row")))
-    return (rows.join(checkpointed(kept), F.col("_id").eqNullSafe(F.col("_kept")) & (F.col("_hash") == F.col("_kept_hash")),
-                      "left_semi").select("_row.*"))
+    kept = checkpointed(classes(prints, blocks).join(firsts, "fingerprint").groupBy("root").agg(F.min("best").alias("best"))
+                        .select("best._key", "best.n"))
+    limit = hot_limit(prints.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    rows = docs.select(F.struct("*").alias("_row"), key.alias("_key"))
+    hot = F.broadcast(prints.filter(F.col("n") > limit).select("_key"))
+    hot_kept = F.broadcast(kept.filter(F.col("n") > limit).select("_key"))
+    cold = rows.join(hot, "_key", "left_anti").join(kept.filter(F.col("n") <= limit), "_key", "left_semi")
+    return (cold.groupBy("_key").agg(F.first("_row").alias("_row"))
+            .unionByName(rows.join(hot_kept, "_key", "left_semi").groupBy("_key").agg(F.first("_row").alias("_row")))
+            .select("_row.*"))

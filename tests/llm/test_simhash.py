@@ -84,6 +84,26 @@ def test_long_chain_has_one_component(spark):
     assert found == {(i, 0) for i in range(1, n + 1)}
 
 
+def test_hubs_have_one_component_each(spark):
+    """Two hubs with very many neighbours, one the smallest and one the largest node of its component, and a bridge."""
+    edges = [(0, i) for i in range(1, 700)] + [(i, 5000) for i in range(1000, 1900)] + [(2000, 2001)]
+    found = {tuple(r) for r in simhash.components(frame(spark, edges, "a long, b long")).collect()}
+    assert found == ({(i, 0) for i in range(1, 700)} | {(i, 1000) for i in [*range(1001, 1900), 5000]} | {(2001, 2000)})
+    joined = simhash.components(frame(spark, edges + [(699, 1000)], "a long, b long")).collect()
+    assert {r["root"] for r in joined if r["node"] != 2001} == {0}
+
+
+def test_whole_rows_are_shuffled_once_and_repeated_rows_are_cut(spark):
+    docs = [(1, "a b c d", "en", f"s{i}", i) for i in range(400)] + [(2, "a b c d", "en", "s", 0)] * 300 + [(7, "x y z w", "en", "s", 1)] * 3
+    docs += [(30 + i, f"text number {i} of some more words", "en", "s", 0) for i in range(5)] + [(None, "q r s t", None, None, None)] * 2
+    rows = frame(spark, docs)
+    kept = simhash.one_per_component(rows)
+    report = simhash.near_duplicates(rows).collect()
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(c) for c in {r["component_id"] for r in report})
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "_row" not in "".join(line for line in plan.splitlines() if "BroadcastExchange" in line)
+
+
 def test_report_on_awkward_rows(spark):
     found = simhash.near_duplicates(frame(spark)).collect()
     assert len(found) == len(documents())
