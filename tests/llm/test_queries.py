@@ -1,10 +1,17 @@
+from collections import Counter
+from pathlib import Path
+
 import duckdb
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from plateful.llm import queries
-from tests.llm.cases import SCHEMA, clashing, documents, frame, stored
+from plateful.llm import quality, queries
+from plateful.plans.staging import folders, shared_folder
+from tests.llm.cases import SCHEMA, WORDS, clashing, documents, frame, stored
+from tests.llm.test_simhash import plain_components, plain_fingerprint
 from tests.llm.test_topk import vectors
 
 COLUMNS = {
@@ -77,6 +84,80 @@ def test_pipeline_equals_its_stages(spark, tables):
     assert sorted(map(str, corpus_pipeline.run(spark, tables).drop(*drop).collect())) == sorted(map(str, docs.drop(*drop).collect()))
 
 
+def _with_personal_data(spark):
+    """Good documents, some with a mail address, in which that is the only text with an @ sign."""
+    docs = [(d[0], f"{d[1]} mail jane.doe{d[0]}@mail.example.com now", *d[2:]) for d in documents() if d[0] is not None and 1 <= d[0] <= 40]
+    return frame(spark, docs)
+
+
+def _files_with(folder, word):
+    found = []
+    for path in Path(folder.removeprefix("file:")).rglob("*"):
+        if path.is_file() and path.suffix == ".parquet":
+            table = pq.read_table(path)
+            found += [str(path) for c in table.columns if any(word in str(v) for v in c.to_pylist())]
+    return found
+
+
+def test_pipeline_leaves_its_last_stage_only(spark, tmp_path):
+    folder = stored(_with_personal_data(spark), "documents")
+    shared = shared_folder(spark)
+    before = set(folders(spark, shared))
+    result = corpus_pipeline.run(spark, folder)
+    new = [f for f in folders(spark, shared) if f not in before and f.startswith("corpus-")]
+    assert len(new) == 1 and folders(spark, f"{shared}/{new[0]}") == ["packed"] and result.count() > 0
+    assert not _files_with(f"{shared}/{new[0]}", "jane.doe")
+    kept = corpus_pipeline.run(spark, folder, f"{tmp_path}/result")
+    assert kept.count() == result.count() and kept.inputFiles()[0].startswith(f"file://{tmp_path}/result")
+    more = [f for f in folders(spark, shared) if f.startswith("corpus-") and f not in {*before, *new}]
+    assert not any(folders(spark, f"{shared}/{f}") for f in more)
+
+
+def test_pipeline_that_fails_leaves_nothing(spark, monkeypatch):
+    folder = stored(_with_personal_data(spark), "documents")
+    before = set(folders(spark, shared_folder(spark)))
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*corpus_pipeline.STAGES[:2], ("PII", broken)])
+    with pytest.raises(RuntimeError):
+        corpus_pipeline.run(spark, folder)
+    assert not [f for f in folders(spark, shared_folder(spark)) if f.startswith("corpus-") and f not in before]
+
+
+def test_each_stage_against_plain_python(spark, tables):
+    """What each stage may do to a document, told from its own input alone."""
+    docs = frame(spark).unionByName(_with_personal_data(spark).withColumn("doc_id", F.col("doc_id") + 1000))
+    good, near, personal, mixed = corpus_pipeline.STAGES[0][1], *[f for _, f in corpus_pipeline.STAGES[1:4]]
+    given = Counter(map(tuple, docs.collect()))
+    kept = Counter(map(tuple, good(spark, docs, tables).collect()))
+    assert not kept - given
+    for row in given - kept:            # what goes fails the base rule, or the rules' vote in the report
+        assert row[0] is None or row[0] in {r["doc_id"] for r in quality.quality_report(docs).filter("NOT kept").collect()}
+    after = Counter(map(tuple, near(spark, docs, tables).collect()))
+    prints = {}
+    for row in given:
+        prints.setdefault(plain_fingerprint(row[1]), []).append(row)
+    component = plain_components(sorted(prints))
+    groups = {}
+    for p, rows_ in prints.items():
+        groups.setdefault(component[p], []).extend(rows_)
+    assert sum(after.values()) == len(groups) and not after - given
+    first = {min((r[0] is None, r[0] or 0) for r in g) for g in groups.values()}
+    assert {(r[0] is None, r[0] or 0) for r in after} == first
+    hidden = personal(spark, docs, tables).collect()
+    assert len(hidden) == sum(given.values()) and not any("jane.doe" in (r["text"] or "") for r in hidden)
+    unchanged = Counter(r["doc_id"] for r in hidden if (r["text"] or "").find("@") < 0)
+    assert unchanged == Counter(d[0] for d in given.elements() if (d[1] or "").find("@") < 0)
+    assert all(r["n_chars"] == len(r["text"]) for r in hidden if r["text"] is not None)
+    copies = Counter(map(tuple, mixed(spark, docs, tables).collect()))
+    assert not set(copies) - set(given) and all(n <= 2 * given[r] for r, n in copies.items())
+    words = sum(len(WORDS.findall(r[1] or "")) * n for r, n in given.items())
+    taken = sum(len(WORDS.findall(r[1] or "")) * n for r, n in copies.items())
+    assert abs(taken - 1.5 * words) <= 5 * max(len(WORDS.findall(r[1] or "")) for r in given)
+
+
 def test_pipeline_on_an_empty_table(spark):
     folder = stored(frame(spark, [], SCHEMA), "documents")
     assert corpus_pipeline.run(spark, folder).count() == 0
