@@ -2,7 +2,9 @@
 
 Each stage is one operator of ``plateful.llm`` over all rows that its predecessor kept. Its rows
 are written as Parquet to the shared checkpoint folder and read back, so a lost executor
-costs no earlier stage; the folder is cleaned as Spark's own checkpoints are. The last stage returns one row per piece of a sequence.
+costs no earlier stage. A stage's folder is deleted once its successor is written, also where a stage fails, so
+no text from before the pseudonyms stays; that of the last stage, one row per piece of a
+sequence, is the result's and the caller's to delete.
 """
 
 import uuid
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from plateful.llm import mixing, packing, pseudonyms, quality, simhash
 from plateful.llm.queries import pseudonym_key
 from plateful.llm.shared import table
-from plateful.plans.staging import shared_folder
+from plateful.plans.staging import remove_folder, shared_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,11 +50,19 @@ STAGES = [("quality rules", quality_rules), ("near duplicates", near_duplicates)
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over ``documents``."""
+def run(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """The rows of the last stage over ``documents``, written to ``path`` or to a new folder of the shared one."""
     docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
-    for n, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{n}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    before, last = None, path or f"{folder}/packed"
+    try:
+        for n, (_, stage) in enumerate(STAGES):
+            written = last if n == len(STAGES) - 1 else f"{folder}/{n}"
+            stage(spark, docs, sf_dir).write.parquet(written)
+            docs = spark.read.parquet(written)
+            if before:
+                remove_folder(spark, before)
+            before = written
+    except BaseException:
+        remove_folder(spark, folder)
+        raise
     return docs
