@@ -10,7 +10,8 @@ pages, by grouped sums of the text posteriors. A page's own text is taken out of
 serve as its prior, so it is not counted twice. Text models are fitted on a bounded sample of
 labelled documents (``Sample``).
 
-Defined results: a NULL or empty page has no text evidence; a NULL or odd address has host,
+Defined results: a NULL or empty page has no text evidence; a very long page is read whole, in time that grows with
+its length also where its tags are not closed; a NULL or odd address has host,
 domain and suffix NULL, which are counted like any other value; without a declaration that is
 counted as such; rows that repeat are judged alike; without labelled documents the language
 is NULL; an empty table gives an empty result; other columns are not read.
@@ -34,19 +35,26 @@ CERTAIN_WORDS = 40
 HOST_WEIGHT, DOMAIN_WEIGHT, FLAT_WEIGHT = 5.0, 20.0, 1.0
 CACHED_WORDS = 300_000
 
-_NO_TEXT = re.compile(r"(?is)<!--.*?-->|<(script|style|nav|header|footer|aside|noscript|title)\b.*?</\1\s*>")
-_MAIN = re.compile(r"(?is)<(article|main)\b[^>]*>(.*)</\1\s*>")
+_HIDDEN = "script|style|nav|header|footer|aside|noscript|title"
+_OPENS = re.compile(rf"(?i)<!--|<({_HIDDEN})\b")
+_CLOSES = {"!": re.compile("-->"), **{tag: re.compile(rf"(?i)</{tag}\s*>") for tag in [*_HIDDEN.split("|"), "article", "main"]}}
+_MAIN_OPENS = re.compile(r"(?i)<(article|main)\b")
 _TAG = re.compile(r"(?s)<[^>]*>")
-_DECLARED = re.compile(r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([a-z]{2,3})\b""")
+_ROOT = re.compile(r"(?i)<html\b")
+_LANG = re.compile(r"""(?i)\blang\s*=\s*["']?([a-z]{2,3})\b""")
 _HOST = re.compile(r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 class Sample(NamedTuple):
-    """Bounds of the labelled sample: documents per language, longest text. Every language is in it."""
+    """Bounds of the labelled sample: documents per language and of all languages, longest text.
+
+    Every language is in it; beyond some 60 languages each has fewer documents.
+    """
 
     documents: int = 300
     max_chars: int = 20_000
+    in_all: int = 20_000
 
 
 class Model(NamedTuple):
@@ -68,14 +76,15 @@ def labelled_sample(docs: DataFrame, bounds: Sample = Sample()) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count_if(short).alias("short")).collect()]
     if not counts:
         return docs.sparkSession.createDataFrame([], "lang string, text string")
+    each = min(bounds.documents, max(1, bounds.in_all // len(counts)))
     only_long = [lang for lang, _, has_short in counts if not has_short]
     known = (known.filter(short | F.col("lang").isin(only_long))
              .withColumn("text", F.substr("text", F.lit(1), F.lit(bounds.max_chars))))
-    rate = F.element_at(F.create_map(*[F.lit(x) for lang, n, _ in counts for x in (lang, bounds.documents / n)]),
+    rate = F.element_at(F.create_map(*[F.lit(x) for lang, n, _ in counts for x in (lang, each / n)]),
                         F.col("lang"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(2 ** 31)) / F.lit(float(2 ** 31))
     return (known.filter(draw < rate).select("lang", "text", draw.alias("draw")).orderBy("draw", "lang", "text")
-            .limit(2 * bounds.documents * len(counts)).select("lang", "text"))
+            .limit(2 * each * len(counts)).select("lang", "text"))
 
 
 def fit(rows: list[tuple[str, str]], smoothing: float = 0.1) -> Model | None:
@@ -99,11 +108,56 @@ def fit(rows: list[tuple[str, str]], smoothing: float = 0.1) -> Model | None:
     return Model(languages, triples, np.full(len(languages), -np.log(letters)))
 
 
+def shown(page: str) -> str:
+    """``page`` without comments, scripts and menus, each from its opening to the first closing after it.
+
+    A part that is not closed stays. After the first such one its kind is not looked for again, so pages of unclosed
+    tags take no longer than others.
+    """
+    kept, at, unclosed = [], 0, set()
+    for opening in _OPENS.finditer(page):
+        kind = (opening[1] or "!").lower()
+        if opening.start() < at or kind in unclosed:
+            continue
+        closing = _CLOSES[kind].search(page, opening.end())
+        if closing is None:
+            unclosed.add(kind)
+        else:
+            kept.append(page[at:opening.start()])
+            at = closing.end()
+    return " ".join([*kept, page[at:]])
+
+
+def main_part(page: str) -> str:
+    """What stands between the first article or main tag that is closed and the last closing of its kind; else all."""
+    last = {tag: max((m.start() for m in _CLOSES[tag].finditer(page)), default=-1) for tag in ("article", "main")}
+    for opening in _MAIN_OPENS.finditer(page):
+        end = page.find(">", opening.end())
+        if end < 0:
+            break
+        if last[opening[1].lower()] > end:
+            return page[end + 1:last[opening[1].lower()]]
+    return page
+
+
+def declared_language(page: str) -> str | None:
+    """The language that the first html tag with one declares."""
+    at = 0
+    while opening := _ROOT.search(page, at):
+        at = page.find(">", opening.end())
+        tag = page[opening.end():at if at >= 0 else len(page)]
+        if found := _LANG.search(tag):
+            return found[1].lower()
+        if at < 0:
+            break
+    return None
+
+
 def page_text(page: str) -> str:
     """Readable text of a page: its article or main part if it has one, without scripts and menus."""
-    plain = _NO_TEXT.sub(" ", page)
-    main = _MAIN.search(plain)
-    return html.unescape(_TAG.sub(" ", main.group(2) if main else plain))
+    part = main_part(shown(page))
+    tagged = part.rfind(">") + 1            # a sign that no bracket follows opens no tag
+    return html.unescape(_TAG.sub(" ", part[:tagged]) + part[tagged:])
 
 
 class Reader:
@@ -147,10 +201,9 @@ def evidence(pages: DataFrame, model: Model) -> DataFrame:
             for offset in range(0, batch.num_rows, 256):
                 part, rows = batch.slice(offset, 256), []
                 for url, page in zip(part.column("url").to_pylist(), part.column("html").to_pylist()):
-                    declared = _DECLARED.search(page or "")
                     seen = reader(page_text(page or ""))
                     share = np.exp(seen - seen.max())
-                    rows.append((*address(url), declared.group(1).lower() if declared else None,
+                    rows.append((*address(url), declared_language(page or ""),
                                  (share / share.sum()).tolist()))
                 types = [pa.string()] * 4 + [pa.list_(pa.float64())]
                 yield pa.RecordBatch.from_arrays(
@@ -186,7 +239,8 @@ def fuse(rows: DataFrame, languages: list[str]) -> DataFrame:
     rows = checkpointed(rows.withColumn("claim", F.when(known, F.col("declared"))
                                         .when(F.col("declared").isNotNull(), F.lit("other"))))
     # A few numbers per language: pages in all, and distinct claims and suffixes that share them.
-    whole = rows.agg(*[F.sum(F.col("text")[i]) for i in range(n)], F.approx_count_distinct("suffix")).first()
+    sums = rows.agg(*[F.sum(F.col("text")[i]) for i in range(n)]).first()
+    whole = [*sums, rows.filter(F.col("suffix").isNotNull()).select("suffix").distinct().count()]
     per_language = [x or 0.0 for x in whole[:n]]
     pages = F.array(*[F.lit(float(x)) for x in per_language])
     corpus = F.array(*[F.lit((x + FLAT_WEIGHT / n) / (sum(per_language) + FLAT_WEIGHT)) for x in per_language])

@@ -1,3 +1,8 @@
+import html
+import random
+import re
+import time
+
 import pytest
 
 from plateful.llm import language
@@ -102,6 +107,51 @@ def test_page_text_is_the_article():
     assert language.page_text("<nav>a</nav>b<br>c").split() == ["b", "c"] and language.page_text("") == ""
 
 
+HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|nav|header|footer|aside|noscript|title)\b.*?</\1\s*>")
+MAIN = re.compile(r"(?is)<(article|main)\b[^>]*>(.*)</\1\s*>")
+DECLARED = re.compile(r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([a-z]{2,3})\b""")
+
+
+def plain_page_text(page):
+    """The same by patterns that try every opening to the end."""
+    shown = HIDDEN.sub(" ", page)
+    main = MAIN.search(shown)
+    return html.unescape(re.sub(r"(?s)<[^>]*>", " ", main[2] if main else shown))
+
+
+def test_markup_is_read_as_by_whole_patterns():
+    draw = random.Random(3)
+    parts = ["<nav>", "</nav >", "<NAV x='1'>", "</Nav\n>", "<!--", "-->", "<!-->", "<script", "</script>", "<article>", "<main id=a>", "</article>",
+             "</main>", "<article", ">", "<", "<p>", "a < b", " text ", "&amp;", "<html lang=en>", "<html lang='de'", "<HTML class=x lang = fr>",
+             "<html>", "lang=es", "<navx>", "<title>t</title>", "</aside>", "<aside>"]
+    for n in range(3000):
+        page = "".join(draw.choices(parts, k=draw.randint(0, 14)))
+        assert language.page_text(page) == plain_page_text(page), page
+        declared = DECLARED.search(page)
+        assert language.declared_language(page) == (declared[1].lower() if declared else None), page
+
+
+@pytest.mark.parametrize("tag", ["<nav>", "<!--", "<article>", "<article ", "<html ", "<html lang=", "<", "<script></nav>", "</article", "<title>x</title>"])
+def test_two_megabytes_of_unclosed_tags(tag):
+    page, begun = tag * (2_000_000 // len(tag)), time.time()
+    language.page_text(page)
+    language.declared_language(page)
+    assert time.time() - begun < 10
+
+
+def test_very_long_page(spark):
+    model = language.fit([*SAMPLES.items()])
+    text = " ".join([*SAMPLES.values()][0].split() * 4000)
+    found = language.evidence(spark.createDataFrame([(1, "https://a.de/", "<nav>" * 100_000 + text)], PAGES), model).first()
+    assert max(found["text"]) > 0.5
+
+
+def test_sample_of_very_many_languages_is_bounded(spark):
+    docs = spark.createDataFrame([(i, f"text {i} of a language", f"l{i % 500}") for i in range(4000)], "doc_id long, text string, lang string")
+    rows = language.labelled_sample(docs, language.Sample(in_all=1000)).collect()
+    assert 500 <= len(rows) <= 2000
+
+
 def test_repeats_clashing_columns_and_empty_tables(spark):
     rows = corpus()[:30] + [corpus()[0]] * 3
     pages = clashing(spark.createDataFrame(rows, PAGES), "host", "text", "language", "claim", "posterior")
