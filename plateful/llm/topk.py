@@ -187,7 +187,9 @@ def page_of(pages: dict[int, int]) -> Column:
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of ``vectors`` (vec_id, v) where ``is_query`` holds."""
-    space = Space(int(vectors.agg(F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x))).first()[0] or 0))
+    # As doubles, since squares of components pass the range of a bigint long before scores do; a little above for rounding.
+    longest = vectors.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))).first()[0] or 0.0
+    space = Space(int(longest * (1 + 1e-9)) + 1)
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
     if not sample:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")

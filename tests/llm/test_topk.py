@@ -57,6 +57,12 @@ def test_rows_of_one_id_spread_over_pages(spark, small_pages):
     assert found(spark, rows) == plain(rows)
 
 
+def test_components_whose_squares_pass_bigint(spark):
+    """The lengths pass 2 ** 63, the scores of the queries do not."""
+    rows = [(i, v, 0) for i, v, _ in vectors(250, 3)] + [(301, [4e6, 0.0, 1.0], 0), (302, [-4e6, 4e6, 0.0], 0), (303, [4e6] * 3, 0)]
+    assert found(spark, rows) == plain(rows)
+
+
 def test_ties_zeros_and_different_lengths(spark):
     rows = [(0, [0.0, 0.0], 0), (100, [1.0, 1.0, 1.0], 0), (200, [], 0), (300, [-3.0], 0)]
     rows += [(i, [0.5, 0.5] if i % 2 else [0.25, 0.75], 0) for i in range(1, 40)]
