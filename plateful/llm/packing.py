@@ -3,19 +3,16 @@
 Documents are tokenized and cut into pieces of at most ``CAPACITY`` tokens. Only the histogram
 of piece lengths, at most ``CAPACITY`` numbers whatever the corpus, reaches the driver:
 
-1. lengths are grouped into bins, and all patterns of up to three bins that fill a sequence
-   are enumerated;
+1. lengths are grouped into bins, and all patterns of a few bins that fill a sequence are enumerated;
 2. non-negative least squares fits how often each pattern repeats to the counts per bin;
-3. the repeats are rounded to what the counts allow, and exact lengths are dealt to them, the
-   longest of one bin beside the shortest of the next;
-4. where a pattern's exact lengths leave a gap, its shortest piece is taken out again;
-5. the pieces that are left go, longest first, to the smallest gap that holds them, in a
-   pattern or in a sequence opened for them.
+3. the repeats are rounded to what the counts allow, and exact lengths are dealt to them such that
+   every sequence of a pattern is full (:mod:`plateful.llm.fitting`), in rounds over what is left;
+4. the residual pieces go, longest first, to the smallest gap that holds them.
 
 The plan says for each length which ranks go to which sequence and offset. Pieces get their rank
 among those of their length from a sorted table, so one length may hold most of the rows.
 
-Defined results: a NULL or empty text is the end token alone; each row is packed on its own,
+Defined results: a NULL or empty text is the end token alone; a very long text is tokenized whole and cut; each row is packed on its own,
 also where rows or doc_ids repeat; an empty table gives an empty result; other columns
 are left out.
 """
@@ -23,7 +20,6 @@ are left out.
 import re
 import zlib
 from array import array
-from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -31,6 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from plateful.llm.fitting import plan_windows
 from plateful.llm.shared import released
 from plateful.operators.keys import with_positions
 from plateful.plans.staging import checkpointed
@@ -150,130 +147,15 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """x >= 0 with the least squared error of a x against b, by active sets."""
-    x, free = np.zeros(a.shape[1]), np.zeros(a.shape[1], dtype=bool)
-    slope, small = a.T @ b, 1e-9 * max(1.0, float(np.abs(b).max(initial=0)))
-    for _ in range(3 * a.shape[1]):
-        if free.all() or slope[~free].max() <= small:
-            break
-        free[np.argmax(np.where(free, -np.inf, slope))] = True
-        while True:
-            step = np.zeros_like(x)
-            own = a[:, free]
-            step[free] = np.linalg.solve(own.T @ own + 1e-9 * np.eye(own.shape[1]), own.T @ b)
-            low = free & (step <= small)
-            if not low.any():
-                break
-            ratio = x[low] / np.maximum(x[low] - step[low], 1e-300)
-            x += min(1.0, float(ratio.min())) * (step - x)
-            free &= x > small
-            x[~free] = 0
-        x = step
-        slope = a.T @ (b - a @ x)
-    return x
-
-
-def patterns(bins: int) -> list[tuple[int, ...]]:
-    """Descending tuples of one, two and three bins that add up to ``bins``."""
-    twos = [(a, bins - a) for a in range(bins - 1, 0, -1) if a >= bins - a]
-    threes = [(a, b, bins - a - b) for a in range(bins - 2, 0, -1)
-              for b in range(min(a, bins - a - 1), 0, -1) if b >= bins - a - b]
-    return [(bins,), *twos, *threes]
+def rounds(bins: int) -> tuple[tuple[int, int], ...]:
+    """(bins in a sequence, documents in a pattern) of the rounds of the fit: few documents of finely rounded lengths, or more of coarse ones."""
+    return ((bins // 2, 5), (3 * bins // 8, 6), (3 * bins // 4, 4), (5 * bins // 16, 7), (bins // 4, 8), (3 * bins // 16, 10))
 
 
 def pack_plan(counts: dict[int, int], capacity: int = CAPACITY, bins: int = BINS) -> list[tuple[tuple[int, ...], int]]:
     """(lengths in one sequence, number of such sequences) that hold exactly ``counts`` pieces per length."""
-    left = Counter({length: n for length, n in counts.items() if n})
-    plan = [((capacity,), left.pop(capacity))] if capacity in left else []
-    width = capacity / bins
-    of_bin = defaultdict(list)
-    for length in sorted(left):
-        of_bin[int(-(-length // width))].append(length)
-    in_bin = {b: sum(left[x] for x in lengths) for b, lengths in of_bin.items()}
-
-    shapes = [p for p in patterns(bins) if all(b in in_bin for b in p)]
-    if shapes:
-        used = sorted(in_bin)
-        a = np.zeros((len(used), len(shapes)))
-        for j, p in enumerate(shapes):
-            for b in p:
-                a[used.index(b), j] += 1
-        fitted = nnls(a, np.array([in_bin[b] for b in used], dtype=float))
-        for j in np.argsort(-fitted, kind="stable"):
-            need = Counter(shapes[j])
-            n = min(int(round(fitted[j])), *(in_bin[b] // k for b, k in need.items()))
-            if n:
-                for b in shapes[j]:
-                    in_bin[b] -= n
-                plan += _exact(shapes[j], n, of_bin, left, capacity)
-    return _best_fit(plan, left, capacity)
-
-
-def _exact(shape, n, of_bin, left, capacity):
-    """``n`` sequences of a pattern of bins as runs of exact lengths, long ones beside short ones.
-
-    Where the exact lengths leave a gap the shortest goes back to ``left``, for a better fit.
-    """
-    runs = []
-    for place, b in enumerate(shape):
-        taken, rest = [], n
-        for length in reversed(of_bin[b]) if place % 2 == 0 else list(of_bin[b]):
-            k = min(rest, left[length])
-            if k:
-                taken.append([length, k])
-                left[length] -= k
-                rest -= k
-        runs.append(taken)
-    found = []
-    while runs[0]:
-        k = min(r[0][1] for r in runs)
-        lengths = tuple(r[0][0] for r in runs)
-        if sum(lengths) < capacity and len(lengths) > 1:
-            left[lengths[-1]] += k
-            lengths = lengths[:-1]
-        found.append((lengths, k))
-        for r in runs:
-            r[0][1] -= k
-            if not r[0][1]:
-                r.pop(0)
-    return found
-
-
-def _best_fit(plan, left, capacity):
-    """Add the lengths in ``left`` to the sequences of ``plan``, longest first, smallest fitting gap first."""
-    by_gap, gaps = defaultdict(Counter), []
-
-    def put(lengths, n):
-        gap = capacity - sum(lengths)
-        if not by_gap[gap]:
-            insort(gaps, gap)
-        by_gap[gap][lengths] += n
-
-    for lengths, n in plan:
-        put(lengths, n)
-    for length in sorted(+left, reverse=True):
-        rest = left[length]
-        while rest:
-            i = bisect_left(gaps, length)
-            if i == len(gaps):
-                each = capacity // length
-                if rest >= each:
-                    put((length,) * each, rest // each)
-                if rest % each:
-                    put((length,) * (rest % each), 1)
-                break
-            gap = gaps[i]
-            lengths, n = next(iter(by_gap[gap].items()))
-            k = min(n, rest)
-            by_gap[gap][lengths] -= k
-            if k == n:
-                del by_gap[gap][lengths]
-                if not by_gap[gap]:
-                    gaps.pop(i)
-            put((*lengths, length), k)
-            rest -= k
-    return [(lengths, n) for gap in gaps for lengths, n in by_gap[gap].items()]
+    plan = plan_windows(counts, capacity, rounds(bins))
+    return [*plan.fitted, *plan.greedy]
 
 
 def lookup(plan: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, ...]]:

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from plateful.llm import packing, windows
+from plateful.llm import fitting, packing, windows
 from tests.llm.cases import SCHEMA, clashing, documents, frame, prose
 
 
@@ -31,16 +31,16 @@ def test_combinations_are_all_of_them():
 
     for total, depth in ((1, 1), (6, 3), (10, 4), (12, 12)):
         expected = plain(total, depth, total)
-        found = windows.combinations(total, depth, [*range(1, total + 1)])
+        found = fitting.combinations(total, depth, [*range(1, total + 1)])
         assert sorted(found) == sorted(expected)
         odd = [x for x in range(1, total + 1) if x % 2]
-        assert sorted(windows.combinations(total, depth, odd)) == sorted(c for c in expected if all(x % 2 for x in c))
+        assert sorted(fitting.combinations(total, depth, odd)) == sorted(c for c in expected if all(x % 2 for x in c))
 
 
 @pytest.mark.parametrize("counts", [{}, {1: 1}, {64: 3}, {63: 5, 1: 2}, {33: 7}, {5: 1000}, {64: 1, 32: 2, 1: 1},
                                     {n: n % 5 for n in range(1, 65)}, {32: 101}, {16: 3, 24: 3}])
 def test_plan_holds_every_piece_once(counts):
-    plan = windows.plan_windows(counts, 64, ((16, 4), (8, 6)))
+    plan = fitting.plan_windows(counts, 64, ((16, 4), (8, 6)))
     assert held_by(plan) == +Counter(counts)
     assert all(sum(lengths) == 64 and n > 0 for lengths, n in plan.fitted)
     assert all(0 < sum(lengths) <= 64 and n > 0 for lengths, n in plan.greedy)
@@ -51,7 +51,7 @@ def test_random_plans_hold_every_piece_once():
     for window in (1, 2, 7, 64, 100):
         for _ in range(20):
             counts = Counter(draw.integers(1, window + 1, draw.integers(1, 300)).tolist())
-            plan = windows.plan_windows(counts, window, ((8, 3), (5, 5)))
+            plan = fitting.plan_windows(counts, window, ((8, 3), (5, 5)))
             assert held_by(plan) == counts
             assert all(sum(lengths) == window for lengths, _ in plan.fitted)
             assert all(sum(lengths) <= window for lengths, _ in plan.greedy)
@@ -62,7 +62,7 @@ def test_fit_fills_most_windows_and_little_is_padded(n):
     """The fitted combinations carry the packing, at every size; greedy packing only sees the residuals."""
     draw = np.random.default_rng(2)
     counts = Counter(np.clip(draw.lognormal(6.5, 1, n).astype(int) + 1, 1, 4096).tolist())
-    plan = windows.plan_windows(counts)
+    plan = fitting.plan_windows(counts, 4096, windows.ROUNDS)
     total = sum(k * v for k, v in counts.items())
     assert held_by(plan) == counts
     assert plan.share_fitted() > 0.8
@@ -70,7 +70,7 @@ def test_fit_fills_most_windows_and_little_is_padded(n):
 
 
 def test_places_are_disjoint():
-    plan = windows.plan_windows({5: 30, 7: 20, 40: 6, 64: 2}, 64, ((16, 4),))
+    plan = fitting.plan_windows({5: 30, 7: 20, 40: 6, 64: 2}, 64, ((16, 4),))
     seen = Counter()
     for length, (first, start, each, from_, offsets) in windows.places(plan).items():
         for rank in range({5: 30, 7: 20, 40: 6, 64: 2}[length]):
