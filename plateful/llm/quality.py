@@ -9,7 +9,7 @@ Votes make at most 3**rules patterns, so the fit works on counts per pattern, wh
 number of texts, and the posteriors are sent to all tasks as a table of that size.
 
 Defined results: a NULL or empty text has no words, zero for every measure and fails the base
-rule; rows that repeat are judged alike; an empty table gives an empty result; other columns
+rule; a very long text is measured whole; rows that repeat are judged alike; an empty table gives an empty result; other columns
 are kept whatever their names. A text in which no rule votes has the share of good texts
 as its quality.
 """
@@ -186,6 +186,17 @@ def qualities(measured: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
                                  "votes long, quality double")
 
 
+def rule_report(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+    """Per rule what was learned about it: how often it votes good and bad, and how often its votes are right."""
+    counted = (with_measures(docs.select("text")).groupBy(pattern(rules).alias("votes")).agg(F.count(F.lit(1)).alias("n")).collect())
+    votes = _unpacked(np.array([r["votes"] for r in counted], dtype=np.int64), len(rules))
+    n = np.array([r["n"] for r in counted], dtype=float)
+    total, right = max(float(n.sum()), 1.0), fit(votes, n).accuracy()
+    found = [(r.name, float(n[votes[:, i] == 2].sum() / total), float(n[votes[:, i] == 1].sum() / total), float(right[i]))
+             for i, r in enumerate(rules)]
+    return docs.sparkSession.createDataFrame(found, "rule string, votes_good double, votes_bad double, accuracy double")
+
+
 def judged(measured: DataFrame, found: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """``measured`` with base_failed, quality and kept."""
     failed = ((F.col("n_words") < MIN_WORDS)

@@ -6,7 +6,8 @@ The jumps use the usual 64-bit linear generator, kept as two 32-bit halves in bi
 nothing overflows.
 
 Defined results: a NULL key has a shard like any other value; equal keys share a shard; a NULL
-text has size 1 and the checksum of no bytes, 0; an empty table gives an empty result.
+text has size 1 and the checksum of no bytes, 0; a very long text is a size and a checksum like any other; rows
+that repeat get slots of their own; an empty table gives an empty result; other columns are left out of the report.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F

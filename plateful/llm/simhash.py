@@ -13,7 +13,8 @@ fingerprint, grow with the table; ``blocks`` can be lowered for small tables, an
 block of 15 bits (perfect Hamming code, radius 1) gives 2**35 anchors and 154 visits.
 All choices find the same links.
 
-Defined results: a NULL or empty text has fingerprint zero and links like any other; equal
+Defined results: a NULL or empty text has fingerprint zero and links like any other; all shingles of a very long text
+count; equal
 fingerprints are one node, so a group of copies of any size costs one row; rows with a NULL
 doc_id keep it and count only where a component has no other; an empty table gives an
 empty result; other columns are kept whatever their names.

@@ -16,7 +16,7 @@ are whole numbers, so bounds only ever need a slack for rounding. Queries meet p
 Defined results: rows with a NULL id, a NULL vector, or a NULL or non-finite component take no part; shorter
 vectors count as padded with 0; a query never finds rows with its own id; rows that repeat are candidates of
 their own, and a repeated query is asked once (with its smallest vector); fewer candidates
-than k give them all; an empty table gives an empty result; other columns are not read.
+than k give them all; ties go to the smaller id; very long vectors are compared whole; an empty table gives an empty result; other columns are not read.
 Scores must fit bigint.
 """
 

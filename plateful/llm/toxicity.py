@@ -10,7 +10,7 @@ score by a logistic curve fitted on the sample.
 
 The sample is bounded by ``Sample``; scoring covers whole texts of all documents, and a text is one
 chain however long it is. The work is done in rows of ``WINDOW`` words: the moves over a row are one matrix, with
-which the forward message is carried on and the backward one back from row to row. Defined results: a NULL or empty text scores as one without an offending
+which the forward message is carried on and the backward one back from row to row. Defined results: a very long text is scored whole; a NULL or empty text scores as one without an offending
 word; rows that repeat score alike, whatever their label; without labels of both kinds every
 score is 0; an empty table gives an empty result; other columns are not read.
 """

@@ -85,3 +85,9 @@ def test_mix_repeats_rows_as_reported(spark):
 def test_texts_without_words(spark):
     docs = frame(spark, [(1, None, None, "a", None), (2, "", None, None, None)])
     assert {(r["doc_id"], r["size"], r["taken"], r["target"]) for r in mixing.mix_report(docs).collect()} == {(1, 0, 0, 0.0), (2, 0, 0, 0.0)}
+
+
+def test_report_leaves_clashing_columns_out(spark):
+    docs = clashing(frame(spark), "size", "draw", "lot", "sublot", "takes", "_of", "_draw", "quota", "_nth", "weight", "target")
+    assert rows(mixing.mix_report(docs)) == rows(mixing.mix_report(frame(spark)))
+    assert mixing.mix(docs).columns == docs.columns

@@ -1,3 +1,4 @@
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +53,59 @@ def test_report_keeps_prose_and_drops_junk(spark):
     assert sum(report[d[0]]["kept"] for d in prosaic) > 145
 
 
+def plain_qualities(votes, rounds=quality.ROUNDS):
+    """Expectation-maximisation text by text, in plain loops."""
+    n_rules = len(votes[0])
+
+    def rates(weights, priors):
+        table = []
+        for i in range(n_rules):
+            seen = [priors[v] + sum(w for w, own in zip(weights, votes) if own[i] == v) for v in range(3)]
+            table.append([x / sum(seen) for x in seen])
+        return table
+
+    share = quality.GOOD / (quality.GOOD + quality.BAD)
+    on_good, on_bad = rates([0] * len(votes), quality.ON_GOOD), rates([0] * len(votes), quality.ON_BAD)
+
+    def posterior():
+        found = []
+        for own in votes:
+            good, bad = share, 1 - share
+            for i, v in enumerate(own):
+                good, bad = good * on_good[i][v], bad * on_bad[i][v]
+            found.append(good / (good + bad))
+        return found
+
+    for _ in range(rounds):
+        weights = posterior()
+        share = (quality.GOOD + sum(weights)) / (quality.GOOD + quality.BAD + len(votes))
+        before = on_good
+        on_good, on_bad = rates(weights, quality.ON_GOOD), rates([1 - w for w in weights], quality.ON_BAD)
+        if max(abs(a - b) for x, y in zip(before, on_good) for a, b in zip(x, y)) < 1e-12:
+            break
+    return posterior()
+
+
+def test_kept_matches_a_plain_fit(spark):
+    docs = [d for d in documents() if d[0] != 205] + junk() + [(1000 + i, "the and of to " + prose(200 + i, 120), "en", "s", 0) for i in range(40)]
+    measured = quality.with_measures(frame(spark, docs).select("doc_id", "text")).toPandas()
+    conditions = ", ".join(f"CASE WHEN n_words = 0 THEN 0 WHEN {r.bad} THEN 1 WHEN {r.good} THEN 2 ELSE 0 END" for r in quality.RULES)
+    votes = duckdb.query(f"SELECT {conditions} FROM measured").fetchall()
+    expected = sorted(zip(measured.n_words.tolist(), measured.word_chars.tolist(),
+                          [q >= quality.MIN_QUALITY and w >= 50 and 100 * r <= 50 * w for q, w, r in
+                           zip(plain_qualities(votes), measured.n_words, measured.n_repeat_words)]))
+    report = quality.quality_report(frame(spark, docs)).collect()
+    assert sorted((r["n_words"], r["word_chars"], r["kept"]) for r in report) == expected
+    assert 5 < sum(k for *_, k in expected) < len(expected)
+
+
+def test_learned_accuracies_are_shown(spark):
+    shown = quality.rule_report(clashing(frame(spark, junk() * 5 + documents()), "rule", "accuracy")).collect()
+    assert [r["rule"] for r in shown] == [r.name for r in quality.RULES]
+    assert all(0 <= r["votes_good"] + r["votes_bad"] <= 1 and 0 < r["accuracy"] <= 1 for r in shown)
+    assert quality.rule_report(frame(spark).limit(0)).count() == len(quality.RULES)
+
+
 def test_awkward_rows(spark):
     found = quality.quality_report(frame(spark)).collect()
     assert len(found) == len(documents())

@@ -60,3 +60,8 @@ def test_written_shards_keep_rows_and_columns(spark, tmp_path):
     sharding.write_shards(docs, str(tmp_path / "out"), "doc_id", 4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == len(documents()) and set(back.columns) == {*docs.columns, "shard"}
+
+
+def test_report_leaves_clashing_columns_out(spark):
+    docs = clashing(frame(spark), "size", "law", "shard", "slot", "grown_shard", "text_crc32", "_shards", "_tie", "_id")
+    assert rows(sharding.shard_documents(docs)) == rows(sharding.shard_documents(frame(spark)))
