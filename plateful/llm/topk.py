@@ -11,7 +11,8 @@ A query visits nodes nearest bound first. Its first page gives a k-th distance;
 only to pages whose pivot and covering radius allow something as near. Inside a page,
 the stored distance to the parent rules out nodes and entries before their own distance is
 computed, and the search ends when no node left is near enough. Scores themselves
-are whole numbers, so bounds only ever need a slack for rounding. Queries meet pages in blocks.
+are whole numbers, so bounds only ever need a slack for rounding. Each page's tree is built once and
+kept as one row. Queries meet pages in blocks, and a page is sent to the blocks that visit it only.
 
 Defined results: rows with a NULL id, a NULL vector, or a NULL or non-finite component take no part; shorter
 vectors count as padded with 0; a query never finds rows with its own id; rows that repeat are candidates of
@@ -21,6 +22,7 @@ Scores must fit bigint.
 """
 
 import heapq
+import pickle
 from functools import partial
 from typing import NamedTuple
 
@@ -162,11 +164,18 @@ def search(tree: Node, space: Space, ids: np.ndarray, v: np.ndarray, query_id: i
     return best
 
 
+def _built_page(space: Space, key, page: pa.Table) -> pa.Table:
+    """A page as one row: its tree, ids and vectors, built once for all that visit it."""
+    ids, v = page.column("vec_id").to_numpy(), _matrix(page.column("v"))
+    made = pickle.dumps((bulk_load(space.lift(v)), ids, v), protocol=pickle.HIGHEST_PROTOCOL)
+    return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()), pa.array([made], pa.binary())],
+                    names=["pivot", "page", "built"])
+
+
 def _search_page(space: Space, k: int, key, page: pa.Table, queries: pa.Table) -> pa.Table:
     found = []
     if page.num_rows and queries.num_rows:
-        ids, v = page.column("vec_id").to_numpy(), _matrix(page.column("v"))
-        tree = bulk_load(space.lift(v))
+        tree, ids, v = pickle.loads(page.column("built")[0].as_py())
         asked = zip(queries.column("query_id").to_pylist(), _matrix(queries.column("q")), queries.column("known").to_pylist())
         for query_id, query, known in asked:
             found += [(query_id, i, s) for s, i in search(tree, space, ids, v, query_id, query, k, known)]
@@ -212,8 +221,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     asked = checkpointed(asked)
     blocks = -(-asked.count() // QUERY_BLOCK)
     block = F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(max(blocks, 1))).cast("int")
-    paged = dealt.select("vec_id", "v", "pivot", page_of(pages).alias("page"),
-                         F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1))).alias("block"))
+    built = checkpointed(dealt.select("vec_id", "v", "pivot", page_of(pages).alias("page")).groupBy("pivot", "page")
+                         .applyInArrow(lambda key, page: _built_page(space, key, page), "pivot int, page int, built binary"))
 
     def visits(batches, first: bool):
         """The nearest pivot's first page; or all other pages that may hold something near enough."""
@@ -245,7 +254,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     visit = "query_id long, q array<long>, block int, pivot int, page int, known long"
 
     def searched(queries):
-        return (paged.groupBy("pivot", "page", "block").cogroup(queries.groupBy("pivot", "page", "block"))
+        """Pages go to the blocks of queries that visit them, and to no others."""
+        queries = checkpointed(queries)
+        met = queries.select(F.col("pivot").alias("at_pivot"), F.col("page").alias("at_page"), F.col("block").alias("at_block")).distinct()
+        sent = built.join(met, (F.col("pivot") == F.col("at_pivot")) & (F.col("page") == F.col("at_page")))
+        return (sent.groupBy("at_pivot", "at_page", "at_block").cogroup(queries.groupBy("pivot", "page", "block"))
                 .applyInArrow(lambda key, a, b: _search_page(space, k, key, a, b), _FOUND))
 
     asked = asked.withColumn("block", block)

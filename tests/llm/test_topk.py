@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from plateful.llm import topk
@@ -45,6 +46,21 @@ def test_matches_brute_force(spark, small_pages):
     assert found(spark, rows) == plain(rows)
 
 
+def test_far_clusters_and_a_page_as_one_row(spark, small_pages):
+    """Queries need the pages near them; a page's tree, ids and vectors are one row that searches alike."""
+    rows = vectors(900, spread=50.0)
+    assert found(spark, rows) == plain(rows)
+    v = np.array([[math.floor(1024 * float(np.float32(x))) for x in r[1]] for r in rows[:100]], dtype=np.int64)
+    space = topk.Space(int((v * v).sum(axis=1).max()))
+    page = pa.table([pa.array(range(100), pa.int64()), pa.array(v.tolist(), pa.list_(pa.int64()))], names=["vec_id", "v"])
+    made = topk._built_page(space, (pa.scalar(3, pa.int32()), pa.scalar(4, pa.int32())), page)
+    assert made.num_rows == 1 and made.column("pivot")[0].as_py() == 3
+    queries = pa.table([pa.array([0]), pa.array([v[0].tolist()]), pa.array([None], pa.int64())], names=["query_id", "q", "known"])
+    best = topk._search_page(space, 5, None, made, queries).to_pydict()
+    scores = sorted(((int(v[i] @ v[0]), -i) for i in range(1, 100)), reverse=True)[:5]
+    assert sorted(zip(best["score"], best["vec_id"]), key=lambda b: (-b[0], b[1])) == [(s, -i) for s, i in scores]
+
+
 def test_many_equal_vectors(spark, small_pages):
     rows = [(i, [0.5, -0.25, 0.125] if i % 3 == 0 else v[:3], 0) for i, v, _ in vectors(600, 3)]
     assert found(spark, rows) == plain(rows)
