@@ -278,6 +278,24 @@ def test_written_tables_live_in_the_session_checkpoint_folder(spark):
     assert shared_folder(spark) in spark.sparkContext.getCheckpointDir()
 
 
+@pytest.mark.parametrize("master, works", [("local", True), ("local[4]", True), ("local-cluster[2,1,512]", False), ("yarn", False)])
+def test_a_cluster_needs_a_shared_folder(master, works):
+    class Session:
+        conf = {"spark.sql.warehouse.dir": "/w/"}
+        sparkContext = type("Context", (), {"master": master})
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    Session.conf = Conf(Session.conf)
+    if works:
+        assert shared_folder(Session) == "/w/_checkpoints"
+    else:
+        with pytest.raises(ValueError):
+            shared_folder(Session)
+
+
 def test_written_tables_go_when_they_are_no_longer_referenced(spark):
     folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
     before = {p.name for p in folder.iterdir()}
