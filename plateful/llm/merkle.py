@@ -21,12 +21,15 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from plateful.llm.shared import hot_limit, split_join
 from plateful.operators.keys import with_positions
 from plateful.plans.staging import checkpointed, remove_folder, shared_folder
 
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 TAMPERED = 7
 DIGEST = 32
+# So many first places are broadcast.
+FEW_PARTS = 100_000
 # Levels that one job of the way down joins.
 LEVELS_A_JOB = 6
 
@@ -60,7 +63,15 @@ def document_leaves(docs: DataFrame) -> DataFrame:
     # Part of an absent language is empty and others begin with a sign, so parts sort as languages do.
     part = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
     rows = docs.select(part.alias("part"), "doc_id", leaf.alias("digest"), F.when(tampered, changed).alias("changed"))
-    return with_positions(checkpointed(rows), ["part"], ["doc_id", "digest"], "place")
+    # Places over the whole table, less the first of the part: parts may be many, and one may hold most rows.
+    placed = with_positions(checkpointed(rows), [], ["part", "doc_id", "digest"], "place")
+    parts = checkpointed(placed.groupBy("part").agg(F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n")))
+    n_rows, n_parts = parts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    if n_parts <= FEW_PARTS:
+        placed = placed.join(F.broadcast(parts.drop("n")), "part")
+    else:
+        placed = split_join(placed, parts, "part", hot_limit(n_rows))
+    return placed.withColumn("place", F.col("place") - F.col("first_place")).drop("first_place")
 
 
 def linked(nodes: DataFrame, width: int) -> DataFrame:

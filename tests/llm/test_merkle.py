@@ -103,6 +103,13 @@ def test_very_long_text_largest_count_and_one_hot_language(spark):
     assert rows(merkle.manifest_report(frame(spark, docs))) == manifest(docs)
 
 
+def test_very_many_languages(spark, monkeypatch):
+    """Beyond the number that may be broadcast, with one language that holds most rows."""
+    monkeypatch.setattr(merkle, "FEW_PARTS", 10)
+    docs = [(i, f"text {i}", f"l{i % 60:02}" if i % 3 == 0 else "en", "s", i) for i in range(400)] + [(9, "x", None, None, None)]
+    assert rows(merkle.manifest_report(frame(spark, docs))) == manifest(docs)
+
+
 def test_levels_are_removed(spark):
     def left():
         return [f for f in folders(spark, shared_folder(spark)) if f.startswith("merkle-")]
