@@ -74,7 +74,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict, *, pa
 
     ``partitions`` is the number of ranges, one task each; 1 reads a small table whole.
     ``predicates`` gives one WHERE clause per task and must cover every row exactly once. It
-    suits tables whose split column is uneven.
+    suits tables whose split column is uneven. The items are split by their text key, which needs a database
+    with window functions; name another ``column`` where there are none.
     """
     if not predicates and column is None and partitions > 1 and table in TEXT_KEYS:
         predicates = key_ranges(spark, url, table, properties, SPLIT_COLUMNS[table], partitions)
