@@ -8,7 +8,7 @@ from plateful import schemas
 from plateful.functions import cleansing
 from plateful.operators import audit, distinct, facts, gaps, keys, rank_store, ranking
 from plateful.plans import customers, extensions, increments, sales, views
-from plateful.plans.staging import checkpointed, remove_folder, shared_folder
+from plateful.plans.staging import checkpointed, remove_folder, shared_folder, written
 from plateful.sources import testdata, text
 from plateful.streaming import spend
 from plateful.streaming.keytable import KeyTable
@@ -308,11 +308,12 @@ def clv_percent_rank_merged(spark, sf):
     return after.join(ranks, same).select("user_id", value, "percent_rank")
 
 
-def _halves(spark, sf, *columns):
-    """The lines of two spans of days."""
+def _halves(spark, sf, base, *columns):
+    """The lines of two spans of days, joined once and written to ``base``."""
     lines, cut = items(spark, sf, "creation_time_utc", *columns), F.lit("1995-01-01").cast("timestamp_ntz")
-    early = F.col("creation_time_utc") < cut
-    return [lines.filter(early), lines.filter(~early)]
+    half = F.when(F.col("creation_time_utc") < cut, 0).when(F.col("creation_time_utc") >= cut, 1)
+    lines = written(lines.select(*columns, half.alias("_half")).filter("_half IS NOT NULL"), base, "_half")
+    return [lines.filter(F.col("_half") == n).drop("_half") for n in range(2)]
 
 
 def _merged_state(halves, group, users=False):
@@ -326,11 +327,19 @@ def _merged_state(halves, group, users=False):
 
 def loyalty_impact_merged(spark, sf):
     """``loyalty_impact`` from the states of two spans of days, whose orders and customers overlap."""
-    return increments.loyalty_impact_of(_merged_state(_halves(spark, sf, *LOYALTY), "is_loyalty", users=True))
+    base = f"{shared_folder(spark)}/lines-{uuid4().hex}"
+    state = _merged_state(_halves(spark, sf, base, *LOYALTY), "is_loyalty", users=True)
+    impact = checkpointed(increments.loyalty_impact_of(state))
+    remove_folder(spark, base)
+    return impact
 
 
 def location_performance_merged(spark, sf):
-    return increments.location_performance_of(_merged_state(_halves(spark, sf, *LOCATION), "restaurant_id"))
+    base = f"{shared_folder(spark)}/lines-{uuid4().hex}"
+    state = _merged_state(_halves(spark, sf, base, *LOCATION), "restaurant_id")
+    performance = checkpointed(increments.location_performance_of(state))
+    remove_folder(spark, base)
+    return performance
 
 
 def seasonal_sales(spark, sf):

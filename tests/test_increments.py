@@ -8,6 +8,7 @@ import golden
 import pytest
 from pyspark.sql import functions as F
 
+from plateful import queries
 from plateful.operators import distinct, rank_store, ranking
 from plateful.plans import increments, sales
 from plateful.plans.staging import folders
@@ -46,6 +47,27 @@ def test_merged_days_equal_all_sales(spark, seed):
     assert increments.location_performance_of(location[0]).schema.simpleString() == sales.location_performance(rows).schema.simpleString()
 
 
+@pytest.mark.parametrize("name, group", [("loyalty_impact", "is_loyalty"), ("location_performance", "restaurant_id")])
+def test_merged_queries_make_each_line_once(spark, monkeypatch, name, group):
+    """Ids, sums and sets of both spans read the written lines, not the joins that made them. Lines without a time are in no span."""
+    draw, made = random.Random(3), spark.sparkContext.accumulator(0)
+    days = [datetime(1994, 5, 1), datetime(1995, 1, 1), datetime(1996, 5, 1), None]
+    rows = [sale(draw, day) for day in days for _ in range(40)]
+    lines = spark.createDataFrame(rows, SALES.replace("day int", "creation_time_utc timestamp_ntz"))
+
+    @F.udf("string")
+    def seen(order):
+        made.add(1)
+        return order
+
+    monkeypatch.setattr(queries, "items", lambda spark, sf, *columns: lines.withColumn("order_id", seen("order_id")).select(*columns))
+    found = golden.rows_of(getattr(queries, f"{name}_merged")(spark, "unused"))
+    assert found == golden.rows_of(getattr(sales, name)(lines.filter("creation_time_utc IS NOT NULL")))
+    assert made.value <= len(rows)
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert not [f for f in folders(spark, folder) if f.startswith("lines-")]
+
+
 def test_ids_are_dense_and_go_on(spark):
     values = spark.createDataFrame([(f"v{i % 70}", i % 7) for i in range(300)] + [(None, 1)], "v string, g int")
     first = distinct.extended_ids(values.filter("g < 3"), "v", None, ["g"])
