@@ -38,11 +38,14 @@ def extended_ids(values: DataFrame, key: str, known: DataFrame | None = None, ne
 def distinct_state(rows: DataFrame, groups: list[str], key: str, ids: DataFrame) -> DataFrame:
     """Per group and range of ids: ``bucket`` and ``bits``, the set of the values of ``key``.
 
-    Rows are cut to one per group and value before they meet their ids, so a hot value is no hot key.
+    Rows are cut to one per group and value before they meet their ids, so a hot value is no hot key. Ids are
+    then shuffled, not bitmaps: a task that held a few ids of every range would send a bitmap for each. A
+    group and range has no more ids than a bitmap has bits.
     """
     each = rows.filter(F.col(key).isNotNull()).select(*groups, key).distinct().join(ids, key)
-    return (each.groupBy(*groups, F.bitmap_bucket_number(ID).alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(ID)).alias("bits")))
+    return (each.select(*groups, F.bitmap_bucket_number(ID).alias("bucket"), F.bitmap_bit_position(ID).alias("_bit"))
+            .repartition(*groups, "bucket").groupBy(*groups, "bucket")
+            .agg(F.bitmap_construct_agg("_bit").alias("bits")))
 
 
 def merged_states(states: list[DataFrame], groups: list[str]) -> DataFrame:

@@ -88,6 +88,14 @@ def test_sets_over_several_ranges_merge_and_merging_twice_changes_nothing(spark)
     assert {r.g: r.n for r in distinct.distinct_counts(merged, ["g"], "n").collect()} == expected
 
 
+def test_ids_are_shuffled_and_no_partial_bitmaps(spark):
+    ids = spark.range(1000).selectExpr("id AS v", f"id AS {distinct.ID}")
+    state = distinct.distinct_state(spark.range(1000).selectExpr("id AS v", "id % 9 AS g"), ["g"], "v", ids)
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_construct_agg" in plan
+    assert "Exchange" not in plan[:plan.index("partial_bitmap_construct_agg")]
+
+
 VALUES = "user_id string, value decimal(12,2)"
 
 
