@@ -53,10 +53,17 @@ def customer_item_spend(items: DataFrame) -> DataFrame:
     return items.groupBy("user_id").agg(F.sum(item_revenue()).alias("total_item_spend"))
 
 
-def customer_option_spend(items: DataFrame, options: DataFrame) -> DataFrame:
-    """Option spend per user. Options are summed per line before the join."""
-    lines = (items.select("lineitem_id", "user_id").join(_option_spend_per_line(options), "lineitem_id")
-             .groupBy("lineitem_id", "user_id").agg(F.max("option_spend").alias("option_spend")))
+def customer_option_spend(items: DataFrame, options: DataFrame, *, unique: bool = False) -> DataFrame:
+    """Option spend per user. Options are summed per line before the join, so that those of a repeated line count once.
+
+    Where ``unique`` says that no line repeats in ``items``, they are joined as they are and summed per user alone.
+    """
+    if unique:
+        lines = items.select("lineitem_id", "user_id").join(
+            options.select("lineitem_id", option_revenue().alias("option_spend")), "lineitem_id")
+    else:
+        lines = (items.select("lineitem_id", "user_id").join(_option_spend_per_line(options), "lineitem_id")
+                 .groupBy("lineitem_id", "user_id").agg(F.max("option_spend").alias("option_spend")))
     return lines.groupBy("user_id").agg(F.sum("option_spend").cast(SPEND_TYPE).alias("total_option_spend"))
 
 

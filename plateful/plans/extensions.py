@@ -17,18 +17,19 @@ def clv_as_of(items: DataFrame, options: DataFrame, day: str, *, stage=lazy) ->
             .withColumn("as_of_date", F.lit(day).cast("date")))
 
 
-def update_spend(previous: DataFrame, new_items: DataFrame, new_options: DataFrame, owners: DataFrame) -> DataFrame:
+def update_spend(previous: DataFrame, new_items: DataFrame, new_options: DataFrame, owners: DataFrame, *,
+                 unique_owners: bool = False) -> DataFrame:
     """``customer_spend`` after a day, from that of the day before and only what arrived since.
 
     Options are credited to the owner of their line in ``owners`` (lineitem_id, user_id of all
     landed lines), also when the line is older. Options whose line has not landed are not
     credited; ``unowned_options`` gives them, to be passed again the next day. Only one row
-    per user and source is shuffled.
+    per user and source is shuffled. ``unique_owners`` says that ``owners`` has each line once.
     """
     none = F.lit(None).cast(SPEND_TYPE)
     bought = (new_items.groupBy("user_id").agg(F.sum(item_revenue()).cast(SPEND_TYPE).alias("total_item_spend"))
               .withColumn("total_option_spend", none))
-    added = (customer_option_spend(owners, new_options).filter(F.col("user_id").isNotNull())
+    added = (customer_option_spend(owners, new_options, unique=unique_owners).filter(F.col("user_id").isNotNull())
              .select("user_id", none.alias("total_item_spend"), "total_option_spend"))
     return (previous.unionByName(bought).unionByName(added).groupBy("user_id")
             .agg(F.sum("total_item_spend").cast(SPEND_TYPE).alias("total_item_spend"),

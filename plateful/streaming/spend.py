@@ -25,6 +25,8 @@ from plateful.streaming.landing import KEY_BUCKETS, KEY_DATABASE, _name_of, new_
 ITEMS, OPTIONS = "order_items_raw", "order_item_options_raw"
 SPEND = f"user_id string, total_item_spend {SPEND_TYPE}, total_option_spend {SPEND_TYPE}"
 KEPT_VERSIONS = 2
+# What the spend needs of a line; the other fields go no further than the file.
+LINE = ["lineitem_id", "user_id", "item_price", "item_quantity"]
 
 
 def merge_new_files(spark: SparkSession, items: str, options: str, base: str, checkpoint: str, *, strict: bool = False,
@@ -54,7 +56,7 @@ def merge_batch(items_text: DataFrame, options_text: DataFrame, base: str, owner
     """Write version ``batch_id`` of the state from the version before it and the text rows of a batch."""
     spark = items_text.sparkSession
     items_text = items_text.withColumn("_row", F.monotonically_increasing_id())
-    arrived = checkpointed(type_text(items_text, ITEMS, strict))
+    arrived = checkpointed(type_text(items_text, ITEMS, strict).select(*LINE))
     option_columns = [f for f in schemas.RAW_TABLES[OPTIONS].names if f != "id"]
     options = clean_order_item_options(options_text, strict).select(*option_columns)
     options = checkpointed(options.unionByName(_version(spark, base, "pending", batch_id - 1, _pending_schema())))
@@ -63,7 +65,8 @@ def merge_batch(items_text: DataFrame, options_text: DataFrame, base: str, owner
     known = checkpointed(owners.known(wanted, batch_id))
     fresh = checkpointed(arrived.join(known, "lineitem_id", "left_anti"))
     lines = known.unionByName(fresh.select("lineitem_id", "user_id"))
-    spend = update_spend(_version(spark, base, "spend", batch_id - 1, SPEND), fresh, options, lines)
+    spend = update_spend(_version(spark, base, "spend", batch_id - 1, SPEND), fresh, options, lines,
+                         unique_owners=True)
     spend.write.mode("overwrite").parquet(f"{base}/spend/version={batch_id}")
     unowned_options(options, lines).write.mode("overwrite").parquet(f"{base}/pending/version={batch_id}")
     owners.add(fresh, batch_id)

@@ -156,3 +156,33 @@ def test_merge_that_fails_midway_is_made_up_for(spark, tmp_path, monkeypatch):
         spend.merge_new_files(spark, str(inbox / "items"), str(inbox / "options"), state, str(tmp_path / "other"))
     with pytest.raises(ValueError):
         spend.read_spend(spark, str(tmp_path / "nothing"))
+
+
+def test_a_batch_carries_only_what_the_spend_needs_and_sums_options_per_user(spark, tmp_path, monkeypatch):
+    """Lines of a batch do not repeat, so options are not summed per line first; other fields are not shuffled."""
+    plans, stored = [], []
+    update, keep = spend.update_spend, spend.checkpointed
+
+    def updated(previous, *given, **how):
+        found = update(previous, *given, **how)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    def checkpointed(df):
+        stored.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df)
+
+    monkeypatch.setattr(spend, "update_spend", updated)
+    monkeypatch.setattr(spend, "checkpointed", checkpointed)
+    (tmp_path / "items").mkdir()
+    (tmp_path / "options").mkdir()
+    drop_day(tmp_path, 0)
+    lines = text.read_text(spark, str(tmp_path / "items"), "order_items_raw").drop("_row")
+    extras = text.read_text(spark, str(tmp_path / "options"), "order_item_options_raw")
+    owners = KeyTable("plateful_test_keys", "batch", str(tmp_path / "state/owners"), "lineitem_id", "lineitem_id string, user_id string", 4)
+    owners.create(spark)
+    spend.merge_batch(lines, extras, str(tmp_path / "state"), owners, 0)
+    assert sorted((r.user_id, r.total_item_spend, r.total_option_spend) for r in spend.read_spend(spark, str(tmp_path / "state")).collect()) == [
+        ("", golden.d("4.00"), golden.d("0.00")), ("u1", golden.d("20.00"), golden.d("3.00")), ("u2", golden.d("5.00"), golden.d("0.00"))]
+    assert "Aggregate(keys=[lineitem_id" not in plans[0]
+    assert "restaurant_id" not in stored[0] and "item_price" in stored[0]
